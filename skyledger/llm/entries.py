@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from skyledger.llm import byte_bpe, exact_dedup, html_text, mixing, quality, sharding, token_files
+from skyledger.llm import byte_bpe, exact_dedup, html_text, language, mixing, quality, sharding, token_files
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op3_quality_rules": quality.op3_quality_rules,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op6_language_id": language.op6_language_id,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
     "op8_html_text": html_text.op8_html_text,
     "op9_token_files": token_files.op9_token_files,
