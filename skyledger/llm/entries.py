@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from skyledger.llm import byte_bpe, exact_dedup, html_text, language, mixing, quality, sharding, token_files
+from skyledger.llm import byte_bpe, exact_dedup, html_text, language, lm_scoring, mixing, quality, sharding, token_files
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op2_lm_scoring": lm_scoring.op2_lm_scoring,
     "op3_quality_rules": quality.op3_quality_rules,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_language_id": language.op6_language_id,
