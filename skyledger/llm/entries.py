@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from skyledger.llm import byte_bpe, exact_dedup, html_text, language, lm_scoring, mixing, quality, sharding, token_files
+from skyledger.llm import byte_bpe, exact_dedup, html_text, jaccard_join, language, lm_scoring, mixing, quality, sharding, token_files
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_lm_scoring": lm_scoring.op2_lm_scoring,
     "op3_quality_rules": quality.op3_quality_rules,
+    "op4_jaccard_join": jaccard_join.op4_jaccard_join,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_language_id": language.op6_language_id,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
