@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import exact_dedup, mixing, quality
+from skyledger.llm import byte_bpe, exact_dedup, jaccard_join, mixing, quality
 from skyledger.llm._common import written
 
 
@@ -18,15 +18,27 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return exact_dedup.drop_exact_duplicates(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that are linked by shared shingles the one with the smallest id stays."""
+    return jaccard_join.drop_near_duplicates(docs)
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target asks for."""
     return mixing.mixed_documents(docs)
 
 
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of every row, encoded and decoded again."""
+    return byte_bpe.digests(docs, byte_bpe.default_path())
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("exact dedup", exact_copies),
+    ("n-gram Jaccard join", near_copies),
     ("mixing sources to target weights", source_mix),
+    ("byte-level BPE encoding and decoding", encoding),
 ]
 
 #: Mixing and tokenizing can't be written in SQL; the whole is tested against brute force.
