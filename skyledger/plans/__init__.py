@@ -1,4 +1,6 @@
 """Queries of the plate-archive operators bound to the test tables, with their SQL."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from skyledger.plans import sky_queries  # noqa: F401
+from skyledger.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
