@@ -188,7 +188,7 @@ def polynomial(x: Column, y: Column, terms: dict[tuple[int, int], float]) -> Col
 
 def undistorted(u: Column, v: Column, a: dict[tuple[int, int], float], b: dict[tuple[int, int], float], steps: int = 4) -> tuple[Column, Column]:
     """(x, y) with x + A(x, y) = u and y + B(x, y) = v, by a fixed number of fixed-point steps (small distortions)."""
-    x, y = u, v
-    for _ in range(steps):
-        x, y = u - polynomial(x, y, a), v - polynomial(x, y, b)
-    return x, y
+    step = lambda s, _: F.struct((u - polynomial(s["x"], s["y"], a)).alias("x"), (v - polynomial(s["x"], s["y"], b)).alias("y"))
+    start = F.struct(u.cast("double").alias("x"), v.cast("double").alias("y"))
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step)
+    return found["x"], found["y"]

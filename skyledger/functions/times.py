@@ -32,7 +32,7 @@ def seconds_of(text: Column) -> Column:
     """Seconds of 'H', 'H:M', 'H:M:S' (a trailing colon is ignored; hours may be 24 or more); null if a part is no number."""
     parts = F.split(F.regexp_replace(F.trim(text), ":+$", ""), ":")
     part = lambda k: F.when(F.size(parts) > k, F.get(parts, F.lit(k)).try_cast("double")).otherwise(F.lit(0.0))
-    return part(0) * 3600 + part(1) * 60 + part(2)
+    return F.when(text.isNotNull(), part(0) * 3600 + part(1) * 60 + part(2))
 
 
 def time_text(seconds: Column) -> Column:
