@@ -51,7 +51,7 @@ def unseen_rows(spark, d):
 @query(
     "exposure_times",
     """WITH p AS (SELECT o_orderkey, o_orderdate + to_seconds(CAST(o_orderkey % 86400 AS BIGINT)) AS s, o_orderdate + to_seconds(CAST((o_orderkey % 86400 + 7200) % 86400 AS BIGINT)) AS e0 FROM orders), q AS (SELECT o_orderkey, s, CASE WHEN e0 < s THEN e0 + INTERVAL 1 DAY ELSE e0 END AS e FROM p)
-    SELECT o_orderkey AS plate_id, epoch_us(s) AS ut_start, epoch_us(e) AS ut_end, round(round((epoch_us(s) + epoch_us(e)) / 2 / 86400e6 + 2440587.5, 5), 4) AS jd_avg FROM q""",
+    SELECT o_orderkey AS plate_id, epoch_us(s) AS ut_start, epoch_us(e) AS ut_end, round(round(((epoch_us(s) + epoch_us(e)) / 2 / 86400e6 + 2440587.5) * 7200 / 7200, 5), 4) AS jd_avg FROM q""",
 )
 def exposure_times(spark, d):
     clock = lambda s: F.concat(F.lit("UT "), F.concat_ws(":", *(F.lpad(v.cast("string"), 2, "0") for v in (F.floor(s / 3600), F.floor(s / 60) % 60, s % 60))))

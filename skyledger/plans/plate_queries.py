@@ -436,7 +436,7 @@ def kde_support(spark, d):
 CURVE = "WITH c AS (SELECT p_brand, CAST(p_size AS DOUBLE) AS cx, avg(p_retailprice) AS cy FROM part WHERE p_size % 10 = 5 GROUP BY ALL), s AS (SELECT p_brand, cx AS x0, cy AS y0, lead(cx) OVER w AS x1, lead(cy) OVER w AS y1, row_number() OVER w AS k, count(*) OVER (PARTITION BY p_brand) AS n FROM c WINDOW w AS (PARTITION BY p_brand ORDER BY cx))"
 
 
-@query("curve_interpolation", f"{CURVE} SELECT p_partkey, round(y0 + (p_size - x0) * (y1 - y0) / (x1 - x0), 6) AS value FROM part p JOIN s ON p.p_brand = s.p_brand AND k < n AND (p_size >= x0 OR k = 1) AND (p_size < x1 OR k = n - 1)")
+@query("curve_interpolation", f"{CURVE} SELECT p_partkey, round(y0 + (p_size - x0) * (y1 - y0) / (x1 - x0), 6) AS value FROM part p LEFT JOIN s ON p.p_brand = s.p_brand AND k < n AND (p_size >= x0 OR k = 1) AND (p_size < x1 OR k = n - 1)")
 def curve_interpolation(spark, d):
     p = load(spark, d, "part")
     curve = p.filter("p_size % 10 = 5").groupBy("p_brand", F.col("p_size").cast("double").alias("cx")).agg(F.avg("p_retailprice").alias("cy"))
