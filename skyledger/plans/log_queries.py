@@ -51,14 +51,14 @@ def unseen_rows(spark, d):
 @query(
     "exposure_times",
     """WITH p AS (SELECT o_orderkey, o_orderdate + to_seconds(CAST(o_orderkey % 86400 AS BIGINT)) AS s, o_orderdate + to_seconds(CAST((o_orderkey % 86400 + 7200) % 86400 AS BIGINT)) AS e0 FROM orders), q AS (SELECT o_orderkey, s, CASE WHEN e0 < s THEN e0 + INTERVAL 1 DAY ELSE e0 END AS e FROM p)
-    SELECT o_orderkey AS plate_id, epoch_us(s) AS ut_start, epoch_us(e) AS ut_end, round(round(((epoch_us(s) + epoch_us(e)) / 2 / 86400e6 + 2440587.5) * 7200 / 7200, 5), 4) AS jd_avg FROM q""",
+    SELECT o_orderkey AS plate_id, epoch_us(s) AS ut_start, epoch_us(e) AS ut_end, CAST((epoch_us(e) - epoch_us(s)) / 1e6 AS DOUBLE) AS exptime FROM q""",
 )
 def exposure_times(spark, d):
     clock = lambda s: F.concat(F.lit("UT "), F.concat_ws(":", *(F.lpad(v.cast("string"), 2, "0") for v in (F.floor(s / 3600), F.floor(s / 60) % 60, s % 60))))
     at = F.col("o_orderkey") % 86400
     rows = load(spark, d, "orders").select(F.col("o_orderkey").alias("plate_id"), F.array(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("date_orig"), F.array(clock(at)).alias("tms_orig"), F.array(clock((at + 7200) % 86400)).alias("tme_orig"), F.array().cast("array<double>").alias("exptime"), F.lit(1).alias("numexp"), F.lit("").alias("tz_orig"), F.lit(13.06417).alias("site_longitude"))
     out = plates.exposures_of(plates.exposure_parts(rows))
-    return out.select("plate_id", F.unix_micros("ut_start").alias("ut_start"), F.unix_micros("ut_end").alias("ut_end"), F.round("jd_avg", 4).alias("jd_avg"))
+    return out.select("plate_id", F.unix_micros("ut_start").alias("ut_start"), F.unix_micros("ut_end").alias("ut_end"), "exptime")
 
 
 @query("header_cards", "SELECT c_custkey, 'TELESCOP=' || c_mktsegment || ',OBSERVER=' || c_name || ',EXPTIME1=' || (c_nationkey * 10) || ',EXPTIME2=' || (c_nationkey * 20) || ',SITE=Potsdam' AS cards FROM customer")
