@@ -222,9 +222,14 @@ def fit_weights(pages: list[str]) -> dict[str, float]:
 
 
 def learned_weights(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> dict[str, float]:
-    """Weights from the LABELLED_PAGES marked pages whose ids have the smallest digests."""
-    marked = pages.filter(F.lower(F.col(html_col)).rlike("<(article|main)[ >]")).select(F.col(html_col).alias("html"), F.xxhash64(F.col(id_col).cast("string")).alias("digest"))
-    return fit_weights([row["html"] for row in marked.orderBy("digest", "html").limit(LABELLED_PAGES).collect()])
+    """Weights from the LABELLED_PAGES marked pages whose ids have the smallest digests.
+
+    Digests are spread evenly, so a bound on them gives about as many pages (all of them if they are few); only those are gathered."""
+    digest = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).bitwiseAND(F.lit(2**63 - 1))
+    marked = pages.filter(F.lower(F.col(html_col)).rlike("<(article|main)[ >]")).select(F.col(html_col).alias("html"), digest.alias("digest"))
+    bound = int(2**63 * min(1.0, 1.5 * LABELLED_PAGES / max(1, marked.count()))) - 1
+    few = marked.filter(F.col("digest") <= bound).limit(2 * LABELLED_PAGES).collect()
+    return fit_weights([row["html"] for row in sorted(few, key=lambda row: (row["digest"], row["html"]))[:LABELLED_PAGES]])
 
 
 def _texts(weights: dict[str, float]):
