@@ -9,13 +9,18 @@ indexed under a hash of its part (subset) in every segment.
 Allocation by cost: a sketch of document frequencies over all documents estimates the list a subset would meet (the
 least frequency of its elements). Empty subsets and those of frequent elements are skipped; for each skipped
 segment another one allows a difference of one element, by indexing the subset's one-deletion neighbourhood too.
-The segments that allow it are the first ones by number, so of two sets the one with more of them covers the
-other, and no link is lost. Where too few can make up for the skipped ones, the cheapest skipped ones are used.
+That is for subsets of two rare elements or more, so that each neighbour keeps a rare one; of these the first by
+number serve (the set's reach). Where too few can make up for the skipped ones, the cheapest skipped ones are
+used, empty subsets last; but a set of many rare elements, more than a similar set may lack, uses those elements
+as subsets of their own instead (sets with a fair share of frequent elements index them). Skipped entries are indexed too, but as such: of two similar
+sets the one of shorter reach is sure to meet the other by an entry that it uses itself, as the other one's reach
+covers its own. So only such meetings count, which spares pairs of a set of rare elements with one of frequent ones.
 
 Buckets of the index never give all their pairs. First every member is verified against one pivot of its bucket;
 members then in one component need no further comparison, and a pair (x, y) is ruled out by the triangle inequality
-of Jaccard distance, |d(pivot, x) - d(pivot, y)| > 0.25. What is left is verified pair by pair, exactly, on
-whole sets. Documents of equal sets are one node from the start.
+of Jaccard distance, |d(pivot, x) - d(pivot, y)| > 0.25. What is left is compared pair by pair: first by bitmaps of
+half a byte an element, which bound the intersection from above and rule out nearly all unlike pairs, then exactly,
+on the whole sets of the few documents that remain. Documents of equal sets are one node from the start.
 
 Results for special input: a null text, or one without words, has an empty set and is linked with nothing (its
 component is its own id); fewer than five words make one shingle; repeated rows each give a row; a null id counts
@@ -30,7 +35,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm._common import BROADCAST_ROWS, partitions, pow2_at_least, table, text_of, written
@@ -43,13 +48,17 @@ WORDS = 5
 PERCENT = 75
 #: Counters of the sketch of document frequencies, and the estimated frequency from which an element is frequent.
 COUNTERS, FREQUENT = 1 << 20, 256
-#: Levels of so many segments at most also index empty subsets: only there may a set lack segments to make up with.
-EMPTY_UP_TO = 40
+#: Buckets of more members form pairs by shared elements outside their pivot.
+SMALL = 32
 #: Entries that a task gathers before it sends them on.
-FLUSH = 3_000_000
+FLUSH = 500_000
 RANGES = 16
+#: Parts of the index for each shuffle partition: a part is sorted in a task's memory.
+PARTS = 4
 NO_ID = (1 << 63) - 1
 EXACT_SKIPPED, EXACT, DELETION = 0, 1, 2
+#: The reach of an entry's set is stored doubled, plus this if the set is of the level's upper band.
+UPPER = 1
 
 
 @cache
@@ -83,14 +92,36 @@ def _counter_of(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - (COUNTERS.bit_length() - 1))).astype(np.int64)
 
 
+def bitmap_of(tokens: np.ndarray) -> bytes:
+    """Four to eight bits for each element, a power of two in all; a longer bitmap folds onto a shorter one."""
+    bits = np.zeros(max(64, 1 << (4 * max(1, len(tokens)) - 1).bit_length()), bool)
+    bits[(tokens & np.uint64(len(bits) - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def _folded(bits: np.ndarray, n: int) -> np.ndarray:
+    return np.bitwise_or.reduce(bits.reshape(-1, n), axis=0)
+
+
+def shared_at_most(a: bytes, b: bytes, a_size: int, b_size: int) -> int:
+    """An upper bound of the size of the intersection of two sets: a bit that only one of them has stands for an
+    element that the other lacks."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    n = min(len(x), len(y))
+    own, other = (_folded(x, n) if len(x) > n else x), (_folded(y, n) if len(y) > n else y)
+    lacking = int(np.bitwise_count(own & ~other).sum()), int(np.bitwise_count(other & ~own).sum())
+    return min(a_size - lacking[0], b_size - lacking[1])
+
+
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sizes, nodes = [], []
+        sizes, nodes, maps = [], [], []
         for _, texts in chunks(batch.column(1).to_pylist()):
             for tokens in sets_of(texts):
                 sizes.append(len(tokens))
                 nodes.append(node_of(tokens))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())], names=["doc_id", "n_shingles", "node"])
+                maps.append(bitmap_of(tokens))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(maps, pa.binary())], names=["doc_id", "n_shingles", "node", "bits"])
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,8 +142,9 @@ def _add_up(keys, group):
     return pa.table({"part": pa.array([keys[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
 
 
-def frequency_costs(texts: DataFrame) -> np.ndarray:
-    """For each counter 0 if its elements are rare, else a logarithmic estimate of their document frequency.
+def frequency_costs(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """For each counter 0 if its elements are rare, else a logarithmic estimate of their document frequency; and the same
+    scale without a threshold, to order elements by.
 
     A counter holds many elements; what it has above the mean and eight deviations counts as one element's."""
     counts = np.zeros((RANGES, COUNTERS // RANGES), np.int64)
@@ -121,37 +153,34 @@ def frequency_costs(texts: DataFrame) -> np.ndarray:
     flat = counts.reshape(-1)
     middle = float(np.median(flat))
     above = flat - middle - 8 * np.sqrt(middle)
-    return np.where(above >= FREQUENT, np.clip(8 * np.log2(np.maximum(above, 1)), 1, 255), 0).astype(np.uint8)
+    scale = lambda v: np.clip(8 * np.log2(np.maximum(v, 1)), 0, 255)
+    return np.where(above >= FREQUENT, np.maximum(scale(above), 1), 0).astype(np.uint8), scale(flat - middle).astype(np.uint8)
 
 
-def _allocate(owner: np.ndarray, base: np.ndarray, m: np.ndarray, size: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per segment: whether it is used exactly, and whether it is in the set's prefix that allows one difference."""
-    used = (size > 0) & (cost == 0)
-    able = used & (size > 1)
+def _allocate(owner: np.ndarray, base: np.ndarray, m: np.ndarray, size: np.ndarray, rare: np.ndarray, cost: np.ndarray, rich: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per segment: whether it is used exactly, and whether it is in the set's reach that allows one difference; each
+    set's reach; and which of the `rich` sets use their rare elements instead, as too few segments can make up."""
+    used = rare > 0
+    able = rare > 1
     before = np.concatenate(([0], np.cumsum(able)))
     have = before[base + m] - before[base]
     lack = m - np.add.reduceat(used.astype(np.int64), base)
-    for d in np.flatnonzero(have < lack).tolist():
+    short = have < lack
+    instead = short & rich
+    used &= ~instead[owner]
+    for d in np.flatnonzero(short & ~rich).tolist():
         own = slice(base[d], base[d] + m[d])
-        mine_used, mine_able, mine_size = used[own], able[own], size[own]
-        need, got = int(lack[d]), int(have[d])
-        order = np.lexsort((cost[own], mine_size == 0))  # cheapest first, empty subsets last
-        for k in order[~mine_used[order]].tolist():
-            if got >= need:
-                break
-            mine_used[k] = True
-            need -= 1
-            if mine_size[k] > 1:
-                mine_able[k] = True
-                got += 1
-        lack[d] = need
-    before = np.concatenate(([0], np.cumsum(able)))
-    prefix = before[:-1] - before[base][owner] < lack[owner]
-    return used, prefix
+        skipped = np.flatnonzero(~used[own])
+        more = int(lack[d] - have[d])
+        order = np.lexsort((cost[own][skipped], size[own][skipped] == 0))  # cheapest first, empty subsets last
+        used[base[d] + skipped[order[:more]]] = True
+    # Sets that use costly subsets reach farthest, then those that use their elements: the other set of a pair must meet them.
+    within = (before[:-1] - before[base][owner] < lack[owner]) | short[owner]
+    return used, within, np.add.reduceat(within.astype(np.int64), base) + (short & ~rich), instead
 
 
-def index_entries(sets: list[np.ndarray], costs: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(signatures, numbers of the sets, kinds) of non-empty sets at their two levels."""
+def index_entries(sets: list[np.ndarray], costs: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(signatures, numbers of the sets, kinds, reaches) of non-empty sets at their two levels."""
     first, segments = levels()
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
     tokens = np.concatenate(sets)
@@ -179,13 +208,22 @@ def index_entries(sets: list[np.ndarray], costs: np.ndarray) -> Iterator[tuple[n
         subset, size, cost = np.zeros(total, np.uint64), np.bincount(at, minlength=total), np.full(total, 255, np.uint8)
         np.add.at(subset, at, w)
         np.minimum.at(cost, at, price[of])
-        used, prefix = _allocate(owners, base, m, size, cost)
+        cheap = price[of] == 0
+        rare = np.bincount(at[cheap], minlength=total)
+        elements = sizes[number]
+        common = np.bincount(who[~cheap], minlength=len(number))
+        rich = (elements - common > elements // 4) & (2 * common >= elements)
+        used, within, reach, instead = _allocate(owners, base, m, size, rare, cost, rich)
+        reach = (reach * 2 + (UPPER if step else 0)).astype(np.int32)
         name = mixed(salt[owners] + (np.arange(total) - base[owners]).astype(np.uint64))
-        shown = (size > 0) | (m[owners] <= EMPTY_UP_TO)
-        yield mixed(subset[shown] + name[shown]), number[owners[shown]], np.where(used[shown], EXACT, EXACT_SKIPPED).astype(np.uint8)
-        out = prefix[at] & (size[at] > 1)
+        yield mixed(subset + name), number[owners], np.where(used, EXACT, EXACT_SKIPPED).astype(np.uint8), reach[owners]
+        # A set similar to one that uses its elements has at least 3/16 frequent ones.
+        shown = cheap & (16 * common >= 3 * elements)[who]
+        if shown.any():
+            yield mixed(tok[shown] + name[base][who[shown]]), number[who[shown]], np.where(instead[who[shown]], EXACT, EXACT_SKIPPED).astype(np.uint8), reach[who[shown]]
+        out = within[at] & (rare[at] - cheap > 0) & (size[at] > 1)
         if out.any():
-            yield mixed(subset[at[out]] - w[out] + name[at[out]]), number[who[out]], np.full(int(out.sum()), DELETION, np.uint8)
+            yield mixed(subset[at[out]] - w[out] + name[at[out]]), number[who[out]], np.full(int(out.sum()), DELETION, np.uint8), reach[who[out]]
 
 
 def _indexer(costs: np.ndarray, parts: int):
@@ -198,20 +236,20 @@ def _indexer(costs: np.ndarray, parts: int):
 
         def flush() -> pa.RecordBatch:
             nonlocal waiting, gathered
-            signature, node, size, kind = (np.concatenate(x) for x in zip(*waiting, strict=True))
+            signature, node, size, kind, reach = (np.concatenate(x) for x in zip(*waiting, strict=True))
             waiting, gathered = [], 0
             part = (signature >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(signature), np.int64)
-            order = np.lexsort((node, part))
-            signature, node, size, kind, part = (x[order] for x in (signature, node, size, kind, part))
+            order = np.lexsort((reach, node, part))
+            signature, node, size, kind, reach, part = (x[order] for x in (signature, node, size, kind, reach, part))
             edges = np.searchsorted(part, np.arange(parts + 1))
             names, blobs = [], []
             for k in np.flatnonzero(np.diff(edges)).tolist():
                 own = slice(edges[k], edges[k + 1])
-                starts = np.flatnonzero(np.concatenate(([True], node[own][1:] != node[own][:-1])))
+                starts = np.flatnonzero(np.concatenate(([True], (node[own][1:] != node[own][:-1]) | (reach[own][1:] != reach[own][:-1]))))
                 # 46 bits below those of the part, and two for the kind: chance meetings are settled by verification.
                 short = ((signature[own] << np.uint64(bits)) >> np.uint64(18) << np.uint64(2)) | kind[own]
                 blobs.append(
-                    np.array([len(starts), len(short)], "<i8").tobytes() + node[own][starts].astype("<i8").tobytes() + size[own][starts].astype("<i4").tobytes()
+                    np.array([len(starts), len(short)], "<i8").tobytes() + node[own][starts].astype("<i8").tobytes() + size[own][starts].astype("<i4").tobytes() + reach[own][starts].astype("<i4").tobytes()
                     + np.diff(np.append(starts, len(short))).astype("<i4").tobytes() + (short >> np.uint64(16)).astype("<u4").tobytes() + short.astype("<u2").tobytes()
                 )
                 names.append(k)
@@ -223,35 +261,36 @@ def _indexer(costs: np.ndarray, parts: int):
                 if not known:
                     continue
                 nodes = np.fromiter(known, np.int64, len(known))
-                sizes = np.fromiter(map(len, known.values()), np.int64, len(known))
-                for signature, number, kind in index_entries(list(known.values()), costs):
-                    waiting.append((signature, nodes[number], sizes[number], kind))
+                sizes = np.fromiter(map(len, known.values()), np.int32, len(known))
+                for signature, number, kind, reach in index_entries(list(known.values()), costs):
+                    waiting.append((signature, nodes[number], sizes[number], kind, reach))
                     gathered += len(signature)
-            if gathered >= FLUSH:
-                yield flush()
+                if gathered >= FLUSH:
+                    yield flush()
         if gathered:
             yield flush()
 
     return run
 
 
-BUCKETS = "bucket long, node long, size long, kind byte, pivot long"
+BUCKETS = "bucket long, node long, size long, kind byte, reach int"
+COUNTED = "a long, b long, common long, sizes long"
 
 
 def _buckets(keys, group):
-    """Buckets of one part in which some pair must be compared, equal ones once, with their pivots."""
-    signatures, nodes, sizes = [], [], []
+    """Buckets of one part in which some pair must be compared, equal ones once."""
+    signatures, nodes, sizes, reaches = [], [], [], []
     for blob in group.column("entries"):
         data = blob.as_buffer()
         docs, n = (int(x) for x in np.frombuffer(data, "<i8", 2))
-        at = 16
-        own, size, each = np.frombuffer(data, "<i8", docs, at), np.frombuffer(data, "<i4", docs, at + 8 * docs), np.frombuffer(data, "<i4", docs, at + 12 * docs)
-        at += 16 * docs
+        own, at = np.frombuffer(data, "<i8", docs, 16), 16 + 8 * docs
+        size, reach, each = (np.frombuffer(data, "<i4", docs, at + 4 * k * docs) for k in range(3))
+        at += 12 * docs
         signatures.append(np.frombuffer(data, "<u4", n, at).astype(np.uint64) << np.uint64(16) | np.frombuffer(data, "<u2", n, at + 4 * n))
-        nodes.append(np.repeat(own, each))
-        sizes.append(np.repeat(size, each))
-    packed, node, size = np.concatenate(signatures), np.concatenate(nodes), np.concatenate(sizes)
-    del signatures, nodes, sizes
+        for out, values in ((nodes, own), (sizes, size), (reaches, reach)):
+            out.append(np.repeat(values, each))
+    packed, node, size, reach = (np.concatenate(x) for x in (signatures, nodes, sizes, reaches))
+    del signatures, nodes, sizes, reaches
     order = np.argsort(packed >> np.uint64(2))
     signature = packed[order] >> np.uint64(2)
     same = signature[1:] == signature[:-1]
@@ -259,32 +298,45 @@ def _buckets(keys, group):
     shared[1:] |= same
     shared[:-1] |= same
     order = order[shared]
-    packed, node, size = packed[order], node[order], size[order]
+    packed, node, size, reach = packed[order], node[order], size[order], reach[order]
     signature, kind = packed >> np.uint64(2), (packed & np.uint64(3)).astype(np.int8)
-    empty = pa.table({n: pa.array([], t) for n, t in (("bucket", pa.int64()), ("node", pa.int64()), ("size", pa.int64()), ("kind", pa.int8()), ("pivot", pa.int64()))})
-    if not len(order):
-        return empty
     order = np.lexsort((kind, node, signature))
-    signature, node, size, kind = (x[order] for x in (signature, node, size, kind))
-    once = np.ones(len(order), bool)
-    once[1:] = (signature[1:] != signature[:-1]) | (node[1:] != node[:-1]) | (kind[1:] != kind[:-1])
-    signature, node, size, kind = (x[once] for x in (signature, node, size, kind))
-    start = np.flatnonzero(np.concatenate(([True], signature[1:] != signature[:-1])))
-    several = np.minimum.reduceat(node, start) != np.maximum.reduceat(node, start)
-    count = lambda k: np.add.reduceat((kind == k).astype(np.int64), start)
-    wanted = several & ((count(EXACT) > 0) | (count(DELETION) > 0) & (count(EXACT_SKIPPED) > 0))
-    # The pivot is a member that uses its entry, if there is one: of those the node of least value.
-    used = np.minimum.reduceat(np.where(kind == EXACT_SKIPPED, np.iinfo(np.int64).max, node), start)
-    content = np.add.reduceat(mixed((node.astype(np.uint64) << np.uint64(2)) + kind.astype(np.uint64)), start)
-    _, first = np.unique(np.where(wanted, content, np.uint64(0)), return_index=True)
-    keep = np.zeros(len(start), bool)
-    keep[first] = True
-    keep &= wanted
-    each = np.diff(np.append(start, len(node)))
-    rows = np.repeat(keep, each)
-    if not rows.any():
-        return empty
-    return pa.table({"bucket": np.repeat(content.view(np.int64), each)[rows], "node": node[rows], "size": size[rows].astype(np.int64), "kind": kind[rows], "pivot": np.repeat(used, each)[rows]})
+    columns = [x[order] for x in (signature, node, size, kind, reach)]
+
+    def distinct() -> np.ndarray:
+        signature, node, _, kind, _ = columns
+        once = np.ones(len(node), bool)
+        once[1:] = (signature[1:] != signature[:-1]) | (node[1:] != node[:-1]) | (kind[1:] != kind[:-1])
+        return once
+
+    def starts() -> np.ndarray:
+        return np.flatnonzero(np.concatenate(([True], columns[0][1:] != columns[0][:-1])))
+
+    columns = [x[distinct()] for x in columns]
+    if len(columns[0]):
+        # A skipped entry counts only if some entry in use has no longer reach.
+        signature, node, size, kind, reach = columns
+        start = starts()
+        least = np.minimum.reduceat(np.where(kind == EXACT_SKIPPED, np.iinfo(np.int32).max, reach >> 1), start)
+        wanted = (kind != EXACT_SKIPPED) | (reach >> 1 >= np.repeat(least, np.diff(np.append(start, len(node)))))
+        columns = [x[wanted] for x in columns]
+    if len(columns[0]):
+        signature, node, size, kind, reach = columns
+        start = starts()
+        some = lambda v: np.bitwise_or.reduceat(v.astype(np.int8), start) > 0
+        wanted = (np.minimum.reduceat(node, start) != np.maximum.reduceat(node, start)) & some(reach & 1 != UPPER) & (some(kind == EXACT) | some(kind == DELETION) & some(kind == EXACT_SKIPPED))
+        content = np.add.reduceat(mixed((node.astype(np.uint64) << np.uint64(2)) + kind.astype(np.uint64)) ^ mixed(reach.astype(np.uint64)), start)
+        _, first = np.unique(np.where(wanted, content, np.uint64(0)), return_index=True)
+        keep = np.zeros(len(start), bool)
+        keep[first] = True
+        keep &= wanted
+        each = np.diff(np.append(start, len(node)))
+        rows = np.repeat(keep, each)
+        columns = [np.repeat(content.view(np.int64), each)[rows], node[rows], size[rows], kind[rows], reach[rows]]
+    else:
+        columns = [columns[0].view(np.int64), *columns[1:]]
+    kinds = (("bucket", pa.int64()), ("node", pa.int64()), ("size", pa.int64()), ("kind", pa.int8()), ("reach", pa.int32()))
+    return pa.table({n: pa.array(v.astype(t.to_pandas_dtype()), t) for (n, t), v in zip(kinds, columns, strict=True)})
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,35 +358,72 @@ def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([columns["a"], columns["b"], pa.array(common, pa.int64()), pa.array(sizes, pa.int64())], names=["a", "b", "common", "sizes"])
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, linked, distance for distinct pairs (a, b) of nodes, from their whole sets."""
-    left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("a_tokens"))
-    right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("b_tokens"))
-    counted = pairs.join(left, "a").join(right, "b").select("a", "b", "a_tokens", "b_tokens").mapInArrow(_common, "a long, b long, common long, sizes long")
-    union = F.col("sizes") - F.col("common")
-    return counted.select("a", "b", (F.col("common") * 100 >= union * PERCENT).alias("linked"), (F.lit(1.0) - F.col("common") / union).alias("distance"))
+def _bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        a_size, b_size = batch.column("a_size").to_pylist(), batch.column("b_size").to_pylist()
+        most = [shared_at_most(x.as_buffer(), y.as_buffer(), n, m) for x, y, n, m in zip(batch.column("a_bits"), batch.column("b_bits"), a_size, b_size, strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(most, pa.int64()), pa.array([n + m for n, m in zip(a_size, b_size, strict=True)], pa.int64())], names=["a", "b", "common", "sizes"])
+
+
+def _both(pairs: DataFrame, nodes: DataFrame, *columns: str) -> DataFrame:
+    """Pairs (a, b) with columns of both nodes as a_<column> and b_<column>."""
+    for side in ("a", "b"):
+        pairs = pairs.join(nodes.select(F.col("node").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in columns)), side)
+    return pairs
+
+
+def _linked() -> Column:
+    return F.col("common") * 100 >= (F.col("sizes") - F.col("common")) * PERCENT
+
+
+def _distance() -> Column:
+    return F.lit(1.0) - F.col("common") / (F.col("sizes") - F.col("common"))
+
+
+def whole_sets(nodes: DataFrame, held: DataFrame, rows: DataFrame) -> DataFrame:
+    """node, tokens of some nodes, from their documents' texts."""
+    needed = written(held.join(nodes.distinct(), "node").select("held_id").distinct(), "needed")
+    # Ids only; beyond the bound both sides are shuffled instead.
+    few = F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed
+    return written(rows.join(few, "held_id", "left_semi").select("text").mapInArrow(_sets, "node long, tokens binary").dropDuplicates(["node"]), "sets")
+
+
+def compared(pairs: DataFrame, held: DataFrame, rows: DataFrame) -> DataFrame:
+    """a, b, linked, low, high, common for distinct pairs of nodes: bounds of their distance, equal where the whole sets were
+    compared, and an upper bound of their common elements.
+
+    held: node, held_id, size, bits; rows: held_id, text.
+    """
+    bounded = written(_both(pairs, held, "size", "bits").mapInArrow(_bounds, COUNTED), "bounds")
+    likely = bounded.filter(_linked()).select("a", "b")
+    sets = whole_sets(likely.select(F.col("a").alias("node")).union(likely.select("b")), held, rows)
+    exact = _both(likely, sets, "tokens").select("a", "b", "a_tokens", "b_tokens").mapInArrow(_common, COUNTED)
+    unlike = bounded.filter(~_linked()).select("a", "b", F.lit(False).alias("linked"), _distance().alias("low"), F.lit(1.0).alias("high"), "common")
+    return written(exact.select("a", "b", _linked().alias("linked"), _distance().alias("low"), _distance().alias("high"), "common").unionByName(unlike), "compared")
+
+
+
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id. `docs` is read four times."""
-    spark = docs.sparkSession
+    """One row per input row: doc_id, n_shingles, component_id. `docs` is read five times."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    members = written(rows.mapInArrow(_members, "doc_id long, n_shingles long, node long"), "members")
+    members = written(rows.mapInArrow(_members, "doc_id long, n_shingles long, node long, bits binary"), "members")
     texts = rows.select("text")
-    index = texts.mapInArrow(_indexer(frequency_costs(texts), pow2_at_least(partitions(spark))), "part int, entries binary")
-    buckets = written(index.groupBy("part").applyInArrow(_buckets, BUCKETS).distinct(), "buckets")
-    nodes = buckets.select("node").distinct()
-    held = members.groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("held_id"))
-    needed = written(held.join(nodes, "node").select("held_id").distinct(), "needed")
-    # Ids only; beyond the bound both sides are shuffled instead.
-    few = F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed
-    chosen = rows.withColumn("held_id", F.coalesce("doc_id", F.lit(NO_ID))).join(few, "held_id", "left_semi").select("text")
-    sets = written(chosen.mapInArrow(_sets, "node long, tokens binary").dropDuplicates(["node"]), "sets")
+    costs, order = frequency_costs(texts)
+    index = texts.mapInArrow(_indexer(costs, pow2_at_least(PARTS * partitions(docs.sparkSession))), "part int, entries binary")
+    buckets = written(with_pivots(written(index.groupBy("part").applyInArrow(_buckets, BUCKETS).distinct(), "buckets")), "pivots")
+
+    # Of each node in a bucket one document, for its bitmap and, if need be, its text.
+    held_id = F.coalesce("doc_id", F.lit(NO_ID))
+    first_of = members.groupBy("node").agg(F.min(held_id).alias("held_id")).join(buckets.select("node").distinct(), "node")
+    held = written(members.withColumn("held_id", held_id).join(first_of, ["node", "held_id"]).select("node", "held_id", F.col("n_shingles").alias("size"), "bits").dropDuplicates(["node"]), "held")
+    named_rows = rows.select(held_id.alias("held_id"), "text")
 
     stars = buckets.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    first = written(verified(stars, sets), "stars")
+    first = compared(stars, held, named_rows)
     known = components(first.filter("linked"))
-    rest = verified(remaining_pairs(buckets, first, known), sets)
+    rest = compared(remaining_pairs(buckets, first, known, held, named_rows, order), held, named_rows)
     found = components(rest.filter("linked"), known)
 
     named = members.join(found, "node", "left").select("doc_id", "n_shingles", F.coalesce("comp", "node").alias("comp"))
@@ -343,24 +432,123 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return joined.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def remaining_pairs(buckets: DataFrame, stars: DataFrame, known: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of a bucket that neither a component nor the distances to the pivot settle."""
-    near = stars.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "distance")
-    placed = buckets.join(near, ["pivot", "node"], "left").join(known, "node", "left").select("bucket", "node", "size", "kind", "pivot", F.coalesce("distance", F.lit(0.0)).alias("distance"), F.coalesce("comp", "node").alias("comp"))
-    open_ = placed.groupBy(F.col("bucket").alias("open_bucket")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.countDistinct("node").alias("nodes")).filter("lo < hi AND nodes > 2").select("open_bucket")
-    inside = written(placed.filter("node <> pivot").join(open_, placed["bucket"] == open_["open_bucket"], "left_semi"), "open")
-    x = inside.select("bucket", *(F.col(c).alias(f"x_{c}") for c in ("node", "size", "kind", "distance", "comp")))
-    y = inside.select("bucket", *(F.col(c).alias(f"y_{c}") for c in ("node", "size", "kind", "distance", "comp")))
+def with_pivots(buckets: DataFrame) -> DataFrame:
+    """`buckets` with a pivot: of a bucket's members the one that meets most others in all buckets, so that a text from
+    which a group of copies was made is compared with all of them first."""
+    sizes = buckets.groupBy(F.col("bucket").alias("s_bucket")).agg(F.count(F.lit(1)).alias("met"))
+    scores = buckets.join(sizes, buckets["bucket"] == sizes["s_bucket"]).groupBy(F.col("node").alias("s_node")).agg(F.sum("met").alias("score"))
+    best = buckets.join(scores, buckets["node"] == scores["s_node"]).groupBy(F.col("bucket").alias("p_bucket")).agg(F.max(F.struct("score", "node"))["node"].alias("pivot"))
+    return buckets.join(best, buckets["bucket"] == best["p_bucket"]).select("bucket", "node", "size", "kind", "reach", "pivot")
+
+
+RESIDUE = np.dtype([("key", "<u8"), ("node", "<i8"), ("comp", "<i8"), ("size", "<i4"), ("outer", "u1")])
+
+
+def _residues(parts: int, scale: np.ndarray):
+    """The first size / 4 + 1 elements, rare ones first, that a member has outside its pivot; in one row for each part and flush.
+
+    Similar x and y with a = 3 (|x| + |y|) / 7 have at least t = a - min(|x & p|, |y & p|) common elements outside a pivot p. If
+    t > 0, the first |x - p| - t + 1 <= |x| - a + 1 elements outside p by any order, and those of y, have one in common."""
+    bits = parts.bit_length() - 1
+
+    def packed(found: list[np.ndarray]) -> pa.RecordBatch:
+        rows = np.concatenate(found)
+        part = (rows["key"] >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(rows), np.int64)
+        order = np.argsort(part, kind="stable")
+        edges = np.searchsorted(part[order], np.arange(parts + 1))
+        used = np.flatnonzero(np.diff(edges)).tolist()
+        return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([rows[order[edges[k] : edges[k + 1]]].tobytes() for k in used], pa.binary())], names=["part", "entries"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, gathered = [], 0
+        for batch in batches:
+            for x, y, pivot, node, size, comp, p_comp in zip(batch.column("pivot_tokens"), batch.column("tokens"), *(batch.column(c).to_pylist() for c in ("pivot", "node", "size", "comp", "p_comp")), strict=True):
+                own = np.setdiff1d(np.frombuffer(y.as_buffer(), np.uint64), np.frombuffer(x.as_buffer(), np.uint64), assume_unique=True)
+                own = own[np.lexsort((own, scale[_counter_of(own)]))[: size // 4 + 1]]
+                rows = np.empty(len(own), RESIDUE)
+                rows["key"] = mixed(own ^ mixed(np.array([pivot], np.int64).view(np.uint64)))
+                rows["node"], rows["comp"], rows["size"], rows["outer"] = node, comp, size, comp != p_comp
+                found.append(rows)
+                gathered += len(rows)
+                if gathered >= FLUSH:
+                    yield packed(found)
+                    found, gathered = [], 0
+        if found:
+            yield packed(found)
+
+    return run
+
+
+def _sharing(keys, group):
+    """Pairs of a part that share an element outside their pivot, one of them outside the pivot's component."""
+    rows = np.concatenate([np.frombuffer(x.as_buffer(), RESIDUE) for x in group.column("entries")])
+    rows = rows[np.argsort(rows["key"], kind="stable")]
+    start = np.flatnonzero(np.concatenate(([True], rows["key"][1:] != rows["key"][:-1]))) if len(rows) else np.zeros(0, np.int64)
+    each = np.diff(np.append(start, len(rows)))
+    live = (each > 1) & (np.maximum.reduceat(rows["outer"], start) > 0) & (np.minimum.reduceat(rows["comp"], start) != np.maximum.reduceat(rows["comp"], start)) if len(start) else each > 1
+    found: list[np.ndarray] = []
+    for a, n in zip(start[live].tolist(), each[live].tolist(), strict=True):
+        own = rows[a : a + n]
+        for x in own[own["outer"] > 0]:
+            y = own[own["comp"] != x["comp"]]
+            y = y[np.minimum(y["size"], x["size"]) * 100 >= np.maximum(y["size"], x["size"]) * PERCENT]["node"]
+            found.append(np.stack((np.minimum(y, x["node"]), np.maximum(y, x["node"]))))
+        if len(found) > 10_000:
+            found = [np.unique(np.concatenate(found, axis=1), axis=1)]
+    both = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
+    return pa.table({"a": pa.array(both[0], pa.int64()), "b": pa.array(both[1], pa.int64())})
+
+
+def remaining_pairs(buckets: DataFrame, stars: DataFrame, known: DataFrame, held: DataFrame, rows: DataFrame, order: np.ndarray) -> DataFrame:
+    """Distinct pairs (a, b) of a bucket that neither a component nor the distances to the pivot settle.
+
+    In a bucket of more than SMALL members pairs are not simply formed. If x has more elements outside the pivot than it
+    may have outside a similar y, then y has one of these: such pairs are found by an equality join on elements
+    outside the pivot, of which only the first few, rare ones first, need be looked at. Only pairs of which neither set
+    has so many are formed.
+    """
     c = F.col
-    # Equal kinds other than EXACT share no used entry. Sizes and distances are bounds on the similarity.
+    near = stars.select(c("a").alias("one"), c("b").alias("other"), "low", "high", "common")
+    near = near.unionByName(near.select(c("other").alias("one"), c("one").alias("other"), "low", "high", "common")).withColumnsRenamed({"one": "pivot", "other": "node"})
+    pivots = known.select(c("node").alias("pivot"), c("comp").alias("p_comp"))
+    own = ("node", "size", "kind", "reach")
+    placed = buckets.filter("node <> pivot").join(near, ["pivot", "node"]).join(known, "node", "left").join(pivots, "pivot", "left")
+    placed = placed.select("bucket", "pivot", *own, "low", "high", (c("size") - c("common")).alias("lacks"), F.coalesce("comp", "node").alias("comp"), F.coalesce("p_comp", "pivot").alias("p_comp"))
+    open_ = placed.groupBy(c("bucket").alias("open_bucket")).agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count(F.lit(1)).alias("met")).filter("least < most").select("open_bucket", "met")
+    inside = written(placed.join(open_, placed["bucket"] == open_["open_bucket"]).drop("open_bucket"), "open")
+    fields = (*own, "low", "high", "lacks", "comp")
+    side = lambda df, t: df.select("bucket", *(c(f).alias(f"{t}_{f}") for f in fields))
+    slack = (100 - PERCENT) / 100 + 1e-9
+    half = lambda t: F.shiftright(c(f"{t}_reach"), 1)
+    uses = lambda t, u: (F.struct(half(t), f"{t}_node") < F.struct(half(u), f"{u}_node")) & ((c(f"{t}_kind") == EXACT) | (c(f"{t}_kind") == DELETION) & (c(f"{u}_kind") != DELETION))
+    unlike = (c("x_comp") != c("y_comp")) & (F.least("x_size", "y_size") * 100 >= F.greatest("x_size", "y_size") * PERCENT)
+    # The set of shorter reach must use the entry by which the two meet; two of the upper band meet at their own level.
     meet = (
-        (c("x_node") < c("y_node"))
-        & (c("x_comp") != c("y_comp"))
-        & ((c("x_kind") != c("y_kind")) | (c("x_kind") == EXACT))
-        & (F.least("x_size", "y_size") * 100 >= F.greatest("x_size", "y_size") * PERCENT)
-        & (F.abs(c("x_distance") - c("y_distance")) <= (100 - PERCENT) / 100 + 1e-9)
+        (uses("x", "y") | uses("y", "x"))
+        & unlike
+        & ((c("x_reach").bitwiseAND(1) != UPPER) | (c("y_reach").bitwiseAND(1) != UPPER))
+        & (c("x_low") - c("y_high") <= slack)
+        & (c("y_low") - c("x_high") <= slack)
     )
-    return x.join(y, "bucket").filter(meet).select(c("x_node").alias("a"), c("y_node").alias("b")).distinct()
+    # Elements that one set of a linked pair may have outside the other.
+    spare = lambda t: c(f"{t}_size") - F.floor((c("x_size") * 3 + c("y_size") * 3 + 6) / 7)
+    pair = (F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b"))
+    few, many = inside.filter(c("met") <= SMALL), inside.filter(c("met") > SMALL)
+    formed = side(few, "x").join(side(few, "y"), "bucket").filter(meet & (c("x_node") < c("y_node"))).select(*pair)
+    close = many.filter(c("lacks") * 4 <= c("size"))
+    outer = close.filter("comp <> p_comp")
+    formed = formed.union(side(outer, "x").join(side(close, "y"), "bucket").filter(meet & (c("x_node") != c("y_node")) & (c("x_lacks") <= spare("x")) & (c("y_lacks") <= spare("y"))).select(*pair))
+
+    # A pivot all of whose members are in its component needs nothing more.
+    wanted = many.filter("comp <> p_comp").select(c("pivot").alias("w_pivot")).distinct()
+    many = many.join(wanted, many["pivot"] == wanted["w_pivot"], "left_semi")
+    apart = written(many.groupBy("pivot", "node").agg(F.max("size").alias("size"), F.max("comp").alias("comp"), F.max("p_comp").alias("p_comp")), "apart")
+    sets = whole_sets(apart.select("node").union(apart.select("pivot")), held, rows)
+    both = apart.join(sets, "node").join(sets.select(c("node").alias("pivot"), c("tokens").alias("pivot_tokens")), "pivot")
+    columns = ("pivot", "node", "size", "comp", "p_comp", "tokens", "pivot_tokens")
+    parts = pow2_at_least(PARTS * partitions(buckets.sparkSession))
+    sharing = both.select(*columns).mapInArrow(_residues(parts, order), "part int, entries binary").groupBy("part").applyInArrow(_sharing, "a long, b long")
+    return formed.union(sharing).distinct()
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
