@@ -546,7 +546,7 @@ def remaining_pairs(buckets: DataFrame, stars: DataFrame, known: DataFrame, held
     sets = whole_sets(apart.select("node").union(apart.select("pivot")), held, rows)
     both = apart.join(sets, "node").join(sets.select(c("node").alias("pivot"), c("tokens").alias("pivot_tokens")), "pivot")
     columns = ("pivot", "node", "size", "comp", "p_comp", "tokens", "pivot_tokens")
-    parts = pow2_at_least(PARTS * partitions(buckets.sparkSession))
+    parts = pow2_at_least(partitions(buckets.sparkSession))
     sharing = both.select(*columns).mapInArrow(_residues(parts, order), "part int, entries binary").groupBy("part").applyInArrow(_sharing, "a long, b long")
     return formed.union(sharing).distinct()
 
