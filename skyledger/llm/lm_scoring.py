@@ -5,9 +5,10 @@ document's score is the sum of the conditional log-probabilities of all its word
 of its class given the window, by the network, times its share of the class, by counts.
 
 Corpus statistics cover every document: words are counted in hashed buckets whose number follows the size of the
-corpus (MAX_BUCKETS at most, as each task gets the counts), buckets are dealt into classes of about equal counts,
-and the network is trained in numpy on all documents: each task takes stochastic gradient steps over its own rows
+corpus without a bound, buckets are dealt into classes of about equal counts, and the network is trained in numpy on all documents: each task takes stochastic gradient steps over its own rows
 from the same start, and the networks are averaged by the number of words they have seen, in two levels of groups.
+Up to TABLE_BUCKETS each task gets all counts; beyond it the counts stay in ranges of buckets, documents are dealt into
+chunks, and each chunk is joined with the counts of its own words, with the same result for each word.
 
 Results for special input: a null or empty text has no words, log-probability 0 and no mean; repeated rows each give
 a row; very long texts are scored whole; an empty table gives an empty result; other columns are ignored.
@@ -15,6 +16,7 @@ a row; very long texts are scored whole; an empty table gives an empty result; o
 
 from __future__ import annotations
 
+import copy
 import math
 from collections.abc import Iterator
 
@@ -24,33 +26,72 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm._common import pow2_at_least, table, text_of
+from skyledger.llm._common import partitions, pow2_at_least, table, text_of, written
 from skyledger.llm.words import chunks, hashed_words
 
-MIN_BUCKETS, MAX_BUCKETS = 1 << 12, 1 << 20
+#: Buckets, at least; so many at most are sent to every task as one table.
+MIN_BUCKETS, TABLE_BUCKETS = 1 << 12, 1 << 20
 WORDS_PER_BUCKET = 64
 #: Words on each side that the network sees; classes it tells apart; symbols it reads (frequent words, else classes).
 SIDE, CLASSES, FREQUENT, HIDDEN = 2, 64, 192, 24
 BATCH, RATE = 2048, 0.1
 SYMBOLS = FREQUENT + CLASSES + 1
-#: Ranges that bucket counts are summed in.
-RANGES = 16
+#: Words that a task counts at once, and characters of a chunk of documents that is joined with its words' counts.
+COUNTED, CHUNK_CHARS = 1 << 21, 1 << 24
 
 
 def _buckets(hashes: np.ndarray, n: int) -> np.ndarray:
     return (hashes >> np.uint64(65 - n.bit_length())).astype(np.int64)
 
 
-def _counter(n: int):
+def _ranges(spark: SparkSession, n: int) -> int:
+    """Ranges that buckets are counted in: as many as tasks of a shuffle."""
+    return min(n, pow2_at_least(partitions(spark)))
+
+
+def _merged(buckets: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct buckets in order, and the sums of their counts."""
+    found, where = np.unique(np.concatenate(buckets), return_inverse=True)
+    return found, np.bincount(where, np.concatenate(counts), len(found)).astype(np.int64)
+
+
+def _split(buckets: np.ndarray, n: int, ranges: int) -> Iterator[tuple[int, slice]]:
+    """(range, slice of the ordered `buckets` in it) where there are any."""
+    edges = np.searchsorted(buckets, np.arange(ranges + 1) * (n // ranges))
+    for k in np.flatnonzero(np.diff(edges)).tolist():
+        yield k, slice(edges[k], edges[k + 1])
+
+
+def _counter(n: int, ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(n, np.int64)
+        fresh, waiting = [], 0
+        total = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
             for _, texts in chunks(batch.column(0).to_pylist()):
-                hashes, _ = hashed_words(texts)
-                np.add.at(counts, _buckets(hashes, n), 1)
-        for k, part in enumerate(np.split(counts, RANGES)):
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part.astype("<i8").tobytes()], pa.binary())], names=["part", "counts"])
+                fresh.append(_buckets(hashed_words(texts)[0], n))
+                waiting += len(fresh[-1])
+                if waiting >= COUNTED:
+                    own = np.unique(np.concatenate(fresh), return_counts=True)
+                    total = _merged([total[0], own[0]], [total[1], own[1]])
+                    fresh, waiting = [], 0
+        if fresh:
+            own = np.unique(np.concatenate(fresh), return_counts=True)
+            total = _merged([total[0], own[0]], [total[1], own[1]])
+        for k, own in _split(total[0], n, ranges):
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([total[0][own].tobytes()], pa.binary()), pa.array([total[1][own].tobytes()], pa.binary())], names=["part", "buckets", "counts"])
+
+    return run
+
+
+def _range_counts(width: int):
+    """All counts of a range of `width` buckets."""
+
+    def run(keys, group):
+        part = keys[0].as_py()
+        total = np.zeros(width, np.int64)
+        for buckets, counts in zip(group.column("buckets"), group.column("counts"), strict=True):
+            total[np.frombuffer(buckets.as_buffer(), np.int64) - part * width] += np.frombuffer(counts.as_buffer(), np.int64)
+        return pa.table({"part": pa.array([part], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
 
     return run
 
@@ -68,36 +109,127 @@ def _summed(kind: str, key: str, value: str):
     return run
 
 
+def counted(texts: DataFrame, n: int) -> DataFrame:
+    """part, counts: how often the words of each bucket occur in all of `texts` (column text), by ranges; a range
+    without words has no row."""
+    ranges = _ranges(texts.sparkSession, n)
+    return texts.mapInArrow(_counter(n, ranges), "part int, buckets binary, counts binary").groupBy("part").applyInArrow(_range_counts(n // ranges), "part int, counts binary")
+
+
 def bucket_counts(texts: DataFrame, n: int) -> np.ndarray:
     """How often the words of each bucket occur in all of `texts` (column text)."""
-    partial = texts.mapInArrow(_counter(n), "part int, counts binary")
-    sums = partial.groupBy("part").applyInArrow(_summed("<i8", "part", "counts"), "part int, counts binary").collect()
-    out = np.zeros((RANGES, n // RANGES), np.int64)
-    for row in sums:
-        out[row["part"]] = np.frombuffer(row["counts"], "<i8")
+    out = np.zeros((_ranges(texts.sparkSession, n), n // _ranges(texts.sparkSession, n)), np.int64)
+    for row in counted(texts, n).collect():
+        out[row["part"]] = np.frombuffer(row["counts"], np.int64)
     return out.reshape(-1)
 
 
+class Layout:
+    """Class, symbol and share of a bucket by its count. Buckets stand in order of falling count, those of equal count
+    in their own order, which is that of a hash; a class is an equal share of all counts in this order.
+
+    `values` are the counts that occur and `cells` how many buckets have each, `top` the first buckets."""
+
+    def __init__(self, n: int, values: np.ndarray, cells: np.ndarray, top: np.ndarray):
+        self.n, self.values = n, values
+        self.mass = cells * (values + 1e-3)
+        self.total = float(self.mass.sum())
+        self.before = self.total - np.cumsum(self.mass)
+        self.rank = np.argsort(top)
+        self.top = top[self.rank]
+        self.sums = np.zeros(CLASSES)
+
+    def places(self, buckets: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Where in the order, from 0 to 1."""
+        k = np.searchsorted(self.values, counts)
+        return (self.before[k] + (buckets + 0.5) / self.n * self.mass[k]) / self.total
+
+    def classes(self, buckets: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        return np.clip(self.places(buckets, counts) * CLASSES, 0, CLASSES - 1).astype(np.uint8)
+
+    def symbols(self, buckets: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        out = (FREQUENT + classes).astype(np.int16)
+        at = np.minimum(np.searchsorted(self.top, buckets), len(self.top) - 1)
+        hit = self.top[at] == buckets
+        out[hit] = self.rank[at[hit]]
+        return out
+
+
+def _first(buckets: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Places of the FREQUENT largest counts; of equal ones the first."""
+    return np.argsort(-counts, kind="stable")[:FREQUENT]
+
+
+def _over_ranges(table: DataFrame, n: int, schema: str, f) -> DataFrame:
+    """Rows of `f(buckets, counts)`, a tuple of columns, for each range of counts."""
+    width = n // _ranges(table.sparkSession, n)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, blob in zip(batch.column("part").to_pylist(), batch.column("counts"), strict=True):
+                counts = np.frombuffer(blob.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.asarray(c, np.int64)) for c in f(part * width + np.arange(width), counts)], names=[k.split()[0] for k in schema.split(", ")])
+
+    return table.mapInArrow(run, schema)
+
+
+def layout_of(table: DataFrame, n: int) -> Layout:
+    """The layout by counts that stay in ranges; the driver gets one row for each count that occurs."""
+    held = np.array([(r["value"], r["cells"]) for r in _over_ranges(table, n, "value long, cells long", lambda _, c: np.unique(c, return_counts=True)).groupBy("value").agg(F.sum("cells").alias("cells")).collect()], np.int64).reshape(-1, 2)
+    missing = n - int(held[:, 1].sum())
+    held = np.concatenate((held, [[0, missing]])) if missing else held  # ranges without words
+    values, where = np.unique(held[:, 0], return_inverse=True)
+    cells = np.bincount(where, held[:, 1]).astype(np.int64)
+    largest = _over_ranges(table, n, "bucket long, count long", lambda b, c: (b[k := _first(b, c)], c[k]))
+    top = np.array([r["bucket"] for r in largest.orderBy(F.col("count").desc(), "bucket").limit(FREQUENT).collect()], np.int64)
+    layout = Layout(n, values, cells, top)
+
+    def by_class(buckets, counts):
+        classes = layout.classes(buckets, counts)
+        return np.arange(CLASSES), np.bincount(classes, counts, CLASSES), np.bincount(classes, minlength=CLASSES)
+
+    for r in _over_ranges(table, n, "class long, count long, cells long", by_class).groupBy("class").agg(F.sum("count").alias("count"), F.sum("cells").alias("cells")).collect():
+        layout.sums[r["class"]] = r["count"] + 0.5 * r["cells"]
+    return layout
+
+
 class Network:
     """log P(word | window) = log softmax(tanh(sum of window embeddings + a) U + d)[class] + log share of the class."""
 
-    def __init__(self, counts: np.ndarray, seed: int = 7):
-        n = len(counts)
-        order = np.argsort(-counts, kind="stable")
-        mass = np.cumsum(counts[order] + 1e-3)
-        self.classes = np.empty(n, np.uint8)
-        self.classes[order] = np.minimum((mass - (counts[order] + 1e-3) / 2) / mass[-1] * CLASSES, CLASSES - 1).astype(np.uint8)
-        self.symbols = (FREQUENT + self.classes).astype(np.int16)
-        self.symbols[order[:FREQUENT]] = np.arange(min(FREQUENT, n))
-        smoothed = counts + 0.5
-        self.share = np.log(smoothed / np.bincount(self.classes, smoothed, CLASSES)[self.classes]).astype(np.float32)
+    #: Counts in ranges, on the driver, where they are too many for a table in every task.
+    table: DataFrame | None = None
+
+    def __init__(self, counts: np.ndarray | None, layout: Layout | None = None, seed: int = 7):
+        self.buckets = None
+        if counts is not None:
+            buckets = np.arange(len(counts))
+            layout = Layout(len(counts), *np.unique(counts, return_counts=True), _first(buckets, counts))
+            layout.sums = np.bincount(layout.classes(buckets, counts), counts + 0.5, CLASSES)
+        self.layout = layout
+        if counts is not None:
+            self._tabulate(buckets, counts)
         dice = np.random.default_rng(seed)
         self.embed = (dice.standard_normal((2 * SIDE, SYMBOLS, HIDDEN)) * 0.1).astype(np.float32)
         self.out = (dice.standard_normal((HIDDEN, CLASSES)) * 0.1).astype(np.float32)
         self.bias = np.zeros(HIDDEN, np.float32)
-        mass_of = np.bincount(self.classes, smoothed, CLASSES) + 1.0
+        mass_of = layout.sums + 1.0
         self.prior = np.log(mass_of / mass_of.sum()).astype(np.float32)
 
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "table"}
+
+    def _tabulate(self, buckets: np.ndarray, counts: np.ndarray) -> None:
+        self.classes = self.layout.classes(buckets, counts)
+        self.symbols = self.layout.symbols(buckets, self.classes)
+        self.share = np.log((counts + 0.5) / self.layout.sums[self.classes]).astype(np.float32)
+
+    def over(self, buckets: np.ndarray, counts: np.ndarray) -> Network:
+        """This network with a table of the given buckets, in order, alone."""
+        own = copy.copy(self)
+        own.buckets = buckets
+        own._tabulate(buckets, counts)
+        return own
+
     def weights(self) -> np.ndarray:
         return np.concatenate([x.ravel() for x in (self.embed, self.out, self.bias, self.prior)])
 
@@ -109,8 +241,10 @@ class Network:
             at += own.size
 
     def windows(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Buckets of the words, and for each word the symbols around it; beyond a text's ends stands the last symbol."""
-        buckets = _buckets(hashes, len(self.classes))
+        """Places of the words' buckets in the table, and for each word the symbols around it; beyond a text's ends stands the last symbol."""
+        buckets = _buckets(hashes, self.layout.n)
+        if self.buckets is not None:
+            buckets = np.searchsorted(self.buckets, buckets)
         ends = np.cumsum(counts)
         shift = np.repeat(np.arange(len(counts)) * SIDE + SIDE, counts)
         padded = np.full(len(buckets) + (len(counts) + 1) * SIDE, SYMBOLS - 1, np.int16)
@@ -159,31 +293,124 @@ class Network:
                 self.embed[k] -= np.bincount(where, flat, SYMBOLS * HIDDEN).reshape(SYMBOLS, HIDDEN).astype(np.float32)
 
 
-def _trainer(start: Network, groups: int):
+def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the number of their chunk; chunks are within a task and end after CHUNK_CHARS characters."""
+    chunk, size = TaskContext.get().partitionId() << 32, 0
+    for batch in batches:
+        at = []
+        for text in batch.column("text").to_pylist():
+            if size >= CHUNK_CHARS:
+                chunk, size = chunk + 1, 0
+            size += len(text)
+            at.append(chunk)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), *batch.columns], names=["chunk", *batch.schema.names])
+
+
+def _chunk_buckets(n: int, ranges: int):
+    """The distinct buckets of each chunk, by ranges; rows of a chunk stand together."""
+
+    def packed(chunk: int, found: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for k, own in _split(found, n, ranges):
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([k], pa.int32()), pa.array([found[own].tobytes()], pa.binary())], names=["chunk", "part", "buckets"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network, seen, steps = start, 0, 0
+        chunk, found = None, []
         for batch in batches:
-            for _, texts in chunks(batch.column(0).to_pylist()):
-                hashes, counts = hashed_words(texts)
-                network.train(*network.windows(hashes, counts), RATE / math.sqrt(1 + steps / 200))
-                seen, steps = seen + len(hashes), steps + math.ceil(len(hashes) / BATCH)
-        if seen:
-            part = TaskContext.get().partitionId()
-            blob = np.append(network.weights().astype("<f8") * seen, float(seen)).astype("<f8").tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([part % groups], pa.int32()), pa.array([part], pa.int32()), pa.array([blob], pa.binary())], names=["part", "task", "sums"])
+            at = batch.column("chunk").to_numpy()
+            for own in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at)) + 1):
+                if not len(own):
+                    continue
+                if at[own[0]] != chunk:
+                    if found:
+                        yield from packed(chunk, np.unique(np.concatenate(found)))
+                    chunk, found = int(at[own[0]]), []
+                for _, texts in chunks(batch.column("text").slice(own[0], len(own)).to_pylist()):
+                    found.append(np.unique(_buckets(hashed_words(texts)[0], n)))
+        if found:
+            yield from packed(chunk, np.unique(np.concatenate(found)))
+
+    return run
+
+
+def _looked_up(width: int):
+    def run(keys, pieces, counts):
+        part = keys[0].as_py()
+        # Every bucket asked for may be one that the counted corpus lacks.
+        own = np.frombuffer(counts.column("counts")[0].as_buffer(), np.int64) if counts.num_rows else np.zeros(width, np.int64)
+        found = [own[np.frombuffer(b.as_buffer(), np.int64) - part * width].tobytes() for b in pieces.column("buckets")]
+        return pa.table({"chunk": pieces.column("chunk"), "part": pieces.column("part"), "buckets": pieces.column("buckets"), "counts": pa.array(found, pa.binary())})
+
+    return run
+
+
+def _with_words(rows: DataFrame, table: DataFrame, n: int, f, schema: str) -> DataFrame:
+    """`f(chunk, rows of the chunk, its buckets, their counts)` for each chunk of `rows`."""
+    ranges = _ranges(rows.sparkSession, n)
+    pieces = rows.select("chunk", "text").mapInArrow(_chunk_buckets(n, ranges), "chunk long, part int, buckets binary")
+    words = pieces.groupBy("part").cogroup(table.groupBy("part")).applyInArrow(_looked_up(n // ranges), "chunk long, part int, buckets binary, counts binary")
+
+    def run(keys, own, words):
+        words = words.sort_by("part")
+        buckets, counts = (np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x.as_buffer(), np.int64) for x in words.column(c))]) for c in ("buckets", "counts"))
+        return f(keys[0].as_py(), own, buckets, counts)
+
+    return rows.groupBy("chunk").cogroup(words.groupBy("chunk")).applyInArrow(run, schema)
+
+
+SUMS = "part int, task long, sums binary"
+
+
+def _trained(network: Network, texts: Iterator[list[str]]) -> bytes | None:
+    """Weights after a pass over `texts`, times the number of words, and that number."""
+    seen = steps = 0
+    for own in texts:
+        hashes, counts = hashed_words(own)
+        network.train(*network.windows(hashes, counts), RATE / math.sqrt(1 + steps / 200))
+        seen, steps = seen + len(hashes), steps + math.ceil(len(hashes) / BATCH)
+    return np.append(network.weights().astype("<f8") * seen, float(seen)).astype("<f8").tobytes() if seen else None
+
+
+def _sums(task: int, groups: int, blob: bytes | None) -> pa.Table:
+    rows = [blob] if blob else []
+    kinds = {"part": pa.int32(), "task": pa.int64(), "sums": pa.binary()}
+    return pa.table({k: pa.array(v, kinds[k]) for k, v in {"part": [task % groups] * len(rows), "task": [task] * len(rows), "sums": rows}.items()})
+
+
+def _trainer(start: Network, groups: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blob = _trained(copy.deepcopy(start), (texts for batch in batches for _, texts in chunks(batch.column(0).to_pylist())))
+        yield from _sums(TaskContext.get().partitionId(), groups, blob).to_batches()
+
+    return run
+
+
+def _chunk_trainer(start: Network, groups: int):
+    def run(chunk, rows, buckets, counts):
+        own = copy.deepcopy(start).over(buckets, counts)
+        task = (chunk >> 32) + (chunk & 0xFFFFFFFF) * 8191  # spread over the groups
+        return _sums(task, groups, _trained(own, (texts for _, texts in chunks(rows.column("text").to_pylist()))))
 
     return run
 
 
+def _sized(size: int) -> int:
+    """Buckets for so many characters, of about six a word."""
+    return max(MIN_BUCKETS, pow2_at_least(size // (6 * WORDS_PER_BUCKET)))
+
+
 def fit(docs: DataFrame, text_col: str = "text") -> Network:
     """A network trained on every text of `docs`."""
     texts = docs.select(text_of(text_col).alias("text"))
-    # About six characters a word.
-    size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, pow2_at_least(size // (6 * WORDS_PER_BUCKET))))
-    network = Network(bucket_counts(texts, buckets))
+    n = _sized(texts.agg(F.sum(F.length("text"))).first()[0] or 0)
     groups = max(1, math.isqrt(texts.rdd.getNumPartitions()))
-    trained = texts.mapInArrow(_trainer(network, groups), "part int, task int, sums binary")
+    if n <= TABLE_BUCKETS:
+        network = Network(bucket_counts(texts, n))
+        trained = texts.mapInArrow(_trainer(network, groups), SUMS)
+    else:
+        table = written(counted(texts, n), "counts")
+        network = Network(None, layout_of(table, n))
+        network.table = table
+        trained = _with_words(written(texts.mapInArrow(_chunked, "chunk long, text string"), "chunks"), table, n, _chunk_trainer(network, groups), SUMS)
     by_group = trained.groupBy("part").applyInArrow(_ordered_sum, "part int, sums binary")
     rows = sorted(by_group.collect(), key=lambda r: r["part"])
     if rows:
@@ -197,26 +424,44 @@ def _ordered_sum(keys, group):
     return _summed("<f8", "part", "sums")(keys, group.sort_by("task"))
 
 
+SCORES = "doc_id long, n_words long, log_prob double, mean_log_prob double"
+
+
+def _scores(network: Network, ids: pa.Array, rows: list[str]) -> pa.RecordBatch:
+    n = np.zeros(len(rows), np.int64)
+    total = np.zeros(len(rows))
+    for first, texts in chunks(rows):
+        hashes, counts = hashed_words(texts)
+        each = np.concatenate(([0.0], np.cumsum(network.log_probabilities(*network.windows(hashes, counts)), dtype=np.float64)))
+        ends = np.cumsum(counts)
+        n[first : first + len(texts)] = counts
+        total[first : first + len(texts)] = each[ends] - each[ends - counts]
+    mean = np.divide(total, n, out=np.zeros_like(total), where=n > 0)
+    return pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(total, pa.float64()), pa.array(mean, pa.float64(), mask=n == 0)], names=["doc_id", "n_words", "log_prob", "mean_log_prob"])
+
+
 def _scorer(network: Network):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = np.zeros(batch.num_rows, np.int64)
-            total = np.zeros(batch.num_rows)
-            for first, texts in chunks(batch.column(1).to_pylist()):
-                hashes, counts = hashed_words(texts)
-                each = np.concatenate(([0.0], np.cumsum(network.log_probabilities(*network.windows(hashes, counts)), dtype=np.float64)))
-                ends = np.cumsum(counts)
-                n[first : first + len(texts)] = counts
-                total[first : first + len(texts)] = each[ends] - each[ends - counts]
-            mean = np.divide(total, n, out=np.zeros_like(total), where=n > 0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(total, pa.float64()), pa.array(mean, pa.float64(), mask=n == 0)], names=["doc_id", "n_words", "log_prob", "mean_log_prob"])
+            yield _scores(network, batch.column(0), batch.column(1).to_pylist())
+
+    return run
+
+
+def _chunk_scorer(network: Network):
+    def run(chunk, rows, buckets, counts):
+        own = network.over(buckets, counts)
+        return pa.Table.from_batches([_scores(own, b.column("doc_id"), b.column("text").to_pylist()) for b in rows.to_batches()])
 
     return run
 
 
 def score(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, log_prob (sum over all words) and mean_log_prob of every text."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(_scorer(network), "doc_id long, n_words long, log_prob double, mean_log_prob double")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    if network.table is None:
+        return rows.mapInArrow(_scorer(network), SCORES)
+    return _with_words(written(rows.mapInArrow(_chunked, "chunk long, doc_id long, text string"), "chunks"), network.table, network.layout.n, _chunk_scorer(network), SCORES)
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

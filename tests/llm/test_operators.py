@@ -167,6 +167,20 @@ def test_lm_beats_unigram(spark):
     assert np.allclose(mass[mass > 0], 1, atol=1e-3)
 
 
+def test_lm_counts_beyond_a_table(spark, documents, monkeypatch):
+    def scores():
+        network = lm_scoring.fit(one)
+        rows = lm_scoring.score(one, network).collect()
+        return network.layout.n, sorted((r.doc_id, r.n_words, round(r.log_prob, 6)) for r in rows)
+
+    one = documents.select("doc_id", "text").coalesce(1)
+    whole = scores()
+    # Counts that are too many for every task stay in ranges: as many buckets, the same scores.
+    monkeypatch.setattr(lm_scoring, "TABLE_BUCKETS", 64)
+    assert scores() == whole
+    assert lm_scoring._sized(30 * 10**9) * 6 * lm_scoring.WORDS_PER_BUCKET >= 30 * 10**9
+
+
 RANKS = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
 BPE = byte_bpe.ByteBPE(RANKS)
 LIBRARY = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
