@@ -2,13 +2,16 @@
 
 A network with a window to both sides predicts every word from the words around it, the word itself masked; a
 document's score is the sum of the conditional log-probabilities of all its words. The probability of a word is that
-of its class given the window, by the network, times its share of the class, by counts.
+of its class given the window, times that of its group within the class given the class and the window, both by the
+network, times its share of the group, by counts. Groups are narrow: a frequent word has one of its own.
 
 Corpus statistics cover every document: words are counted in hashed buckets whose number follows the size of the
 corpus without a bound, buckets are dealt into classes of about equal counts, and the network is trained in numpy on all documents: each task takes stochastic gradient steps over its own rows
 from the same start, and the networks are averaged by the number of words they have seen, in two levels of groups.
+Groups, symbols that the network reads and rounds of averaging follow the corpus; each document belongs to one round.
 Up to TABLE_BUCKETS each task gets all counts; beyond it the counts stay in ranges of buckets, documents are dealt into
-chunks, and each chunk is joined with the counts of its own words, with the same result for each word.
+chunks, and each chunk's own words are joined with their counts and stored in the shared folder, with the same result
+for each word.
 
 Results for special input: a null or empty text has no words, log-probability 0 and no mean; repeated rows each give
 a row; very long texts are scored whole; an empty table gives an empty result; other columns are ignored.
@@ -17,6 +20,7 @@ a row; very long texts are scored whole; an empty table gives an empty result; o
 from __future__ import annotations
 
 import copy
+import ctypes
 import math
 from collections.abc import Iterator
 
@@ -26,18 +30,24 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm._common import partitions, pow2_at_least, table, text_of, written
+from skyledger.llm._common import partitions, pow2_at_least, scratch, table, text_of, written
+from skyledger.llm.token_files import _map, _put
 from skyledger.llm.words import chunks, hashed_words
 
 #: Buckets, at least; so many at most are sent to every task as one table.
 MIN_BUCKETS, TABLE_BUCKETS = 1 << 12, 1 << 20
 WORDS_PER_BUCKET = 64
-#: Words on each side that the network sees; classes it tells apart; symbols it reads (frequent words, else classes).
-SIDE, CLASSES, FREQUENT, HIDDEN = 2, 64, 192, 24
-BATCH, RATE = 2048, 0.1
-SYMBOLS = FREQUENT + CLASSES + 1
-#: Words that a task counts at once, and characters of a chunk of documents that is joined with its words' counts.
-COUNTED, CHUNK_CHARS = 1 << 21, 1 << 24
+#: Words on each side that the network sees; classes it tells apart.
+SIDE, CLASSES, HIDDEN = 2, 64, 24
+BATCH, RATE, FINE = 4096, 0.1, 16
+#: Words that a task counts at once, and characters of a chunk of documents whose words are joined with their counts.
+COUNTED, CHUNK_CHARS = 1 << 21, 20_000_000
+
+
+def sizes(n: int) -> tuple[int, int, int]:
+    """For n buckets: groups of a class, frequent words that the network reads as themselves (it reads the others in as
+    many hashed symbols), rounds of training."""
+    return round(16 * n**0.125), min(n, 4 * math.isqrt(n)), 1 + max(0, n.bit_length() - MIN_BUCKETS.bit_length()) // 4
 
 
 def _buckets(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -125,39 +135,42 @@ def bucket_counts(texts: DataFrame, n: int) -> np.ndarray:
 
 
 class Layout:
-    """Class, symbol and share of a bucket by its count. Buckets stand in order of falling count, those of equal count
-    in their own order, which is that of a hash; a class is an equal share of all counts in this order.
+    """Group, symbol and share of a bucket by its count. Buckets stand in order of falling count, those of equal count
+    in their own order, which is that of a hash; a class is an equal share of all counts in this order, and so is
+    a group of a class.
 
     `values` are the counts that occur and `cells` how many buckets have each, `top` the first buckets."""
 
     def __init__(self, n: int, values: np.ndarray, cells: np.ndarray, top: np.ndarray):
         self.n, self.values = n, values
+        self.subs, self.frequent, _ = sizes(n)
         self.mass = cells * (values + 1e-3)
         self.total = float(self.mass.sum())
         self.before = self.total - np.cumsum(self.mass)
         self.rank = np.argsort(top)
         self.top = top[self.rank]
-        self.sums = np.zeros(CLASSES)
+        self.sums = np.zeros(CLASSES * self.subs)
 
     def places(self, buckets: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Where in the order, from 0 to 1."""
         k = np.searchsorted(self.values, counts)
         return (self.before[k] + (buckets + 0.5) / self.n * self.mass[k]) / self.total
 
-    def classes(self, buckets: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        return np.clip(self.places(buckets, counts) * CLASSES, 0, CLASSES - 1).astype(np.uint8)
+    def groups(self, buckets: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        return np.clip(self.places(buckets, counts) * len(self.sums), 0, len(self.sums) - 1).astype(np.int32)
 
-    def symbols(self, buckets: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        out = (FREQUENT + classes).astype(np.int16)
+    def symbols(self, buckets: np.ndarray) -> np.ndarray:
+        """Frequent words are symbols of their own, others share hashed ones; the last symbol stands beyond a text."""
+        out = (self.frequent + buckets % self.frequent).astype(np.int32)
         at = np.minimum(np.searchsorted(self.top, buckets), len(self.top) - 1)
         hit = self.top[at] == buckets
         out[hit] = self.rank[at[hit]]
         return out
 
 
-def _first(buckets: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Places of the FREQUENT largest counts; of equal ones the first."""
-    return np.argsort(-counts, kind="stable")[:FREQUENT]
+def _first(buckets: np.ndarray, counts: np.ndarray, most: int) -> np.ndarray:
+    """Places of the `most` largest counts; of equal ones the first."""
+    return np.argsort(-counts, kind="stable")[:most]
 
 
 def _over_ranges(table: DataFrame, n: int, schema: str, f) -> DataFrame:
@@ -173,6 +186,11 @@ def _over_ranges(table: DataFrame, n: int, schema: str, f) -> DataFrame:
     return table.mapInArrow(run, schema)
 
 
+def _missing(table: DataFrame, n: int) -> list[int]:
+    """Ranges without words."""
+    return sorted(set(range(_ranges(table.sparkSession, n))) - {r["part"] for r in table.select("part").collect()})
+
+
 def layout_of(table: DataFrame, n: int) -> Layout:
     """The layout by counts that stay in ranges; the driver gets one row for each count that occurs."""
     held = np.array([(r["value"], r["cells"]) for r in _over_ranges(table, n, "value long, cells long", lambda _, c: np.unique(c, return_counts=True)).groupBy("value").agg(F.sum("cells").alias("cells")).collect()], np.int64).reshape(-1, 2)
@@ -180,62 +198,79 @@ def layout_of(table: DataFrame, n: int) -> Layout:
     held = np.concatenate((held, [[0, missing]])) if missing else held  # ranges without words
     values, where = np.unique(held[:, 0], return_inverse=True)
     cells = np.bincount(where, held[:, 1]).astype(np.int64)
-    largest = _over_ranges(table, n, "bucket long, count long", lambda b, c: (b[k := _first(b, c)], c[k]))
-    top = np.array([r["bucket"] for r in largest.orderBy(F.col("count").desc(), "bucket").limit(FREQUENT).collect()], np.int64)
+    most = sizes(n)[1]
+    largest = _over_ranges(table, n, "bucket long, count long", lambda b, c: (b[k := _first(b, c, most)], c[k]))
+    top = np.array([r["bucket"] for r in largest.orderBy(F.col("count").desc(), "bucket").limit(most).collect()], np.int64)
     layout = Layout(n, values, cells, top)
 
-    def by_class(buckets, counts):
-        classes = layout.classes(buckets, counts)
-        return np.arange(CLASSES), np.bincount(classes, counts, CLASSES), np.bincount(classes, minlength=CLASSES)
+    def by_group(buckets, counts):
+        found, where = np.unique(layout.groups(buckets, counts), return_inverse=True)
+        return found, np.bincount(where, counts), np.bincount(where)
 
-    for r in _over_ranges(table, n, "class long, count long, cells long", by_class).groupBy("class").agg(F.sum("count").alias("count"), F.sum("cells").alias("cells")).collect():
-        layout.sums[r["class"]] = r["count"] + 0.5 * r["cells"]
+    for r in _over_ranges(table, n, "own long, count long, cells long", by_group).groupBy("own").agg(F.sum("count").alias("count"), F.sum("cells").alias("cells")).collect():
+        layout.sums[r["own"]] = r["count"] + 0.5 * r["cells"]
+    width = n // _ranges(table.sparkSession, n)
+    for part in _missing(table, n):
+        buckets = part * width + np.arange(width)
+        layout.sums += 0.5 * np.bincount(layout.groups(buckets, np.zeros(len(buckets), np.int64)), minlength=len(layout.sums))
     return layout
 
 
+WEIGHTS = ("embed", "out", "bias", "prior", "fine", "fine_prior")
+
+
 class Network:
-    """log P(word | window) = log softmax(tanh(sum of window embeddings + a) U + d)[class] + log share of the class."""
+    """log P(word | window) = log softmax(h U + d)[class] + log softmax(h V[class] + e[class])[group] + log share of the
+    group, where h = tanh(sum of window embeddings + a)."""
 
-    #: Counts in ranges, on the driver, where they are too many for a table in every task.
+    #: On the driver, where counts are too many for a table in every task: these in ranges, and the documents of `fit`
+    #: with their chunks and the folder of the chunks' words.
     table: DataFrame | None = None
+    fitted: tuple[tuple[DataFrame, str, str], DataFrame, str] | None = None
 
     def __init__(self, counts: np.ndarray | None, layout: Layout | None = None, seed: int = 7):
         self.buckets = None
         if counts is not None:
             buckets = np.arange(len(counts))
-            layout = Layout(len(counts), *np.unique(counts, return_counts=True), _first(buckets, counts))
-            layout.sums = np.bincount(layout.classes(buckets, counts), counts + 0.5, CLASSES)
+            layout = Layout(len(counts), *np.unique(counts, return_counts=True), _first(buckets, counts, sizes(len(counts))[1]))
+            layout.sums = np.bincount(layout.groups(buckets, counts), counts + 0.5, len(layout.sums))
         self.layout = layout
         if counts is not None:
             self._tabulate(buckets, counts)
         dice = np.random.default_rng(seed)
-        self.embed = (dice.standard_normal((2 * SIDE, SYMBOLS, HIDDEN)) * 0.1).astype(np.float32)
+        self.embed = (dice.standard_normal((2 * SIDE, 2 * layout.frequent + 1, HIDDEN), np.float32) * np.float32(0.1))
         self.out = (dice.standard_normal((HIDDEN, CLASSES)) * 0.1).astype(np.float32)
         self.bias = np.zeros(HIDDEN, np.float32)
-        mass_of = layout.sums + 1.0
+        mass = layout.sums.reshape(CLASSES, -1)
+        mass_of = mass.sum(axis=1) + 1.0
         self.prior = np.log(mass_of / mass_of.sum()).astype(np.float32)
+        # A group without buckets gets no probability worth mention.
+        self.fine = np.zeros((CLASSES, HIDDEN, layout.subs), np.float32)
+        self.fine_prior = np.log(np.maximum(mass / mass_of[:, None], 1e-30)).astype(np.float32)
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "table"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("table", "fitted")}
 
     def _tabulate(self, buckets: np.ndarray, counts: np.ndarray) -> None:
-        self.classes = self.layout.classes(buckets, counts)
-        self.symbols = self.layout.symbols(buckets, self.classes)
-        self.share = np.log((counts + 0.5) / self.layout.sums[self.classes]).astype(np.float32)
+        groups = self.layout.groups(buckets, counts)
+        self.classes, self.subs = (groups // self.layout.subs).astype(np.uint8), (groups % self.layout.subs).astype(np.int16)
+        self.symbols = self.layout.symbols(buckets)
+        self.within = np.log((counts + 0.5) / self.layout.sums[groups]).astype(np.float32)
+        self.share = np.log((counts + 0.5) / self.layout.sums.reshape(CLASSES, -1).sum(axis=1)[self.classes]).astype(np.float32)
 
     def over(self, buckets: np.ndarray, counts: np.ndarray) -> Network:
-        """This network with a table of the given buckets, in order, alone."""
+        """This network, with the same weights, and a table of the given buckets, in order, alone."""
         own = copy.copy(self)
         own.buckets = buckets
         own._tabulate(buckets, counts)
         return own
 
     def weights(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in (self.embed, self.out, self.bias, self.prior)])
+        return np.concatenate([x.ravel() for x in map(self.__dict__.get, WEIGHTS)])
 
     def set_weights(self, flat: np.ndarray) -> None:
         at = 0
-        for name in ("embed", "out", "bias", "prior"):
+        for name in WEIGHTS:
             own = getattr(self, name)
             setattr(self, name, flat[at : at + own.size].reshape(own.shape).astype(np.float32))
             at += own.size
@@ -247,11 +282,11 @@ class Network:
             buckets = np.searchsorted(self.buckets, buckets)
         ends = np.cumsum(counts)
         shift = np.repeat(np.arange(len(counts)) * SIDE + SIDE, counts)
-        padded = np.full(len(buckets) + (len(counts) + 1) * SIDE, SYMBOLS - 1, np.int16)
+        padded = np.full(len(buckets) + (len(counts) + 1) * SIDE, 2 * self.layout.frequent, np.int32)
         place = np.arange(int(ends[-1]) if len(ends) else 0) + shift
         padded[place] = self.symbols[buckets]
         offsets = [*range(-SIDE, 0), *range(1, SIDE + 1)]
-        return buckets, np.stack([padded[place + o] for o in offsets]) if len(buckets) else np.zeros((2 * SIDE, 0), np.int16)
+        return buckets, np.stack([padded[place + o] for o in offsets]) if len(buckets) else np.zeros((2 * SIDE, 0), np.int32)
 
     def _forward(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         hidden = self.embed[0][around[0]]
@@ -262,35 +297,63 @@ class Network:
         logits -= logits.max(axis=1, keepdims=True)
         return hidden, logits
 
+    def _by_class(self, classes: np.ndarray, hidden: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(class, places of its words, their hidden rows, logits of its groups)."""
+        order = np.argsort(classes, kind="stable")
+        edges = np.searchsorted(classes[order], np.arange(CLASSES + 1)).tolist()
+        for c in range(CLASSES):
+            if edges[c] < edges[c + 1]:
+                own = order[edges[c] : edges[c + 1]]
+                rows = hidden[own]
+                logits = rows @ self.fine[c]
+                logits += self.fine_prior[c]
+                np.minimum(logits, 60, out=logits)  # for exp
+                yield c, own, rows, logits
+
     def log_probabilities(self, buckets: np.ndarray, around: np.ndarray) -> np.ndarray:
         found = np.empty(len(buckets), np.float32)
-        for a in range(0, len(buckets), BATCH):
-            own = slice(a, a + BATCH)
-            _, logits = self._forward(around[:, own])
-            picked = logits[np.arange(len(logits)), self.classes[buckets[own]]]
-            found[own] = picked - np.log(np.exp(logits).sum(axis=1)) + self.share[buckets[own]]
+        for a in range(0, len(buckets), 4 * BATCH):
+            own = buckets[a : a + 4 * BATCH]
+            classes, subs = self.classes[own], self.subs[own]
+            hidden, logits = self._forward(around[:, a : a + 4 * BATCH])
+            part = logits[np.arange(len(own)), classes] + self.within[own]
+            part -= np.log(np.exp(logits, out=logits).sum(axis=1))
+            for _, at, _, logits in self._by_class(classes, hidden):
+                picked = logits[np.arange(len(at)), subs[at]]
+                part[at] += picked - np.log(np.exp(logits, out=logits).sum(axis=1))
+            found[a : a + 4 * BATCH] = part
         return found
 
     def train(self, buckets: np.ndarray, around: np.ndarray, rate: float) -> None:
         """A gradient step on each batch of words."""
         for a in range(0, len(buckets), BATCH):
             seen = around[:, a : a + BATCH]
+            classes, subs = self.classes[buckets[a : a + BATCH]], self.subs[buckets[a : a + BATCH]]
             hidden, logits = self._forward(seen)
             n = len(logits)
+            step = rate * min(1.0, n / BATCH) / n
             np.exp(logits, out=logits)
             logits /= logits.sum(axis=1, keepdims=True)
-            logits[np.arange(n), self.classes[buckets[a : a + BATCH]]] -= 1
-            step = rate * min(1.0, n / BATCH) / n
-            back = (logits @ self.out.T) * (1 - hidden * hidden)
+            logits[np.arange(n), classes] -= 1
+            back = logits @ self.out.T
             self.out -= step * 4 * (hidden.T @ logits)
             self.prior -= step * logits.sum(axis=0)
+            # A class has few of a batch's words, so its groups take longer steps.
+            for c, at, rows, fine in self._by_class(classes, hidden):
+                np.exp(fine, out=fine)
+                fine /= fine.sum(axis=1, keepdims=True)
+                fine[np.arange(len(at)), subs[at]] -= 1
+                back[at] += fine @ self.fine[c].T
+                self.fine[c] -= step * 4 * FINE * (rows.T @ fine)
+                self.fine_prior[c] -= step * FINE * fine.sum(axis=0)
+            back *= 1 - hidden * hidden
             self.bias -= step * back.sum(axis=0)
             back *= step * 16
-            flat = back.ravel()
-            columns = np.arange(HIDDEN)
             for k in range(2 * SIDE):
-                where = (seen[k].astype(np.int64)[:, None] * HIDDEN + columns).ravel()
-                self.embed[k] -= np.bincount(where, flat, SYMBOLS * HIDDEN).reshape(SYMBOLS, HIDDEN).astype(np.float32)
+                order = np.argsort(seen[k], kind="stable")
+                read = seen[k][order]
+                first = np.flatnonzero(np.concatenate(([True], read[1:] != read[:-1])))
+                self.embed[k][read[first]] -= np.add.reduceat(back[order], first, axis=0)
 
 
 def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,7 +373,8 @@ def _chunk_buckets(n: int, ranges: int):
     """The distinct buckets of each chunk, by ranges; rows of a chunk stand together."""
 
     def packed(chunk: int, found: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for k, own in _split(found, n, ranges):
+        # A chunk without words has a row too.
+        for k, own in _split(found, n, ranges) if len(found) else [(0, slice(0))]:
             yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([k], pa.int32()), pa.array([found[own].tobytes()], pa.binary())], names=["chunk", "part", "buckets"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -343,52 +407,75 @@ def _looked_up(width: int):
     return run
 
 
-def _with_words(rows: DataFrame, table: DataFrame, n: int, f, schema: str) -> DataFrame:
-    """`f(chunk, rows of the chunk, its buckets, their counts)` for each chunk of `rows`."""
-    ranges = _ranges(rows.sparkSession, n)
-    pieces = rows.select("chunk", "text").mapInArrow(_chunk_buckets(n, ranges), "chunk long, part int, buckets binary")
-    words = pieces.groupBy("part").cogroup(table.groupBy("part")).applyInArrow(_looked_up(n // ranges), "chunk long, part int, buckets binary, counts binary")
+def _store(folder: str):
+    """Write a chunk's buckets and counts; a task that runs again writes the same file."""
 
-    def run(keys, own, words):
+    def run(keys, words):
         words = words.sort_by("part")
-        buckets, counts = (np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x.as_buffer(), np.int64) for x in words.column(c))]) for c in ("buckets", "counts"))
-        return f(keys[0].as_py(), own, buckets, counts)
-
-    return rows.groupBy("chunk").cogroup(words.groupBy("chunk")).applyInArrow(run, schema)
-
-
-SUMS = "part int, task long, sums binary"
+        _put(f"{folder}/{keys[0].as_py()}.bin", [x.as_buffer().to_pybytes() for c in ("buckets", "counts") for x in words.column(c)])
+        return words.select(["chunk"]).slice(0, 1)
 
+    return run
 
-def _trained(network: Network, texts: Iterator[list[str]]) -> bytes | None:
-    """Weights after a pass over `texts`, times the number of words, and that number."""
-    seen = steps = 0
-    for own in texts:
-        hashes, counts = hashed_words(own)
-        network.train(*network.windows(hashes, counts), RATE / math.sqrt(1 + steps / 200))
-        seen, steps = seen + len(hashes), steps + math.ceil(len(hashes) / BATCH)
-    return np.append(network.weights().astype("<f8") * seen, float(seen)).astype("<f8").tobytes() if seen else None
 
+def _with_words(rows: DataFrame, table: DataFrame, n: int) -> tuple[DataFrame, str]:
+    """`rows` (with a column text) with a column chunk, and the folder that has the words of each chunk with counts."""
+    rows = written(rows.mapInArrow(_chunked, f"chunk long, {', '.join(f'{f.name} {f.dataType.simpleString()}' for f in rows.schema)}"), "chunks")
+    ranges, folder = _ranges(rows.sparkSession, n), scratch(rows.sparkSession, "words")
+    pieces = rows.select("chunk", "text").mapInArrow(_chunk_buckets(n, ranges), "chunk long, part int, buckets binary")
+    words = pieces.groupBy("part").cogroup(table.groupBy("part")).applyInArrow(_looked_up(n // ranges), "chunk long, part int, buckets binary, counts binary")
+    words.groupBy("chunk").applyInArrow(_store(folder), "chunk long").count()
+    return rows, folder
 
-def _sums(task: int, groups: int, blob: bytes | None) -> pa.Table:
-    rows = [blob] if blob else []
-    kinds = {"part": pa.int32(), "task": pa.int64(), "sums": pa.binary()}
-    return pa.table({k: pa.array(v, kinds[k]) for k, v in {"part": [task % groups] * len(rows), "task": [task] * len(rows), "sums": rows}.items()})
 
+def _by_chunk(batches: Iterator[pa.RecordBatch], network: Network, folder: str | None) -> Iterator[tuple[Network, pa.RecordBatch]]:
+    """(network with the table for these rows, rows)."""
+    chunk, own = None, network
+    for batch in batches:
+        if folder is None:
+            yield network, batch
+            continue
+        at = batch.column("chunk").to_numpy()
+        edges = np.concatenate(([0], np.flatnonzero(np.diff(at)) + 1, [len(at)])).tolist()
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            if a < b:
+                if at[a] != chunk:
+                    chunk = at[a]
+                    own = network.over(*np.asarray(_map(f"{folder}/{chunk}.bin", "<i8")).reshape(2, -1))
+                yield own, batch.slice(a, b - a)
+
+
+def _one_thread() -> None:
+    """Keep this worker's matrix products on one thread: a task has one core, and idle threads of the library spin."""
+    try:
+        with open("/proc/self/maps") as maps:
+            found = {line.split()[-1] for line in maps if "openblas" in line}
+    except OSError:
+        return
+    for library in map(ctypes.CDLL, found):
+        for name in ("scipy_openblas_set_num_threads64_", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+
+
+SUMS = "part int, task int, sums binary"
+
+
+def _trainer(start: Network, groups: int, folder: str | None):
+    """Weights after a pass over a task's texts, times the number of words, and that number."""
 
-def _trainer(start: Network, groups: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blob = _trained(copy.deepcopy(start), (texts for batch in batches for _, texts in chunks(batch.column(0).to_pylist())))
-        yield from _sums(TaskContext.get().partitionId(), groups, blob).to_batches()
-
-    return run
-
-
-def _chunk_trainer(start: Network, groups: int):
-    def run(chunk, rows, buckets, counts):
-        own = copy.deepcopy(start).over(buckets, counts)
-        task = (chunk >> 32) + (chunk & 0xFFFFFFFF) * 8191  # spread over the groups
-        return _sums(task, groups, _trained(own, (texts for _, texts in chunks(rows.column("text").to_pylist()))))
+        _one_thread()
+        network, seen, steps = copy.deepcopy(start), 0, 0
+        for own, batch in _by_chunk(batches, network, folder):
+            for _, texts in chunks(batch.column("text").to_pylist()):
+                hashes, counts = hashed_words(texts)
+                own.train(*own.windows(hashes, counts), RATE / math.sqrt(1 + steps / 200))
+                seen, steps = seen + len(hashes), steps + math.ceil(len(hashes) / BATCH)
+        if seen:
+            part = TaskContext.get().partitionId()
+            blob = np.append(network.weights() * np.float32(seen), np.float32(seen)).astype("<f4").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([part % groups], pa.int32()), pa.array([part], pa.int32()), pa.array([blob], pa.binary())], names=["part", "task", "sums"])
 
     return run
 
@@ -398,30 +485,41 @@ def _sized(size: int) -> int:
     return max(MIN_BUCKETS, pow2_at_least(size // (6 * WORDS_PER_BUCKET)))
 
 
-def fit(docs: DataFrame, text_col: str = "text") -> Network:
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select((F.col(id_col).cast("long") if id_col in docs.columns else F.lit(None).cast("long")).alias("doc_id"), text_of(text_col).alias("text"))
+
+
+def fit(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Network:
     """A network trained on every text of `docs`."""
-    texts = docs.select(text_of(text_col).alias("text"))
+    rows = _rows(docs, id_col, text_col)
+    texts = rows.select("text")
     n = _sized(texts.agg(F.sum(F.length("text"))).first()[0] or 0)
     groups = max(1, math.isqrt(texts.rdd.getNumPartitions()))
+    folder, turn = None, F.xxhash64("text")
     if n <= TABLE_BUCKETS:
         network = Network(bucket_counts(texts, n))
-        trained = texts.mapInArrow(_trainer(network, groups), SUMS)
     else:
         table = written(counted(texts, n), "counts")
         network = Network(None, layout_of(table, n))
         network.table = table
-        trained = _with_words(written(texts.mapInArrow(_chunked, "chunk long, text string"), "chunks"), table, n, _chunk_trainer(network, groups), SUMS)
-    by_group = trained.groupBy("part").applyInArrow(_ordered_sum, "part int, sums binary")
-    rows = sorted(by_group.collect(), key=lambda r: r["part"])
-    if rows:
-        total = np.sum([np.frombuffer(r["sums"], "<f8") for r in rows], axis=0)
-        network.set_weights(total[:-1] / total[-1])
+        rows, folder = _with_words(rows, table, n)
+        network.fitted = (docs, id_col, text_col), rows, folder
+        # Whole chunks take turns.
+        texts, turn = rows.select("chunk", "text"), F.xxhash64("chunk")
+    rounds = sizes(n)[2]
+    for k in range(rounds):
+        trained = texts.filter(F.pmod(turn, F.lit(rounds)) == k).mapInArrow(_trainer(network, groups, folder), SUMS)
+        by_group = trained.groupBy("part").applyInArrow(_ordered_sum, "part int, sums binary")
+        rows = sorted(by_group.collect(), key=lambda r: r["part"])
+        if rows:
+            total = np.sum([np.frombuffer(r["sums"], "<f4").astype(np.float64) for r in rows], axis=0)
+            network.set_weights(total[:-1] / total[-1])
     return network
 
 
 def _ordered_sum(keys, group):
     """Sums in order of task, so that a rerun gives the same network."""
-    return _summed("<f8", "part", "sums")(keys, group.sort_by("task"))
+    return _summed("<f4", "part", "sums")(keys, group.sort_by("task"))
 
 
 SCORES = "doc_id long, n_words long, log_prob double, mean_log_prob double"
@@ -440,28 +538,21 @@ def _scores(network: Network, ids: pa.Array, rows: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(total, pa.float64()), pa.array(mean, pa.float64(), mask=n == 0)], names=["doc_id", "n_words", "log_prob", "mean_log_prob"])
 
 
-def _scorer(network: Network):
+def _scorer(network: Network, folder: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield _scores(network, batch.column(0), batch.column(1).to_pylist())
-
-    return run
-
-
-def _chunk_scorer(network: Network):
-    def run(chunk, rows, buckets, counts):
-        own = network.over(buckets, counts)
-        return pa.Table.from_batches([_scores(own, b.column("doc_id"), b.column("text").to_pylist()) for b in rows.to_batches()])
+        _one_thread()
+        for own, batch in _by_chunk(batches, network, folder):
+            yield _scores(own, batch.column("doc_id"), batch.column("text").to_pylist())
 
     return run
 
 
 def score(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, log_prob (sum over all words) and mean_log_prob of every text."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    if network.table is None:
-        return rows.mapInArrow(_scorer(network), SCORES)
-    return _with_words(written(rows.mapInArrow(_chunked, "chunk long, doc_id long, text string"), "chunks"), network.table, network.layout.n, _chunk_scorer(network), SCORES)
+    rows, folder = _rows(docs, id_col, text_col), None
+    if network.table is not None:
+        rows, folder = network.fitted[1:] if network.fitted[0][0] is docs and network.fitted[0][1:] == (id_col, text_col) else _with_words(rows, network.table, network.layout.n)
+    return rows.mapInArrow(_scorer(network, folder), SCORES)
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

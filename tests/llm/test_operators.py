@@ -167,6 +167,28 @@ def test_lm_beats_unigram(spark):
     assert np.allclose(mass[mass > 0], 1, atol=1e-3)
 
 
+def test_lm_tells_words_of_a_class_by_context():
+    from skyledger.llm.words import hashed_words
+
+    rng = np.random.default_rng(3)
+    pairs = [(f"a{k}", f"b{k}") for k in range(150)]
+    texts = [" ".join(w for k in rng.integers(0, 150, 200) for w in pairs[k]) for _ in range(600)]
+    hashes, counts = hashed_words(texts)
+    network = lm_scoring.Network(np.bincount(lm_scoring._buckets(hashes, 4096), minlength=4096))
+    for _ in range(3):
+        network.train(*network.windows(hashes, counts), 0.1)
+    buckets, around = network.windows(hashes[:20_000], np.array([20_000]))
+    second = np.arange(1, 20_000, 2)
+    # Another word of the same class in the place of a pair's second word
+    other = np.array([rng.choice(same[same != b]) if len(same := np.unique(buckets[second][network.classes[buckets[second]] == network.classes[b]])) > 1 else -1 for b in buckets[second[:500]]])
+    at, other = second[:500][other >= 0], other[other >= 0]
+    gain = network.log_probabilities(buckets[at], around[:, at]) - network.log_probabilities(other, around[:, at])
+    assert len(at) > 100 and (gain - network.share[buckets[at]] + network.share[other]).mean() > 0.1
+    # Words are read as such, and the model follows the corpus.
+    assert len(np.unique(network.symbols[np.unique(buckets)])) > 250
+    assert all(a < b for a, b in zip(lm_scoring.sizes(1 << 12), lm_scoring.sizes(1 << 20), strict=True))
+
+
 def test_lm_counts_beyond_a_table(spark, documents, monkeypatch):
     def scores():
         network = lm_scoring.fit(one)
