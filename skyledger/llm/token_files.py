@@ -39,7 +39,7 @@ MANIFEST = "shard int, path string, docs long, ids long, width int"
 
 class LibraryEncoder:
     """Ids by the tokenizers library. Where the file's pre-tokenizer is plain byte-level BPE, the library's model gets
-    each distinct pre-token once; else whole texts go through the library."""
+    each distinct pre-token once, and texts that hold an added token go through the library; else all texts do."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -48,11 +48,11 @@ class LibraryEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         with open(path, encoding="utf-8") as text:
             parts = json.load(text)
         pre = parts.get("pre_tokenizer") or {}
         plain = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not parts.get("normalizer") and parts["model"]["type"] == "BPE"
+        self.added = [t["content"] for t in parts.get("added_tokens") or [] if t["content"]]
         self.cached = CachedEncoder(self._piece) if plain else None
         # The byte-level alphabet: printable Latin-1 bytes stand for themselves, the rest for code points from 256.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -62,11 +62,19 @@ class LibraryEncoder:
     def _piece(self, token: str) -> list[int]:
         return [t.id for t in self.library.model.tokenize(token.encode().decode("latin-1").translate(self.alphabet))]
 
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        if self.cached is not None:
-            return self.cached.texts(texts)
+    def _whole(self, texts: list[str]) -> Iterator[np.ndarray]:
         return (np.array(x.ids, "<u4") for x in self.library.encode_batch(texts, add_special_tokens=False))
 
+    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        if self.cached is None:
+            yield from self._whole(texts)
+            return
+        marked = [any(a in t for a in self.added) for t in texts]
+        plain = self.cached.texts([t for t, m in zip(texts, marked, strict=True) if not m])
+        whole = self._whole([t for t, m in zip(texts, marked, strict=True) if m])
+        for m in marked:
+            yield next(whole if m else plain)
+
 
 _MADE: dict[str, LibraryEncoder] = {}
 

@@ -245,6 +245,17 @@ def test_token_files(spark, documents, tmp_path):
     assert token_files.TokenFiles(first["path"], first["width"])[0][-1] == 0
 
 
+def test_token_files_with_added_tokens():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    texts = ["plain words", "a <|endoftext|> b", "", "<|endoftext|><|endoftext|>", "<|endoftext", "more\n<|endoftext|>'s ünï"]
+    got = [x.tolist() for x in token_files.LibraryEncoder(path).encode(texts)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 50256 in got[1]
+
+
 PAGE = '<html><head><title>T</title></head><body><nav><a href="/">Home</a> menu</nav><div class="cookie-notice">We use cookies</div>{0}<h1>Head &amp; line</h1><p>One <b>bo</b>ld\n text<br>more.<p>Last</p><script>var a="</p>"</script><form>no <input></form>{1}<div id="comments"><p>bad words here</p></div><aside>side</aside><footer>&copy; x</footer></body></html>'
 
 
