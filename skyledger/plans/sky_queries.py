@@ -191,6 +191,11 @@ def nn_self_plane(spark, d):
     return crossmatch.nearest_others(points(spark, d, "part", "p_partkey"), 300.0, "id").select("left_id", "right_id", F.round("dist", 9).alias("dist"))
 
 
+@query("nn_self_plane_all", f"SELECT a.id AS left_id, min_by(b.id, ROW({DIST}, b.id)) AS right_id, round(min({DIST}), 9) AS dist FROM ({PARTS}) a JOIN ({PARTS}) b ON a.id <> b.id GROUP BY a.id")
+def nn_self_plane_all(spark, d):
+    return crossmatch.all_nearest_others(points(spark, d, "part", "p_partkey"), "id").select("left_id", "right_id", F.round("dist", 9).alias("dist"))
+
+
 @query("isolated_points", f"SELECT a.id FROM ({PARTS}) a WHERE NOT EXISTS (SELECT 1 FROM ({PARTS}) b WHERE a.id <> b.id AND {DIST} <= 100)")
 def isolated_points(spark, d):
     p = points(spark, d, "part", "p_partkey")
@@ -205,7 +210,21 @@ def isolated_points(spark, d):
 )
 def two_nn_angle(spark, d):
     p = points(spark, d, "part", "p_partkey")
-    two = crossmatch.nearest_others(p, 400.0, "id", 2)
+    return _same_side(p, crossmatch.nearest_others(p, 400.0, "id", 2))
+
+
+@query(
+    "two_nn_angle_all",
+    f"""WITH p AS (SELECT a.id, b.x - a.x AS dx, b.y - a.y AS dy, row_number() OVER (PARTITION BY a.id ORDER BY {DIST}, b.id) AS nth FROM ({PARTS}) a JOIN ({PARTS}) b ON a.id <> b.id)
+    SELECT p.id AS left_id, round(p.dx * q.dx + p.dy * q.dy, 3) AS dot FROM p JOIN p q ON p.id = q.id AND p.nth = 1 AND q.nth = 2 WHERE p.dx * q.dx + p.dy * q.dy > 0""",
+)
+def two_nn_angle_all(spark, d):
+    p = points(spark, d, "part", "p_partkey")
+    return _same_side(p, crossmatch.all_nearest_others(p, "id", 2))
+
+
+def _same_side(p, two):
+    """Points whose two nearest others lie within a right angle, with the dot product."""
     at = lambda df, k, tag: df.join(p.select(F.col("id").alias(k), F.col("x").alias(f"{tag}x"), F.col("y").alias(f"{tag}y")), k)
     placed = at(at(two, "left_id", "a"), "right_id", "b").withColumns({"dx": F.col("bx") - F.col("ax"), "dy": F.col("by") - F.col("ay")})
     one = lambda c, n: F.max(F.when(F.col("nth") == n, F.col(c)))
