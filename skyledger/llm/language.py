@@ -2,8 +2,9 @@
 
 A text's features are square roots of the shares of hashed byte pairs and triples of its lower-cased letters, at unit
 length. One-versus-rest machines choose the language family; within it, a machine for each pair of languages votes.
-Machines are fitted with squared hinge loss on at most SAMPLE texts of each language, those of smallest digest of
-their id among the rows allowed for learning; prediction covers every whole text.
+Machines are fitted with squared hinge loss on at most SAMPLE texts of each language (fewer where TOTAL would be
+exceeded), those of smallest digest of their id among the rows allowed for learning; every language is learned;
+prediction covers every whole text.
 
 Results for special input: a null text, or one without a letter, is 'und' with score 0; so is every text if there is
 nothing to learn from; a null language is never learned from; repeated rows each give a row; an empty table gives
@@ -23,8 +24,8 @@ from skyledger.llm._common import table
 
 #: Texts of each language that the machines are fitted on, at most.
 SAMPLE = 400
-#: Languages that can be told apart, at most (the most frequent ones); bounds what the driver gathers.
-LANGUAGES = 64
+#: Texts of all languages that machines are fitted on, at most, but LEAST of each; the driver gathers these with a margin.
+TOTAL, LEAST = 25_600, 8
 BITS = 12
 STEPS = 150
 PENALTY = 1e-4
@@ -145,14 +146,19 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     The digests of a language's rows are spread evenly, so a bound on the digest gives about SAMPLE rows of each."""
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col).cast("string"), F.lit("lang")).alias("digest"), F.col(text_col).alias("text")).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(LANGUAGES).collect()
+    counts = rows.groupBy("lang").count().orderBy("lang").collect()
     if not counts:
         return Model(np.zeros((0, 1 << BITS), np.float32), [])
-    bound = {r["lang"]: int(2**63 * min(1.0, SAMPLE / r["count"])) - 1 for r in counts}
-    limit = F.element_at(F.create_map(*(F.lit(v) for pair in bound.items() for v in pair)), F.col("lang"))
-    few = rows.filter(F.col("digest").bitwiseAND(F.lit(2**63 - 1)) <= limit).mapInArrow(_sampled, "lang string, digest long, x binary")
+    most = min(SAMPLE, max(LEAST, TOTAL // len(counts)))
+    # Rows below the bound are Poisson in number, so few are asked for with a margin; no language is left without any.
+    bound = {r["lang"]: int(2**63 * min(1.0, (most if most == SAMPLE else most + 3 * most**0.5 + 4) / r["count"])) - 1 for r in counts}
+    limits = F.broadcast(docs.sparkSession.createDataFrame(list(bound.items()), "lang string, bound long"))
+    few = rows.join(limits, "lang").filter(F.col("digest").bitwiseAND(F.lit(2**63 - 1)) <= F.col("bound")).select("lang", "digest", "text").mapInArrow(_sampled, "lang string, digest long, x binary")
     found = sorted(few.collect(), key=lambda r: (r["lang"], r["digest"] & (2**63 - 1), r["x"]))
-    taken = {k: [r for r in found if r["lang"] == k][:SAMPLE] for k in bound}
+    taken = {k: [] for k in bound}
+    for r in found:
+        if len(taken[r["lang"]]) < most:
+            taken[r["lang"]].append(r)
     chosen = [r for k in sorted(taken) for r in taken[k]]
     x = np.frombuffer(b"".join(r["x"] for r in chosen), np.float16).reshape(len(chosen), 1 << BITS).astype(np.float32)
     return Model(x, [r["lang"] for r in chosen])

@@ -150,6 +150,19 @@ def test_language_held_out(spark):
     assert model.predict("abc") == ("und", 0.0)
 
 
+def test_language_learns_every_language(spark):
+    def text(k, j):
+        rng = np.random.default_rng(1000 * k + j)
+        own = [chr(0x4E00 + 40 * k + i) for i in range(40)]
+        return " ".join("".join(rng.choice(own, 4)) for _ in range(30))
+
+    # The least frequent of 70 languages is known too.
+    rows = [(100 * k + j, text(k, j), f"x{k:02d}") for k in range(70) for j in range(4 if k == 69 else 6)]
+    model = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.langs == [f"x{k:02d}" for k in range(70)]
+    assert model.predict(text(69, 99))[0] == "x69"
+
+
 def test_lm_beats_unigram(spark):
     documents = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     network = lm_scoring.fit(documents)
