@@ -277,6 +277,12 @@ def test_html(marks):
     assert html_text.extract(PAGE.format(*marks)) == "Head & line\nOne bold text more.\nLast"
 
 
+def test_html_without_marks(spark):
+    pages = [r.html or "" for r in spark.read.parquet(f"{SF}/pages.parquet").orderBy("page_id").limit(60).collect()]
+    weights = html_text.fit_weights(pages[:30])
+    assert all(html_text.extract(re.sub(r"(?i)<(/?)(article|main)\b", r"<\1div", p), weights) == html_text.extract(p, weights) for p in pages[30:])
+
+
 def test_html_odd_pages():
     assert html_text.extract(None) == html_text.extract("") == html_text.extract("<p></p>") == ""
     assert html_text.extract("plain words") == "plain words"
