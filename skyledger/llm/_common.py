@@ -23,11 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def text_of(name: str = "text") -> Column:
-    return F.coalesce(F.col(name).cast("string"), F.lit(""))
+    return F.coalesce(column(name).cast("string"), F.lit(""))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one is set only where none is configured (tests)."""
+    """The folder that driver and executors share. Where none is configured, a local session (tests) gets a temporary one;
+    on a cluster that is an error, as executors wouldn't see each other's files."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         context = spark.sparkContext
@@ -35,6 +36,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not found:
         found = getattr(spark, "_skyledger_tmp", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="skyledger-")
         spark._skyledger_tmp = found
     return found.rstrip("/")
@@ -67,6 +70,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(columns: list[str], name: str) -> str:
+    """`name`, with as many underscores before it as make it unlike every one of `columns` (in any case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def column(name: str) -> Column:
+    """The column of just this name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def text_key(text: Column) -> Column:
+    """128 bits that stand for a text (null apart), as a struct of two longs."""
+    return F.struct(F.xxhash64(text).alias("one"), F.xxhash64(F.lit(1), text).alias("two"))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

@@ -18,14 +18,17 @@ covers its own. So only such meetings count, which spares pairs of a set of rare
 
 Buckets of the index never give all their pairs. First every member is verified against one pivot of its bucket;
 members then in one component need no further comparison, and a pair (x, y) is ruled out by the triangle inequality
-of Jaccard distance, |d(pivot, x) - d(pivot, y)| > 0.25. What is left is compared pair by pair: first by bitmaps of
-half a byte an element, which bound the intersection from above and rule out nearly all unlike pairs, then exactly,
-on the whole sets of the few documents that remain. Documents of equal sets are one node from the start.
+of Jaccard distance, |d(pivot, x) - d(pivot, y)| > 0.25. Members of crowded buckets that
+are still open meet by a prefix filter instead: each set's rare elements, by counts among these sets alone. What is left
+is compared pair by pair: first by bitmaps of half a byte an element, which bound the intersection from above and rule out
+nearly all unlike pairs, then exactly, on the whole sets of the few documents that remain. Documents of equal sets are one
+node from the start.
 
 Results for special input: a null text, or one without words, has an empty set and is linked with nothing (its
 component is its own id); fewer than five words make one shingle; repeated rows each give a row; a null id counts
 as larger than all others (a component of null ids only has a null id); an empty table gives an empty result; other
-columns are ignored. Sets and nodes are told apart by 64-bit hashes.
+columns are ignored. A very long text is one set like any other. Sets and nodes are told apart by 64-bit hashes, of
+shingles of words (a cryptographic digest stands for a word of more than 64 bytes).
 """
 
 from __future__ import annotations
@@ -38,8 +41,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm._common import BROADCAST_ROWS, partitions, pow2_at_least, table, text_of, written
+from skyledger.llm._common import BROADCAST_ROWS, column, partitions, pow2_at_least, table, text_key, text_of, unused, written
 from skyledger.llm.components import components
+from skyledger.llm.exact_dedup import one_of_each
 from skyledger.llm.pretoken import mixed
 from skyledger.llm.words import chunks, hashed_words, shingles
 
@@ -121,7 +125,7 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sizes.append(len(tokens))
                 nodes.append(node_of(tokens))
                 maps.append(bitmap_of(tokens))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(maps, pa.binary())], names=["doc_id", "n_shingles", "node", "bits"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(maps, pa.binary())], names=["doc_id", "key", "n_shingles", "node", "bits"])
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,6 +134,10 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in chunks(batch.column(0).to_pylist()):
             for tokens in sets_of(texts):
                 np.add.at(counts, _counter_of(tokens), 1)
+    yield from _split_counts(counts)
+
+
+def _split_counts(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
     for k, part in enumerate(np.split(counts, RANGES)):
         if part.any():
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part.astype("<i8").tobytes()], pa.binary())], names=["part", "counts"])
@@ -142,19 +150,22 @@ def _add_up(keys, group):
     return pa.table({"part": pa.array([keys[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
 
 
-def frequency_costs(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """For each counter 0 if its elements are rare, else a logarithmic estimate of their document frequency; and the same
-    scale without a threshold, to order elements by.
-
-    A counter holds many elements; what it has above the mean and eight deviations counts as one element's."""
+def _summed(sketches: DataFrame) -> np.ndarray:
+    """The counters of all partitions together: COUNTERS numbers, whatever the table."""
     counts = np.zeros((RANGES, COUNTERS // RANGES), np.int64)
-    for row in texts.mapInArrow(_sketch, "part int, counts binary").groupBy("part").applyInArrow(_add_up, "part int, counts binary").collect():
+    for row in sketches.groupBy("part").applyInArrow(_add_up, "part int, counts binary").collect():
         counts[row["part"]] = np.frombuffer(row["counts"], "<i8")
-    flat = counts.reshape(-1)
-    middle = float(np.median(flat))
-    above = flat - middle - 8 * np.sqrt(middle)
-    scale = lambda v: np.clip(8 * np.log2(np.maximum(v, 1)), 0, 255)
-    return np.where(above >= FREQUENT, np.maximum(scale(above), 1), 0).astype(np.uint8), scale(flat - middle).astype(np.uint8)
+    return counts.reshape(-1)
+
+
+def frequency_costs(texts: DataFrame) -> np.ndarray:
+    """For each counter 0 if its elements are rare, else a logarithmic estimate of their document frequency.
+
+    A counter holds many elements; what it has above the mean and eight deviations counts as one element's."""
+    counts = _summed(texts.mapInArrow(_sketch, "part int, counts binary"))
+    middle = float(np.median(counts))
+    above = counts - middle - 8 * np.sqrt(middle)
+    return np.where(above >= FREQUENT, np.maximum(np.clip(8 * np.log2(np.maximum(above, 1)), 0, 255), 1), 0).astype(np.uint8)
 
 
 def _allocate(owner: np.ndarray, base: np.ndarray, m: np.ndarray, size: np.ndarray, rare: np.ndarray, cost: np.ndarray, rich: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -402,15 +413,13 @@ def compared(pairs: DataFrame, held: DataFrame, rows: DataFrame) -> DataFrame:
     return written(exact.select("a", "b", _linked().alias("linked"), _distance().alias("low"), _distance().alias("high"), "common").unionByName(unlike), "compared")
 
 
-
-
-
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id. `docs` is read five times."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    members = written(rows.mapInArrow(_members, "doc_id long, n_shingles long, node long, bits binary"), "members")
+def node_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, key (of the text), n_shingles, comp (a number that the documents of a component share) per row of `docs`,
+    which is read five times."""
+    rows = docs.select(column(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    members = written(rows.withColumn("key", text_key(F.col("text"))).mapInArrow(_members, "doc_id long, key struct<one:long,two:long>, n_shingles long, node long, bits binary"), "members")
     texts = rows.select("text")
-    costs, order = frequency_costs(texts)
+    costs = frequency_costs(texts)
     index = texts.mapInArrow(_indexer(costs, pow2_at_least(PARTS * partitions(docs.sparkSession))), "part int, entries binary")
     buckets = written(with_pivots(written(index.groupBy("part").applyInArrow(_buckets, BUCKETS).distinct(), "buckets")), "pivots")
 
@@ -423,10 +432,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = buckets.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     first = compared(stars, held, named_rows)
     known = components(first.filter("linked"))
-    rest = compared(remaining_pairs(buckets, first, known, held, named_rows, order), held, named_rows)
+    rest = compared(remaining_pairs(buckets, first, known, held, named_rows), held, named_rows)
     found = components(rest.filter("linked"), known)
+    return members.join(found, "node", "left").select("doc_id", "key", "n_shingles", F.coalesce("comp", "node").alias("comp"))
+
 
-    named = members.join(found, "node", "left").select("doc_id", "n_shingles", F.coalesce("comp", "node").alias("comp"))
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id."""
+    named = node_components(docs, id_col, text_col)
     least = named.filter("n_shingles > 0").groupBy("comp").agg(F.min("doc_id").alias("least_id")).withColumnRenamed("comp", "least_comp")
     joined = named.join(least, (named["comp"] == least["least_comp"]) & (named["n_shingles"] > 0), "left")
     return joined.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least_id")).otherwise(F.col("doc_id")).alias("component_id"))
@@ -441,14 +454,22 @@ def with_pivots(buckets: DataFrame) -> DataFrame:
     return buckets.join(best, buckets["bucket"] == best["p_bucket"]).select("bucket", "node", "size", "kind", "reach", "pivot")
 
 
-RESIDUE = np.dtype([("key", "<u8"), ("node", "<i8"), ("comp", "<i8"), ("size", "<i4"), ("outer", "u1")])
+PREFIX = np.dtype([("key", "<u8"), ("node", "<i8"), ("comp", "<i8"), ("size", "<i4"), ("place", "<i4")])
 
 
-def _residues(parts: int, scale: np.ndarray):
-    """The first size / 4 + 1 elements, rare ones first, that a member has outside its pivot; in one row for each part and flush.
+def _finer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(COUNTERS, np.int64)
+    for batch in batches:
+        for x in batch.column(0):
+            np.add.at(counts, _counter_of(np.frombuffer(x.as_buffer(), np.uint64)), 1)
+    yield from _split_counts(counts)
+
 
-    Similar x and y with a = 3 (|x| + |y|) / 7 have at least t = a - min(|x & p|, |y & p|) common elements outside a pivot p. If
-    t > 0, the first |x - p| - t + 1 <= |x| - a + 1 elements outside p by any order, and those of y, have one in common."""
+def _prefixes(parts: int, counts: np.ndarray):
+    """The first size / 4 + 1 elements of each set, rare ones first, with their places; in one row for each part and flush.
+
+    Linked x and y have at least a = 3 (|x| + |y|) / 7 common elements, so that by any order of elements the first one they
+    share is among the first |x| - a + 1 of x, which are |x| / 4 + 1 at most, and among the first |y| - a + 1 of y."""
     bits = parts.bit_length() - 1
 
     def packed(found: list[np.ndarray]) -> pa.RecordBatch:
@@ -462,12 +483,11 @@ def _residues(parts: int, scale: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, gathered = [], 0
         for batch in batches:
-            for x, y, pivot, node, size, comp, p_comp in zip(batch.column("pivot_tokens"), batch.column("tokens"), *(batch.column(c).to_pylist() for c in ("pivot", "node", "size", "comp", "p_comp")), strict=True):
-                own = np.setdiff1d(np.frombuffer(y.as_buffer(), np.uint64), np.frombuffer(x.as_buffer(), np.uint64), assume_unique=True)
-                own = own[np.lexsort((own, scale[_counter_of(own)]))[: size // 4 + 1]]
-                rows = np.empty(len(own), RESIDUE)
-                rows["key"] = mixed(own ^ mixed(np.array([pivot], np.int64).view(np.uint64)))
-                rows["node"], rows["comp"], rows["size"], rows["outer"] = node, comp, size, comp != p_comp
+            for x, node, comp in zip(batch.column("tokens"), batch.column("node").to_pylist(), batch.column("comp").to_pylist(), strict=True):
+                own = np.frombuffer(x.as_buffer(), np.uint64)
+                first = own[np.lexsort((own, counts[_counter_of(own)]))[: len(own) // 4 + 1]]
+                rows = np.empty(len(first), PREFIX)
+                rows["key"], rows["node"], rows["comp"], rows["size"], rows["place"] = mixed(first), node, comp, len(own), np.arange(len(first))
                 found.append(rows)
                 gathered += len(rows)
                 if gathered >= FLUSH:
@@ -480,44 +500,45 @@ def _residues(parts: int, scale: np.ndarray):
 
 
 def _sharing(keys, group):
-    """Pairs of a part that share an element outside their pivot, one of them outside the pivot's component."""
-    rows = np.concatenate([np.frombuffer(x.as_buffer(), RESIDUE) for x in group.column("entries")])
-    rows = rows[np.argsort(rows["key"], kind="stable")]
+    """Pairs of a part, of different components, that share an element where the first one they share can be."""
+    rows = np.concatenate([np.frombuffer(x.as_buffer(), PREFIX) for x in group.column("entries")])
+    rows = rows[np.lexsort((rows["comp"], rows["key"]))]
     start = np.flatnonzero(np.concatenate(([True], rows["key"][1:] != rows["key"][:-1]))) if len(rows) else np.zeros(0, np.int64)
-    each = np.diff(np.append(start, len(rows)))
-    live = (each > 1) & (np.maximum.reduceat(rows["outer"], start) > 0) & (np.minimum.reduceat(rows["comp"], start) != np.maximum.reduceat(rows["comp"], start)) if len(start) else each > 1
+    stop = np.append(start, len(rows))[1:]
+    live = rows["comp"][start] != rows["comp"][stop - 1] if len(start) else np.zeros(0, bool)
     found: list[np.ndarray] = []
-    for a, n in zip(start[live].tolist(), each[live].tolist(), strict=True):
-        own = rows[a : a + n]
-        for x in own[own["outer"] > 0]:
-            y = own[own["comp"] != x["comp"]]
-            y = y[np.minimum(y["size"], x["size"]) * 100 >= np.maximum(y["size"], x["size"]) * PERCENT]["node"]
-            found.append(np.stack((np.minimum(y, x["node"]), np.maximum(y, x["node"]))))
+    for a, b in zip(start[live].tolist(), stop[live].tolist(), strict=True):
+        own = rows[a:b]
+        size, rest = own["size"].astype(np.int64), own["size"].astype(np.int64) - own["place"]
+        # Rows are ordered by component: each run meets all later ones.
+        nexts = np.searchsorted(own["comp"], own["comp"], "right")
+        for k in np.flatnonzero(nexts < len(own)).tolist():
+            n = nexts[k]
+            y = own["node"][n:][np.minimum(rest[k], rest[n:]) * 7 >= 3 * (size[k] + size[n:])]
+            if len(y):
+                found.append(np.stack((np.minimum(y, own["node"][k]), np.maximum(y, own["node"][k]))))
         if len(found) > 10_000:
             found = [np.unique(np.concatenate(found, axis=1), axis=1)]
     both = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
     return pa.table({"a": pa.array(both[0], pa.int64()), "b": pa.array(both[1], pa.int64())})
 
 
-def remaining_pairs(buckets: DataFrame, stars: DataFrame, known: DataFrame, held: DataFrame, rows: DataFrame, order: np.ndarray) -> DataFrame:
+def remaining_pairs(buckets: DataFrame, stars: DataFrame, known: DataFrame, held: DataFrame, rows: DataFrame) -> DataFrame:
     """Distinct pairs (a, b) of a bucket that neither a component nor the distances to the pivot settle.
 
-    In a bucket of more than SMALL members pairs are not simply formed. If x has more elements outside the pivot than it
-    may have outside a similar y, then y has one of these: such pairs are found by an equality join on elements
-    outside the pivot, of which only the first few, rare ones first, need be looked at. Only pairs of which neither set
-    has so many are formed.
+    In a bucket of more than SMALL members pairs are not simply formed: the members of all such buckets are joined by the
+    rare elements of their sets (prefix filter), with elements ordered by their counts among these sets alone. What edits
+    have put into copies of one text comes first by that order, what the copies share comes last.
     """
     c = F.col
-    near = stars.select(c("a").alias("one"), c("b").alias("other"), "low", "high", "common")
-    near = near.unionByName(near.select(c("other").alias("one"), c("one").alias("other"), "low", "high", "common")).withColumnsRenamed({"one": "pivot", "other": "node"})
-    pivots = known.select(c("node").alias("pivot"), c("comp").alias("p_comp"))
+    near = stars.select(c("a").alias("one"), c("b").alias("other"), "low", "high")
+    near = near.unionByName(near.select(c("other").alias("one"), c("one").alias("other"), "low", "high")).withColumnsRenamed({"one": "pivot", "other": "node"})
     own = ("node", "size", "kind", "reach")
-    placed = buckets.filter("node <> pivot").join(near, ["pivot", "node"]).join(known, "node", "left").join(pivots, "pivot", "left")
-    placed = placed.select("bucket", "pivot", *own, "low", "high", (c("size") - c("common")).alias("lacks"), F.coalesce("comp", "node").alias("comp"), F.coalesce("p_comp", "pivot").alias("p_comp"))
+    placed = buckets.filter("node <> pivot").join(near, ["pivot", "node"]).join(known, "node", "left")
+    placed = placed.select("bucket", *own, "low", "high", F.coalesce("comp", "node").alias("comp"))
     open_ = placed.groupBy(c("bucket").alias("open_bucket")).agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count(F.lit(1)).alias("met")).filter("least < most").select("open_bucket", "met")
     inside = written(placed.join(open_, placed["bucket"] == open_["open_bucket"]).drop("open_bucket"), "open")
-    fields = (*own, "low", "high", "lacks", "comp")
-    side = lambda df, t: df.select("bucket", *(c(f).alias(f"{t}_{f}") for f in fields))
+    side = lambda df, t: df.select("bucket", *(c(f).alias(f"{t}_{f}") for f in (*own, "low", "high", "comp")))
     slack = (100 - PERCENT) / 100 + 1e-9
     half = lambda t: F.shiftright(c(f"{t}_reach"), 1)
     uses = lambda t, u: (F.struct(half(t), f"{t}_node") < F.struct(half(u), f"{u}_node")) & ((c(f"{t}_kind") == EXACT) | (c(f"{t}_kind") == DELETION) & (c(f"{u}_kind") != DELETION))
@@ -530,31 +551,39 @@ def remaining_pairs(buckets: DataFrame, stars: DataFrame, known: DataFrame, held
         & (c("x_low") - c("y_high") <= slack)
         & (c("y_low") - c("x_high") <= slack)
     )
-    # Elements that one set of a linked pair may have outside the other.
-    spare = lambda t: c(f"{t}_size") - F.floor((c("x_size") * 3 + c("y_size") * 3 + 6) / 7)
     pair = (F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b"))
     few, many = inside.filter(c("met") <= SMALL), inside.filter(c("met") > SMALL)
     formed = side(few, "x").join(side(few, "y"), "bucket").filter(meet & (c("x_node") < c("y_node"))).select(*pair)
-    close = many.filter(c("lacks") * 4 <= c("size"))
-    outer = close.filter("comp <> p_comp")
-    formed = formed.union(side(outer, "x").join(side(close, "y"), "bucket").filter(meet & (c("x_node") != c("y_node")) & (c("x_lacks") <= spare("x")) & (c("y_lacks") <= spare("y"))).select(*pair))
-
-    # A pivot all of whose members are in its component needs nothing more.
-    wanted = many.filter("comp <> p_comp").select(c("pivot").alias("w_pivot")).distinct()
-    many = many.join(wanted, many["pivot"] == wanted["w_pivot"], "left_semi")
-    apart = written(many.groupBy("pivot", "node").agg(F.max("size").alias("size"), F.max("comp").alias("comp"), F.max("p_comp").alias("p_comp")), "apart")
-    sets = whole_sets(apart.select("node").union(apart.select("pivot")), held, rows)
-    both = apart.join(sets, "node").join(sets.select(c("node").alias("pivot"), c("tokens").alias("pivot_tokens")), "pivot")
-    columns = ("pivot", "node", "size", "comp", "p_comp", "tokens", "pivot_tokens")
+
+    apart = written(many.groupBy("node").agg(F.max("comp").alias("comp")), "apart")
+    sets = whole_sets(apart.select("node"), held, rows)
+    counts = _summed(sets.select("tokens").mapInArrow(_finer, "part int, counts binary"))
     parts = pow2_at_least(partitions(buckets.sparkSession))
-    sharing = both.select(*columns).mapInArrow(_residues(parts, order), "part int, entries binary").groupBy("part").applyInArrow(_sharing, "a long, b long")
+    sharing = apart.join(sets, "node").select("node", "comp", "tokens").mapInArrow(_prefixes(parts, counts), "part int, entries binary").groupBy("part").applyInArrow(_sharing, "a long, b long")
     return formed.union(sharing).distinct()
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with one document of each component, that of the least id; ids are unique and not null."""
-    gone = near_duplicates(docs, id_col, text_col).filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone_id"))
-    return docs.join(gone, docs[id_col].cast("long") == gone["_gone_id"], "left_anti")
+    """`docs` with one row of each component, that of the smallest id; documents without words all stay.
+
+    Rows are told apart by their id and 128 bits of their text: rows alike in both have the same set, so that at most one
+    of them stays anyway. A null id comes after all others; of repeated rows one stays; an empty table stays empty; other
+    columns may have any names.
+    """
+    c = F.col
+    named = node_components(docs, id_col, text_col).filter("n_shingles > 0").groupBy("comp", "doc_id", "key").agg(F.count(F.lit(1)).alias("times"))
+    order = F.struct(c("doc_id").isNull().alias("unnamed"), "doc_id", "key")
+    groups = named.groupBy(c("comp").alias("g_comp")).agg(F.min(order).alias("first"), F.sum("times").alias("members")).filter("members > 1")
+    verdicts = named.join(groups, named["comp"] == groups["g_comp"]).select("doc_id", "key", (order == c("first")).alias("stays"), "times")
+    verdicts = written(verdicts.filter("not stays or times > 1"), "verdicts")
+    own, key = unused(docs.columns, "own_id"), unused(docs.columns, "text_key")
+    rows = docs.withColumns({own: column(id_col).cast("long"), key: text_key(text_of(text_col))})
+    alike = rows[own].eqNullSafe(verdicts["doc_id"]) & (rows[key] == verdicts["key"])
+    rest = rows.join(verdicts.select("doc_id", "key"), alike, "left_anti").select(*map(column, docs.columns))
+    repeated = verdicts.filter("stays")
+    if not repeated.limit(1).count():
+        return rest
+    return rest.unionByName(one_of_each(rows.join(repeated, alike, "left_semi"), [own, key], id_col, docs.columns))
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ rows of fitting size until the rest is below that of small documents. Within a c
 extra copy; large cells are split into buckets by digest, so that none is ranked in one task.
 
 Results for special input: a null text has size 0 and takes 0 copies' words; null is a source of its own, after all
-others; a null id has one digest; repeated rows each give a row (their order within the cell is that of equal
+others; a very long text is a size like any other; a null id has one digest; repeated rows each give a row (their order within the cell is that of equal
 digests, so which of them has the extra copy doesn't show); an empty table gives an empty result; other columns
 are ignored by `mix`.
 """
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from skyledger.llm._common import WORD, table, text_of, written
+from skyledger.llm._common import WORD, column, table, text_of, unused, written
 
 WEIGHTS = (5, 2, 1)
 #: The mix has so many percent of all tokens; a document comes CAP times at most, and so does a source.
@@ -31,12 +31,11 @@ SHARE_PERCENT = 150
 CAP = 2
 #: A cell with more documents is split into buckets.
 CELL_ROWS = 100_000
-STEPS = 40
-#: Newton steps between two writings of the tilts, and the residual (as a share of the target) that ends them.
+#: Newton steps between two writings of the tilts, the residual (as a share of the target) that ends them, and the steps
+#: after which a tilt that has not met it is an error (bisection alone is through in half as many).
 CUT_EVERY = 4
 CLOSE = 1e-7
-#: Rounds that settle what rounding leaves.
-ROUNDS = 4
+STEPS = 200
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: int = SHARE_PERCENT, cap: int = CAP) -> DataFrame:
@@ -101,16 +100,23 @@ def tilts(cells: DataFrame, aims: DataFrame, cap: int = CAP, steps: int = STEPS)
             state = written(state, "tilts")
             if not state.filter(F.col("off") > CLOSE).limit(1).count():
                 break
+    else:
+        raise ArithmeticError(f"tilts of {state.filter(F.col('off') > CLOSE).count()} sources have not converged in {steps} steps")
     return state.unionByName(start.filter(full).withColumn("tilt", F.lit(None).cast("double")))
 
 
-def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, source, size (words of the text)."""
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias("size"))
+def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None) -> DataFrame:
+    """doc_id, row (the number of the row, if it has one, else null), source, size (words of the text)."""
+    row = F.lit(None).cast("long") if row_col is None else column(row_col)
+    return docs.select(column(id_col).alias("doc_id"), row.alias("row"), column(source_col).cast("string").alias("source"), F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias("size"))
 
 
 def copies(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: int = SHARE_PERCENT, cap: int = CAP, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """doc_id, source, size, source_size, target, rate, copies for rows of doc_id, source, size (which are read three times)."""
+    """doc_id, row, source, size, source_size, target, rate, copies for rows of doc_id, source, size (which are read three times).
+
+    `row`, null where the rows have none, tells rows of one id apart."""
+    if "row" not in rows.columns:
+        rows = rows.withColumn("row", F.lit(None).cast("long"))
     by_size = written(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "sizes")
     aims = written(targets(by_size.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size")), weights, percent, cap), "targets")
     solved = tilts(by_size, aims, cap)
@@ -130,37 +136,51 @@ def copies(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: int = S
     quota = filled.withColumn("upto", upto).withColumn("extra", F.col("upto") - F.coalesce(F.lag("upto").over(before), F.lit(0)))
     quota = _settled(quota.drop("upto"), aims, cap)
     quota = quota.select(F.col("source").alias("q_source"), F.col("size").alias("q_size"), F.col("bucket").alias("q_bucket"), "extra")
-    ranked = placed.withColumn("nth", F.row_number().over(Window.partitionBy(*own).orderBy("digest", "doc_id")))
+    ranked = placed.withColumn("nth", F.row_number().over(Window.partitionBy(*own).orderBy("digest", "doc_id", "row")))
     joined = ranked.join(quota, F.col("source").eqNullSafe(F.col("q_source")) & (F.col("size") == F.col("q_size")) & (F.col("bucket") == F.col("q_bucket")))
-    return joined.select("doc_id", "source", "size", "source_size", "target", "rate", F.least(F.floor("rate") + F.when(F.col("nth") <= F.col("extra"), 1).otherwise(0), F.lit(cap)).cast("long").alias("copies"))
+    return joined.select("doc_id", "row", "source", "size", "source_size", "target", "rate", F.least(F.floor("rate") + F.when(F.col("nth") <= F.col("extra"), 1).otherwise(0), F.lit(cap)).cast("long").alias("copies"))
 
 
-def _settled(quota: DataFrame, aims: DataFrame, cap: int, rounds: int = ROUNDS) -> DataFrame:
+def _settled(quota: DataFrame, aims: DataFrame, cap: int) -> DataFrame:
     """`quota` (source, size, bucket, rows, rate, extra) with extra copies moved so that what a source's tokens
-    still differ from its target by shrinks: each round changes the cell of the largest size that fits in the rest."""
-    for _ in range(rounds):
-        tokens = F.col("size") * (F.col("rows") * F.floor("rate") + F.col("extra"))
-        rest = quota.groupBy(F.col("source").alias("r_source")).agg(F.sum(tokens).alias("got"))
-        rest = rest.join(aims.select(F.col("source").alias("a_source"), "target"), F.col("r_source").eqNullSafe(F.col("a_source"))).select("r_source", (F.col("got") - F.col("target")).alias("rest"))
-        seen = quota.join(rest, F.col("source").eqNullSafe(F.col("r_source")))
-        room = F.when(F.col("rest") > 0, F.col("extra")).otherwise(F.col("rows") - F.col("extra"))
-        fits = (F.col("size") > 0) & (F.col("size") <= F.abs("rest")) & (F.col("rate") > F.floor("rate")) & (room > 0)
-        pick = Window.partitionBy("source").orderBy(fits.desc(), F.col("size").desc(), "bucket")
-        move = F.when((F.row_number().over(pick) == 1) & fits, -F.signum("rest") * F.least(room, F.floor(F.abs("rest") / F.col("size")))).otherwise(0)
-        quota = written(seen.withColumn("extra", (F.col("extra") + move).cast("long")).drop("r_source", "rest"), "quota")
-    return quota
+    still differ from its target by shrinks: each round changes the cell of the largest size that fits in the rest, until
+    none does. A round at least halves a rest, unless its cell runs out of rows."""
+    c = F.col
+    quota = written(quota, "quota")
+    while True:
+        tokens = c("size") * (c("rows") * F.floor("rate") + c("extra"))
+        rest = quota.groupBy(c("source").alias("r_source")).agg(F.sum(tokens).alias("got"))
+        rest = rest.join(aims.select(c("source").alias("a_source"), "target"), c("r_source").eqNullSafe(c("a_source"))).select("r_source", (c("got") - c("target")).alias("rest"))
+        room = F.when(c("rest") > 0, c("extra")).otherwise(c("rows") - c("extra"))
+        fits = (c("size") > 0) & (c("size") <= F.abs("rest")) & (c("rate") > F.floor("rate")) & (room > 0)
+        move = -F.signum("rest") * F.least(room, F.floor(F.abs("rest") / c("size")))
+        seen = quota.join(rest, c("source").eqNullSafe(c("r_source"))).filter(fits)
+        # One row for each source.
+        best = seen.groupBy(c("source").alias("b_source")).agg(F.max(F.struct("size", (-c("bucket")).alias("turn"), move.cast("long").alias("move"))).alias("b"))
+        best = written(best.select("b_source", c("b.size").alias("b_size"), (-c("b.turn")).alias("b_bucket"), c("b.move").alias("move")), "moves")
+        if not best.limit(1).count():
+            return quota
+        moved = quota.join(best, c("source").eqNullSafe(c("b_source")) & (c("size") == c("b_size")) & (c("bucket") == c("b_bucket")), "left")
+        quota = written(moved.withColumn("extra", c("extra") + F.coalesce("move", F.lit(0))).drop("b_source", "b_size", "b_bucket", "move"), "quota")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, percent: int = SHARE_PERCENT, cap: int = CAP) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, rate, copies."""
-    return copies(written(sized(docs, id_col, text_col, source_col), "sized"), weights, percent, cap)
+    return copies(written(sized(docs, id_col, text_col, source_col), "sized"), weights, percent, cap).drop("row")
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """`docs` with each row as often as its copies say; ids are unique and not null."""
-    taken = mix(docs, id_col, text_col, source_col).filter("copies > 0").select(F.col("doc_id").alias("_mix_id"), F.col("copies").alias("_mix_copies"))
-    repeated = docs.join(taken, docs[id_col] == taken["_mix_id"]).withColumn("_mix_nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_copies"))))
-    return repeated.select(*[docs[c] for c in docs.columns])
+    """`docs` with each row as often as its copies say.
+
+    Rows get a number, written down with them, by which they meet their copies: null ids and repeated rows are rows like any
+    other, an empty table stays empty, and other columns may have any names.
+    """
+    row, times, nth = (unused(docs.columns, name) for name in ("row", "times", "nth"))
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    rows = written(sized(numbered, id_col, text_col, source_col, row), "sized")
+    taken = copies(rows).filter("copies > 0").select(F.col("row").alias(row), F.col("copies").alias(times))
+    repeated = numbered.join(taken, row).withColumn(nth, F.explode(F.sequence(F.lit(1).cast("long"), column(times))))
+    return repeated.select(*map(column, docs.columns))
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

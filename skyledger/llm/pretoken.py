@@ -2,7 +2,8 @@
 
 The pattern ('s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+) is settled by the
 classes of neighbouring code points alone, so all texts of a chunk are split at once on an array of code points.
-Equal pre-tokens are found by a 64-bit polynomial hash; only distinct ones become Python strings.
+Equal pre-tokens are sought by a 64-bit polynomial hash and then compared code point by code point; only distinct ones
+become Python strings.
 """
 
 from __future__ import annotations
@@ -46,8 +47,8 @@ class Splitter:
                 x[0] = 1
             self.power, self.inverse = (np.multiply.accumulate(x) for x in steps)
 
-    def split(self, texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The joined texts; start and end of each pre-token in it; its hash; the number of pre-tokens of each text."""
+    def split(self, texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The joined texts; start and end of each pre-token in it; its hash; the number of pre-tokens of each text; all code points."""
         whole = "\0".join(texts) + "\0"
         codes = np.frombuffer(whole.encode("utf-32-le"), "<u4")
         ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1) - 1
@@ -86,7 +87,7 @@ class Splitter:
         np.cumsum(self.noise[codes] * self.power[:n], out=sums[1:])
         hashes = mixed((sums[stops] - sums[begins]) * self.inverse[begins] + (stops - begins).astype(np.uint64))
         counts = np.diff(np.concatenate(([0], np.searchsorted(begins, ends))))
-        return whole, begins, stops, hashes, counts
+        return whole, begins, stops, hashes, counts, codes
 
 
 def chunks(texts: Iterable[str]) -> Iterator[list[str]]:
@@ -102,6 +103,22 @@ def chunks(texts: Iterable[str]) -> Iterator[list[str]]:
         yield chunk
 
 
+def same_as_first(codes: np.ndarray, begins: np.ndarray, stops: np.ndarray, first: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Whether each pre-token has the code points of the one that stands for its hash."""
+    size = stops - begins
+    of = first[which]
+    same = size == size[of]
+    rest = np.flatnonzero(same & (of != np.arange(len(of))))
+    if len(rest):
+        each = size[rest]
+        ends = np.cumsum(each)
+        steps = np.arange(int(ends[-1]))
+        unlike = codes[steps + np.repeat(begins[rest] - ends + each, each)] != codes[steps + np.repeat(begins[of[rest]] - ends + each, each)]
+        if unlike.any():
+            same[rest[np.searchsorted(ends, np.flatnonzero(unlike), "right")]] = False
+    return same
+
+
 class CachedEncoder:
     """Encodes texts by distinct pre-tokens: `known` answers what a fixed table has (-1 else), `encode` the rest."""
 
@@ -125,8 +142,13 @@ class CachedEncoder:
     def texts(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text, as little-endian 32-bit unsigned integers."""
         for chunk in chunks(texts):
-            whole, begins, stops, hashes, counts = self.splitter.split(chunk)
+            whole, begins, stops, hashes, counts, codes = self.splitter.split(chunk)
             _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+            others: dict[str, int] = {}
+            for k in np.flatnonzero(~same_as_first(codes, begins, stops, first, which)).tolist():
+                which[k] = others.setdefault(whole[begins[k] : stops[k]], len(first))
+                if which[k] == len(first):
+                    first = np.append(first, k)
             tokens = [whole[a:b] for a, b in zip(begins[first].tolist(), stops[first].tolist(), strict=True)]
             if self.known is None:
                 packed = list(map(self._ids, tokens))

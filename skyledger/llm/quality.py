@@ -1,17 +1,20 @@
 """Quality rules with adaptive thresholds from mergeable quantile sketches.
 
 Every document gets plain counts (words, characters in words, symbols, repeated lines, words in repeated 3-word
-windows). A sketch per language, source and measure holds counts of log-linear buckets: a value keeps its seven
-leading bits, so a quantile is within 1/64 of the true value, and two sketches merge by adding their counters.
-Thresholds are fences around the median of a document's own language and source; a group of fewer than
-MIN_GROUP documents takes those of its language, merged from the sketches of the language's sources, and a small
-language those of all documents. The thresholds are joined back and decide, beside a fixed base rule.
+windows, short and long words, ASCII digits and punctuation). A sketch per language, source and measure holds counts of
+log-linear buckets: a value keeps its nine leading bits, so a quantile is within 1/256 of the true value, and two sketches
+merge by adding their counters. The fences of a measure lie FACTOR spreads beyond the median of a document's own language
+and source: above it in units of the distance from the median to the 80th percentile, below it in units of that to the
+20th. A spread counts as a fiftieth of the median at least, so that a group of uniform texts tolerates small differences. A group of fewer than MIN_GROUP documents
+takes the quantiles of its language, merged from the sketches of the language's sources, and a small language those of all
+documents. The thresholds are joined back and decide, beside a fixed base rule.
 
 Everything is DataFrame expressions; texts are never shuffled, only counts.
 
-Results for special input: a null or empty text has no words and fails the base rule; null language or source
-is a group of its own; repeated rows each give a row; an empty table gives an empty result; other columns are
-ignored by `measure` and kept by `quality_filter`.
+Results for special input: a null or empty text has no words and fails the base rule; a very long text is measured whole;
+null language or source is a group of its own; ties of quantiles take the smaller bucket; repeated rows each give a row;
+a null id is an id like any other; an empty table gives an empty result; other columns are ignored by `measure` and kept
+by `quality_filter`, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from skyledger.llm._common import BROADCAST_ROWS, SPACES, let, table, text_of, written
+from skyledger.llm._common import BROADCAST_ROWS, SPACES, column, let, table, text_of, unused, written
 
 #: Characters that count as symbols.
 SYMBOLS = r"[#*$%&|<>]"
@@ -28,13 +31,18 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Documents that a group needs for thresholds of its own.
 MIN_GROUP = 50
-#: For each measure (in thousandths): the fence is FACTOR spreads (median less lower decile) from the median, but
-#: TOLERANCE at least; "low" says whether there is a lower fence too.
+#: For each measure (in thousandths): its two counts, and the spreads that the fences are away from the median. Marks are
+#: ASCII digits and punctuation; words of at most 2 code points are short, those of at least 9 are long.
 MEASURES = {
-    "symbols": {"factor": 6, "tolerance": 100, "low": False},
-    "word_length": {"factor": 8, "tolerance": 2000, "low": True},
-    "dup_lines": {"factor": 6, "tolerance": 600, "low": False},
+    "marks": {"of": ("n_marks", "n_chars"), "factor": 20, "low": False},
+    "word_length": {"of": ("word_chars", "n_words"), "factor": 7, "low": True},
+    "short_words": {"of": ("n_short", "n_words"), "factor": 7, "low": True},
+    "long_words": {"of": ("n_long", "n_words"), "factor": 8, "low": True},
 }
+#: A spread is at least this part of the median, and 1 (the unit of the measures, a thousandth).
+FLOOR = 50
+MARKS = r"[!-@\[-`{-~]"
+SHORT, LONG = 2, 9
 
 
 def words_of(text: Column) -> Column:
@@ -59,19 +67,27 @@ def _covered_by_repeats(words: Column) -> Column:
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """doc_id, lang, source and the counts of every document."""
-    text = text_of(text_col)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(source_col).cast("string").alias("source"), text.alias("text"))
-    lines = F.filter(F.split(F.col("text"), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    rows = docs.select(column(id_col).alias("doc_id"), column(lang_col).cast("string").alias("lang"), column(source_col).cast("string").alias("source"), text_of(text_col).alias("text"))
+    w, n, text = _counts(F.col("text"))
+    return rows.select("doc_id", "lang", "source", w.alias("w"), n.alias("l"), *text).select("doc_id", "lang", "source", "w.*", "l.*", "n_symbols", "n_marks", "n_chars")
+
+
+def _counts(text: Column) -> tuple[Column, Column, list[Column]]:
+    """Structs of the counts of words and of lines, and the counts of characters."""
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     per_text = let(
-        words_of(F.col("text")),
+        words_of(text),
         lambda w: F.struct(
             F.size(w).cast("long").alias("n_words"),
             F.aggregate(w, F.lit(0).cast("long"), lambda a, x: a + F.char_length(x)).alias("word_chars"),
             _covered_by_repeats(w).cast("long").alias("n_repeat_words"),
+            F.size(F.filter(w, lambda x: F.char_length(x) <= SHORT)).cast("long").alias("n_short"),
+            F.size(F.filter(w, lambda x: F.char_length(x) >= LONG)).cast("long").alias("n_long"),
         ),
     )
     per_line = let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")))
-    return rows.select("doc_id", "lang", "source", per_text.alias("w"), per_line.alias("l"), F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols")).select("doc_id", "lang", "source", "w.*", "l.*", "n_symbols")
+    counted = lambda pattern, name: F.regexp_count(text, F.lit(pattern)).cast("long").alias(name)
+    return per_text, per_line, [counted(SYMBOLS, "n_symbols"), counted(MARKS, "n_marks"), F.char_length(text).cast("long").alias("n_chars")]
 
 
 def base_failed() -> Column:
@@ -80,51 +96,57 @@ def base_failed() -> Column:
 
 def _scaled(name: str) -> Column:
     """A measure in thousandths, as a whole number of 0 or more."""
-    part, whole = {"symbols": ("n_symbols", "n_words"), "word_length": ("word_chars", "n_words"), "dup_lines": ("n_dup_lines", "n_lines")}[name]
+    part, whole = MEASURES[name]["of"]
     return F.expr(f"({part} * 1000) div greatest({whole}, 1)")
 
 
 def bucket_of(value: Column) -> Column:
-    """The lower end of the value's bucket: all but its seven leading bits cleared."""
-    drop = F.greatest(F.length(F.bin(value)) - 7, F.lit(0))
+    """The lower end of the value's bucket: all but its nine leading bits cleared."""
+    drop = F.greatest(F.length(F.bin(value)) - 9, F.lit(0))
     return F.call_function("shiftleft", F.call_function("shiftright", value, drop), drop)
 
 
 def sketches(measured: DataFrame) -> DataFrame:
-    """lang, source, name, bucket, n: the sketches of documents that pass the base rule. At most 64 * 57 buckets each."""
+    """lang, source, name, bucket, n: the sketches of documents that pass the base rule. At most 256 * 55 buckets each."""
     kinds = F.array(*(F.struct(F.lit(k).alias("name"), bucket_of(_scaled(k)).alias("bucket")) for k in MEASURES))
     return measured.filter(~base_failed()).select("lang", "source", F.inline(kinds)).groupBy("lang", "source", "name", "bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _fences(merged: DataFrame, keys: list[str]) -> DataFrame:
-    """Per group of `keys` and measure: n, median, lower decile."""
+    """Per group of `keys` and measure: n, median, 20th and 80th percentile."""
     own = Window.partitionBy(*keys, "name")
     ranked = merged.withColumns({"total": F.sum("n").over(own), "upto": F.sum("n").over(own.orderBy("bucket"))})
     at = lambda percent: F.min(F.when(F.col("upto") * 100 >= F.col("total") * percent, F.col("bucket")))
-    return ranked.groupBy(*keys, "name").agg(F.max("total").alias("total"), at(50).alias("mid"), at(10).alias("low"))
+    return ranked.groupBy(*keys, "name").agg(F.max("total").alias("total"), at(50).alias("mid"), at(20).alias("low"), at(80).alias("high"))
 
 
 def thresholds(sketched: DataFrame) -> DataFrame:
     """lang, source and columns <measure>_lo, <measure>_hi, each from the smallest merged group that is large enough."""
     merge = lambda keys: sketched.groupBy(*keys, "name", "bucket").agg(F.sum("n").alias("n"))
+    at = ("mid", "low", "high")
     own = _fences(sketched, ["lang", "source"])
-    lang = _fences(merge(["lang"]), ["lang"]).select(F.col("lang").alias("l_lang"), F.col("name").alias("l_name"), F.col("total").alias("l_total"), F.col("mid").alias("l_mid"), F.col("low").alias("l_low"))
-    whole = _fences(merge([]), []).select(F.col("name").alias("a_name"), F.col("mid").alias("a_mid"), F.col("low").alias("a_low"))
+    lang = _fences(merge(["lang"]), ["lang"]).select(F.col("lang").alias("l_lang"), F.col("name").alias("l_name"), F.col("total").alias("l_total"), *(F.col(x).alias(f"l_{x}") for x in at))
+    whole = _fences(merge([]), []).select(F.col("name").alias("a_name"), *(F.col(x).alias(f"a_{x}") for x in at))
     joined = own.join(lang, F.col("lang").eqNullSafe(F.col("l_lang")) & (F.col("name") == F.col("l_name"))).join(whole, F.col("name") == F.col("a_name"))
     pick = lambda x: F.when(F.col("total") >= MIN_GROUP, F.col(x)).when(F.col("l_total") >= MIN_GROUP, F.col(f"l_{x}")).otherwise(F.col(f"a_{x}"))
-    chosen = joined.select("lang", "source", "name", pick("mid").alias("mid"), pick("low").alias("low"))
+    chosen = joined.select("lang", "source", "name", *(pick(x).alias(x) for x in at))
+    spread = lambda x: F.greatest(x, F.expr(f"mid div {FLOOR}"), F.lit(1))
     fences = []
     for name, m in MEASURES.items():
         mine = F.col("name") == name
-        spread = F.greatest((F.col("mid") - F.col("low")) * m["factor"], F.lit(m["tolerance"]))
-        fences.append(F.max(F.when(mine, F.col("mid") + spread)).alias(f"{name}_hi"))
-        fences.append(F.max(F.when(mine, F.col("mid") - spread if m["low"] else F.lit(-1))).alias(f"{name}_lo"))
+        fences.append(F.max(F.when(mine, F.col("mid") + spread(F.col("high") - F.col("mid")) * m["factor"])).alias(f"{name}_hi"))
+        fences.append(F.max(F.when(mine, F.col("mid") - spread(F.col("mid") - F.col("low")) * m["factor"] if m["low"] else F.lit(-1))).alias(f"{name}_lo"))
     return chosen.groupBy("lang", "source").agg(*fences)
 
 
-def judged(measured: DataFrame) -> DataFrame:
-    """`measured` (which is read twice) with base_failed and kept."""
-    limits = written(thresholds(sketches(measured)).withColumnsRenamed({"lang": "t_lang", "source": "t_source"}), "thresholds")
+WORD_COUNTS = ("n_words", "word_chars", "n_repeat_words", "n_short", "n_long")
+LINE_COUNTS = ("n_lines", "n_dup_lines")
+TEXT_COUNTS = ("n_symbols", "n_marks", "n_chars")
+
+
+def judged(measured: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """`measured` (which is read twice, unless `counts` are its counts) with base_failed and kept."""
+    limits = written(thresholds(sketches(measured if counts is None else counts)).withColumnsRenamed({"lang": "t_lang", "source": "t_source"}), "thresholds")
     limits = F.broadcast(limits) if limits.count() <= BROADCAST_ROWS // 8 else limits
     within = F.lit(True)
     for name in MEASURES:
@@ -139,9 +161,21 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
 
 def quality_filter(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """The rows of `docs` that the rules keep; ids are unique and not null."""
-    good = quality(docs, id_col, text_col, lang_col, source_col).filter("kept").select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(good, docs[id_col] == good["_kept_id"], "left_semi")
+    """The rows of `docs` that the rules keep.
+
+    The counts are written with their rows, so that each row is judged where it is: null ids and repeated rows are rows like
+    any other, an empty table stays empty, and other columns may have any names.
+    """
+    own = unused(docs.columns, "measured")
+    w, n, text = _counts(text_of(text_col))
+    group = [column(lang_col).cast("string").alias("lang"), column(source_col).cast("string").alias("source")]
+    rows = docs.select(*map(column, docs.columns), F.struct(*group, w.alias("w"), n.alias("l"), *text).alias(own))
+    rows = written(rows, "measured")
+    of = lambda name: column(own).getField(name)
+    flat = F.struct(of("lang").alias("lang"), of("source").alias("source"), *(of("w").getField(x).alias(x) for x in WORD_COUNTS), *(of("l").getField(x).alias(x) for x in LINE_COUNTS), *(of(x).alias(x) for x in TEXT_COUNTS))
+    counts = rows.select(flat.alias("m")).select("m.*")
+    whole = rows.select(F.struct(*map(column, docs.columns)).alias("row"), flat.alias("m")).select("row", "m.*")
+    return judged(whole, counts).filter("kept").select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,16 +184,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_sql(documents: str = "documents") -> str:
     """The same rules in SQL, the counts by unnesting."""
-    inline = " UNION ALL ".join(
-        f"SELECT doc_id, lang, source, '{k}' AS name, ({a} * 1000) // greatest({b}, 1) AS v FROM m WHERE NOT base_failed"
-        for k, (a, b) in {"symbols": ("n_symbols", "n_words"), "word_length": ("word_chars", "n_words"), "dup_lines": ("n_dup_lines", "n_lines")}.items()
-    )
-    facts = ", ".join(f"('{k}', {m['factor']}, {m['tolerance']}, {'true' if m['low'] else 'false'})" for k, m in MEASURES.items())
-    measured = " UNION ALL ".join(
-        f"SELECT doc_id, lang, source, '{k}' AS name, ({a} * 1000) // greatest({b}, 1) AS v FROM m"
-        for k, (a, b) in {"symbols": ("n_symbols", "n_words"), "word_length": ("word_chars", "n_words"), "dup_lines": ("n_dup_lines", "n_lines")}.items()
-    )
-    ranks = lambda keys: f"SELECT {keys}{', ' if keys else ''}name, total, min(CASE WHEN upto * 100 >= total * 50 THEN bucket END) AS mid, min(CASE WHEN upto * 100 >= total * 10 THEN bucket END) AS low FROM (SELECT *, sum(n) OVER (PARTITION BY {keys}{', ' if keys else ''}name) AS total, sum(n) OVER (PARTITION BY {keys}{', ' if keys else ''}name ORDER BY bucket) AS upto FROM (SELECT {keys}{', ' if keys else ''}name, bucket, count(*) AS n FROM s GROUP BY ALL)) GROUP BY ALL"
+    scaled = lambda where: " UNION ALL ".join(f"SELECT doc_id, lang, source, '{k}' AS name, ({m['of'][0]} * 1000) // greatest({m['of'][1]}, 1) AS v FROM m {where}" for k, m in MEASURES.items())
+    inline, measured = scaled("WHERE NOT base_failed"), scaled("")
+    facts = ", ".join(f"('{k}', {m['factor']}, {'true' if m['low'] else 'false'})" for k, m in MEASURES.items())
+    at = lambda percent: f"min(CASE WHEN upto * 100 >= total * {percent} THEN bucket END)"
+    pick = lambda x: f"CASE WHEN own.total >= {MIN_GROUP} THEN own.{x} WHEN lg.total >= {MIN_GROUP} THEN lg.{x} ELSE al.{x} END AS {x}"
+    ranks = lambda keys: f"SELECT {keys}{', ' if keys else ''}name, total, {at(50)} AS mid, {at(20)} AS low, {at(80)} AS high FROM (SELECT *, sum(n) OVER (PARTITION BY {keys}{', ' if keys else ''}name) AS total, sum(n) OVER (PARTITION BY {keys}{', ' if keys else ''}name ORDER BY bucket) AS upto FROM (SELECT {keys}{', ' if keys else ''}name, bucket, count(*) AS n FROM s GROUP BY ALL)) GROUP BY ALL"
     return rf"""
 WITH t AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM {documents}),
 w AS (SELECT doc_id, lang, source, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM t),
@@ -169,20 +199,19 @@ rep AS (SELECT doc_id, k0 FROM (SELECT doc_id, k0, count(*) OVER (PARTITION BY d
 cov AS (SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest([k0, k0 + 1, k0 + 2]) AS k FROM rep) GROUP BY doc_id),
 ln AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM t),
 m0 AS (SELECT w.doc_id, w.lang, w.source, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
-       len(regexp_extract_all(text, '{SYMBOLS}')) AS n_symbols, len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words
+       len(list_filter(words, lambda x: length(x) <= {SHORT})) AS n_short, len(list_filter(words, lambda x: length(x) >= {LONG})) AS n_long,
+       len(regexp_extract_all(text, '{MARKS}')) AS n_marks, length(text) AS n_chars, len(regexp_extract_all(text, '{SYMBOLS}')) AS n_symbols, len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words
        FROM w JOIN ln USING (doc_id) LEFT JOIN cov USING (doc_id)),
 m AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM m0),
 s0 AS ({inline}),
-s AS (SELECT *, (v >> greatest(length(bin(v)) - 7, 0)) << greatest(length(bin(v)) - 7, 0) AS bucket FROM s0),
+s AS (SELECT *, (v >> greatest(length(bin(v)) - 9, 0)) << greatest(length(bin(v)) - 9, 0) AS bucket FROM s0),
 own AS ({ranks("lang, source")}), lg AS ({ranks("lang")}), al AS ({ranks("")}),
-pick AS (SELECT own.lang, own.source, own.name,
-         CASE WHEN own.total >= {MIN_GROUP} THEN own.mid WHEN lg.total >= {MIN_GROUP} THEN lg.mid ELSE al.mid END AS mid,
-         CASE WHEN own.total >= {MIN_GROUP} THEN own.low WHEN lg.total >= {MIN_GROUP} THEN lg.low ELSE al.low END AS low
+pick AS (SELECT own.lang, own.source, own.name, {pick("mid")}, {pick("low")}, {pick("high")}
          FROM own JOIN lg ON own.lang IS NOT DISTINCT FROM lg.lang AND own.name = lg.name JOIN al ON own.name = al.name),
-fact(name, factor, tolerance, both_ends) AS (VALUES {facts}),
+fact(name, factor, both_ends) AS (VALUES {facts}),
 v AS ({measured}),
 bad AS (SELECT DISTINCT v.doc_id FROM v JOIN pick ON v.lang IS NOT DISTINCT FROM pick.lang AND v.source IS NOT DISTINCT FROM pick.source AND v.name = pick.name JOIN fact ON v.name = fact.name
-        WHERE v.v > mid + greatest((mid - low) * factor, tolerance) OR both_ends AND v.v < mid - greatest((mid - low) * factor, tolerance))
+        WHERE v.v > mid + greatest(high - mid, mid // {FLOOR}, 1) * factor OR both_ends AND v.v < mid - greatest(mid - low, mid // {FLOOR}, 1) * factor)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.doc_id IS NULL AS kept
 FROM m LEFT JOIN bad USING (doc_id)
 """

@@ -6,7 +6,8 @@ document's slot is a digest of its id modulo the size, so it is placed by one ar
 added or leaves, few slots change hands. A shard may have a weight: the number of claims in each round.
 
 Results for special input: a null id is placed as the text 'null' would be; repeated rows are placed alike;
-an empty table gives an empty result.
+an empty table gives an empty result; a very long key is digested whole; a table that has a column named like the slot's or
+the shard's is an error (give other names), as neither may replace the other.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm._common import table
+from skyledger.llm._common import column, table, unused
 
 #: Production parameters: names of the shards, and a prime of more than a hundred slots for each of them.
 SHARDS = tuple(f"shard-{k:02d}" for k in range(32))
@@ -58,16 +59,19 @@ def slot_of(key: Column, size: int = TABLE_SIZE) -> Column:
 
 def place(docs: DataFrame, key_col: str = "doc_id", shards: tuple[str, ...] = SHARDS, size: int = TABLE_SIZE, slot_as: str = "slot", shard_as: str = "shard") -> DataFrame:
     """`docs` with its slot and shard; no shuffle: the table is a constant of the plan, bounded by MAX_SLOTS."""
+    if clash := {slot_as.lower(), shard_as.lower()} & {c.lower() for c in docs.columns}:
+        raise ValueError(f"the table has columns {sorted(clash)}: choose other names by slot_as and shard_as")
     owners = F.lit(lookup_table(shards, size))
     names = F.lit(list(shards))
-    slot = slot_of(F.col(key_col), size)
+    slot = slot_of(column(key_col), size)
     return docs.withColumns({slot_as: slot, shard_as: F.element_at(names, F.element_at(owners, slot.cast("int") + 1) + 1)})
 
 
 def write_shards(docs: DataFrame, path: str, key_col: str = "doc_id", shards: tuple[str, ...] = SHARDS, size: int = TABLE_SIZE, files_per_shard: int = 8) -> None:
     """Write `docs` as Parquet, a folder for each shard; a shard's rows are dealt over several tasks by slot."""
-    placed = place(docs, key_col, shards, size)
-    placed.repartition(len(shards) * files_per_shard, "shard", F.pmod(F.col("slot"), F.lit(files_per_shard))).write.partitionBy("shard").parquet(path)
+    slot, shard = unused(docs.columns, "slot"), unused(docs.columns, "shard")
+    placed = place(docs, key_col, shards, size, slot, shard)
+    placed.repartition(len(shards) * files_per_shard, shard, F.pmod(F.col(slot), F.lit(files_per_shard))).write.partitionBy(shard).parquet(path)
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

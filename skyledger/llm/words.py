@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 
@@ -11,6 +12,9 @@ from skyledger.llm.pretoken import mixed
 #: Characters of a chunk, unless a single text has more; its arrays then fit in a processor's cache.
 CHUNK = 1 << 17
 
+#: Words of more bytes get a cryptographic digest: sums of powers modulo 2^64 are equal for some unlike long words.
+LONG = 64
+
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
 _NOISE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
@@ -34,7 +38,7 @@ def hashed_words(texts: list[str], lower: bool = False) -> tuple[np.ndarray, np.
     """64-bit hashes of all words of the texts in order, and the number of words of each text.
 
     Words are runs of other characters than space, tab, line feed, vertical tab, form feed and carriage return;
-    `lower` makes A-Z equal to a-z.
+    `lower` makes A-Z equal to a-z. Words are told apart by these hashes; any two differ but for a chance of about 2^-64.
     """
     coded = [t.encode() for t in texts]
     data = np.frombuffer(b" " + b" ".join(coded) + b" ", np.uint8)
@@ -45,6 +49,9 @@ def hashed_words(texts: list[str], lower: bool = False) -> tuple[np.ndarray, np.
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((_LOWER if lower else _NOISE)[data] * power[: len(data)], out=sums[1:])
     hashes = mixed((sums[stops] - sums[begins]) * inverse[begins] + (stops - begins).astype(np.uint64))
+    for k in np.flatnonzero(stops - begins > LONG).tolist():
+        word = data[begins[k] : stops[k]].tobytes()
+        hashes[k] = int.from_bytes(blake2b(word.lower() if lower else word, digest_size=8).digest(), "little")
     ends = np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)) + 1)
     counts = np.diff(np.concatenate(([0], np.searchsorted(begins, ends))))
     return hashes, counts
