@@ -1,19 +1,28 @@
 """Main text of web pages by maximum-scoring subsequence.
 
-A page becomes a sequence of words and tags. Words score 1 (those in menus, notices, adverts and the like -1), and a
-tag scores a negative weight by its name; one linear scan finds the contiguous region of greatest sum. Weights
-come from labelled pages: pages that mark their content with <article> or <main>. A tag's weight is the share of
-its uses that lie outside the marked content, times a scale chosen for the best F1 on the labelled pages; where no
-page is marked, DEFAULT_WEIGHTS hold. A region that lies within one marked element is widened to that element.
+A page becomes a sequence of words and tags. A tag scores a negative weight by its name, a word between 1 and -1 by the
+elements around it; one linear scan finds the contiguous region of greatest sum, and what is returned are the words of
+positive score in it. All weights are learned from labelled pages, those that mark their content with <article> or <main>:
+
+* Elements beside the content (those outside it whose parent is not) are evidence against their name, or against the parts
+  of their class, id and role where they have such; elements inside are evidence for theirs. The logarithm of the odds of
+  the most suspicious element around a word makes its score: 1 at even odds or better, towards -1 beyond.
+* A tag's weight is the share of its uses that open or close an element beside the content, times a scale. The scale is
+  the one of best F1 on the labelled pages with all words scored 1, as where the noise of a page has names never met.
+
+Marks say nothing of noise inside marked content (forms, reader comments), nor of names that no labelled page has: PRIOR
+counts as PRIOR_USES uses beside the content for the names it lists, and its elements are not taken for content when pages
+are labelled. Marks play no part in the extraction but that an <article> or <main> ends the suspicion of an unclosed element.
 
 Results for special input: a null or empty page, and a page without words, gives the empty text; very long pages are
-scanned whole, in linear time; unclosed or stray tags are tolerated; repeated rows each give a row; an empty table
-gives an empty result; other columns are ignored.
+scanned whole, in linear time; unclosed or stray tags are tolerated; of regions of equal sums the first is taken; repeated
+rows each give a row; an empty table gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import html
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -22,12 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm._common import table
+from skyledger.llm._common import column, table
 
 #: The weights are fitted on so many marked pages at most, those of smallest digest of their id.
 LABELLED_PAGES = 400
-SCALES = (0.25, 1.0, 4.0, 16.0)
-DEFAULT_WEIGHTS = {"p": 0.05, "b": 0.05, "i": 0.05, "em": 0.05, "strong": 0.05, "br": 0.05, "h1": 0.2, "h2": 0.2, "h3": 0.2, "blockquote": 0.1, "": 2.0}
+SCALES = (0.25, 1.0, 4.0, 8.0, 16.0, 32.0, 64.0, 128.0)
+#: Uses beside the content that a listed name starts with, and what is added to both sides of the odds.
+PRIOR_USES, EVEN = 2.0, 0.5
 
 # An unquoted "<" ends the attempt to read a tag, so that a page of unfinished tags takes linear time.
 _TOKEN = re.compile(
@@ -41,48 +51,86 @@ _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 RAW = frozenset("script style noscript template textarea title iframe svg canvas xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
-BOILERPLATE = frozenset("head nav header footer aside form button select datalist dialog menu object applet video audio map label fieldset".split())
+PRIOR_NAMES = frozenset("head nav header footer aside form button select datalist dialog menu object applet video audio map label fieldset".split())
 CONTENT = frozenset(("article", "main"))
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 COMMENT_PARTS = frozenset("comment comments reply replies disqus discussion respond".split())
-NOISE_PARTS = COMMENT_PARTS | frozenset(
+PRIOR_PARTS = COMMENT_PARTS | frozenset(
     "ad ads advert adverts advertisement advertising adsense adslot banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup sidebar aside widget menu menus nav navbar navigation breadcrumb breadcrumbs pagination pager header masthead footer copyright social share sharing related recommended recommendations toolbar search login complementary contentinfo dialog form".split()
 )
+PRIOR = PRIOR_NAMES | {f".{x}" for x in PRIOR_PARTS} | {".hidden"}
+_OF_COMMENTS = {f".{x}" for x in COMMENT_PARTS} | {"aside"}
+
+
+class Weights:
+    """`odds`: logarithms of the odds that an element of a name or part is beside the content; `tags`: what a tag costs."""
+
+    def __init__(self, odds: dict[str, float], tags: dict[str, float]):
+        self.odds, self.tags = odds, tags
+
+    def __eq__(self, other: object) -> bool:
+        return isinstance(other, Weights) and (self.odds, self.tags) == (other.odds, other.tags)
+
+
+DEFAULT_WEIGHTS = Weights(
+    {x: math.log((PRIOR_USES + EVEN) / EVEN) for x in PRIOR},
+    {"p": 0.05, "b": 0.05, "i": 0.05, "em": 0.05, "strong": 0.05, "br": 0.05, "h1": 0.2, "h2": 0.2, "h3": 0.2, "blockquote": 0.1, "article": 0.0, "main": 0.0, "": 2.0},
+)
+
+
+class Element:
+    """An open element: what can be held against it, and the number of the marked element around it (0: none)."""
 
+    __slots__ = ("content", "keys", "name", "out", "parent", "suspects")
 
-class _Frame:
-    __slots__ = ("content", "name", "noise", "why")
+    def __init__(self, name: str, keys: tuple[str, ...], parent: Element | None, content: int):
+        self.name, self.keys, self.parent, self.content = name, keys, parent, content
+        self.suspects: Weights | None = None
+        self.out = 0.0
 
-    def __init__(self, name: str, noise: bool, why: str, content: int):
-        self.name, self.noise, self.why, self.content = name, noise, why, content
+    def own(self, weights: Weights) -> float:
+        return max((weights.odds[k] for k in self.keys if k in weights.odds), default=0.0)
 
+    def against(self, weights: Weights) -> float:
+        """The greatest logarithm of odds of this element and those around it, 0 at least."""
+        if self.suspects is not weights:
+            around = self.parent.against(weights) if self.parent else 0.0
+            if around and self.name in CONTENT and not self._in_comments(weights):
+                around = 0.0  # an element that was not closed
+            self.suspects, self.out = weights, max(around, self.own(weights))
+        return self.out
 
-def _noise_of(name: str, attrs: str) -> str:
-    """Why an element is no content by its own name or attributes: '', 'name', 'part' or 'comment'."""
-    if name in BOILERPLATE:
-        return "comment" if name == "aside" else "name"
-    if not attrs or name in ("html", "body"):
-        return ""
-    for key, *values in _ATTRIBUTE.findall(attrs):
-        key, value = key.lower(), next(filter(None, values), "")
-        if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return "part"
-        if key in ("class", "id", "role"):
-            parts = {p.lower() for p in _PART.findall(value)}
-            if parts & COMMENT_PARTS:
-                return "comment"
-            if parts & NOISE_PARTS:
-                return "part"
-    return ""
+    def _in_comments(self, weights: Weights) -> bool:
+        at = self.parent
+        while at:
+            if at.own(weights) > 0:
+                return bool(_OF_COMMENTS & set(at.keys))
+            at = at.parent
+        return False
 
 
-def parse(page: str) -> list[tuple[str, str, bool, int]]:
-    """The page as (kind, value, noise, content) in page order; kind is 'text', or 'tag' with its name as value.
+Event = tuple[str, str, Element]
 
-    noise: within boilerplate. content: the number of the marked element around it, 0 if none.
-    """
-    events: list[tuple[str, str, bool, int]] = []
-    stack = [_Frame("", False, "", 0)]
+
+def _keys(name: str, attrs: str, parent: Element) -> tuple[str, ...]:
+    """What stands for an element: its name, and the parts of its class, id and role."""
+    parts: set[str] = set()
+    if attrs and name not in ("html", "body"):
+        for key, *values in _ATTRIBUTE.findall(attrs):
+            key, value = key.lower(), next(filter(None, values), "")
+            if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none", value, re.I):
+                parts.add(".hidden")
+            if key in ("class", "id", "role"):
+                parts |= {f".{p.lower()}" for p in _PART.findall(value)}
+    if parent.content and (name == "header" or ".header" in parts):  # the heading of the content itself
+        return ("content-header", *sorted(parts - {".header"}))
+    return (name, *sorted(parts))
+
+
+def parse(page: str) -> list[Event]:
+    """The page as (kind, value, element around or opened) in page order; kind is 'text', or 'tag' with its name as value."""
+    events: list[Event] = []
+    stack = [Element("", (), None, 0)]
     opened: Counter[str] = Counter()
     marks, at, end = 0, 0, len(page)
 
@@ -92,8 +140,7 @@ def parse(page: str) -> list[tuple[str, str, bool, int]]:
 
     def text(a: int, b: int) -> None:
         if b > a:
-            top = stack[-1]
-            events.append(("text", html.unescape(page[a:b]), top.noise, top.content))
+            events.append(("text", html.unescape(page[a:b]), stack[-1]))
 
     while at < end:
         found = _TOKEN.search(page, at)
@@ -116,7 +163,7 @@ def parse(page: str) -> list[tuple[str, str, bool, int]]:
         if closing:
             if opened[name] > 0:
                 pop(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].name == name))
-            events.append(("tag", name, stack[-1].noise, stack[-1].content))
+            events.append(("tag", name, stack[-1]))
             continue
         if name not in INLINE and name not in VOID and stack[-1].name == "p":
             pop()
@@ -125,32 +172,35 @@ def parse(page: str) -> list[tuple[str, str, bool, int]]:
         if stack[-1].name == "head" and name == "body":
             pop()
         top = stack[-1]
-        own = _noise_of(name, attrs)
-        if own in ("name", "part") and top.content and not top.noise and name in ("header", "div", "section") and "header" in f"{name} {attrs}".lower():
-            own = ""  # the heading of the content itself
-        noise, why, content = top.noise or bool(own), top.why or own, top.content
-        if name in CONTENT and not own:
-            if top.noise and top.why != "comment":  # an element that was not closed
-                noise, why = False, ""
-            marks += not noise and not content
-            content = content or (0 if noise else marks)
-        events.append(("tag", name, noise, content))
+        content = top.content
+        if name in CONTENT and not content:
+            marks += 1
+            content = marks
+        element = Element(name, _keys(name, attrs, top), top, content)
+        events.append(("tag", name, element))
         if name not in VOID and not attrs.endswith("/"):
-            stack.append(_Frame(name, noise, why, content))
+            stack.append(element)
             opened[name] += 1
     return events
 
 
-def best_region(events: list[tuple[str, str, bool, int]], weights: dict[str, float]) -> tuple[int, int]:
-    """Start and end (exclusive) of the events with the greatest sum of scores; (0, 0) if no sum is above 0."""
-    other = weights.get("", 1.0)
+def word_score(odds: float) -> float:
+    """1 at even odds or better, falling to -1."""
+    return 1.0 if odds <= 0 else 3.0 - 4.0 / (1.0 + math.exp(-odds))
+
+
+def best_region(events: list[Event], weights: Weights, blind: bool = False) -> tuple[int, int]:
+    """Start and end (exclusive) of the events with the greatest sum of scores; (0, 0) if no sum is above 0.
+
+    `blind` scores all words 1."""
+    tags, other = weights.tags, weights.tags.get("", 1.0)
     best, begin, stop, total, since = 0.0, 0, 0, 0.0, 0
-    for k, (kind, value, noise, _) in enumerate(events):
+    for k, (kind, value, element) in enumerate(events):
         if kind == "tag":
-            total -= weights.get(value, other)
+            total -= tags.get(value, other)
         else:
             n = len(value.split())
-            total += -n if noise else n
+            total += n if blind else n * word_score(element.against(weights))
         if total <= 0:
             total, since = 0.0, k + 1
         elif total > best:
@@ -158,81 +208,100 @@ def best_region(events: list[tuple[str, str, bool, int]], weights: dict[str, flo
     return begin, stop
 
 
-def blocks(events: list[tuple[str, str, bool, int]]) -> list[str]:
-    """The texts between block tags, without boilerplate, with white space made one space."""
+def blocks(events: list[Event], weights: Weights) -> list[str]:
+    """The texts between block tags, less words of negative score, with white space made one space."""
     out: list[str] = []
     parts: list[str] = []
-    for kind, value, noise, _ in [*events, ("tag", "", False, 0)]:
+
+    def close() -> None:
+        if line := " ".join("".join(parts).split()):
+            out.append(line)
+        parts.clear()
+
+    for kind, value, element in events:
         if kind == "text":
-            if not noise:
+            if word_score(element.against(weights)) > 0:
                 parts.append(value)
         elif value == "br":
             parts.append(" ")
         elif value not in INLINE:
-            if line := " ".join("".join(parts).split()):
-                out.append(line)
-            parts = []
+            close()
+    close()
     return out
 
 
-def extract(page: str | None, weights: dict[str, float] = DEFAULT_WEIGHTS) -> str:
+def extract(page: str | None, weights: Weights = DEFAULT_WEIGHTS) -> str:
     events = parse(page or "")
     begin, stop = best_region(events, weights)
-    marked = {x[3] for x in events[begin:stop] if x[0] == "text" and not x[2] and x[1].strip()}
-    if len(marked) == 1 and (mark := marked.pop()):
-        chosen = [x if x[3] == mark else ("tag", "", True, 0) for x in events]
-    else:
-        while begin and events[begin - 1][0] == "tag" and events[begin - 1][1] in INLINE:
-            begin -= 1
-        chosen = events[begin:stop]
-    return "\n".join(blocks(chosen))
-
-
-def fit_weights(pages: list[str]) -> dict[str, float]:
-    """Tag weights from marked pages."""
-    inside, outside, parsed = Counter(), Counter(), []
+    while begin and events[begin - 1][0] == "tag" and events[begin - 1][1] in INLINE:
+        begin -= 1
+    return "\n".join(blocks(events[begin:stop], weights))
+
+
+def fit_weights(pages: list[str]) -> Weights:
+    """Weights from marked pages."""
+    inside, beside, tag_inside, tag_beside, parsed = Counter(), Counter(), Counter(), Counter(), []
     for page in pages:
         events = parse(page)
-        if any(x[3] for x in events):
-            parsed.append(events)
-            for kind, value, noise, content in events:
-                if kind == "tag" and value not in CONTENT:
-                    (inside if content and not noise else outside)[value] += 1
+        good = {x.content for _, _, x in events if x.content and not x.against(DEFAULT_WEIGHTS)}
+        if not good:
+            continue
+        around: set[int] = set()
+        for _, _, x in events:
+            if x.content in good:
+                while (x := x.parent) and id(x) not in around:
+                    if not x.content:
+                        around.add(id(x))
+        seen: set[int] = set()
+        for kind, value, x in events:
+            if kind == "tag" and id(x) not in seen and x.name == value:
+                seen.add(id(x))
+                keys = x.keys[1:] or x.keys
+                if x.content in good:
+                    if not x.against(DEFAULT_WEIGHTS) and value not in CONTENT:
+                        inside.update(keys)
+                        tag_inside[value] += 1
+                elif id(x) not in around and (x.parent is None or not x.parent.parent or id(x.parent) in around):
+                    beside.update(keys)
+                    tag_beside[value] += 1
+        parsed.append((events, good))
     if not parsed:
-        return dict(DEFAULT_WEIGHTS)
-    share = {tag: (outside[tag] + 0.05) / (inside[tag] + outside[tag] + 1.0) for tag in {*inside, *outside}}
-    share[""] = sum(outside.values()) / max(1, sum(outside.values()) + sum(inside.values()))
+        return DEFAULT_WEIGHTS
+    odds = {k: math.log((beside[k] + PRIOR_USES * (k in PRIOR) + EVEN) / (inside[k] + EVEN)) for k in {*inside, *beside, *PRIOR}}
+    share = {tag: (tag_beside[tag] + 0.05) / (tag_inside[tag] + tag_beside[tag] + 1.0) for tag in {*tag_inside, *tag_beside}}
+    share |= {"": 0.05} | dict.fromkeys(CONTENT, 0.0)
 
     def f1(scale: float) -> float:
-        weights = {tag: scale * x for tag, x in share.items()}
-        total = 0.0
-        for events in parsed:
-            begin, stop = best_region(events, weights)
+        weights, total = Weights(odds, {tag: scale * x for tag, x in share.items()}), 0.0
+        for events, good in parsed:
+            begin, stop = best_region(events, weights, blind=True)
             right = got = want = 0
-            for k, (kind, value, noise, content) in enumerate(events):
+            for k, (kind, value, x) in enumerate(events):
                 if kind == "text":
                     n = len(value.split())
-                    good, taken = bool(content) and not noise, begin <= k < stop
-                    right, got, want = right + n * (good and taken), got + n * taken, want + n * good
+                    wanted, taken = x.content in good and not x.against(DEFAULT_WEIGHTS), begin <= k < stop
+                    right, got, want = right + n * (wanted and taken), got + n * taken, want + n * wanted
             total += 2 * right / max(1, got + want)
-        return total
+        return round(total, 6)
 
     scale = max(SCALES, key=lambda s: (f1(s), -s))
-    return {tag: scale * x for tag, x in share.items()}
+    return Weights(odds, {tag: scale * x for tag, x in share.items()})
 
 
-def learned_weights(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> dict[str, float]:
-    """Weights from the LABELLED_PAGES marked pages whose ids have the smallest digests.
+def learned_weights(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> Weights:
+    """Weights from LABELLED_PAGES marked pages: those of the smallest digests of their ids and texts, repeated ones once.
 
-    Digests are spread evenly, so a bound on them gives about as many pages (all of them if they are few); only those are gathered."""
-    digest = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).bitwiseAND(F.lit(2**63 - 1))
-    marked = pages.filter(F.lower(F.col(html_col)).rlike("<(article|main)[ >]")).select(F.col(html_col).alias("html"), digest.alias("digest"))
+    Digests are spread evenly, so a bound on them leaves about 1.5 times as many pages (all if they are few); only those are
+    ordered and gathered."""
+    page = column(html_col).cast("string")
+    digest = F.xxhash64(column(id_col).cast("string"), page).bitwiseAND(F.lit(2**63 - 1))
+    marked = pages.filter(F.lower(page).rlike("<(article|main)[ >]")).select(page.alias("html"), digest.alias("digest"))
     bound = int(2**63 * min(1.0, 1.5 * LABELLED_PAGES / max(1, marked.count()))) - 1
-    few = marked.filter(F.col("digest") <= bound).limit(2 * LABELLED_PAGES).collect()
-    return fit_weights([row["html"] for row in sorted(few, key=lambda row: (row["digest"], row["html"]))[:LABELLED_PAGES]])
+    few = marked.filter(F.col("digest") <= bound).dropDuplicates(["digest"]).orderBy("digest").limit(LABELLED_PAGES).collect()
+    return fit_weights([row["html"] for row in few])
 
 
-def _texts(weights: dict[str, float]):
+def _texts(weights: Weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [extract(page, weights) for page in batch.column(2).to_pylist()]
@@ -241,10 +310,10 @@ def _texts(weights: dict[str, float]):
     return run
 
 
-def main_texts(pages: DataFrame, weights: dict[str, float] | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def main_texts(pages: DataFrame, weights: Weights | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     weights = learned_weights(pages, id_col, html_col) if weights is None else weights
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
+    rows = pages.select(column(id_col).cast("long").alias("page_id"), column(url_col).cast("string").alias("url"), F.coalesce(column(html_col).cast("string"), F.lit("")).alias("html"))
     return rows.mapInArrow(_texts(weights), "page_id long, url string, text string, n_chars long")
 
 

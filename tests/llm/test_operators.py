@@ -283,6 +283,36 @@ def test_html_without_marks(spark):
     assert all(html_text.extract(re.sub(r"(?i)<(/?)(article|main)\b", r"<\1div", p), weights) == html_text.extract(p, weights) for p in pages[30:])
 
 
+def test_html_is_decided_by_the_learned_scan(spark):
+    """Noise of names that no labelled page has goes by the scan; without tags' weights, or with others, the result is another."""
+    pages = [r.html or "" for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").orderBy("page_id").collect()]
+    learned, rest = html_text.fit_weights(pages[:60]), pages[60:]
+    assert len(rest) > 60
+    plain = [html_text.extract(p, learned) for p in rest]
+    bare = [re.sub(r"(?i)<(/?)(article|main)\b", r"<\1div", p) for p in rest]
+    strange = [p.replace('class="ad"', 'class="qx7"').replace("<nav>", '<div id="zz">').replace("</nav>", "</div>").replace("<footer>", "<div>").replace("</footer>", "</div>") for p in bare]
+    assert sum(html_text.extract(p, learned) == t for p, t in zip(strange, plain, strict=True)) >= 0.95 * len(rest)
+    unweighed = html_text.Weights(learned.odds, dict.fromkeys(learned.tags, 0.0))
+    assert sum(html_text.extract(p, unweighed) == t for p, t in zip(strange, plain, strict=True)) < 0.05 * len(rest)
+    inverted = html_text.Weights({k: -v for k, v in learned.odds.items()}, dict.fromkeys(learned.tags, 0.0))
+    assert sum(html_text.extract(p, inverted) == t for p, t in zip(rest, plain, strict=True)) < 0.05 * len(rest)
+    # A page's own region, by plain search over all pairs of ends
+    scores = [-learned.tags.get(v, learned.tags[""]) if k == "tag" else len(v.split()) * html_text.word_score(x.against(learned)) for k, v, x in html_text.parse(rest[0])]
+    sums = np.concatenate(([0], np.cumsum(scores)))
+    a, b = html_text.best_region(html_text.parse(rest[0]), learned)
+    assert abs(sums[b] - sums[a] - max(sums[j] - sums[i] for i in range(len(sums)) for j in range(i, len(sums)))) < 1e-9
+
+
+def test_html_labels_decide(spark):
+    """Weights follow the labelled pages: a list's items are content where labelled pages have them inside."""
+    words = "many words of a long paragraph that says something " * 5
+    inside = [f'<div class="top">home</div><article><p>{words}</p><div class="box">{words}</div></article>'] * 20
+    outside = [f'<div class="box">{words}</div><article><p>{words}</p></article>'] * 20
+    page = f'<p>{words}</p><div class="box">boxed words here</div>'
+    assert "boxed" in html_text.extract(page, html_text.fit_weights(inside))
+    assert "boxed" not in html_text.extract(page, html_text.fit_weights(outside))
+
+
 def test_html_odd_pages():
     assert html_text.extract(None) == html_text.extract("") == html_text.extract("<p></p>") == ""
     assert html_text.extract("plain words") == "plain words"
