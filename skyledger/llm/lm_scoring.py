@@ -6,15 +6,18 @@ of its class given the window, times that of its group within the class given th
 network, times its share of the group, by counts. Groups are narrow: a frequent word has one of its own.
 
 Corpus statistics cover every document: words are counted in hashed buckets whose number follows the size of the
-corpus without a bound, buckets are dealt into classes of about equal counts, and the network is trained in numpy on all documents: each task takes stochastic gradient steps over its own rows
-from the same start, and the networks are averaged by the number of words they have seen, in two levels of groups.
-Groups, symbols that the network reads and rounds of averaging follow the corpus; each document belongs to one round.
-Up to TABLE_BUCKETS each task gets all counts; beyond it the counts stay in ranges of buckets, documents are dealt into
-chunks, and each chunk's own words are joined with their counts and stored in the shared folder, with the same result
-for each word.
+corpus without a bound, buckets are dealt into classes of about equal counts, and the network is trained in numpy on all
+documents. Documents are dealt to trainers by a hash of id and text, as many trainers as the corpus needs; each takes
+stochastic gradient steps over its own documents, in order of the hash, from the same start, and the networks are averaged by
+the number of words they have seen, in two levels of groups. So neither the network nor a score depends on how the table
+lies in partitions. Groups, symbols that the network reads and rounds of averaging follow the corpus; each document belongs
+to one round. Up to TABLE_BUCKETS each task gets all counts (31 MB); beyond it the counts stay in ranges of buckets, documents
+are dealt into chunks by the same hash, and each chunk's own words are joined with their counts and stored in the shared
+folder, with the same result for each word.
 
 Results for special input: a null or empty text has no words, log-probability 0 and no mean; repeated rows each give
-a row; very long texts are scored whole; an empty table gives an empty result; other columns are ignored.
+a row, with equal scores, as have rows of equal texts; very long texts are scored whole; an empty table gives an empty result;
+other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,18 +33,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm._common import partitions, pow2_at_least, scratch, table, text_of, written
+from skyledger.llm._common import column, partitions, pow2_at_least, scratch, table, text_of, written
 from skyledger.llm.token_files import _map, _put
 from skyledger.llm.words import chunks, hashed_words
 
 #: Buckets, at least; so many at most are sent to every task as one table.
-MIN_BUCKETS, TABLE_BUCKETS = 1 << 12, 1 << 20
+MIN_BUCKETS, TABLE_BUCKETS = 1 << 12, 1 << 21
 WORDS_PER_BUCKET = 64
 #: Words on each side that the network sees; classes it tells apart.
 SIDE, CLASSES, HIDDEN = 2, 64, 24
 BATCH, RATE, FINE = 4096, 0.1, 16
-#: Words that a task counts at once, and characters of a chunk of documents whose words are joined with their counts.
-COUNTED, CHUNK_CHARS = 1 << 21, 20_000_000
+#: Words that a task counts at once, characters of a chunk of documents whose words are joined with their counts, and
+#: characters for each trainer.
+COUNTED, CHUNK_CHARS, TRAINER_CHARS = 1 << 21, 20_000_000, 32_000_000
 
 
 def sizes(n: int) -> tuple[int, int, int]:
@@ -356,19 +360,6 @@ class Network:
                 self.embed[k][read[first]] -= np.add.reduceat(back[order], first, axis=0)
 
 
-def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows with the number of their chunk; chunks are within a task and end after CHUNK_CHARS characters."""
-    chunk, size = TaskContext.get().partitionId() << 32, 0
-    for batch in batches:
-        at = []
-        for text in batch.column("text").to_pylist():
-            if size >= CHUNK_CHARS:
-                chunk, size = chunk + 1, 0
-            size += len(text)
-            at.append(chunk)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), *batch.columns], names=["chunk", *batch.schema.names])
-
-
 def _chunk_buckets(n: int, ranges: int):
     """The distinct buckets of each chunk, by ranges; rows of a chunk stand together."""
 
@@ -419,8 +410,10 @@ def _store(folder: str):
 
 
 def _with_words(rows: DataFrame, table: DataFrame, n: int) -> tuple[DataFrame, str]:
-    """`rows` (with a column text) with a column chunk, and the folder that has the words of each chunk with counts."""
-    rows = written(rows.mapInArrow(_chunked, f"chunk long, {', '.join(f'{f.name} {f.dataType.simpleString()}' for f in rows.schema)}"), "chunks")
+    """`rows` (doc_id, text, turn) with a column chunk, and the folder that has the words of each chunk with counts."""
+    number = math.ceil((rows.agg(F.sum(F.length("text"))).first()[0] or 0) / CHUNK_CHARS) or 1
+    chunked = rows.withColumn("chunk", F.pmod("turn", F.lit(number)))
+    rows = written(chunked.repartition(partitions(rows.sparkSession), "chunk").sortWithinPartitions("chunk", "turn", "doc_id"), "chunks")
     ranges, folder = _ranges(rows.sparkSession, n), scratch(rows.sparkSession, "words")
     pieces = rows.select("chunk", "text").mapInArrow(_chunk_buckets(n, ranges), "chunk long, part int, buckets binary")
     words = pieces.groupBy("part").cogroup(table.groupBy("part")).applyInArrow(_looked_up(n // ranges), "chunk long, part int, buckets binary, counts binary")
@@ -486,16 +479,17 @@ def _sized(size: int) -> int:
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select((F.col(id_col).cast("long") if id_col in docs.columns else F.lit(None).cast("long")).alias("doc_id"), text_of(text_col).alias("text"))
+    """doc_id, text, turn (a hash of both that deals rows out)."""
+    rows = docs.select((column(id_col).cast("long") if id_col in docs.columns else F.lit(None).cast("long")).alias("doc_id"), text_of(text_col).alias("text"))
+    return rows.withColumn("turn", F.xxhash64("doc_id", "text"))
 
 
 def fit(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Network:
     """A network trained on every text of `docs`."""
     rows = _rows(docs, id_col, text_col)
     texts = rows.select("text")
-    n = _sized(texts.agg(F.sum(F.length("text"))).first()[0] or 0)
-    groups = max(1, math.isqrt(texts.rdd.getNumPartitions()))
-    folder, turn = None, F.xxhash64("text")
+    size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    n, folder = _sized(size), None
     if n <= TABLE_BUCKETS:
         network = Network(bucket_counts(texts, n))
     else:
@@ -504,15 +498,17 @@ def fit(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Netw
         network.table = table
         rows, folder = _with_words(rows, table, n)
         network.fitted = (docs, id_col, text_col), rows, folder
-        # Whole chunks take turns.
-        texts, turn = rows.select("chunk", "text"), F.xxhash64("chunk")
+    # Whole chunks, where there are any, take turns.
+    key = "chunk" if folder else "turn"
     rounds = sizes(n)[2]
+    trainers = math.ceil(size / rounds / TRAINER_CHARS) or 1
     for k in range(rounds):
-        trained = texts.filter(F.pmod(turn, F.lit(rounds)) == k).mapInArrow(_trainer(network, groups, folder), SUMS)
+        own = rows.filter(F.pmod(F.xxhash64(key), F.lit(rounds)) == k).repartition(trainers, key).sortWithinPartitions(*dict.fromkeys((key, "turn", "doc_id", "text")))
+        trained = own.select(*(("chunk", "text") if folder else ("text",))).mapInArrow(_trainer(network, max(1, math.isqrt(trainers)), folder), SUMS)
         by_group = trained.groupBy("part").applyInArrow(_ordered_sum, "part int, sums binary")
-        rows = sorted(by_group.collect(), key=lambda r: r["part"])
-        if rows:
-            total = np.sum([np.frombuffer(r["sums"], "<f4").astype(np.float64) for r in rows], axis=0)
+        sums = sorted(by_group.collect(), key=lambda r: r["part"])
+        if sums:
+            total = np.sum([np.frombuffer(r["sums"], "<f4").astype(np.float64) for r in sums], axis=0)
             network.set_weights(total[:-1] / total[-1])
     return network
 
@@ -530,10 +526,11 @@ def _scores(network: Network, ids: pa.Array, rows: list[str]) -> pa.RecordBatch:
     total = np.zeros(len(rows))
     for first, texts in chunks(rows):
         hashes, counts = hashed_words(texts)
-        each = np.concatenate(([0.0], np.cumsum(network.log_probabilities(*network.windows(hashes, counts)), dtype=np.float64)))
-        ends = np.cumsum(counts)
+        found = network.log_probabilities(*network.windows(hashes, counts)).astype(np.float64)
+        some = np.flatnonzero(counts)
         n[first : first + len(texts)] = counts
-        total[first : first + len(texts)] = each[ends] - each[ends - counts]
+        if len(some):
+            total[first + some] = np.add.reduceat(found, (np.cumsum(counts) - counts)[some])
     mean = np.divide(total, n, out=np.zeros_like(total), where=n > 0)
     return pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(total, pa.float64()), pa.array(mean, pa.float64(), mask=n == 0)], names=["doc_id", "n_words", "log_prob", "mean_log_prob"])
 
@@ -552,7 +549,7 @@ def score(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: s
     rows, folder = _rows(docs, id_col, text_col), None
     if network.table is not None:
         rows, folder = network.fitted[1:] if network.fitted[0][0] is docs and network.fitted[0][1:] == (id_col, text_col) else _with_words(rows, network.table, network.layout.n)
-    return rows.mapInArrow(_scorer(network, folder), SCORES)
+    return rows.select("doc_id", "text", *(("chunk",) if folder else ())).mapInArrow(_scorer(network, folder), SCORES)
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
