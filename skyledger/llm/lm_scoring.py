@@ -39,9 +39,9 @@ from skyledger.llm.words import chunks, hashed_words
 
 #: Buckets, at least; so many at most are sent to every task as one table.
 MIN_BUCKETS, TABLE_BUCKETS = 1 << 12, 1 << 21
-WORDS_PER_BUCKET = 64
+WORDS_PER_BUCKET = 128
 #: Words on each side that the network sees; classes it tells apart.
-SIDE, CLASSES, HIDDEN = 2, 64, 24
+SIDE, CLASSES, HIDDEN = 2, 32, 24
 BATCH, RATE, FINE = 4096, 0.1, 16
 #: Words that a task counts at once, characters of a chunk of documents whose words are joined with their counts, and
 #: characters for each trainer.
@@ -51,7 +51,7 @@ COUNTED, CHUNK_CHARS, TRAINER_CHARS = 1 << 21, 20_000_000, 32_000_000
 def sizes(n: int) -> tuple[int, int, int]:
     """For n buckets: groups of a class, frequent words that the network reads as themselves (it reads the others in as
     many hashed symbols), rounds of training."""
-    return round(16 * n**0.125), min(n, 4 * math.isqrt(n)), 1 + max(0, n.bit_length() - MIN_BUCKETS.bit_length()) // 4
+    return round(8 * n**0.125), min(n, 4 * math.isqrt(n)), 1 + max(0, n.bit_length() - MIN_BUCKETS.bit_length()) // 4
 
 
 def _buckets(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -110,19 +110,6 @@ def _range_counts(width: int):
     return run
 
 
-def _summed(kind: str, key: str, value: str):
-    """Sum the arrays of a group, one after another."""
-
-    def run(keys, group):
-        total = None
-        for blob in group.column(value):
-            array = np.frombuffer(blob.as_buffer(), kind)
-            total = array.copy() if total is None else total + array
-        return pa.table({key: pa.array([keys[0].as_py()], group.schema.field(key).type), value: pa.array([total.tobytes()], pa.binary())})
-
-    return run
-
-
 def counted(texts: DataFrame, n: int) -> DataFrame:
     """part, counts: how often the words of each bucket occur in all of `texts` (column text), by ranges; a range
     without words has no row."""
@@ -353,8 +340,9 @@ class Network:
             back *= 1 - hidden * hidden
             self.bias -= step * back.sum(axis=0)
             back *= step * 16
+            narrow = np.uint16 if 2 * self.layout.frequent < 1 << 16 else np.int32  # two bytes are sorted by radix
             for k in range(2 * SIDE):
-                order = np.argsort(seen[k], kind="stable")
+                order = np.argsort(seen[k].astype(narrow), kind="stable")
                 read = seen[k][order]
                 first = np.flatnonzero(np.concatenate(([True], read[1:] != read[:-1])))
                 self.embed[k][read[first]] -= np.add.reduceat(back[order], first, axis=0)
@@ -504,18 +492,23 @@ def fit(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Netw
     trainers = math.ceil(size / rounds / TRAINER_CHARS) or 1
     for k in range(rounds):
         own = rows.filter(F.pmod(F.xxhash64(key), F.lit(rounds)) == k).repartition(trainers, key).sortWithinPartitions(*dict.fromkeys((key, "turn", "doc_id", "text")))
-        trained = own.select(*(("chunk", "text") if folder else ("text",))).mapInArrow(_trainer(network, max(1, math.isqrt(trainers)), folder), SUMS)
-        by_group = trained.groupBy("part").applyInArrow(_ordered_sum, "part int, sums binary")
-        sums = sorted(by_group.collect(), key=lambda r: r["part"])
-        if sums:
-            total = np.sum([np.frombuffer(r["sums"], "<f4").astype(np.float64) for r in sums], axis=0)
+        groups = math.isqrt(max(trainers, partitions(docs.sparkSession)))
+        trained = own.select(*(("chunk", "text") if folder else ("text",))).mapInArrow(_trainer(network, groups, folder), SUMS)
+        by_group = trained.groupBy("part").applyInArrow(_ordered_sum, "part int, sums binary").select(F.lit(0).alias("part"), F.col("part").alias("task"), "sums")
+        for row in by_group.groupBy("part").applyInArrow(_ordered_sum, "part int, sums binary").collect():
+            total = np.frombuffer(row["sums"], "<f4").astype(np.float64)
             network.set_weights(total[:-1] / total[-1])
     return network
 
 
 def _ordered_sum(keys, group):
-    """Sums in order of task, so that a rerun gives the same network."""
-    return _summed("<f4", "part", "sums")(keys, group.sort_by("task"))
+    """Sums in order of task, in double precision, so that a rerun gives the same network: networks, or sums of networks."""
+    group = group.sort_by("task")
+    total: np.ndarray | None = None
+    for blob in group.column("sums"):
+        data = np.frombuffer(blob.as_buffer(), "<f4")
+        total = data.astype(np.float64) if total is None else total + data
+    return pa.table({"part": pa.array([keys[0].as_py()], pa.int32()), "sums": pa.array([total.astype("<f4").tobytes()], pa.binary())})
 
 
 SCORES = "doc_id long, n_words long, log_prob double, mean_log_prob double"
