@@ -66,7 +66,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write `df` as a Parquet table in the shared folder and read it back."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

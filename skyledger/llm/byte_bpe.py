@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm._common import table, text_of
+from skyledger.llm._common import column, table, text_of
 from skyledger.llm.pretoken import CachedEncoder, Splitter, mixed
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -207,7 +207,7 @@ def _decoded(path: str):
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    return docs.select(column(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -217,7 +217,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
 def decode(coded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """doc_id and decoded (binary) of every list of ids; null gives empty bytes."""
-    return coded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids")).mapInArrow(_decoded(path), "doc_id long, decoded binary")
+    return coded.select(column(id_col).cast("long").alias("doc_id"), column(ids_col).cast("array<int>").alias("ids")).mapInArrow(_decoded(path), "doc_id long, decoded binary")
 
 
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

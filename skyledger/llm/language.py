@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm._common import table
+from skyledger.llm._common import column, table
 
 #: Texts of each language that the machines are fitted on, at most.
 SAMPLE = 400
@@ -145,7 +145,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """A model from rows with a text and a language.
 
     The digests of a language's rows are spread evenly, so a bound on the digest gives about SAMPLE rows of each."""
-    rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col).cast("string"), F.lit("lang")).alias("digest"), F.col(text_col).alias("text")).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    rows = docs.select(column(lang_col).cast("string").alias("lang"), F.xxhash64(column(id_col).cast("string"), F.lit("lang")).alias("digest"), column(text_col).alias("text")).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = rows.groupBy("lang").count().orderBy("lang").collect()
     if not counts:
         return Model(np.zeros((0, 1 << BITS), np.float32), [])
@@ -179,7 +179,7 @@ def held_out(key: Column, folds: int = 5) -> Column:
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, lang_pred, score of every text."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(column(id_col).cast("long").alias("doc_id"), held_out(column(id_col)).alias("held_out"), column(text_col).cast("string").alias("text"))
     return rows.mapInArrow(_predicted(model), "doc_id long, held_out boolean, lang_pred string, score double")
 
 

@@ -8,18 +8,23 @@ Documents are dealt into ranges of ascending id; each task encodes its documents
 
 and a manifest row. A shard's base (the ids in all shards before it) is a prefix sum over the manifest. Readers map
 the files into memory and touch the documents they want. A task that runs again writes the same names with the
-same bytes, each put in place by a rename, so lost executors and duplicate attempts do no harm.
+same bytes, each written under a temporary name and put in place by a rename, so lost executors and duplicate attempts do
+no harm.
 
 Results for special input: a null text counts as the empty text and has the end id alone; a null id comes first and
-is stored as the smallest 64-bit integer; repeated ids are ordered by text; an empty table has no shards; other
-columns are ignored.
+is stored as the smallest 64-bit integer; repeated ids are ordered by text; a very long text is a document like any other;
+an empty table has no shards; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from skyledger.llm._common import partitions, scratch, table, text_of, written
+from skyledger.llm._common import column, partitions, scratch, table, text_of, written
 from skyledger.llm.pretoken import CachedEncoder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -92,21 +97,30 @@ def _local(path: str) -> str | None:
     return path if path.startswith("/") else None
 
 
-def _put(path: str, parts: list[bytes]) -> None:
+@contextmanager
+def _output(path: str) -> Iterator[Callable[[bytes], object]]:
+    """A writer to a file that appears under its name when all is written: each attempt has a temporary file of its own."""
+    own = f"{path}.{uuid.uuid4().hex}.tmp"
     if local := _local(path):
         os.makedirs(os.path.dirname(local), exist_ok=True)
-        own = f"{local}.{os.getpid()}-{TaskContext.get().taskAttemptId() if TaskContext.get() else 0}.tmp"
-        with open(own, "wb") as out:
-            out.writelines(parts)
-        os.replace(own, local)
+        with open(_local(own), "wb") as out:
+            yield out.write
+        os.replace(_local(own), local)
         return
     from pyarrow import fs
 
     store, place = fs.FileSystem.from_uri(path)
+    other = fs.FileSystem.from_uri(own)[1]
     store.create_dir(place.rpartition("/")[0])
-    with store.open_output_stream(place) as out:
+    with store.open_output_stream(other) as out:
+        yield out.write
+    store.move(other, place)
+
+
+def _put(path: str, parts: list[bytes]) -> None:
+    with _output(path) as write:
         for part in parts:
-            out.write(part)
+            write(part)
 
 
 def _map(path: str, kind: str) -> np.ndarray:
@@ -125,32 +139,35 @@ def _writer(folder: str, tokenizer: str, end_id: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = library_encoder(tokenizer)
         end = np.array([end_id], kind).tobytes()
-        parts: list[bytes] = []
-        sizes: list[int] = []
-        names: list[np.ndarray] = []
-        for batch in batches:
-            names.append(batch.column(0).to_numpy(zero_copy_only=False).astype("<i8"))
-            for ids in encoder.encode(batch.column(1).to_pylist()):
-                parts += (ids.astype(kind).tobytes(), end)
-                sizes.append(len(ids) + 1)
-        if not sizes:
+        first = next(batches, None)
+        if first is None:
             return
         shard = TaskContext.get().partitionId()
         path = f"{folder}/shard-{shard:06d}"
-        _put(f"{path}.bin", parts)
-        _put(f"{path}.idx", [np.concatenate(([0], np.cumsum(sizes))).astype("<i8").tobytes()])
-        _put(f"{path}.doc", [np.concatenate(names).tobytes()])
+        sizes, names = array("q"), array("q")
+        # Ids go to the file as they come; a task holds a batch, and 16 bytes for each document.
+        with _output(f"{path}.bin") as write:
+            for batch in chain((first,), batches):
+                names.frombytes(batch.column(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
+                for ids in encoder.encode(batch.column(1).to_pylist()):
+                    write(ids.astype(kind).tobytes())
+                    write(end)
+                    sizes.append(len(ids) + 1)
+        if not sizes:
+            return
+        _put(f"{path}.idx", [np.concatenate(([0], np.cumsum(np.frombuffer(sizes, np.int64)))).astype("<i8").tobytes()])
+        _put(f"{path}.doc", [names.tobytes()])
         yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "path": [path], "docs": pa.array([len(sizes)], pa.int64()), "ids": pa.array([sum(sizes)], pa.int64()), "width": pa.array([width], pa.int32())})
 
     return run
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, shards: int | None = None) -> DataFrame:
-    """Write `docs` below `folder`; the manifest, with each shard's base. A shard's ids pass through one task's memory."""
+    """Write `docs` below `folder`; the manifest, with each shard's base."""
     from tokenizers import Tokenizer
 
     width = 2 if max(end_id + 1, Tokenizer.from_file(tokenizer).get_vocab_size()) <= 1 << 16 else 4
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"), text_of(text_col).alias("text"))
+    rows = docs.select(F.coalesce(column(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"), text_of(text_col).alias("text"))
     ordered = rows.repartitionByRange(shards or partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
     manifest = written(ordered.mapInArrow(_writer(folder, tokenizer, end_id, width), MANIFEST), "manifest")
     # One row for each shard.
