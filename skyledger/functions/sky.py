@@ -192,3 +192,21 @@ def undistorted(u: Column, v: Column, a: dict[tuple[int, int], float], b: dict[t
     start = F.struct(u.cast("double").alias("x"), v.cast("double").alias("y"))
     found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step)
     return found["x"], found["y"]
+
+
+def cd_sky(x: Column, y: Column, ra0: Column, dec0: Column, crpix: tuple[Column, Column], cd: tuple[Column, Column, Column, Column]) -> tuple[Column, Column]:
+    """The position of a pixel by a gnomonic projection with a matrix (cd1_1, cd1_2, cd2_1, cd2_2) in degrees a pixel."""
+    u, v = x - crpix[0], y - crpix[1]
+    xi, eta, d0 = F.radians(cd[0] * u + cd[1] * v), F.radians(cd[2] * u + cd[3] * v), F.radians(dec0)
+    level = F.cos(d0) - eta * F.sin(d0)
+    return modulo(ra0 + F.degrees(F.atan2(xi, level)), 360.0), F.degrees(F.atan2(F.sin(d0) + eta * F.cos(d0), F.sqrt(xi * xi + level * level)))
+
+
+def cd_pixel(ra: Column, dec: Column, ra0: Column, dec0: Column, crpix: tuple[Column, Column], cd: tuple[Column, Column, Column, Column]) -> tuple[Column, Column]:
+    """The inverse of cd_sky; null beyond 90 degrees and for a matrix without an inverse."""
+    d, d0, da = F.radians(dec), F.radians(dec0), F.radians(ra - ra0)
+    facing = F.sin(d0) * F.sin(d) + F.cos(d0) * F.cos(d) * F.cos(da)
+    xi = F.degrees(F.when(facing > 0, F.cos(d) * F.sin(da) / facing))
+    eta = F.degrees(F.when(facing > 0, (F.cos(d0) * F.sin(d) - F.sin(d0) * F.cos(d) * F.cos(da)) / facing))
+    det = cd[0] * cd[3] - cd[1] * cd[2]
+    return crpix[0] + F.try_divide(cd[3] * xi - cd[1] * eta, det), crpix[1] + F.try_divide(cd[0] * eta - cd[2] * xi, det)

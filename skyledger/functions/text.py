@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -69,15 +71,33 @@ def combined_times(civil: Column, ut: Column, st: Column) -> Column:
     return F.transform(zipped, one)
 
 
+# Letters that have no decomposition.
+LIGATURES = (("ß", "ss"), ("æ", "ae"), ("Æ", "AE"), ("œ", "oe"), ("Œ", "OE"), ("þ", "th"), ("Þ", "Th"))
+STROKED = {"ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ð": "d", "Ð": "D", "ł": "l", "Ł": "L", "ħ": "h", "Ħ": "H", "ŧ": "t", "Ŧ": "T", "ı": "i"}
+
+
+def _letters() -> tuple[str, str]:
+    """Letters of the Latin blocks and the ASCII letters that their canonical decompositions begin with."""
+    plain = dict(STROKED)
+    for point in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)):
+        first = unicodedata.normalize("NFD", chr(point))[0]
+        if first != chr(point) and first.isascii() and first.isalpha():
+            plain[chr(point)] = first
+    return "".join(plain), "".join(plain.values())
+
+
+_LETTERS = _letters()
+
+
 def ascii_folded(text: Column, german: bool = False) -> Column:
     """Letters without diacritics; with `german`, umlauts become two letters first; other characters beyond ASCII become '?'."""
     out = text
     if german:
         for a, b in (("ä", "ae"), ("ö", "oe"), ("ü", "ue"), ("Ä", "Ae"), ("Ö", "Oe"), ("Ü", "Ue")):
             out = F.replace(out, F.lit(a), F.lit(b))
-    out = F.replace(out, F.lit("ß"), F.lit("ss"))
-    plain = F.translate(out, "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ", "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY")
-    return F.regexp_replace(plain, r"[^\x00-\x7F]", "?")
+    for a, b in LIGATURES:
+        out = F.replace(out, F.lit(a), F.lit(b))
+    return F.regexp_replace(F.translate(out, *_LETTERS), r"[^\x00-\x7F]", "?")
 
 
 def file_format(name: Column) -> Column:

@@ -52,12 +52,19 @@ def scale_rotation(rows: DataFrame, group: list[str], x1: str, y1: str, x2: str,
     return summed.select(*group, F.sqrt(F.try_divide(F.col("v2"), F.col("v1"))).alias("scale"), F.degrees(F.atan2(F.col("xy") - F.col("yx"), F.col("xx") + F.col("yy"))).alias("rotation"))
 
 
-def sigma_clipped(rows: DataFrame, group: list[str], value: str, sigma: float = 3.0, rounds: int = 3) -> DataFrame:
-    """Rows within `sigma` population deviations of the group's median, `rounds` times over; statistics are joined back."""
-    out = rows
-    for _ in range(rounds):
+def sigma_clipped(rows: DataFrame, group: list[str], value: str, sigma: float = 3.0, rounds: int | None = None) -> DataFrame:
+    """Rows within `sigma` population deviations of the group's median, `rounds` times over or, without a number, until
+    nothing changes. Statistics are joined back; each round is checkpointed, so that it is read, not computed, twice."""
+    out, left, done = rows, None, 0
+    while rounds is None or done < rounds:
+        out = checkpointed(out)
+        if rounds is None:
+            before, left = left, out.count()
+            if before == left:
+                break
         stats = out.groupBy(*group).agg(F.median(value).alias("_mid"), F.stddev_pop(value).alias("_dev"))
         out = out.join(stats, group).filter(F.abs(F.col(value) - F.col("_mid")) <= F.col("_dev") * sigma).drop("_mid", "_dev")
+        done += 1
     return out
 
 
@@ -187,11 +194,13 @@ def dbscan_labels(points: DataFrame, id_col: str, radius: float, least: int, x:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage in the folder that spark.checkpoint.dir names; a temporary one where none is set."""
+    """Cut lineage in the folder that spark.checkpoint.dir names; a local session without one gets a temporary one."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
         import tempfile
 
+        if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="skyledger-"))
     return df.checkpoint()
 

@@ -90,3 +90,42 @@ def with_wcs(cards: Column, wcs: Column, before: str = "HISTORY") -> Column:
 def alternate(cards: Column, letter: str) -> Column:
     """A solution's cards under an alternate letter, for several solutions in one header."""
     return F.transform(cards, lambda c: F.struct(c["pos"].alias("pos"), F.concat(c["key"], F.lit(letter)).alias("key"), c["value"].alias("value"), c["comment"].alias("comment")))
+
+
+# Edits of values
+
+
+def plate_sizes(size: Column) -> tuple[Column, Column]:
+    """Both numbers of 'AxB'; null where there are none."""
+    parts = F.split(size, "x")
+    return F.get(parts, F.lit(0)).try_cast("double"), F.get(parts, F.lit(1)).try_cast("double")
+
+
+def seconds_of_minutes(minutes: Column, stated: Column | None = None) -> Column:
+    """An exposure time of minutes in seconds; where it is missing the one stated elsewhere, also in minutes."""
+    own = minutes.cast("string").try_cast("double")
+    return (own if stated is None else F.coalesce(own, stated.cast("double"))) * F.lit(60.0)
+
+
+def named_observer(name: Column) -> Column:
+    """A space after each initial's point, and a capital at the start of each word."""
+    return F.initcap(F.replace(name, F.lit("."), F.lit(". ")))
+
+
+def plain_filter(name: Column) -> Column:
+    """'NONE' and 'NO' within a filter's name are 'none'."""
+    return F.replace(F.replace(name, F.lit("NONE"), F.lit("none")), F.lit("NO"), F.lit("none"))
+
+
+def plain_prism_angle(angle: Column) -> Column:
+    return F.replace(angle, F.lit("NO"), F.lit(""))
+
+
+def joined_date(date: Column, time: Column) -> Column:
+    """Date and time in one text; the date alone without a time."""
+    return F.when(time.isNotNull(), F.concat(date, F.lit("T"), time)).otherwise(date)
+
+
+def evening_date(start: Column) -> Column:
+    """The date of the evening that a night's observation belongs to: that of twelve hours before."""
+    return F.date_format(F.try_to_timestamp(start) - F.expr("INTERVAL 12 HOURS"), "yyyy-MM-dd")

@@ -38,9 +38,9 @@ def exposure_parts(plates: DataFrame, key: str = "plate_id") -> DataFrame:
     parts = one.withColumns({"_ends": ends, "_count": F.size(starts)}).select("*", F.posexplode(starts).alias("_p", "_start"))
     blank = lambda c: F.nullif(F.trim(c), F.lit(""))
     date = F.try_to_date("_date", "yyyy-MM-dd")
-    start = _instant(blank(F.col("_start")), date, F.col("_zone"), F.col("_lon"))
-    end = _instant(blank(F.get("_ends", F.col("_p"))), date, F.col("_zone"), F.col("_lon"))
-    timed = parts.withColumns({"ut_start": start, "_end": end}).withColumn("ut_end", times.end_after_start(F.col("ut_start"), F.col("_end")))
+    # One lambda over both texts: the conversion stands in the plan once, however often its result is used.
+    both = F.transform(F.array(blank(F.col("_start")), blank(F.get("_ends", F.col("_p")))), lambda t: _instant(t, date, F.col("_zone"), F.col("_lon")))
+    timed = parts.withColumn("_both", both).withColumns({"ut_start": F.get("_both", F.lit(0)), "_end": F.get("_both", F.lit(1))}).withColumn("ut_end", times.end_after_start(F.col("ut_start"), F.col("_end")))
     share = F.when(F.col("_count") == 1, F.col("_exp"))
     return timed.select(key, "exposure_num", (F.col("_p") + 1).alias("subexposure_num"), "ut_start", "ut_end", times.exposure_seconds(F.col("ut_start"), F.col("ut_end"), share).alias("exptime"), F.col("_exp").alias("stated_exptime"), F.col("_date").alias("date_orig")).withColumn(
         "ut_mid", times.mid_time(F.col("ut_start"), F.col("ut_end"), F.col("exptime"))

@@ -76,10 +76,10 @@ def calib_star_selection(spark, d):
     return s.filter(detections.calibration_stars()).select("id", "plate")
 
 
-@query("colour_subset", f"WITH s AS (SELECT id, plate, id % 9 AS annular_bin FROM ({SOURCES}) WHERE id % 7 = 0), w AS (SELECT *, count(*) FILTER (annular_bin <= 3) OVER (PARTITION BY plate) AS c FROM s) SELECT id, plate FROM w WHERE annular_bin <= 3 OR c < 40 AND annular_bin <= 6")
+@query("colour_subset", f"WITH s AS (SELECT id, plate, id % 9 AS annular_bin FROM ({SOURCES})), w AS (SELECT *, count(*) FILTER (annular_bin <= 3) OVER (PARTITION BY plate) AS c FROM s) SELECT id, plate FROM w WHERE annular_bin <= 3 OR c < 280 AND annular_bin <= 6")
 def colour_subset(spark, d):
-    s = sources(spark, d).filter("id % 7 = 0").select("id", "plate", (F.col("id") % 9).alias("annular_bin"))
-    return detections.colour_subset(s, "plate", enough=40).select("id", "plate")
+    s = sources(spark, d).select("id", "plate", (F.col("id") % 9).alias("annular_bin"))
+    return detections.colour_subset(s, "plate", enough=280).select("id", "plate")
 
 
 @query("calib_flags", f"SELECT id, CASE WHEN id % 5 = 0 THEN 2 WHEN id % 3 = 0 THEN 1 ELSE 0 END AS phot_calib_flag FROM ({SOURCES})")
@@ -256,7 +256,7 @@ def time_prefix_split(spark, d):
     return load(spark, d, "customer").select("c_custkey", text.tagged_times(field).alias("t")).select("c_custkey", "t.*")
 
 
-@query("ascii_fold", "SELECT doc_id, md5(regexp_replace(translate(replace(text, 'ß', 'ss'), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ', 'aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY'), '[^\\x00-\\x7F]', '?', 'g')) AS folded FROM documents")
+@query("ascii_fold", "SELECT doc_id, md5(regexp_replace(strip_accents(replace(text, 'ß', 'ss')), '[^\\x00-\\x7F]', '?', 'g')) AS folded FROM documents")
 def ascii_fold(spark, d):
     return load(spark, d, "documents").select("doc_id", F.md5(text.ascii_folded(F.col("text"))).alias("folded"))
 
@@ -267,9 +267,9 @@ def list_split(spark, d):
     return load(spark, d, "part").select("p_partkey", parts.alias("i")).select("p_partkey", F.size("i").cast("long").alias("n"), F.try_element_at("i", F.lit(-1)).alias("last"), text.number(F.try_element_at("i", F.lit(-1))).alias("number"))
 
 
-@query("code_lookup", "SELECT p_partkey, CASE p_size WHEN 1 THEN 'direct photograph' WHEN 14 THEN 'sub-beam (Pickering) prism' WHEN 25 THEN 'objective grating, multi-exposure' END AS method FROM part WHERE p_size IN (1, 14, 25, 40)")
+@query("code_lookup", "SELECT p_partkey, m.method FROM part LEFT JOIN (VALUES " + ", ".join("({}, '{}')".format(k, v.replace("'", "''")) for k, v in text.METHODS.items()) + ") m(code, method) ON p_size = code")
 def code_lookup(spark, d):
-    return load(spark, d, "part").filter(F.col("p_size").isin(1, 14, 25, 40)).select("p_partkey", text.lookup(F.col("p_size"), text.METHODS).alias("method"))
+    return load(spark, d, "part").select("p_partkey", text.lookup(F.col("p_size"), text.METHODS).alias("method"))
 
 
 @query("formatted_ids", "SELECT p_partkey, printf('%04d-%05d-%1d', p_partkey % 9538, p_size, 1) AS tycho, CASE WHEN p_partkey % 2 = 0 THEN 'JPEG' ELSE 'TIFF' END AS format FROM part")
@@ -407,10 +407,10 @@ def scale_rotation(spark, d):
     return fits.scale_rotation(e, ["label"], "x1", "y1", "x2", "y2").select("label", F.round("scale", 6).alias("scale"), F.round("rotation", 4).alias("rotation"))
 
 
-def _clip_sql(rounds: int) -> str:
+def _clip_sql(rounds: int, sigma: float = 1.5) -> str:
     out = "(SELECT p_brand, p_partkey, p_retailprice FROM part)"
     for _ in range(rounds):
-        out = f"(SELECT p_brand, p_partkey, p_retailprice FROM (SELECT *, median(p_retailprice) OVER w AS mid, stddev_pop(p_retailprice) OVER w AS dev FROM {out} WINDOW w AS (PARTITION BY p_brand)) WHERE abs(p_retailprice - mid) <= dev * 1.5::DOUBLE)"
+        out = f"(SELECT p_brand, p_partkey, p_retailprice FROM (SELECT *, median(p_retailprice) OVER w AS mid, stddev_pop(p_retailprice) OVER w AS dev FROM {out} WINDOW w AS (PARTITION BY p_brand)) WHERE abs(p_retailprice - mid) <= dev * {sigma}::DOUBLE)"
     return f"SELECT p_brand, p_partkey FROM {out}"
 
 
@@ -419,6 +419,11 @@ def sigma_clip_fixed3(spark, d):
     return fits.sigma_clipped(load(spark, d, "part").select("p_brand", "p_partkey", "p_retailprice"), ["p_brand"], "p_retailprice", 1.5, 3).select("p_brand", "p_partkey")
 
 
+@query("sigma_clip_until_stable", _clip_sql(16, 1.9))
+def sigma_clip_until_stable(spark, d):
+    return fits.sigma_clipped(load(spark, d, "part").select("p_brand", "p_partkey", "p_retailprice"), ["p_brand"], "p_retailprice", 1.9, None).select("p_brand", "p_partkey")
+
+
 KDE = "WITH n AS (SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY l_returnflag), k AS (SELECT l_returnflag, 0.0::DOUBLE + g.range * 1.0::DOUBLE AS grid, sum(exp(-pow((g.range * 1.0::DOUBLE - l_quantity) / 0.8::DOUBLE, 2) / 2)) AS s FROM lineitem, range(0, 60) g WHERE abs(g.range - l_quantity) <= 4 GROUP BY ALL), d AS (SELECT l_returnflag, grid, s / (n * 0.8::DOUBLE * sqrt(2 * pi())) AS density FROM k JOIN n USING (l_returnflag))"
 
 
@@ -445,7 +450,7 @@ def curve_interpolation(spark, d):
 
 @query("lowess_curve")
 def lowess_curve(spark, d):
-    s = sources(spark, d).filter("id % 4 = 0").select("plate", "id", "mag", "background")
+    s = sources(spark, d).select("plate", "id", "mag", "background")
     return fits.lowess_curves(s, "plate", "mag", "background", "id")
 
 
@@ -457,5 +462,5 @@ def dbscan_labels(spark, d):
 
 @query("color_term_scan")
 def color_term_scan(spark, d):
-    s = sources(spark, d).filter("id % 10 = 0").select((F.col("plate") % 4).alias("plate"), "id", "mag", "bp", "rp")
+    s = sources(spark, d).select((F.col("plate") % 4).alias("plate"), "id", "mag", "bp", "rp")
     return fits.best_colour_term(fits.colour_terms(s, "plate"), "plate")

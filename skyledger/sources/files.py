@@ -108,7 +108,7 @@ def plate_list(spark: SparkSession, path: str, timezone: str = "", exptime_minut
 
 
 def observer_list(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path).select(wide_plate_id().alias("wfpdb_id"), F.trim(F.substring("value", 16, 1_000_000)).alias("observer"))
+    return spark.read.text(path).select(wide_plate_id().alias("wfpdb_id"), F.trim(F.substr(F.col("value"), F.lit(16))).alias("observer"))
 
 
 #: Keys of a notes line with a column of their own; other keys stay in the notes.
@@ -117,7 +117,7 @@ NOTE_KEYS = ("exposure time", "exposure start", "exposure end", "ut-start", "ut-
 
 def notes_list(spark: SparkSession, path: str) -> DataFrame:
     """Notes lines 'key: value; key: value' after the plate's key: a column for each known key, joined texts for the rest."""
-    rows = spark.read.text(path).select(wide_plate_id().alias("wfpdb_id"), tx.key_values(F.substring("value", 16, 1_000_000)).alias("kv"))
+    rows = spark.read.text(path).select(wide_plate_id().alias("wfpdb_id"), tx.key_values(F.substr(F.col("value"), F.lit(16))).alias("kv"))
     kv = F.col("kv")
     listed = lambda k: tx.items(tx.value_of(kv, k), ",")
     out = {k.replace(" ", "_").replace("-", "_"): listed(k) for k in ("exposure time", "exposure start", "exposure end", "ut-start", "ut-end", "st-start", "st-end", "object type", "ra", "dec", "focus")}
@@ -128,7 +128,7 @@ def notes_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def quality_list(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.text(path).select(wide_plate_id().alias("wfpdb_id"), tx.key_values(F.substring("value", 16, 1_000_000)).alias("kv"))
+    rows = spark.read.text(path).select(wide_plate_id().alias("wfpdb_id"), tx.key_values(F.substr(F.col("value"), F.lit(16))).alias("kv"))
     kv = F.col("kv")
     return rows.select("wfpdb_id", tx.number(tx.value_of(kv, "temperature")).alias("air_temperature"), tx.value_of(kv, "calmness").alias("sky_calmness"), tx.value_of(kv, "sharpness").alias("sky_sharpness"), tx.value_of(kv, "transparency").alias("sky_transparency"), tx.value_of(kv, "sky").alias("sky_conditions"))
 
@@ -228,11 +228,12 @@ def create_tables(spark: SparkSession, schema: Schema, provider: str = "parquet"
 CARD = "array<struct<pos:int,key:string,value:string,comment:string>>"
 
 
-def parse_cards(block: bytes) -> list[dict]:
+def parse_cards(block: bytes | pa.Buffer) -> list[dict]:
     """Cards of 80 characters to END: quoted or plain values, comments; keys may repeat."""
     out: list[dict] = []
+    block = memoryview(block)
     for at in range(0, len(block) - 79, 80):
-        card = block[at : at + 80].decode("latin-1")
+        card = bytes(block[at : at + 80]).decode("latin-1")
         key, rest = card[:8].strip(), card[8:]
         if key == "END":
             break
@@ -253,19 +254,15 @@ def parse_cards(block: bytes) -> list[dict]:
 def _headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("pos", pa.int32()), ("key", pa.string()), ("value", pa.string()), ("comment", pa.string())]))
     for batch in batches:
-        cards = [parse_cards(x.as_py() or b"") for x in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cards, kind)], names=["path", "cards"])
+        cards = [parse_cards(x.as_buffer() if x.is_valid else b"") for x in batch.column(0)]
+        yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(cards, kind)], names=[*batch.schema.names[1:], "cards"])
 
 
 def image_headers(spark: SparkSession, path: str, pattern: str = "*.fits") -> DataFrame:
-    """path, cards, modified, length of FITS files; only the header goes through Python, but where its END card lies beyond
-    the first 3,600 cards the whole file does."""
+    """path, modified, length, cards of FITS files, in one pass; cards are read to END wherever it is."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    first = F.substring("content", 1, 288_000)
-    # Cards of 80 bytes; END is the first that bears its name.
-    ended = F.exists(F.sequence(F.lit(0), F.lit(3599)), lambda k: F.substring("content", k * 80 + 1, 8) == F.lit(b"END     "))
-    head = files.select("path", F.when(ended, first).otherwise(F.col("content")).alias("content")).mapInArrow(_headers, f"path string, cards {CARD}")
-    return head.join(files.select("path", F.col("modificationTime").alias("modified"), "length"), "path")
+    named = files.select("content", "path", F.col("modificationTime").alias("modified"), "length")
+    return named.mapInArrow(_headers, f"path string, modified timestamp, length long, cards {CARD}").select("path", "cards", "modified", "length")
 
 
 def image_files(spark: SparkSession, path: str, pattern: str = "*.tif") -> DataFrame:

@@ -35,35 +35,54 @@ def unseen(rows: DataFrame, key: str, ts: str, late: str = "1 day") -> DataFrame
     return rows.withWatermark(ts, late).dropDuplicatesWithinWatermark([key]) if rows.isStreaming else rows.dropDuplicates([key])
 
 
-def maintain_state(stream: DataFrame, path: str, checkpoint: str, key: str, order: list[str], columns: list[str]) -> StreamingQuery:
+def merged_state(before: DataFrame | None, rows: DataFrame, key: str, order: list[str], columns: list[str]) -> DataFrame:
+    """The state of each key after more rows: each column's last non-null value with the order it came at, as `_at_<column>`."""
+    at = F.struct(*order)
+    fresh = rows.select(key, *columns, *(F.when(F.col(c).isNotNull(), at).alias(f"_at_{c}") for c in columns))
+    both = fresh if before is None else before.select(fresh.columns).unionByName(fresh)
+    # Of values at one order the greatest, whatever the partitions.
+    last = [F.max(F.when(F.col(f"_at_{c}").isNotNull(), F.struct(f"_at_{c}", c))).alias(f"_last_{c}") for c in columns]
+    kept = both.groupBy(key).agg(*last)
+    return kept.select(key, *(F.col(f"_last_{c}")[c].alias(c) for c in columns), *(F.col(f"_last_{c}")[f"_at_{c}"].alias(f"_at_{c}") for c in columns))
+
+
+def maintain_state(stream: DataFrame, path: str, checkpoint: str, key: str, order: list[str], columns: list[str], keep: int = 2) -> StreamingQuery:
     """Keep a table of the latest state of each job: each batch is merged with the table and written as its next version.
 
-    A version is named by the batch, so a repeated batch writes the same one; readers take the newest that is complete.
+    A version is named by the batch, so a repeated batch writes the same one; readers take the newest that is complete. The
+    last `keep` versions before it stay for readers that are still at them; older ones are deleted.
     """
-    from skyledger.operators.records import latest_state
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         before = newest(spark, path, number)
-        rows = batch.select(key, *order, *columns)
-        both = rows if before is None else spark.read.parquet(before).select(key, *order, *columns).unionByName(rows)
-        states = latest_state(both, key, order, columns).join(both.groupBy(key).agg(*(F.max(c).alias(c) for c in order)), key)
-        states.write.mode("overwrite").parquet(f"{path}/version={number}")
+        state = merged_state(None if before is None else spark.read.parquet(before), batch, key, order, columns)
+        state.write.mode("overwrite").parquet(f"{path}/version={number}")
+        jvm = spark.sparkContext._jvm
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for old in _versions(spark, path):
+            if old < number - keep:
+                files.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/version={old}"), True)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def newest(spark: SparkSession, path: str, before: int | None = None) -> str | None:
-    """The folder of the newest complete version (below a number)."""
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete versions below a folder."""
     jvm = spark.sparkContext._jvm
     place = jvm.org.apache.hadoop.fs.Path(path)
     files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not files.exists(place):
-        return None
+        return []
     names = [f.getPath().getName() for f in files.listStatus(place)]
-    found = [int(n[8:]) for n in names if n.startswith("version=") and files.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
-    found = [n for n in found if before is None or n < before]
-    return f"{path}/version={max(found)}" if found else None
+    return sorted(int(n[8:]) for n in names if n.startswith("version=") and files.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS")))
+
+
+def newest(spark: SparkSession, path: str, before: int | None = None) -> str | None:
+    """The folder of the newest complete version (below a number)."""
+    found = [n for n in _versions(spark, path) if before is None or n < before]
+    return f"{path}/version={found[-1]}" if found else None
 
 
 def process_queue(spark: SparkSession, path: str, schema: StructType, done: str, checkpoint: str, work: Callable[[DataFrame], DataFrame], key: str) -> StreamingQuery:

@@ -30,7 +30,7 @@ def test_folding(spark):
 def test_healpix_known_pixels(spark):
     rows = spark.createDataFrame([(0.0, 90.0), (45.0, 0.0), (0.0, 0.0), (45.0, 89.999), (180.0, -89.999), (315.0, -10.0)], "ra double, dec double")
     got = [r[0] for r in rows.select(sky.healpix_nested(F.col("ra"), F.col("dec"), 0)).collect()]
-    assert got == [0, 4, 4, 0, 10, 7] or got[1] in range(12)
+    assert got == [0, 5, 4, 0, 10, 11]
     wide = spark.range(20000).select((F.col("id") * 0.5698402909980532 % 1 * 360).alias("ra"), F.degrees(F.asin(F.col("id") * 0.7548776662466927 % 1 * 2 - 1)).alias("dec"))
     counts = wide.groupBy(sky.healpix_nested(F.col("ra"), F.col("dec"), 2).alias("p")).count()
     assert counts.count() == 192 and counts.agg(F.max("count")).first()[0] < 160  # equal areas
@@ -171,10 +171,11 @@ def test_clusters_by_brute_force(spark):
     assert got == want
 
 
-@pytest.mark.parametrize("salts", [1, 3])
-def test_salted_pairs_agree(spark, salts):
+@pytest.mark.parametrize("crowded", [10_000, 3])
+def test_salted_pairs_agree(spark, crowded, monkeypatch):
+    monkeypatch.setattr(crossmatch, "CROWDED", crowded)
     p = spark.range(300).select("id", (F.col("id") * 7919 % 100).cast("double").alias("x"), (F.col("id") * 31 % 97).cast("double").alias("y"))
-    n = crossmatch.pairs_within(p, p, 5.0, "id", "id", salts=salts).count()
+    n = crossmatch.pairs_within(p, p, 5.0, "id", "id").count()
     rows = np.array([(r.x, r.y) for r in p.collect()])
     assert n == (np.hypot(rows[:, None, 0] - rows[None, :, 0], rows[:, None, 1] - rows[None, :, 1]) < 5).sum()
 

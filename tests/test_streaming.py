@@ -30,3 +30,18 @@ def test_states_and_queue(spark, tmp_path):
     state = spark.read.parquet(log.newest(spark, str(tmp_path / "state")))
     assert {r.user_id: r.value for r in state.collect()} == {u: max(k for k in range(100) if k % 7 == u) for u in range(7)}
     assert spark.read.parquet(str(tmp_path / "done")).count() == 100
+
+
+def test_state_keeps_the_order_of_each_column(spark):
+    """Batches against one pass over all rows, with orders that come late and columns that are null at times."""
+    kind = "job long, ts long, ev long, value double, note string"
+    first = spark.createDataFrame([(1, 10, 1, 1.0, "a"), (1, 9, 5, 2.0, None), (2, 5, 1, None, "x"), (3, 1, 1, 7.0, None)], kind)
+    second = spark.createDataFrame([(1, 10, 3, 3.0, None), (2, 4, 9, 4.0, "y"), (2, 6, 0, None, None), (4, 1, 1, None, "n")], kind)
+    third = spark.createDataFrame([(1, 10, 2, 9.0, "b"), (3, 1, 2, None, "z")], kind)
+    state = None
+    for batch in (first, second, third):
+        state = log.merged_state(state, batch, "job", ["ts", "ev"], ["value", "note"])
+    got = {r.job: (r.value, r.note) for r in state.collect()}
+    assert got == {1: (3.0, "b"), 2: (4.0, "x"), 3: (7.0, "z"), 4: (None, "n")}
+    whole = log.merged_state(None, first.union(second).union(third), "job", ["ts", "ev"], ["value", "note"])
+    assert {r.job: (r.value, r.note) for r in whole.collect()} == got
