@@ -103,15 +103,6 @@ def applied(sources: DataFrame, curves: DataFrame, group: str, colour: str = "co
     ).drop("_curve", "_error", "_lo", "_hi", "_elo", "_ehi")
 
 
-def residual_surface(stars: DataFrame, groups: list[str], x: str, y: str, residual: str) -> DataFrame:
-    """A plane of residuals over the plate per group, least squares in closed form: coefficients a, b, c.
-
-    A smoothing spline surface has no counterpart in aggregates; the plane takes its place."""
-    from skyledger.operators.fits import plane
-
-    return plane(stars, groups, x, y, residual)
-
-
 def scanner_pattern(rows: DataFrame, plate: str, axis: str, residual: str, size: float, key: str, step: float = 50.0) -> DataFrame:
     """Smooth residuals along an axis, sampled every `step` pixels: plate, position, value, extrapolated; and the ratio of the
     curve's deviation to the residuals' in the central 60 %."""
@@ -130,9 +121,3 @@ def scanner_pattern(rows: DataFrame, plate: str, axis: str, residual: str, size:
         return pd.DataFrame({plate: pdf[plate].iloc[0], "position": grid, "value": np.interp(grid, at, curve), "extrapolated": (grid < at[0]) | (grid > at[-1]), "strength": strength}, columns=columns)
 
     return rows.select(plate, axis, residual, key).groupBy(plate).applyInPandas(fit, f"{plate} {kind}, position double, value double, extrapolated boolean, strength double")
-
-
-def next_depth(current: float, estimate: float, mean: float) -> float | None:
-    """The next faint limit of a catalogue query, None when it would not be deeper."""
-    step = estimate + 1 if estimate < current + 2 else min(mean + 1, current + 2)
-    return step if step > current else None

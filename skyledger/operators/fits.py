@@ -203,24 +203,3 @@ def checkpointed(df: DataFrame) -> DataFrame:
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="skyledger-"))
     return df.checkpoint()
-
-
-def colour_terms(rows: DataFrame, group: str, low: float = -4.0, step: float = 0.25, count: int = 45, key: str = "id") -> DataFrame:
-    """Scan of colour terms: for each term the residuals of RP + c (BP - RP) about a running curve over the plate magnitude
-    (mean of the neighbours by rank), as group, color_term, stat. Terms are constants; every row is read once per term."""
-    terms = F.array(*(F.lit(low + step * k) for k in range(count)))
-    scan = rows.select(group, key, "mag", "bp", "rp", F.explode(terms).alias("color_term")).withColumn("nat", F.col("rp") + F.col("color_term") * (F.col("bp") - F.col("rp")))
-    w = Window.partitionBy(group, "color_term").orderBy("mag", key)
-    around = (F.sum("nat").over(w.rowsBetween(-10, 10)) - F.col("nat")) / (F.count("nat").over(w.rowsBetween(-10, 10)) - 1)
-    return scan.withColumn("off", F.col("nat") - around).groupBy(group, "color_term").agg(F.sqrt(F.avg(F.pow("off", 2))).alias("stat"), F.count("off").alias("n"))
-
-
-def best_colour_term(scanned: DataFrame, group: str, reach: float = 1.0) -> DataFrame:
-    """Vertex of a parabola through the statistics within `reach` of the least one, weighted by 1 / stat^2; valid from -3 to 5
-    with an upward curve, else the grid's least point."""
-    least = scanned.groupBy(group).agg(F.min_by("color_term", F.struct("stat", "color_term")).alias("least"))
-    near = scanned.join(least, group).filter(F.abs(F.col("color_term") - F.col("least")) <= reach).withColumn("u", F.col("color_term") - F.col("least"))
-    fit = quadratic(near, [group, "least"], "u", "stat", F.try_divide(F.lit(1.0), F.pow(F.col("stat"), 2)))
-    vertex = F.col("least") - F.try_divide(F.col("b"), F.col("a") * 2)
-    good = (F.col("a") > 0) & vertex.between(-3, 5) & (F.abs(vertex - F.col("least")) <= reach)
-    return fit.select(group, F.when(good, vertex).otherwise(F.col("least")).alias("color_term"), F.coalesce(good, F.lit(False)).alias("fitted"))

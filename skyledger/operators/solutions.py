@@ -198,10 +198,10 @@ def footprint_pixels(rows: DataFrame, keys: list[str], order: int) -> DataFrame:
 
 
 def footprint_counts(pixels: DataFrame, sources: DataFrame, keys: list[str], pixel: str) -> DataFrame:
-    """keys, pixel, num_sources: sources for each pixel of a footprint, with zeros, and for pixels beyond it that have some."""
-    counts = sources.groupBy(*keys, F.col(pixel).alias("pixel")).agg(F.count(F.lit(1)).alias("n"))
-    zeros = pixels.select(*keys, "pixel", F.lit(0).cast("long").alias("n"))
-    return zeros.unionByName(counts).groupBy(*keys, "pixel").agg(F.sum("n").alias("num_sources"))
+    """keys, pixel, num_sources, inside: sources by pixel, with zeros for a footprint's pixels that have none."""
+    seen = sources.select(*keys, F.col(pixel).alias("pixel"), F.lit(1).cast("long").alias("n"), F.lit(False).alias("in"))
+    zeros = pixels.select(*keys, "pixel", F.lit(0).cast("long").alias("n"), F.lit(True).alias("in"))
+    return zeros.unionByName(seen).groupBy(*keys, "pixel").agg(F.sum("n").alias("num_sources"), F.max("in").alias("inside"))
 
 
 def matched_centroids(pairs: DataFrame, keys: list[str], width: Column, height: Column) -> DataFrame:

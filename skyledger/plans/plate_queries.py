@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.functions import sky, text, times
-from skyledger.operators import detections, fits, records
+from skyledger.operators import detections, fits, photometry, records
 from skyledger.plans.binding import load, on_plane, plane_sql
 from skyledger.plans.registry import query
 
@@ -463,4 +463,13 @@ def dbscan_labels(spark, d):
 @query("color_term_scan")
 def color_term_scan(spark, d):
     s = sources(spark, d).select((F.col("plate") % 4).alias("plate"), "id", "mag", "bp", "rp")
-    return fits.best_colour_term(fits.colour_terms(s, "plate"), "plate")
+    return photometry.colour_terms(s, ["plate"])
+
+
+@query("solution_calibration")
+def solution_calibration(spark, d):
+    """The whole chain on each plate's stars, whose natural magnitudes follow the plate's by a colour term of 0.5."""
+    s = on_plane(sources(spark, d).withColumn("plate", F.col("plate") % 4), "id")
+    colour, noise = (F.col("id") % 97) / 97, (F.col("id") * 31 % 13) / 100
+    stars = s.select("plate", "id", "mag", (F.col("mag") + 0.5 * colour + noise).alias("bp"), (F.col("mag") - 0.5 * colour + noise).alias("rp"), "x", "y")
+    return photometry.calibrated_solutions(stars, ["plate"])

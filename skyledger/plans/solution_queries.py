@@ -152,10 +152,9 @@ FOOTPRINT = [(10.0, -8.0), (35.0, -12.0), (41.0, 14.0), (14.0, 19.0)]
 
 @query("footprint_pixels")
 def footprint_pixels(spark, d):
-    """Pixels of a footprint, with counts of stars."""
+    """Counts of stars by pixel, of those inside a footprint with zeros."""
     corners = F.array(*(F.struct(F.lit(a).alias("ra"), F.lit(b).alias("dec")) for a, b in FOOTPRINT))
     rows = spark.range(1).select(F.col("id").alias("solution_num"), corners.alias("corners"))
     pixels = solutions.footprint_pixels(rows, ["solution_num"], 5)
     stars = on_sky(load(spark, d, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("k")), "k").select(F.lit(0).cast("long").alias("solution_num"), sky.healpix_nested(F.col("ra"), F.col("dec"), 5).alias("healpix"))
-    inside = stars.join(pixels.withColumnRenamed("pixel", "healpix"), ["solution_num", "healpix"], "left_semi")
-    return solutions.footprint_counts(pixels, inside, ["solution_num"], "healpix")
+    return solutions.footprint_counts(pixels, stars, ["solution_num"], "healpix")
