@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skyledger.llm import byte_bpe, exact_dedup, html_text, jaccard_join, language, lm_scoring, mixing, quality, sharding, token_files
+from skyledger.llm import byte_bpe, decontamination, exact_dedup, html_text, jaccard_join, language, lm_scoring, mixing, quality, sharding, token_files
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_html_text": html_text.op8_html_text,
     "op9_token_files": token_files.op9_token_files,
     "op10_sharding": sharding.op10_sharding,
+    "op12_decontamination": decontamination.op12_decontamination,
 }
 
 ORACLES = {
     "op3_quality_rules": quality.op3_sql(),
     "op5_exact_dedup": exact_dedup.OP5_SQL,
     "op10_sharding": sharding.op10_sql(),
+    "op12_decontamination": decontamination.OP12_SQL,
 }
