@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skyledger.llm import byte_bpe, decontamination, exact_dedup, html_text, jaccard_join, language, lm_scoring, mixing, quality, sharding, token_files
+from skyledger.llm import byte_bpe, decontamination, exact_dedup, html_text, jaccard_join, language, lm_scoring, mixing, quality, sharding, token_files, vector_codes
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_html_text": html_text.op8_html_text,
     "op9_token_files": token_files.op9_token_files,
     "op10_sharding": sharding.op10_sharding,
+    "op11_vector_codes": vector_codes.op11_vector_codes,
     "op12_decontamination": decontamination.op12_decontamination,
 }
 
