@@ -5,7 +5,8 @@ are no more. Every page gets a row: lines, words, characters, clock times, its f
 without diacritics. Two tables are written below the output path:
 
     pages/shelf=<logbook>/batch=<n>    the pages that batch n has brought
-    logbooks/shelf=<logbook>           sums over all pages of a logbook, anew for the logbooks that a batch has touched
+    sums/batch=<n>                     sums over these pages for each logbook
+    logbooks/shelf=<logbook>           sums over all pages of a logbook, anew (from the sums of batches) where a batch has touched it
     rejected/batch=<n>                 rows without a page id
 
 A batch overwrites just its own partitions, so one that is repeated after a failure leaves the same rows. A page id that has
@@ -31,6 +32,10 @@ from skyledger.sources.files import Config
 CONFIG = Path(__file__).with_suffix(".ini")
 PAGES = columns("page_id long, logbook string, language string, n_lines long, n_words long, n_chars long, n_times long, first_line string, text_sha256 string, shelf string, batch long")
 LOGBOOKS = columns("logbook string, n_pages long, total_words long, total_times long, longest long, shelf string")
+SUMS = columns("logbook string, n_pages long, total_words long, total_times long, longest long, shelf string, batch long")
+
+#: Page ids of a batch (8 bytes each) that are sent to the tasks which look for them among all earlier ones; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Hours and minutes, as observers note them.
@@ -66,22 +71,28 @@ def register(rows: DataFrame, number: int, out: str) -> tuple[int, int, int]:
     spark = rows.sparkSession
     rows = rows.withColumn("batch", F.lit(number).cast("long")).persist()
     try:
-        read, rejected = rows.agg(F.count(F.lit(1)), F.count_if(F.col("page_id").isNull())).first()
+        read, rejected, low, high = rows.agg(F.count(F.lit(1)), F.count_if(F.col("page_id").isNull()), F.min("page_id"), F.max("page_id")).first()
         others = [c for c in PAGES.names if c != "page_id"]
         unique = rows.where("page_id IS NOT NULL").groupBy("page_id").agg(F.min_by(F.struct(*others), F.struct("text_sha256", "logbook", "language")).alias("row")).select("page_id", "row.*")
-        before = stored(spark, f"{out}/pages", PAGES).where(F.col("batch") != number)
+        # Of the pages so far only ids, and only files whose range of ids the batch reaches into, are read; the others stay where they are.
+        before = stored(spark, f"{out}/pages", PAGES).where((F.col("batch") != number) & F.col("page_id").between(low, high)).select("page_id")
+        if read <= BROADCAST_ROWS:
+            before = before.join(F.broadcast(unique.select("page_id")), "page_id", "left_semi")
         # Spark splits a large logbook's rows over several tasks and puts small ones together.
         _replace(catalog.remaining(unique, before, "page_id").select(PAGES.names).hint("rebalance", "shelf"), f"{out}/pages", "shelf", "batch")
         if rejected:
             _replace(rows.where("page_id IS NULL").drop("shelf"), f"{out}/rejected", "batch")
     finally:
         rows.unpersist()
-    every = stored(spark, f"{out}/pages", PAGES)
-    own = every.where(F.col("batch") == number)
+    own = stored(spark, f"{out}/pages", PAGES).where(F.col("batch") == number)
     pages = own.count()
     if pages:
-        sums = every.join(own.select("shelf").distinct(), "shelf", "left_semi").groupBy("logbook", "shelf").agg(F.count(F.lit(1)).alias("n_pages"), F.sum("n_words").alias("total_words"), F.sum("n_times").alias("total_times"), F.max("n_words").alias("longest"))
-        _replace(sums.select(LOGBOOKS.names).hint("rebalance", "shelf"), f"{out}/logbooks", "shelf")
+        one = own.groupBy("logbook", "shelf", "batch").agg(F.count(F.lit(1)).alias("n_pages"), F.sum("n_words").alias("total_words"), F.sum("n_times").alias("total_times"), F.max("n_words").alias("longest"))
+        _replace(one.select(SUMS.names), f"{out}/sums", "batch")
+        every = stored(spark, f"{out}/sums", SUMS)
+        touched = every.where(F.col("batch") == number).select("shelf").distinct()
+        total = every.join(touched, "shelf", "left_semi").groupBy("logbook", "shelf").agg(*(F.sum(c).alias(c) for c in ("n_pages", "total_words", "total_times")), F.max("longest").alias("longest"))
+        _replace(total.select(LOGBOOKS.names).hint("rebalance", "shelf"), f"{out}/logbooks", "shelf")
     return read, pages, rejected
 
 

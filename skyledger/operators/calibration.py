@@ -88,8 +88,9 @@ def calibration_curves(stars: DataFrame, groups: list[str], step: float = 0.1) -
 
 
 def applied(sources: DataFrame, curves: DataFrame, group: str, colour: str = "color_term", correction: str = "natmag_correction") -> DataFrame:
-    """natmag, rpmag, bpmag and errors of all sources from their group's curve; flags 1 brighter and 2 fainter than its limits."""
-    from skyledger.operators.fits import interpolated
+    """natmag, rpmag, bpmag and errors of all sources from their group's curve; flags 1 brighter and 2 fainter than its limits.
+    Where a group has no curve these are null, and the flag 0."""
+    from skyledger.operators.fits import interpolated, with_group
 
     c = F.col
     placed = interpolated(sources, curves.select(group, F.col("plate_mag").alias("cx"), F.col("natmag").alias("cy")), group, "mag", name="_curve")
@@ -97,7 +98,7 @@ def applied(sources: DataFrame, curves: DataFrame, group: str, colour: str = "co
     limits = curves.groupBy(group).agg(F.min("bright_limit").alias("_lo"), F.max("faint_limit").alias("_hi"), F.min_by("error", "plate_mag").alias("_elo"), F.max_by("error", "plate_mag").alias("_ehi"))
     nat = c("_curve") + F.coalesce(c(correction), F.lit(0.0))
     error = F.when(c("mag") < c("_lo"), c("_elo")).when(c("mag") > c("_hi"), c("_ehi")).otherwise(c("_error"))
-    joined = placed.join(limits, group).withColumns({"natmag": nat, "natmag_error": F.sqrt(F.pow(error, 2) + F.pow(F.coalesce(c("magerr"), F.lit(0.0)), 2))})
+    joined = with_group(placed, limits, [group], "left").withColumns({"natmag": nat, "natmag_error": F.sqrt(F.pow(error, 2) + F.pow(F.coalesce(c("magerr"), F.lit(0.0)), 2))})
     return joined.withColumns(
         {"rpmag": c("natmag") - c(colour) * c("color"), "bpmag": c("natmag") - (c(colour) - 1) * c("color"), "phot_range_flag": F.when(c("mag") < c("_lo"), 1).when(c("mag") > c("_hi"), 2).otherwise(0)}
     ).drop("_curve", "_error", "_lo", "_hi", "_elo", "_ehi")

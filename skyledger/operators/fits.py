@@ -52,6 +52,13 @@ def scale_rotation(rows: DataFrame, group: list[str], x1: str, y1: str, x2: str,
     return summed.select(*group, F.sqrt(F.try_divide(F.col("v2"), F.col("v1"))).alias("scale"), F.degrees(F.atan2(F.col("xy") - F.col("yx"), F.col("xx") + F.col("yy"))).alias("rotation"))
 
 
+def with_group(rows: DataFrame, stats: DataFrame, group: list[str], how: str = "inner") -> DataFrame:
+    """`rows` with the columns of their group's row of `stats`; a null group is a group."""
+    other = stats.withColumnsRenamed({g: f"_of_{g}" for g in group})
+    same = [F.col(g).eqNullSafe(F.col(f"_of_{g}")) for g in group]
+    return rows.join(other, same, how).drop(*(f"_of_{g}" for g in group)) if group else rows.crossJoin(stats)
+
+
 def sigma_clipped(rows: DataFrame, group: list[str], value: str, sigma: float = 3.0, rounds: int | None = None) -> DataFrame:
     """Rows within `sigma` population deviations of the group's median, `rounds` times over or, without a number, until
     nothing changes. Statistics are joined back; each round is checkpointed, so that it is read, not computed, twice."""
@@ -63,7 +70,7 @@ def sigma_clipped(rows: DataFrame, group: list[str], value: str, sigma: float =
             if before == left:
                 break
         stats = out.groupBy(*group).agg(F.median(value).alias("_mid"), F.stddev_pop(value).alias("_dev"))
-        out = out.join(stats, group).filter(F.abs(F.col(value) - F.col("_mid")) <= F.col("_dev") * sigma).drop("_mid", "_dev")
+        out = with_group(out, stats, group).filter(F.abs(F.col(value) - F.col("_mid")) <= F.col("_dev") * sigma).drop("_mid", "_dev")
         done += 1
     return out
 

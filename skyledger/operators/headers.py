@@ -108,8 +108,8 @@ def seconds_of_minutes(minutes: Column, stated: Column | None = None) -> Column:
 
 
 def named_observer(name: Column) -> Column:
-    """A space after each initial's point, and a capital at the start of each word."""
-    return F.initcap(F.replace(name, F.lit("."), F.lit(". ")))
+    """A space after each initial's point, and a capital after whatever isn't a letter: blanks, hyphens, apostrophes."""
+    return F.array_join(F.transform(F.split(F.replace(name, F.lit("."), F.lit(". ")), r"(?<=\P{L})"), lambda part: F.initcap(part)), "")
 
 
 def plain_filter(name: Column) -> Column:

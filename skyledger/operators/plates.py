@@ -14,7 +14,7 @@ def _instant(text: Column, date: Column, zone: Column, longitude: Column) -> Col
     tag = F.upper(F.substring(F.trim(text), 1, 2))
     tagged = tag.isin("UT", "ST")
     kind = F.when(tagged, tag).otherwise(F.coalesce(zone, F.lit("UT")))
-    seconds = times.seconds_of(F.when(tagged, F.substring(F.trim(text), 3, 100)).otherwise(text))
+    seconds = times.seconds_of(F.when(tagged, F.substr(F.trim(text), F.lit(3))).otherwise(text))
     civil = times.at_time(date, seconds)
     named = F.when(F.upper(kind).isin("UT", "UTC", "ST"), "UTC").otherwise(kind)
     return F.when(kind == "ST", times.sidereal_to_ut(date, seconds, longitude)).otherwise(F.to_utc_timestamp(civil, named))

@@ -419,7 +419,12 @@ def sigma_clip_fixed3(spark, d):
     return fits.sigma_clipped(load(spark, d, "part").select("p_brand", "p_partkey", "p_retailprice"), ["p_brand"], "p_retailprice", 1.5, 3).select("p_brand", "p_partkey")
 
 
-@query("sigma_clip_until_stable", _clip_sql(16, 1.9))
+STABLE_SQL = """WITH RECURSIVE c(n, p_brand, p_partkey, p_retailprice) AS (SELECT 0, p_brand, p_partkey, p_retailprice FROM part UNION ALL
+    SELECT n + 1, p_brand, p_partkey, p_retailprice FROM (SELECT *, count(*) FILTER (NOT kept) OVER () AS gone FROM (SELECT *, abs(p_retailprice - median(p_retailprice) OVER w) <= stddev_pop(p_retailprice) OVER w * 1.9::DOUBLE AS kept FROM c WINDOW w AS (PARTITION BY p_brand))) WHERE gone > 0 AND kept)
+    SELECT p_brand, p_partkey FROM c WHERE n = (SELECT max(n) FROM c)"""
+
+
+@query("sigma_clip_until_stable", STABLE_SQL)
 def sigma_clip_until_stable(spark, d):
     return fits.sigma_clipped(load(spark, d, "part").select("p_brand", "p_partkey", "p_retailprice"), ["p_brand"], "p_retailprice", 1.9, None).select("p_brand", "p_partkey")
 

@@ -135,16 +135,16 @@ def cluster_compactness(spark, d):
 
 @query(
     "header_value_edits",
-    """SELECT p_partkey, CAST(p_size AS DOUBLE) AS platesz1, CAST(p_size + 4 AS DOUBLE) AS platesz2, p_size * 60.0::DOUBLE AS exptime, 'A. B. Mc' || upper(substr(p_type, 1, 1)) || lower(substr(p_type, 2, 1)) AS observer, CASE WHEN p_partkey % 3 = 2 THEN p_brand ELSE 'none' END AS filter,
+    """SELECT p_partkey, CAST(p_size AS DOUBLE) AS platesz1, CAST(p_size + 4 AS DOUBLE) AS platesz2, p_size * 60.0::DOUBLE AS exptime, 'A. B. Schmidt-' || upper(substr(p_type, 1, 1)) || lower(substr(p_type, 2, 1)) || ' O''Neil' AS observer, CASE WHEN p_partkey % 3 = 2 THEN p_brand ELSE 'none' END AS filter,
     '1995-0' || (1 + p_partkey % 9) || '-10T' || lpad(CAST(p_partkey % 24 AS VARCHAR), 2, '0') || ':30:00' AS date_obs, CASE WHEN p_partkey % 24 < 12 THEN '1995-0' || (1 + p_partkey % 9) || '-09' ELSE '1995-0' || (1 + p_partkey % 9) || '-10' END AS date_orig FROM part""",
 )
 def header_value_edits(spark, d):
     k, c = F.col("p_partkey"), F.col
     p = load(spark, d, "part")
-    rows = p.select("p_partkey", F.concat_ws("x", c("p_size").cast("string"), (c("p_size") + 4).cast("string")).alias("size"), c("p_size").cast("string").alias("minutes"), F.concat(F.lit("a.b.mc "), F.lower(F.substring("p_type", 1, 2))).alias("who"), F.when(k % 3 == 0, "NONE").when(k % 3 == 1, "NO").otherwise(c("p_brand")).alias("glass"), F.concat(F.lit("1995-0"), (1 + k % 9).cast("string"), F.lit("-10")).alias("day"), F.concat(F.lpad((k % 24).cast("string"), 2, "0"), F.lit(":30:00")).alias("clock"))
+    rows = p.select("p_partkey", F.concat_ws("x", c("p_size").cast("string"), (c("p_size") + 4).cast("string")).alias("size"), c("p_size").cast("string").alias("minutes"), F.concat(F.lit("a.b.SCHMIDT-"), F.lower(F.substring("p_type", 1, 2)), F.lit(" o'neil")).alias("who"), F.when(k % 3 == 0, "NONE").when(k % 3 == 1, "NO").otherwise(c("p_brand")).alias("glass"), F.concat(F.lit("1995-0"), (1 + k % 9).cast("string"), F.lit("-10")).alias("day"), F.concat(F.lpad((k % 24).cast("string"), 2, "0"), F.lit(":30:00")).alias("clock"))
     wide, high = headers.plate_sizes(c("size"))
     start = headers.joined_date(c("day"), c("clock"))
-    return rows.select("p_partkey", wide.alias("platesz1"), high.alias("platesz2"), headers.seconds_of_minutes(c("minutes")).alias("exptime"), F.regexp_replace(headers.named_observer(c("who")), " (?=[^ ]*$)", "").alias("observer"), headers.plain_filter(c("glass")).alias("filter"), start.alias("date_obs"), headers.evening_date(start).alias("date_orig"))
+    return rows.select("p_partkey", wide.alias("platesz1"), high.alias("platesz2"), headers.seconds_of_minutes(c("minutes")).alias("exptime"), headers.named_observer(c("who")).alias("observer"), headers.plain_filter(c("glass")).alias("filter"), start.alias("date_obs"), headers.evening_date(start).alias("date_orig"))
 
 
 FOOTPRINT = [(10.0, -8.0), (35.0, -12.0), (41.0, 14.0), (14.0, 19.0)]

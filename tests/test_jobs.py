@@ -27,7 +27,9 @@ FIRST = [(1, "\nÉtoile α 21:30\nclear sky", "fr", "Märzbuch 1"), (2, "plate 7
 SECOND = [(4, "new page", "en", "Märzbuch 1"), (1, "other text", "en", "x"), (5, "b", "en", ""), (5, "a a", "en", "")]
 
 
-def test_logpages_take_only_what_is_new(spark, tmp_path):
+@pytest.mark.parametrize("sent", [10**6, 0])
+def test_logpages_take_only_what_is_new(spark, tmp_path, monkeypatch, sent):
+    monkeypatch.setattr(logpages, "BROADCAST_ROWS", sent)
     source, out, mark = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "mark")
     arrive(spark, FIRST, source)
     assert logpages.run(spark, str(source), out, mark) == {"read": 4, "pages": 3, "rejected": 1}
