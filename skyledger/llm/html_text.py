@@ -93,11 +93,16 @@ class Element:
 
     def against(self, weights: Weights) -> float:
         """The greatest logarithm of odds of this element and those around it, 0 at least."""
-        if self.suspects is not weights:
-            around = self.parent.against(weights) if self.parent else 0.0
-            if around and self.name in CONTENT and not self._in_comments(weights):
+        inner, at = [], self
+        while at is not None and at.suspects is not weights:
+            inner.append(at)
+            at = at.parent
+        around = at.out if at else 0.0
+        for x in reversed(inner):
+            if around and x.name in CONTENT and not x._in_comments(weights):
                 around = 0.0  # an element that was not closed
-            self.suspects, self.out = weights, max(around, self.own(weights))
+            around = max(around, x.own(weights))
+            x.suspects, x.out = weights, around
         return self.out
 
     def _in_comments(self, weights: Weights) -> bool:

@@ -204,15 +204,21 @@ def test_lm_tells_words_of_a_class_by_context():
 
 def test_lm_counts_beyond_a_table(spark, documents, monkeypatch):
     def scores():
-        network = lm_scoring.fit(one)
-        rows = lm_scoring.score(one, network).collect()
-        return network.layout.n, sorted((r.doc_id, r.n_words, round(r.log_prob, 6)) for r in rows)
-
-    one = documents.select("doc_id", "text").coalesce(1)
-    whole = scores()
-    # Counts that are too many for every task stay in ranges: as many buckets, the same scores.
+        network = lm_scoring.fit(texts)
+        rows = lm_scoring.score(texts, network).collect()
+        return network.layout.n, network.weights(), sorted((r.doc_id, r.n_words, r.log_prob) for r in rows)
+
+    texts = documents.select("doc_id", "text")
+    # Several chunks, rounds and trainers.
+    monkeypatch.setattr(lm_scoring, "CHUNK_CHARS", 40_000)
+    monkeypatch.setattr(lm_scoring, "TRAINER_CHARS", 100_000)
+    monkeypatch.setattr(lm_scoring, "sizes", lambda n, own=lm_scoring.sizes: (*own(n)[:2], 2))
+    n, weights, whole = scores()
+    # Counts that are too many for every task stay in ranges: the same network, and the same scores in single precision.
     monkeypatch.setattr(lm_scoring, "TABLE_BUCKETS", 64)
-    assert scores() == whole
+    again = scores()
+    assert again[0] == n and (again[1] == weights).all()
+    assert all(a[:2] == b[:2] and abs(a[2] - b[2]) <= 1e-8 * abs(a[2]) for a, b in zip(again[2], whole, strict=True))
     assert lm_scoring._sized(30 * 10**9) * 6 * lm_scoring.WORDS_PER_BUCKET >= 30 * 10**9
 
 
