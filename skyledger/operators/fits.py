@@ -182,8 +182,22 @@ def dbscan_labels(points: DataFrame, id_col: str, radius: float, least: int, x:
     """
     from skyledger.operators.crossmatch import pairs_within
 
-    pairs = pairs_within(points, points, radius, id_col, id_col, x, y, inclusive=True)
-    core = pairs.groupBy("left_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least).select("left_id")
+    return density_labels(points, pairs_within(points, points, radius, id_col, id_col, x, y, inclusive=True), id_col, least)
+
+
+def dbscan_in(points: DataFrame, id_col: str, widths: dict[str, float], least: int, groups: tuple[str, ...] = ()) -> DataFrame:
+    """As `dbscan_labels`, in any number of dimensions, each axis with a width of its own (ellipsoids), and apart for each group."""
+    from skyledger.operators.crossmatch import grid_pairs
+
+    return density_labels(points, grid_pairs(points, points, id_col, id_col, widths, list(groups)), id_col, least)
+
+
+def density_labels(points: DataFrame, pairs: DataFrame, id_col: str, least: int | str) -> DataFrame:
+    """Density clusters by pairs of neighbours (left_id, right_id, each point with itself); `least`: a number, or a column of `points`."""
+    counts = pairs.groupBy("left_id").agg(F.count(F.lit(1)).alias("n"))
+    if isinstance(least, str):
+        counts = counts.join(points.select(F.col(id_col).alias("left_id"), F.col(least).alias("_least")), "left_id")
+    core = counts.filter(F.col("n") >= (F.col("_least") if isinstance(least, str) else least)).select("left_id")
     links = pairs.join(core, "left_id").join(core.select(F.col("left_id").alias("right_id")), "right_id", "left_semi")
     labels = core.select(F.col("left_id").alias("node"), F.col("left_id").alias("label"))
     links, labels = (checkpointed(v) for v in (links.select("left_id", "right_id"), labels))

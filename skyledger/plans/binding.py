@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +15,16 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path of a new name in the folder that driver and executors share; a local session without one gets a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="skyledger-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def on_sky(df: DataFrame, key: str) -> DataFrame:
     """`df` with ra and dec (degrees) from a whole-number key, spread evenly over the sphere."""
     k = F.col(key).cast("double")
