@@ -52,6 +52,7 @@ RAW = frozenset("script style noscript template textarea title iframe svg canvas
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 PRIOR_NAMES = frozenset("head nav header footer aside form button select datalist dialog menu object applet video audio map label fieldset".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTENT = frozenset(("article", "main"))
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 COMMENT_PARTS = frozenset("comment comments reply replies disqus discussion respond".split())
@@ -63,13 +64,14 @@ _OF_COMMENTS = {f".{x}" for x in COMMENT_PARTS} | {"aside"}
 
 
 class Weights:
-    """`odds`: logarithms of the odds that an element of a name or part is beside the content; `tags`: what a tag costs."""
+    """`odds`: logarithms of the odds that an element of a name or part is beside the content; `tags`: what a tag costs; `kinds`: the
+    share of content among blocks of a kind (see `kind_of`)."""
 
-    def __init__(self, odds: dict[str, float], tags: dict[str, float]):
-        self.odds, self.tags = odds, tags
+    def __init__(self, odds: dict[str, float], tags: dict[str, float], kinds: dict[tuple[str, int, bool], float] | None = None):
+        self.odds, self.tags, self.kinds = odds, tags, kinds or {}
 
     def __eq__(self, other: object) -> bool:
-        return isinstance(other, Weights) and (self.odds, self.tags) == (other.odds, other.tags)
+        return isinstance(other, Weights) and (self.odds, self.tags, self.kinds) == (other.odds, other.tags, other.kinds)
 
 
 DEFAULT_WEIGHTS = Weights(
@@ -235,12 +237,61 @@ def blocks(events: list[Event], weights: Weights) -> list[str]:
     return out
 
 
+Block = tuple[int, int, tuple[str, int, bool], Element]
+
+
+def kind_of(texts: list[tuple[str, Element]]) -> tuple[str, int, bool]:
+    """What a block is without regard to names: paragraph, heading, list item, cell or other; how long (0 to 4, twice as many words
+    each, from 4 words on); whether most of its words are links."""
+    n = linked = 0
+    at = texts[0][1]
+    for value, x in texts:
+        words = len(value.split())
+        n += words
+        while x and x.name in INLINE:
+            if x.name == "a":
+                linked += words
+                break
+            x = x.parent
+    while at.parent and at.name in INLINE:
+        at = at.parent
+    name = "p" if at.name in ("p", "blockquote", "pre") else "h" if at.name in HEADINGS else "li" if at.name in ("li", "dt", "dd") else "td" if at.name in ("td", "th") else ""
+    return name, min(4, max(0, n.bit_length() - 2)), 2 * linked > n
+
+
+def block_list(events: list[Event]) -> list[Block]:
+    """(first event, event after the last, kind, element of the first text) of each block that has a word."""
+    out: list[Block] = []
+    texts: list[tuple[str, Element]] = []
+    first = 0
+    for k, (kind, value, x) in enumerate([*events, ("tag", "", None)]):
+        if kind == "text":
+            if value.strip():
+                texts.append((value, x))
+        elif value not in INLINE and value != "br":
+            if texts:
+                out.append((first, k, kind_of(texts), texts[0][1]))
+            texts, first = [], k + 1
+    return out
+
+
+def further_regions(events: list[Event], weights: Weights, begin: int, stop: int) -> list[tuple[int, int]]:
+    """Regions of what the best one leaves, before and after it: a word of a block scores by the share of content among blocks
+    of its kind, from 1 to -1, and no more than by the elements around it; what lies between blocks of content costs nothing."""
+    out: list[tuple[int, int]] = []
+    for a, b, kind, element in block_list(events) if weights.kinds else ():
+        if (b <= begin or a >= stop) and min(2 * weights.kinds.get(kind, 0.0) - 1, word_score(element.against(weights))) > 0:
+            out.append((a, b))
+    return out
+
+
 def extract(page: str | None, weights: Weights = DEFAULT_WEIGHTS) -> str:
     events = parse(page or "")
     begin, stop = best_region(events, weights)
     while begin and events[begin - 1][0] == "tag" and events[begin - 1][1] in INLINE:
         begin -= 1
-    return "\n".join(blocks(events[begin:stop], weights))
+    regions = sorted([*further_regions(events, weights, begin, stop), *([(begin, stop)] if stop else [])])
+    return "\n".join(line for a, b in regions for line in blocks(events[a:b], weights))
 
 
 def fit_weights(pages: list[str]) -> Weights:
@@ -290,7 +341,12 @@ def fit_weights(pages: list[str]) -> Weights:
         return round(total, 6)
 
     scale = max(SCALES, key=lambda s: (f1(s), -s))
-    return Weights(odds, {tag: scale * x for tag, x in share.items()})
+    held, all_of = Counter(), Counter()
+    for events, good in parsed:
+        for _, _, kind, x in block_list(events):
+            held[kind] += x.content in good and not x.against(DEFAULT_WEIGHTS)
+            all_of[kind] += 1
+    return Weights(odds, {tag: scale * x for tag, x in share.items()}, {kind: (held[kind] + EVEN) / (n + 4 * EVEN) for kind, n in all_of.items()})
 
 
 def learned_weights(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> Weights:
