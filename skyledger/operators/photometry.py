@@ -11,11 +11,11 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.operators.calibration import LEAST_STARS, _support, calibrated
-from skyledger.operators.fits import checkpointed, lowess, lowess_share
+from skyledger.operators.fits import checkpointed, lowess, lowess_share, with_group
 
 #: Range of valid colour terms, and the deviation below which a scan says nothing.
 VALID, LEAST_STAT = (-3.0, 5.0), 0.01
@@ -240,7 +240,13 @@ def calibrated_solution(mag: np.ndarray, bp: np.ndarray, rp: np.ndarray, x: np.n
     """The chain for one solution: colour term, curve with outliers, local clipping, correction over the plate, errors by bins.
 
     None where the colour term or the curve has too few stars."""
-    term = colour_term(mag, bp, rp)
+    found = _calibrated(mag, bp, rp, x, y, step)
+    return found[0] if found else None
+
+
+def _calibrated(mag: np.ndarray, bp: np.ndarray, rp: np.ndarray, x: np.ndarray, y: np.ndarray, step: float, corr: np.ndarray | None = None, err: np.ndarray | None = None) -> tuple[dict, Correction, Callable] | None:
+    """The result, the correction and the error at a magnitude; corr and err of an earlier round go into the colour term."""
+    term = colour_term(mag, bp, rp, corr, err)
     if term is None:
         return None
     nat = rp + term["color_term"] * (bp - rp)
@@ -257,10 +263,11 @@ def calibrated_solution(mag: np.ndarray, bp: np.ndarray, rp: np.ndarray, x: np.n
     rmse = np.array([np.sqrt((rest[(mag[good] >= low) & (mag[good] <= high)] ** 2).mean()) for low, high in bins])
     middles = np.array([(low + high) / 2 for low, high in bins])
     grid = np.arange(np.ceil(found["low"] / step) * step, found["high"] + 1e-9, step) if found["high"] - found["low"] > step else np.array([found["low"], found["high"]])
-    return term | {
+    result = term | {
         "bright_limit": found["low"], "faint_limit": found["high"], "num_calib_stars": len(good), "num_outliers": len(mag) - len(good), "rmse_min": rmse.min(), "rmse_median": float(np.median(rmse)), "rmse_max": rmse.max(),
         "curve_mag": grid.tolist(), "curve_natmag": np.interp(grid, found["x"], found["y"]).tolist(), "curve_error": np.interp(grid, middles, rmse).tolist(),
     }
+    return result, correction, lambda m: np.interp(m, middles, rmse)
 
 
 def calibrated_solutions(stars: DataFrame, groups: list[str], key: str = "id") -> DataFrame:
@@ -274,6 +281,103 @@ def calibrated_solutions(stars: DataFrame, groups: list[str], key: str = "id") -
     return _grouped(stars, groups, [key, *columns], RESULT, kernel)
 
 
+SURFACE = "struct<degree:int,x_low:double,x_span:double,y_low:double,y_span:double,terms:array<double>>"
+CORRECTED = RESULT + f", iterations int, surface {SURFACE}, bin_mags array<double>, bin_surfaces array<{SURFACE}>"
+
+
+def _as_row(surface: Surface) -> dict:
+    (x_low, x_span), (y_low, y_span) = ((float(a), float(b)) for a, b in surface.box)
+    return {"degree": surface.degree, "x_low": x_low, "x_span": x_span, "y_low": y_low, "y_span": y_span, "terms": surface.terms.tolist()}
+
+
+def corrected_solution(mag: np.ndarray, bp: np.ndarray, rp: np.ndarray, x: np.ndarray, y: np.ndarray, step: float = 0.1, rounds: int = 2) -> dict | None:
+    """As `calibrated_solution`, the colour term of each round after the first freed of the correction and weighted by the errors
+    that the round before has found; with the last round's correction as numbers. A round without a result leaves the one before."""
+    best, corr, err = None, None, None
+    for k in range(rounds):
+        found = _calibrated(mag, bp, rp, x, y, step, corr, err)
+        if found is None:
+            break
+        result, correction, error = found
+        best = result | {"iterations": k + 1, "surface": None if correction.whole is None else _as_row(correction.whole), "bin_mags": [float(m) for m, _ in correction.bins], "bin_surfaces": [_as_row(s) for _, s in correction.bins]}
+        corr, err = correction(x, y, mag), error(mag)
+    return best
+
+
+def corrected_solutions(stars: DataFrame, groups: list[str], key: str = "id") -> DataFrame:
+    """`corrected_solution` of each group of stars: mag, bp, rp, x, y."""
+    columns = ["mag", "bp", "rp", "x", "y"]
+
+    def kernel(pdf: pd.DataFrame) -> dict | None:
+        own = pdf.dropna(subset=columns).sort_values(["mag", key])
+        return corrected_solution(*(own[c].to_numpy(float) for c in columns)) if len(own) >= LEAST_STARS else None
+
+    return _grouped(stars, groups, [key, *columns], CORRECTED, kernel)
+
+
+def surface_value(surface: Column, x: Column, y: Column) -> Column:
+    """A surface's value at a place; null without a surface. Beyond the stars that it was fitted to, the value at their edge holds."""
+    scaled = lambda v, low, span: F.greatest(F.lit(0.0), F.least(F.lit(1.0), (v - low) / span)) * 2 - 1
+
+    def value(at: Column) -> Column:
+        def of(degree: int) -> Column:
+            # By powers of u, each with a polynomial of v, both from the highest power down.
+            total, place = F.lit(0.0), {}
+            for i in range(degree + 1):
+                for j in range(degree + 1 - i):
+                    place[i, j] = len(place)
+            for i in range(degree, -1, -1):
+                row = F.lit(0.0)
+                for j in range(degree - i, -1, -1):
+                    row = row * at["v"] + F.get(surface["terms"], F.lit(place[i, j]))
+                total = total * at["u"] + row
+            return total
+
+        return F.when(surface["degree"] == 5, of(5)).when(surface["degree"] == 3, of(3))
+
+    return F.element_at(F.transform(F.array(F.struct(scaled(x, surface["x_low"], surface["x_span"]).alias("u"), scaled(y, surface["y_low"], surface["y_span"]).alias("v"))), value), 1)
+
+
+def correction_value(surface: Column, bin_mags: Column, bin_surfaces: Column, x: Column, y: Column, mag: Column) -> Column:
+    """The correction at a place and magnitude, 0 without a surface: that of the two bins' surfaces beside the magnitude is
+    interpolated between their middles; beyond the first and the last middle theirs holds."""
+    above = F.size(F.filter(bin_mags, lambda m: m <= mag))  # the bin after the magnitude, from 0
+    last = F.size(bin_mags) - 1
+    left, right = F.greatest(above - 1, F.lit(0)), F.least(above, last)
+    share = F.coalesce(F.try_divide(mag - F.get(bin_mags, left), F.get(bin_mags, right) - F.get(bin_mags, left)), F.lit(0.0))
+    inner = F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0))
+    at = lambda k: surface_value(F.get(bin_surfaces, k), x, y)
+    by_bins = F.when(F.size(bin_mags) > 0, at(left) * (1 - inner) + at(right) * inner).otherwise(0.0)
+    return F.coalesce(surface_value(surface, x, y) + by_bins, F.lit(0.0))
+
+
+def curve_value(mags: Column, values: Column, mag: Column) -> Column:
+    """A curve sampled at even steps, its first and last segments extended."""
+    first, last, n = F.get(mags, F.lit(0)), F.element_at(mags, -1), F.size(mags)
+    step = (last - first) / (n - 1)
+    k = F.greatest(F.lit(0), F.least(F.floor((mag - first) / step).cast("int"), n - 2))
+    a, b = F.get(values, k), F.get(values, k + 1)
+    return a + (mag - first - k * step) * (b - a) / step
+
+
+def corrected_magnitudes(sources: DataFrame, solutions: DataFrame, groups: list[str]) -> DataFrame:
+    """`sources` (groups, mag, x, y, bp_rp) with natmag_plate, natmag_correction, natmag, natmag_error, color_term, rpmag, bpmag and their
+    errors, phot_range_flag (1 brighter, 2 fainter than the stars of the curve), from `solutions` (of corrected_solutions).
+
+    One join; the rest are column expressions. Sources of 90 mag or more, and those without a solution, have null and flag 0."""
+    c = F.col
+    wanted = ("surface", "bin_mags", "bin_surfaces", "curve_mag", "curve_natmag", "curve_error", "bright_limit", "faint_limit")
+    row = solutions.select(*groups, F.struct(*wanted).alias("_s"), "color_term", "color_term_error")
+    joined = with_group(sources.withColumn("_m", F.when(c("mag") < 90, c("mag"))), row, groups, "left")
+    held = F.least(F.greatest(c("_m"), c("_s.bright_limit")), c("_s.faint_limit"))
+    curve = curve_value(c("_s.curve_mag"), c("_s.curve_natmag"), c("_m"))
+    correction = F.when(curve.isNotNull(), correction_value(c("_s.surface"), c("_s.bin_mags"), c("_s.bin_surfaces"), c("x"), c("y"), c("_m")))
+    out = joined.withColumns({"natmag_plate": curve, "natmag_correction": correction, "natmag_error": curve_value(c("_s.curve_mag"), c("_s.curve_error"), held), "phot_range_flag": F.when(c("_m") < c("_s.bright_limit"), 1).when(c("_m") > c("_s.faint_limit"), 2).otherwise(0)})
+    error = F.sqrt(F.pow("natmag_error", 2) + F.pow(c("color_term_error") * c("bp_rp"), 2))
+    out = out.withColumn("natmag", c("natmag_plate") + c("natmag_correction"))
+    return out.withColumns({"rpmag": c("natmag") - c("color_term") * c("bp_rp"), "bpmag": c("natmag") - (c("color_term") - 1) * c("bp_rp"), "rpmag_error": error, "bpmag_error": error}).drop("_s", "_m")
+
+
 #: A catalogue is deep enough so far below the plate's limit, or at this magnitude plus the colour term; the first depth is at most CEILING.
 MARGIN, DEEPEST, CEILING = 0.7, 19.0, 15.0
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skyledger.functions import sky
-from skyledger.operators import cover, exposures
-from skyledger.plans.binding import load, new_path, on_sky, separation_sql, sky_sql
+from skyledger.operators import cover, exposures, fits, photometry
+from skyledger.plans.binding import load, new_path, on_plane, on_sky, separation_sql, sky_sql
 from skyledger.plans.registry import query
 
 
@@ -39,8 +39,8 @@ def exposure_numbers(spark, d):
 def exposure_pattern(spark, d):
     """The pattern of each plate, compared with the planted one: places within 3 pixels of theirs but for the scale and rotation of the
     star in the middle, to which the pattern refers."""
-    members = exposures.fits.checkpointed(exposures.regular_clusters(exposures.star_clusters(*planted_exposures(spark, d))))
-    places = exposures.exposure_places(members, exposures.fits.checkpointed(exposures.planes(members)))
+    members = fits.checkpointed(exposures.regular_clusters(exposures.star_clusters(*planted_exposures(spark, d))))
+    places = exposures.exposure_places(members, fits.checkpointed(exposures.planes(members)))
     e = F.col("exposure_num") - 1
     along, across, upright = e * 40 + e * e * 3, e * e * 7 % 11, F.col("plate") % 2 == 1
     off = F.hypot(F.col("dx") - F.when(upright, across).otherwise(along), F.col("dy") - F.when(upright, along).otherwise(across))
@@ -95,3 +95,32 @@ def cone_cover_join(spark, d):
         LEFT JOIN {stars} s ON f.level = s.level AND f.pixel = s.pixel AND sky_separation(ra, dec, fra, fdec) < 4 GROUP BY field""",
         fields=fields, stars=stars.select("source_id", "ra", "dec", levels).select("source_id", "ra", "dec", "p.level", "p.pixel"),
     )
+
+
+def _tilted(spark, d):
+    """Stars on plates whose natural magnitude follows from RP by a colour term of 0.5; the plate's own has a slope over the plate
+    of 0.6 mag, and one that grows with the magnitude."""
+    k = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    rows = load(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("plate"), k.alias("id")).agg(F.count(F.lit(1)).alias("copies"))
+    unit = lambda a, m: (F.col("id") * a % m) / F.lit(float(m))
+    stars = on_plane(rows, "id").withColumns({"rp": 9 + 6 * F.sqrt(unit(7919, 9973)), "colour": 0.2 + 2 * unit(104729, 7919)}).withColumn("truth", F.col("rp") + 0.5 * F.col("colour"))
+    tilt = (F.col("x") - 5000) / 10000 * 0.6 + (F.col("y") - 4000) / 8000 * (F.col("truth") - 12) * 0.06
+    noise = (unit(15485863, 101) - 0.5) * 0.02
+    return stars.withColumns({"mag": (F.col("truth") - tilt - 20) / 1.1 + noise, "bp": F.col("rp") + F.col("colour"), "bp_rp": F.col("colour")})
+
+
+@query(
+    "corrected_magnitudes",
+    "WITH s AS (SELECT l_suppkey AS plate, l_orderkey * 8 + l_linenumber AS id FROM lineitem GROUP BY ALL) SELECT plate, count(*) AS n, true AS mostly_near, true AS flat, true AS was_tilted, true AS term_near, count(*) AS n_mags FROM s GROUP BY plate",
+)
+def corrected_magnitudes(spark, d):
+    """Each plate's calibration with the correction over the plate, applied to all its sources: against the planted truth nearly all are
+    near, the slope over the plate that they had before is gone."""
+    stars = _tilted(spark, d)
+    found = photometry.corrected_solutions(stars, ["plate"])
+    rows = photometry.corrected_magnitudes(stars, fits.checkpointed(found), ["plate"])
+    off, before = F.col("natmag") - F.col("truth"), F.col("natmag_plate") - F.col("truth")
+    slope = lambda v: F.abs(F.regr_slope(v, F.col("x"))) * 10000
+    return rows.groupBy("plate").agg(
+        F.count(F.lit(1)).alias("n"), (F.count_if(F.abs(off) < 0.1) > 0.97 * F.count(F.lit(1))).alias("mostly_near"), (slope(off) < 0.03).alias("flat"), (slope(before) > 0.4).alias("was_tilted"), (F.abs(F.first("color_term") - 0.5) < 0.03).alias("term_near"), F.count("natmag").alias("n_mags")
+    )

@@ -134,3 +134,47 @@ def test_depth_against_a_plain_loop(spark):
     first = spark.createDataFrame([(k, float(a), float(b), float(c)) for k, (a, b, c) in truth.items()], "plate long, faint_limit double, estimate double, color_term double")
     got = {r.plate: (round(r.limit, 9), r.rounds) for r in ph.adaptive_depth(first, calibrate, "plate").collect()}
     assert got == {k: plain(k) for k in truth} and max(n for _, n in got.values()) > 1
+
+
+def tilted(n=1500, seed=9):
+    rng = np.random.default_rng(seed + 100)
+    mag, bp, rp = stars(n, 0.6, seed)
+    x, y = rng.uniform(0, 9000, n), rng.uniform(0, 7000, n)
+    tilt = (x - 4500) * 6e-5 + (y - 3500) * (rp - 12) * 2e-5
+    return mag - tilt, bp, rp, x, y, tilt
+
+
+def test_correction_by_columns_is_that_of_the_kernel(spark):
+    mag, bp, rp, x, y, _ = tilted()
+    found = ph.corrected_solution(mag, bp, rp, x, y)
+    assert found["iterations"] == 2 and found["surface"]["degree"] == 5 and len(found["bin_mags"]) > 3
+    names = "id long, plate string, mag double, bp double, rp double, x double, y double, bp_rp double"
+    rows = [(k, "p", *map(float, v), float(v[1] - v[2])) for k, v in enumerate(zip(mag, bp, rp, x, y))]
+    frame = spark.createDataFrame(rows, names)
+    solutions = ph.corrected_solutions(frame, ["plate"])
+    # Beyond the stars, at the bins' edges, without a magnitude, and on plates without a solution.
+    more = [(9000, "p", -30.0, None, None, -50.0, 9000.0, None), (9001, "p", 30.0, None, None, 4000.0, -9.0, 0.5), (9002, "p", 99.0, None, None, 1.0, 1.0, 1.0), (9003, "q", 10.0, None, None, 1.0, 1.0, 1.0), (9004, None, 10.0, None, None, 1.0, 1.0, 1.0)]
+    got = {r.id: r for r in ph.corrected_magnitudes(frame.unionByName(spark.createDataFrame(more, names)), solutions, ["plate"]).collect()}
+    assert len(got) == len(rows) + len(more)
+    _, fixed, error = ph._calibrated(mag, bp, rp, x, y, 0.1, *_first_round(mag, bp, rp, x, y))
+    want = fixed(np.append(x, [-50.0, 4000.0]), np.append(y, [9000.0, -9.0]), np.append(mag, [-30.0, 30.0]))
+    assert np.allclose([got[k].natmag_correction for k in (*range(len(mag)), 9000, 9001)], want, atol=1e-9)
+    assert np.allclose([got[k].natmag_plate for k in range(0, 1500, 50)], np.interp(mag[::50], found["curve_mag"], found["curve_natmag"]), atol=0.02)
+    assert got[9000].phot_range_flag == 1 and got[9001].phot_range_flag == 2 and got[9000].rpmag is None
+    assert abs(got[9001].rpmag - (got[9001].natmag - found["color_term"] * 0.5)) < 1e-9 and abs(got[9001].bpmag - got[9001].rpmag - 0.5) < 1e-9
+    assert abs(got[9001].rpmag_error - np.hypot(got[9001].natmag_error, found["color_term_error"] * 0.5)) < 1e-9
+    assert all(got[k].natmag is None and got[k].phot_range_flag == 0 for k in (9002, 9003, 9004))
+
+
+def _first_round(mag, bp, rp, x, y):
+    order = np.argsort(mag, kind="stable")
+    _, fixed, error = ph._calibrated(*(v[order] for v in (mag, bp, rp, x, y)), 0.1)
+    return fixed(x, y, mag), error(mag)
+
+
+def test_tilt_is_gone_and_the_second_term_is_nearer():
+    mag, bp, rp, x, y, tilt = tilted(2500)
+    one, two = (ph.corrected_solution(mag, bp, rp, x, y, rounds=k) for k in (1, 2))
+    assert abs(two["color_term"] - 0.6) <= abs(one["color_term"] - 0.6) + 0.005 and two["rmse_median"] < 0.1 < tilt.std()
+    few = ph.corrected_solution(mag[:40], bp[:40], rp[:40], x[:40], y[:40])
+    assert few is None or few["surface"] is None and few["bin_mags"] == []
