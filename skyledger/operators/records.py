@@ -25,6 +25,51 @@ def merged(key: str, *sources: DataFrame) -> DataFrame:
     return out
 
 
+def resolved_keys(scans: DataFrame, plates: DataFrame, listed: DataFrame) -> DataFrame:
+    """`scans` (filename, plate_id of the scan's own record or null, wfpdb_id or null) with both keys as far as they can be had.
+
+    The wfpdb_id is the scan's own, else that of the plate's record, else the plate_id if the main list (`listed`: key) has it.
+    A scan with neither key is looked for by its file's name without the extension: in the main list, where it is both keys, and among the
+    plates (`plates`: plate_id, wfpdb_id), where it is the plate_id. Last, a plate without plate_id has its wfpdb_id. One
+    join with the plates and one with the list, each under all the keys that may be needed."""
+    from skyledger.operators.fits import checkpointed
+
+    stem = F.regexp_replace("filename", r"(?<=.)\.[^.]*$", "")
+    # Stored, so that a row's number is the same wherever it is read.
+    named = checkpointed(scans.withColumns({"_stem": stem, "_n": F.monotonically_increasing_id()}))
+    known = plates.groupBy("plate_id").agg(F.first("wfpdb_id", True).alias("of_plate")).select(F.col("plate_id").alias("key"), "of_plate", F.lit(True).alias("in_plates"))
+    held = known.join(listed.select("key").distinct().withColumn("in_list", F.lit(True)), "key", "full_outer")
+    asked = named.select("_n", F.explode(F.array(F.struct(F.lit("p").alias("kind"), F.col("plate_id").alias("key")), F.struct(F.lit("s").alias("kind"), F.col("_stem").alias("key")))).alias("_k")).select("_n", "_k.kind", "_k.key")
+    found = asked.join(held, "key").groupBy("_n").agg(*(F.max(F.when(F.col("kind") == kind, F.col(c))).alias(f"_{kind}_{c}") for kind in "ps" for c in ("of_plate", "in_plates", "in_list")))
+    c = F.col
+    rows = named.join(found, "_n", "left")
+    own = F.coalesce(c("wfpdb_id"), c("_p_of_plate"), F.when(c("_p_in_list"), c("plate_id")))
+    lost = c("plate_id").isNull() & own.isNull()
+    by_list = lost & F.coalesce(c("_s_in_list"), F.lit(False))
+    wfpdb = F.when(by_list, c("_stem")).otherwise(own)
+    plate = F.when(by_list | lost & F.coalesce(c("_s_in_plates"), F.lit(False)), c("_stem")).otherwise(F.coalesce(c("plate_id"), own))
+    return rows.withColumns({"_w": wfpdb, "_p": plate}).select(*(c(x) if x not in ("plate_id", "wfpdb_id") else c("_p" if x == "plate_id" else "_w").alias(x) for x in scans.columns))
+
+
+def cascaded(items: DataFrame, item: str, sources: list[tuple[DataFrame, list[str]]], fields: list[str]) -> DataFrame:
+    """item, fields: each field from the last of `sources` that has it for the item.
+
+    A source is a table (key, and some of `fields`) with the columns of `items` that hold an item's key in it, the first one that
+    the table has counting alone. All sources are joined at once, under source and key, and an item's records (as many as
+    candidates at most) come together once."""
+    every = None
+    for n, (rows, _) in enumerate(sources):
+        one = rows.dropDuplicates(["key"]).select(F.lit(n).alias("source"), "key", *(F.col(f) if f in rows.columns else F.lit(None).cast("string").alias(f) for f in fields))
+        every = one if every is None else every.unionByName(one)
+    asked = [F.struct(F.lit(n).alias("source"), F.lit(rank).alias("rank"), F.col(c).cast("string").alias("key")) for n, (_, candidates) in enumerate(sources) for rank, c in enumerate(candidates)]
+    keys = items.select(item, F.explode(F.array(*asked)).alias("_k")).select(item, "_k.source", "_k.rank", "_k.key").where("key IS NOT NULL")
+    found = keys.join(every, ["source", "key"]).groupBy(item).agg(F.sort_array(F.collect_list(F.struct("source", "rank", *fields))).alias("r"))
+    # In order of source and rank: of a source's records the first one counts.
+    first = F.filter("r", lambda x, k: (k == 0) | (F.get("r", k - 1)["source"] != x["source"]))
+    last = lambda f: F.try_element_at(F.filter("r", lambda x: x[f].isNotNull()), F.lit(-1))[f]
+    return items.select(item).join(found.withColumn("r", first).select(item, *(last(f).alias(f) for f in fields)), item, "left")
+
+
 def filled_from(rows: DataFrame, source: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """`rows` with empty (null or blank) `columns` filled from the source row of equal key."""
     fresh = source.select(key, *(F.col(c).alias(f"_{c}") for c in columns))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skyledger.functions import sky
-from skyledger.operators import cover, exposures, fits, photometry
+from skyledger.operators import cover, exposures, fits, photometry, records
 from skyledger.plans.binding import load, new_path, on_plane, on_sky, separation_sql, sky_sql
 from skyledger.plans.registry import query
 
@@ -125,3 +125,48 @@ def corrected_magnitudes(spark, d):
     return rows.groupBy("plate").agg(
         F.count(F.lit(1)).alias("n"), (F.avg(F.when(F.col("rp").between(10, 14), (F.abs(off) < 0.1).cast("int"))) > 0.97).alias("mostly_near"), (slope(off) < 0.03).alias("flat"), (slope(before) > 0.4).alias("was_tilted"), (F.abs(F.first("color_term") - 0.5) < 0.03).alias("term_near"), F.count("natmag").alias("n_mags")
     )
+
+
+_C = "FROM customer"
+CASCADE = f"""WITH scan AS (SELECT c_custkey AS k, 'f' || c_custkey AS stem, CASE WHEN c_custkey % 3 <> 0 AND c_custkey % 4 <> 0 THEN 'p' || c_custkey END AS p0, CASE WHEN c_custkey % 13 = 0 THEN 'w' || c_custkey END AS w0 {_C}),
+    plate AS (SELECT 'p' || c_custkey AS key, CASE WHEN c_custkey % 2 = 0 THEN 'w' || c_custkey END AS w, 'o' || c_custkey AS observer, CASE WHEN c_custkey % 7 < 3 THEN 'plate-' || c_custkey END AS emulsion {_C} WHERE c_custkey % 5 <> 0 UNION ALL SELECT 'f' || c_custkey, NULL, 'by name', NULL {_C} WHERE c_custkey % 7 = 0),
+    main AS (SELECT 'w' || c_custkey AS key, 'mw' || c_custkey AS object, 'main' AS emulsion {_C} WHERE c_custkey % 6 < 4 UNION ALL SELECT 'p' || c_custkey, 'mp' || c_custkey, NULL {_C} WHERE c_custkey % 8 < 3 UNION ALL SELECT 'f' || c_custkey, 'mf' || c_custkey, NULL {_C} WHERE c_custkey % 9 = 0),
+    note AS (SELECT 'p' || c_custkey AS key, CASE WHEN c_custkey % 10 < 5 THEN 'np' || c_custkey END AS object, 'note' AS observer {_C} WHERE c_custkey % 4 < 3),
+    a AS (SELECT s.*, coalesce(w0, pl.w, CASE WHEN m.key IS NOT NULL THEN p0 END) AS w1 FROM scan s LEFT JOIN plate pl ON pl.key = s.p0 LEFT JOIN main m ON m.key = s.p0),
+    b AS (SELECT a.*, p0 IS NULL AND w1 IS NULL AND mf.key IS NOT NULL AS by_list, p0 IS NULL AND w1 IS NULL AND pf.key IS NOT NULL AS by_plate FROM a LEFT JOIN main mf ON mf.key = a.stem LEFT JOIN plate pf ON pf.key = a.stem),
+    c AS (SELECT k, stem, p0, CASE WHEN by_list THEN stem ELSE w1 END AS w, CASE WHEN by_list OR by_plate THEN stem ELSE coalesce(p0, w1) END AS p FROM b)"""
+
+
+def _keyed(spark, d):
+    k, c = F.col("c_custkey"), load(spark, d, "customer").select("c_custkey")
+    named = lambda letter: F.concat(F.lit(letter), k.cast("string"))
+    none = F.lit(None).cast("string")
+    scans = c.select(k.alias("k"), F.concat(named("f"), F.lit(".fits")).alias("filename"), F.when((k % 3 != 0) & (k % 4 != 0), named("p")).alias("plate_id"), F.when(k % 13 == 0, named("w")).alias("wfpdb_id"))
+    plates = c.where(k % 5 != 0).select(named("p").alias("key"), F.when(k % 2 == 0, named("w")).alias("wfpdb_id"), named("o").alias("observer"), F.when(k % 7 < 3, named("plate-")).alias("emulsion"))
+    plates = plates.unionByName(c.where(k % 7 == 0).select(named("f").alias("key"), none.alias("wfpdb_id"), F.lit("by name").alias("observer"), none.alias("emulsion")))
+    main = c.where(k % 6 < 4).select(named("w").alias("key"), named("mw").alias("object"), F.lit("main").alias("emulsion"))
+    for letter, chosen in (("p", k % 8 < 3), ("f", k % 9 == 0)):
+        main = main.unionByName(c.where(chosen).select(named(letter).alias("key"), named(f"m{letter}").alias("object"), none.alias("emulsion")))
+    notes = c.where(k % 4 < 3).select(named("p").alias("key"), F.when(k % 10 < 5, named("np")).alias("object"), F.lit("note").alias("observer"))
+    return scans, plates, main, notes
+
+
+@query("key_fallbacks", f"{CASCADE} SELECT k, p AS plate_id, w AS wfpdb_id FROM c")
+def key_fallbacks(spark, d):
+    scans, plates, main, _ = _keyed(spark, d)
+    return records.resolved_keys(scans, plates.withColumnRenamed("key", "plate_id"), main).select("k", "plate_id", "wfpdb_id")
+
+
+@query(
+    "metadata_cascade",
+    f"""{CASCADE} SELECT c.k, coalesce(coalesce(nw.object, CASE WHEN nw.key IS NULL THEN np.object END), coalesce(mw.object, CASE WHEN mw.key IS NULL THEN mp.object END)) AS object, coalesce(pl.observer, coalesce(nw.observer, CASE WHEN nw.key IS NULL THEN np.observer END)) AS observer,
+    coalesce(CASE WHEN c.k % 11 = 0 THEN 'scan' END, pl.emulsion, coalesce(mw.emulsion, CASE WHEN mw.key IS NULL THEN mp.emulsion END)) AS emulsion
+    FROM c LEFT JOIN main mw ON mw.key = c.w LEFT JOIN main mp ON mp.key = c.p LEFT JOIN note nw ON nw.key = c.w LEFT JOIN note np ON np.key = c.p LEFT JOIN plate pl ON pl.key = c.p""",
+)
+def metadata_cascade(spark, d):
+    """Main list and notes by wfpdb_id, else plate_id; then the plates' records, then the scans' own."""
+    scans, plates, main, notes = _keyed(spark, d)
+    items = records.resolved_keys(scans, plates.withColumnRenamed("key", "plate_id"), main)
+    own = scans.where(F.col("k") % 11 == 0).select(F.col("filename").alias("key"), F.lit("scan").alias("emulsion"))
+    both = ["wfpdb_id", "plate_id"]
+    return records.cascaded(items, "k", [(main, both), (notes, both), (plates, ["plate_id"]), (own, ["filename"])], ["object", "observer", "emulsion"])
