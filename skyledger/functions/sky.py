@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -186,14 +187,95 @@ def polynomial(x: Column, y: Column, terms: dict[tuple[int, int], float]) -> Col
     return total
 
 
-def undistorted(u: Column, v: Column, a: dict[tuple[int, int], float], b: dict[tuple[int, int], float], steps: int = 4) -> tuple[Column, Column]:
-    """(x, y) with x + A(x, y) = u and y + B(x, y) = v, by a fixed number of fixed-point steps (small distortions)."""
-    step = lambda s, _: F.struct((u - polynomial(s["x"], s["y"], a)).alias("x"), (v - polynomial(s["x"], s["y"], b)).alias("y"))
-    start = F.struct(u.cast("double").alias("x"), v.cast("double").alias("y"))
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step)
+def _newton(u: Column, v: Column, value: Callable[[Column, Column], tuple[Column, ...]], steps: int) -> tuple[Column, Column]:
+    """(x, y) at which `value` is (u, v), from (u, v) on by Newton steps until one is below 1e-13 of the place, `steps` at most;
+    null where it doesn't get there. value: both functions and their derivatives by x, y and x, y."""
+
+    def step(s: Column, _: Column) -> Column:
+        f, g, fx, fy, gx, gy = value(s["x"], s["y"])
+        det = fx * gy - fy * gx
+        dx, dy = F.try_divide(gy * (u - f) - fy * (v - g), det), F.try_divide(fx * (v - g) - gx * (u - f), det)
+        near = F.abs(dx) + F.abs(dy) <= (F.abs(s["x"]) + F.abs(s["y"]) + 1e-6) * 1e-13
+        return F.when(s["done"], s).otherwise(F.struct((s["x"] + dx).alias("x"), (s["y"] + dy).alias("y"), F.coalesce(near, F.lit(False)).alias("done")))
+
+    start = F.struct(u.cast("double").alias("x"), v.cast("double").alias("y"), F.lit(False).alias("done"))
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step, lambda s: F.when(s["done"], s))
     return found["x"], found["y"]
 
 
+def _derived(terms: dict[tuple[int, int], float], by: int) -> dict[tuple[int, int], float]:
+    """Terms of the derivative by x (0) or y (1)."""
+    return {(p - (by == 0), q - (by == 1)): c * (p, q)[by] for (p, q), c in terms.items() if (p, q)[by]}
+
+
+def undistorted(u: Column, v: Column, a: dict[tuple[int, int], float], b: dict[tuple[int, int], float], steps: int = 30) -> tuple[Column, Column]:
+    """(x, y) with x + A(x, y) = u and y + B(x, y) = v, by Newton steps until they are there; null where they never are."""
+    f, g = {**a, (1, 0): a.get((1, 0), 0.0) + 1}, {**b, (0, 1): b.get((0, 1), 0.0) + 1}
+    wanted = (f, g, *(_derived(t, by) for t in (f, g) for by in (0, 1)))
+    return _newton(u, v, lambda x, y: tuple(polynomial(x, y, t) for t in wanted), steps)
+
+
+def tpv_terms(most: int = 7) -> list[tuple[int, int, int]]:
+    """Powers of xi, eta and the radius in the terms of a TPV distortion, in order: for each degree those of xi and eta by falling
+    powers of xi, and after those of an odd degree that of the radius."""
+    out = []
+    for d in range(most + 1):
+        out += [(d - k, k, 0) for k in range(d + 1)] + ([(0, 0, d)] if d % 2 else [])
+    return out
+
+
+def _tpv(xi: Column, eta: Column, pv: dict[int, Column | float]) -> tuple[Column, Column, Column]:
+    """The distorted coordinate and its derivatives by xi and eta; pv: coefficients by number, the linear one is 1 if it isn't given."""
+    r = F.hypot(xi, eta)
+    power = lambda x, n: F.lit(1.0) if n == 0 else x if n == 1 else F.pow(x, F.lit(float(n)))
+    table, total, by_xi, by_eta = tpv_terms(), F.lit(0.0), F.lit(0.0), F.lit(0.0)
+    for k, c in sorted(({1: 1.0} | pv).items()):
+        p, q, d = table[k]
+        c = c if isinstance(c, Column) else F.lit(float(c))
+        if d:
+            total = total + c * power(r, d)
+            # r has no direction at the origin, where its derivative counts as 0.
+            slope = c * F.lit(float(d)) * (F.coalesce(F.try_divide(F.lit(1.0), r), F.lit(0.0)) if d == 1 else power(r, d - 2))
+            by_xi, by_eta = by_xi + slope * xi, by_eta + slope * eta
+            continue
+        total = total + c * power(xi, p) * power(eta, q)
+        by_xi = by_xi + c * float(p) * power(xi, p - 1) * power(eta, q) if p else by_xi
+        by_eta = by_eta + c * float(q) * power(xi, p) * power(eta, q - 1) if q else by_eta
+    return total, by_xi, by_eta
+
+
+def tpv_plane(u: Column, v: Column, pv1: dict[int, Column | float], pv2: dict[int, Column | float]) -> tuple[Column, Column]:
+    """Distorted plane coordinates (degrees) of linear ones; the second axis has its terms with the coordinates exchanged."""
+    return _tpv(u, v, pv1)[0], _tpv(v, u, pv2)[0]
+
+
+def tpv_linear(xi: Column, eta: Column, pv1: dict[int, Column | float], pv2: dict[int, Column | float], steps: int = 30) -> tuple[Column, Column]:
+    """The inverse of tpv_plane; null where there is none to be found."""
+
+    def value(x: Column, y: Column) -> tuple[Column, ...]:
+        f, fx, fy = _tpv(x, y, pv1)
+        g, gy, gx = _tpv(y, x, pv2)
+        return f, g, fx, fy, gx, gy
+
+    return _newton(xi, eta, value, steps)
+
+
+def tpv_sky(x: Column, y: Column, ra0: Column, dec0: Column, crpix: tuple[Column, Column], cd: tuple[Column, Column, Column, Column], pv1: dict, pv2: dict) -> tuple[Column, Column]:
+    """The position of a pixel by a gnomonic projection with a matrix and a TPV distortion."""
+    one, zero = F.lit(1.0), F.lit(0.0)
+    dx, dy = x - crpix[0], y - crpix[1]
+    xi, eta = tpv_plane(cd[0] * dx + cd[1] * dy, cd[2] * dx + cd[3] * dy, pv1, pv2)
+    return cd_sky(xi, eta, ra0, dec0, (zero, zero), (one, zero, zero, one))
+
+
+def tpv_pixel(ra: Column, dec: Column, ra0: Column, dec0: Column, crpix: tuple[Column, Column], cd: tuple[Column, Column, Column, Column], pv1: dict, pv2: dict) -> tuple[Column, Column]:
+    """The inverse of tpv_sky; null beyond 90 degrees, for a matrix without an inverse and where the distortion has none."""
+    one, zero = F.lit(1.0), F.lit(0.0)
+    u, v = tpv_linear(*cd_pixel(ra, dec, ra0, dec0, (zero, zero), (one, zero, zero, one)), pv1, pv2)
+    det = cd[0] * cd[3] - cd[1] * cd[2]
+    return crpix[0] + F.try_divide(cd[3] * u - cd[1] * v, det), crpix[1] + F.try_divide(cd[0] * v - cd[2] * u, det)
+
+
 def cd_sky(x: Column, y: Column, ra0: Column, dec0: Column, crpix: tuple[Column, Column], cd: tuple[Column, Column, Column, Column]) -> tuple[Column, Column]:
     """The position of a pixel by a gnomonic projection with a matrix (cd1_1, cd1_2, cd2_1, cd2_2) in degrees a pixel."""
     u, v = x - crpix[0], y - crpix[1]

@@ -170,3 +170,29 @@ def metadata_cascade(spark, d):
     own = scans.where(F.col("k") % 11 == 0).select(F.col("filename").alias("key"), F.lit("scan").alias("emulsion"))
     both = ["wfpdb_id", "plate_id"]
     return records.cascaded(items, "k", [(main, both), (notes, both), (plates, ["plate_id"]), (own, ["filename"])], ["object", "observer", "emulsion"])
+
+
+#: A rotated matrix of about 1.5 seconds of arc a pixel, and distortions with terms of the radius.
+CD = (-0.00042, 0.00003, 0.00003, 0.00042)
+PV1, PV2 = {0: 1e-4, 1: 1.001, 2: -2e-4, 4: 3e-4, 5: -2e-4, 7: 5e-5, 9: 2e-5, 11: 4e-5, 17: 1e-6}, {0: -5e-5, 1: 0.9995, 2: 3e-4, 4: 1e-4, 6: 2e-4, 8: -3e-5, 10: 1e-5, 11: 3e-5, 23: 1e-6}
+
+
+def _tpv_sql(pv, x: str, y: str) -> str:
+    terms = sky.tpv_terms()
+    return " + ".join(f"({c!r}::DOUBLE) * pow({x}, {terms[k][0]}) * pow({y}, {terms[k][1]}) * pow(sqrt(u * u + v * v), {terms[k][2]})" for k, c in pv.items())
+
+
+@query(
+    "tpv_round_trip",
+    f"""WITH p AS (SELECT p_partkey, (p_partkey * 7919 % 10000)::DOUBLE AS x, (p_partkey * 104729 % 8000)::DOUBLE AS y FROM part), l AS (SELECT *, ({CD[0]}) * (x - 5000) + ({CD[1]}) * (y - 4000) AS u, ({CD[2]}) * (x - 5000) + ({CD[3]}) * (y - 4000) AS v FROM p),
+    t AS (SELECT *, radians({_tpv_sql(PV1, "u", "v")}) AS xi, radians({_tpv_sql(PV2, "v", "u")}) AS eta, cos(radians(55.0::DOUBLE)) AS c, sin(radians(55.0::DOUBLE)) AS s FROM l)
+    SELECT p_partkey, round(310.0::DOUBLE + degrees(atan2(xi, c - eta * s)), 9) AS ra, round(degrees(atan2(s + eta * c, sqrt(xi * xi + pow(c - eta * s, 2)))), 9) AS dec, x, y FROM t""",
+)
+def tpv_round_trip(spark, d):
+    p = on_plane(load(spark, d, "part"), "p_partkey").select("p_partkey", "x", "y")
+    at = (F.lit(310.0), F.lit(55.0), (F.lit(5000.0), F.lit(4000.0)), tuple(map(F.lit, CD)), PV1, PV2)
+    ra, dec = sky.tpv_sky(F.col("x"), F.col("y"), *at)
+    there = p.select("p_partkey", ra.alias("ra"), dec.alias("dec"))
+    x, y = sky.tpv_pixel(F.col("ra"), F.col("dec"), *at)
+    back = there.withColumns({"x": x, "y": y})
+    return back.select("p_partkey", F.round("ra", 9).alias("ra"), F.round("dec", 9).alias("dec"), F.round("x", 8).alias("x"), F.round("y", 8).alias("y"))

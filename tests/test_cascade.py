@@ -28,8 +28,8 @@ def test_later_sources_override_field_by_field(spark):
     assert {r.k: (r.object, r.emulsion, r.observer) for r in rows} == {1: ("n1", "e1", None), 2: ("m2", "s2", "o2"), 3: (None, "e3", None), 4: (None, None, None)}
 
 
-def test_scans_of_the_reference_case(spark):
-    """Four scans of three plates: each has its plate's times and its own author."""
+def test_scans_share_the_record_of_their_plate(spark):
+    """Four scans of three plates."""
     scans = frame(spark, [("plate_0001.fits", "plate1"), ("plate_0002.fits", "plate2"), ("plate_0003_1.fits", "plate3"), ("plate_0003_2.fits", "plate3")], "filename string, plate_id string").selectExpr("*", "CAST(NULL AS STRING) AS wfpdb_id")
     plates = frame(spark, [("plate1", "1956-03-11", "21:11:30"), ("plate2", "1956-03-11", "21:30:00;22:10:00|22:17:00"), ("plate3", "1931-03-12", "12:00:00")], "key string, date_orig string, tms_orig string")
     items = records.resolved_keys(scans, plates.selectExpr("key AS plate_id", "CAST(NULL AS STRING) AS wfpdb_id"), plates.select("key").limit(0))
