@@ -34,6 +34,9 @@ SOURCE = columns(
 )
 QUALITY = columns("plate_id long, plate_num string, n_sources long, n_clean long, n_rim long, n_negradius long, bg_mean double, bg_std double, faintest double, clean_share double, archive_id long")
 
+#: Means of numbers with five decimals often lie just between two of six, where the order of a sum decides; this moves them off.
+OFF_TIES = 3e-9
+
 
 def settings(path: str | Path = CONFIG) -> Config:
     return Config.parse(Path(path).read_text())
@@ -111,7 +114,7 @@ def result(spark: SparkSession, out: str) -> DataFrame:
     sources, plates = stored(spark, f"{out}/source", SOURCE), stored(spark, f"{out}/plate_quality", QUALITY)
     rows = plates.join(sources, ["plate_id", "archive_id"], "left")
     six = ("x_source", "y_source", "mag_auto", "magerr", "flux_radius", "elongation", "dist_center", "dist_edge", "faintest", "clean_share")
-    return rows.select("plate_id", "archive_id", "plate_num", "source_id", "source_num", "annular_bin", "flag_clean", "flag_rim", "flag_negradius", F.round("border", 4).alias("border"), *(F.round(c, 6).alias(c) for c in six), *(F.round(c, 8).alias(c) for c in ("bg_mean", "bg_std")), "n_sources", "n_clean", "n_rim", "n_negradius")
+    return rows.select("plate_id", "archive_id", "plate_num", "source_id", "source_num", "annular_bin", "flag_clean", "flag_rim", "flag_negradius", F.round("border", 4).alias("border"), *(F.round(c, 6).alias(c) for c in six), F.round(F.col("bg_mean") + OFF_TIES, 6).alias("bg_mean"), F.round("bg_std", 6).alias("bg_std"), "n_sources", "n_clean", "n_rim", "n_negradius")
 
 
 def job2_plate_release(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,7 +138,7 @@ b AS (SELECT d.*, bg_mean, bg_std, abs(background - bg_mean) / nullif(bg_std, 0)
 f AS (SELECT *, CASE WHEN flux_radius > 0 AND elongation < 5 AND magerr < 5 AND border < 100 THEN 1 ELSE 0 END AS flag_clean, CASE WHEN border >= 100 THEN 1 ELSE 0 END AS flag_rim, CASE WHEN flux_radius <= 0 THEN 1 ELSE 0 END AS flag_negradius FROM b),
 q AS (SELECT plate_id, count(*) AS n_sources, CAST(sum(flag_clean) AS BIGINT) AS n_clean, CAST(sum(flag_rim) AS BIGINT) AS n_rim, CAST(sum(flag_negradius) AS BIGINT) AS n_negradius, max(mag_auto) FILTER (flag_clean = 1) AS faintest FROM f GROUP BY plate_id)
 SELECT pl.plate_id, pl.archive_id, pl.plate_num, 4 * 10000000000000 + f.plate_id * 10000000 + source_num AS source_id, source_num, CAST(annular_bin AS INTEGER) AS annular_bin, flag_clean, flag_rim, flag_negradius, round(border, 4) AS border, round(x_source, 6) AS x_source, round(y_source, 6) AS y_source, round(mag_auto, 6) AS mag_auto, round(magerr, 6) AS magerr, round(flux_radius, 6) AS flux_radius, round(elongation, 6) AS elongation,
-    round(dist_center, 6) AS dist_center, round(dist_edge, 6) AS dist_edge, round(bg_mean, 8) AS bg_mean, round(bg_std, 8) AS bg_std, round(faintest, 6) AS faintest, round(n_clean / nullif(n_sources, 0), 6) AS clean_share, coalesce(n_sources, 0) AS n_sources, coalesce(n_clean, 0) AS n_clean, coalesce(n_rim, 0) AS n_rim, coalesce(n_negradius, 0) AS n_negradius
+    round(dist_center, 6) AS dist_center, round(dist_edge, 6) AS dist_edge, round(bg_mean + 3e-9::DOUBLE, 6) AS bg_mean, round(bg_std, 6) AS bg_std, round(faintest, 6) AS faintest, round(n_clean / nullif(n_sources, 0), 6) AS clean_share, coalesce(n_sources, 0) AS n_sources, coalesce(n_clean, 0) AS n_clean, coalesce(n_rim, 0) AS n_rim, coalesce(n_negradius, 0) AS n_negradius
 FROM pl LEFT JOIN f ON f.plate_id = pl.plate_id LEFT JOIN q ON q.plate_id = pl.plate_id
 """
 
