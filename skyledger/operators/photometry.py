@@ -22,6 +22,8 @@ VALID, LEAST_STAT = (-3.0, 5.0), 0.01
 COARSE, FINE, FINE_HALF = np.arange(45) * 0.25 - 4.0, 0.02, 20
 #: Magnitudes from the plate's limit within which stars are too faint for the colour term, if enough remain.
 FAINT_EDGE, ENOUGH = 1.0, 100
+#: Stars whose terms of a surface are held at once.
+PART = 200_000
 
 
 def vee_fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -66,8 +68,8 @@ def scan(mag: np.ndarray, rp: np.ndarray, colour: np.ndarray, corr: np.ndarray,
     """For each term c the weighted deviation of RP + c * colour from its smooth curve over mag (ascending)."""
     base = rp - lowess(mag, rp, share, 0, 0.2) - corr
     slope = colour - lowess(mag, colour, share, 0, 0.2)
-    off = base[None, :] + terms[:, None] * slope[None, :]
-    return np.sqrt(((off / err) ** 2).mean(axis=1)) * np.sqrt((err**2).mean())
+    # Term by term: all at once would take as many copies of the stars as there are terms.
+    return np.sqrt(np.array([(((base + term * slope) / err) ** 2).mean() for term in terms])) * np.sqrt((err**2).mean())
 
 
 def clipped(values: np.ndarray, sigma: float = 3.0) -> np.ndarray:
@@ -147,14 +149,26 @@ def _grouped(stars: DataFrame, groups: list[str], columns: list[str], schema: st
     return stars.select(*groups, *columns).groupBy(*groups).applyInPandas(fit, f"{kinds}, {schema}")
 
 
-def colour_terms(stars: DataFrame, groups: list[str], key: str = "id") -> DataFrame:
-    """The colour term of each group of stars (mag, bp, rp; key orders stars of equal magnitudes)."""
+def _in_order(pdf: pd.DataFrame, columns: list[str], key: str) -> list[np.ndarray]:
+    """The columns of rows that have them all, by mag and key, without copies of the frame."""
+    values = {c: pdf[c].to_numpy(float) for c in columns}
+    known = np.ones(len(pdf), bool)
+    for v in values.values():
+        known &= ~np.isnan(v)
+    order = np.flatnonzero(known)
+    order = order[np.lexsort((pdf[key].to_numpy()[order], values["mag"][order]))]
+    return [values[c][order] for c in columns]
 
-    def kernel(pdf: pd.DataFrame) -> dict | None:
-        own = pdf.dropna(subset=["mag", "bp", "rp"]).sort_values(["mag", key])
-        return colour_term(*(own[c].to_numpy(float) for c in ("mag", "bp", "rp")))
 
-    return _grouped(stars, groups, [key, "mag", "bp", "rp"], TERM, kernel)
+def colour_terms(stars: DataFrame, groups: list[str], key: str = "id") -> DataFrame:
+    """The colour term of each group of stars (mag, bp, rp; key orders stars of equal magnitudes).
+
+    The method takes the first star of each BP magnitude, so only these go to the kernel."""
+    columns = ["mag", "bp", "rp"]
+    known = stars.select(*groups, key, *(F.col(c).cast("double").alias(c) for c in columns)).where(" AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in columns))
+    first = known.groupBy(*groups, "bp").agg(F.min(F.struct("mag", key, "rp")).alias("_star"))
+    # A group without a star is none.
+    return _grouped(first.select(*groups, "bp", "_star.*"), groups, [key, *columns], TERM, lambda pdf: colour_term(*_in_order(pdf, columns, key)))
 
 
 def local_outliers(mag: np.ndarray, residual: np.ndarray, low: float, high: float, mean: bool = False) -> np.ndarray:
@@ -189,7 +203,15 @@ class Surface:
     def __init__(self, x: np.ndarray, y: np.ndarray, z: np.ndarray, degree: int):
         self.degree = degree
         self.box = [(v.min(), max(np.ptp(v), 1e-9)) for v in (x, y)]
-        self.terms = np.linalg.lstsq(self._basis(x, y), z, rcond=None)[0]
+        if len(x) <= PART:
+            self.terms = np.linalg.lstsq(self._basis(x, y), z, rcond=None)[0]
+            return
+        # Many stars by parts: each part's triangle takes the place of its rows.
+        triangle = np.empty((0, (degree + 1) * (degree + 2) // 2 + 1))
+        for k in range(0, len(x), PART):
+            own = slice(k, k + PART)
+            triangle = np.linalg.qr(np.vstack((triangle, np.column_stack((self._basis(x[own], y[own]), z[own])))), mode="r")
+        self.terms = np.linalg.lstsq(triangle[:, :-1], triangle[:, -1], rcond=None)[0]
 
     def _basis(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         # Beyond the data the value at the edge holds.
@@ -197,7 +219,8 @@ class Surface:
         return np.stack([u**i * v**j for i in range(self.degree + 1) for j in range(self.degree + 1 - i)], -1)
 
     def __call__(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        return self._basis(np.asarray(x, float), np.asarray(y, float)) @ self.terms
+        x, y = np.asarray(x, float), np.asarray(y, float)
+        return np.concatenate([self._basis(x[k : k + PART], y[k : k + PART]) @ self.terms for k in range(0, len(x), PART)]) if len(x) > PART else self._basis(x, y) @ self.terms
 
 
 def surface_of(x: np.ndarray, y: np.ndarray, residual: np.ndarray) -> Surface | None:
@@ -223,13 +246,17 @@ class Correction:
             return np.zeros(len(x))
         out = self.whole(x, y)
         if self.bins:
-            at, values = np.array([m for m, _ in self.bins]), np.stack([s(x, y) for _, s in self.bins])
-            right = np.clip(np.searchsorted(at, mag), 1, len(at) - 1) if len(at) > 1 else np.zeros(len(mag), int)
+            at = np.array([m for m, _ in self.bins])
             if len(at) == 1:
-                return out + values[0]
+                return out + self.bins[0][1](x, y)
+            right = np.clip(np.searchsorted(at, mag), 1, len(at) - 1)
             share = np.clip((mag - at[right - 1]) / (at[right] - at[right - 1]), 0, 1)
-            each = np.arange(len(mag))
-            out = out + (1 - share) * values[right - 1, each] + share * values[right, each]
+            # Each bin's surface at the stars beside it only.
+            lower, upper = np.zeros(len(mag)), np.zeros(len(mag))
+            for k, (_, surface) in enumerate(self.bins):
+                for values, own in ((lower, right - 1 == k), (upper, right == k)):
+                    values[own] = surface(x[own], y[own])
+            out = out + (1 - share) * lower + share * upper
         return out
 
 
@@ -275,8 +302,8 @@ def calibrated_solutions(stars: DataFrame, groups: list[str], key: str = "id") -
     columns = ["mag", "bp", "rp", "x", "y"]
 
     def kernel(pdf: pd.DataFrame) -> dict | None:
-        own = pdf.dropna(subset=columns).sort_values(["mag", key])
-        return calibrated_solution(*(own[c].to_numpy(float) for c in columns)) if len(own) >= LEAST_STARS else None
+        own = _in_order(pdf, columns, key)
+        return calibrated_solution(*own) if len(own[0]) >= LEAST_STARS else None
 
     return _grouped(stars, groups, [key, *columns], RESULT, kernel)
 
@@ -309,8 +336,8 @@ def corrected_solutions(stars: DataFrame, groups: list[str], key: str = "id") ->
     columns = ["mag", "bp", "rp", "x", "y"]
 
     def kernel(pdf: pd.DataFrame) -> dict | None:
-        own = pdf.dropna(subset=columns).sort_values(["mag", key])
-        return corrected_solution(*(own[c].to_numpy(float) for c in columns)) if len(own) >= LEAST_STARS else None
+        own = _in_order(pdf, columns, key)
+        return corrected_solution(*own) if len(own[0]) >= LEAST_STARS else None
 
     return _grouped(stars, groups, [key, *columns], CORRECTED, kernel)
 
