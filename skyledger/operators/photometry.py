@@ -272,12 +272,13 @@ def calibrated_solution(mag: np.ndarray, bp: np.ndarray, rp: np.ndarray, x: np.n
 
 
 def _calibrated(mag: np.ndarray, bp: np.ndarray, rp: np.ndarray, x: np.ndarray, y: np.ndarray, step: float, corr: np.ndarray | None = None, err: np.ndarray | None = None) -> tuple[dict, Correction, Callable] | None:
-    """The result, the correction and the error at a magnitude; corr and err of an earlier round go into the colour term."""
+    """The result, the correction and the error at a magnitude; corr of an earlier round goes into the colour term and the curve, err into the term."""
     term = colour_term(mag, bp, rp, corr, err)
     if term is None:
         return None
     nat = rp + term["color_term"] * (bp - rp)
-    found = calibrated(mag, nat)
+    # Freed of what an earlier round found over the plate, the curve's ends, which few stars hold, have their slope.
+    found = calibrated(mag, nat if corr is None else nat - corr)
     if found is None:
         return None
     good = np.flatnonzero(~found["outlier"])
@@ -318,7 +319,7 @@ def _as_row(surface: Surface) -> dict:
 
 
 def corrected_solution(mag: np.ndarray, bp: np.ndarray, rp: np.ndarray, x: np.ndarray, y: np.ndarray, step: float = 0.1, rounds: int = 2) -> dict | None:
-    """As `calibrated_solution`, the colour term of each round after the first freed of the correction and weighted by the errors
+    """As `calibrated_solution`, the colour term and the curve of each round after the first freed of the correction, the term weighted by the errors
     that the round before has found; with the last round's correction as numbers. A round without a result leaves the one before."""
     best, corr, err = None, None, None
     for k in range(rounds):

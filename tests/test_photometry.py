@@ -178,3 +178,13 @@ def test_tilt_is_gone_and_the_second_term_is_nearer():
     assert abs(two["color_term"] - 0.6) <= abs(one["color_term"] - 0.6) + 0.005 and two["rmse_median"] < 0.1 < tilt.std()
     few = ph.corrected_solution(mag[:40], bp[:40], rp[:40], x[:40], y[:40])
     assert few is None or few["surface"] is None and few["bin_mags"] == []
+
+
+def test_ends_of_the_curve_are_freed_of_the_slope_over_the_plate(spark, monkeypatch):
+    """Plates whose brightest stars, beyond the curve's limit, were off by up to a magnitude where few stars held its end."""
+    from skyledger.plans import exposure_queries
+
+    load = exposure_queries.load
+    monkeypatch.setattr(exposure_queries, "load", lambda *a: load(*a).where("l_suppkey IN (436, 521, 839, 867)"))
+    rows = exposure_queries.corrected_magnitudes(spark, "/root/testdata/sf0.1").collect()
+    assert len(rows) == 4 and all(r.mostly_near and r.flat and r.was_tilted and r.term_near for r in rows)
