@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions import sky
 from skyledger.operators import cover, exposures, fits, photometry, records
-from skyledger.plans.binding import load, new_path, on_plane, on_sky, separation_sql, sky_sql
+from skyledger.plans.binding import load, new_path, on_plane, on_sky, separation_sql, sky_sql, spread
 from skyledger.plans.registry import query
 
 
@@ -14,7 +14,7 @@ def planted_exposures(spark, d):
     """Stars (the parts) on plates of 40, each with an image for every exposure: turned and scaled by its place on the plate, with
     noise. Of every ten stars one lacks its third image and one has a single image."""
     k, c = F.col("p_partkey"), F.col
-    stars = load(spark, d, "part").select(k, F.floor(k / 40).alias("plate"), (k % 40).alias("n")).withColumns({"numexp": (5 + c("plate") % 3).cast("int")})
+    stars = spread(load(spark, d, "part").select(k)).select(k, F.floor(k / 40).alias("plate"), (k % 40).alias("n")).withColumns({"numexp": (5 + c("plate") % 3).cast("int")})
     stars = stars.withColumns({"x0": 700 + c("n") % 8 * 1100 + k * 7919 % 211, "y0": 800 + F.floor(c("n") / 8) * 1500 + k * 104729 % 197, "e": F.explode(F.sequence(F.lit(0).cast("long"), (c("numexp") - 1).cast("long")))})
     images = stars.where(~((k % 10 == 3) & (c("e") == 2)) & ~((k % 10 == 7) & (c("e") > 0)))
     along, across = (c("e") * 40 + c("e") * c("e") * 3).cast("double"), (c("e") * c("e") * 7 % 11).cast("double")
@@ -189,7 +189,7 @@ def _tpv_sql(pv, x: str, y: str) -> str:
     SELECT p_partkey, round(310.0::DOUBLE + degrees(atan2(xi, c - eta * s)), 9) AS ra, round(degrees(atan2(s + eta * c, sqrt(xi * xi + pow(c - eta * s, 2)))), 9) AS dec, x, y FROM t""",
 )
 def tpv_round_trip(spark, d):
-    p = on_plane(load(spark, d, "part"), "p_partkey").select("p_partkey", "x", "y")
+    p = on_plane(spread(load(spark, d, "part").select("p_partkey")), "p_partkey").select("p_partkey", "x", "y")
     at = (F.lit(310.0), F.lit(55.0), (F.lit(5000.0), F.lit(4000.0)), tuple(map(F.lit, CD)), PV1, PV2)
     ra, dec = sky.tpv_sky(F.col("x"), F.col("y"), *at)
     there = p.select("p_partkey", ra.alias("ra"), dec.alias("dec"))

@@ -82,3 +82,26 @@ def test_planes_are_found(spark):
     members = exposures.regular_clusters(exposures.star_clusters(spark.createDataFrame(rows, SOURCES), spark.createDataFrame([(1, 5, 50.0, 9000, 7000)], PLATES)))
     r = exposures.planes(fits.checkpointed(members)).withColumn("tilt", F.col("angle_x")).first()
     assert abs(r.tilt - 1e-3) < 5e-5 and abs(r.angle_y) < 5e-5 and abs(r.scale_0 - 1) < 5e-3
+
+
+def test_plates_are_clustered_without_pairs(spark, monkeypatch):
+    # Neighbours of a place grow with the square of its members: no pair of them is shuffled or stored.
+    def none(*_):
+        raise AssertionError("pairs of neighbours were formed")
+
+    rng = np.random.default_rng(5)
+    rows, _ = pattern(rng, 1, [(0, 0), (45, 5), (95, -4), (150, 6)], 32)
+    monkeypatch.setattr(exposures, "grid_pairs", none)
+    monkeypatch.setattr(fits, "density_labels", none)
+    members = exposures.regular_clusters(exposures.star_clusters(spark.createDataFrame(rows, SOURCES), spark.createDataFrame([(1, 4, 45.0, 10000, 8000)], PLATES)))
+    assert exposures.exposure_places(members, exposures.planes(members)).count() == 4
+
+
+def test_clusters_of_each_group_are_those_of_the_join(spark):
+    rng = np.random.default_rng(6)
+    at = np.concatenate([rng.normal(c, 3, (60, 2)) for c in ((0, 0), (13, 2), (-5, 30))] + [rng.uniform(-60, 60, (700, 2))])
+    rows = [(int(k) * 7 % 1009, k % 2 if k % 50 else None, float(x), float(y), 3 + k % 3) for k, (x, y) in enumerate(at)] + [(5000, 0, float("nan"), 1.0, 1), (5001, 0, None, 1.0, 1), (5002, 1, 500.0, 500.0, 1)]
+    df = spark.createDataFrame(rows, "id long, g int, x double, y double, least int")
+    want = {r.id: r.label for r in fits.dbscan_in(df, "id", {"x": 2.5, "y": 4.0}, "least", ("g",)).where("label IS NOT NULL").collect()}
+    got = {r.id: r.label for r in fits.clusters_each(df, "g", "id", {"x": 2.5, "y": 4.0}, "least").collect()}
+    assert got == want and len(got) > 100 and got[5002] == 5002
