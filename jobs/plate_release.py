@@ -2,7 +2,7 @@
 
 Reads the plates and the detections of their scans, and writes below the output path
 
-    source/archive_id=<a>           detections with their key, distances, ring, border score and flags
+    source/archive_id=<a>           detections with their key, distances, ring, border score, flags and their plate's background
     plate_quality/archive_id=<a>    for each plate, also those without detections: counts by flag, background, faintest clean
                                     magnitude, share of clean detections
 
@@ -30,7 +30,7 @@ from skyledger.sources.files import Config
 CONFIG = Path(__file__).with_suffix(".ini")
 MEASURES = ("x_source", "y_source", "background", "flux_radius", "elongation", "magerr", "mag_auto")
 SOURCE = columns(
-    "source_id long, plate_id long, source_num long, x_source double, y_source double, mag_auto double, magerr double, flux_radius double, elongation double, dist_center double, dist_edge double, border double, flag_clean int, flag_rim int, flag_negradius int, annular_bin int, archive_id long"
+    "source_id long, plate_id long, source_num long, x_source double, y_source double, mag_auto double, magerr double, flux_radius double, elongation double, dist_center double, dist_edge double, border double, flag_clean int, flag_rim int, flag_negradius int, annular_bin int, bg_mean double, bg_std double, archive_id long"
 )
 QUALITY = columns("plate_id long, plate_num string, n_sources long, n_clean long, n_rim long, n_negradius long, bg_mean double, bg_std double, faintest double, clean_share double, archive_id long")
 
@@ -38,6 +38,10 @@ QUALITY = columns("plate_id long, plate_num string, n_sources long, n_clean long
 OFF_TIES = 3e-9
 
 
+#: Plates at most that are sent to every task; more of them are shuffled with their detections.
+PLATES_SENT = 500_000
+
+
 def settings(path: str | Path = CONFIG) -> Config:
     return Config.parse(Path(path).read_text())
 
@@ -51,19 +55,27 @@ def plate_rows(plates: DataFrame, config: Config) -> DataFrame:
     return rows.groupBy("plate_id").agg(F.min(F.struct("archive_id", "plate_num")).alias("p")).select("plate_id", "p.*")
 
 
-def detection_rows(rows: DataFrame, config: Config) -> DataFrame:
-    """Detections with numbers as they are stored (no NaN, no infinity), the brightest of those with the same number."""
+def given_rows(rows: DataFrame, config: Config) -> DataFrame:
+    """Detections with numbers as they are stored (no NaN, no infinity), of a plate and with a number."""
     fields = config.sections["Detections"]
     given = rows.select(*(F.expr(fields[c]).cast("long").alias(c) for c in ("plate_id", "source_num")), *(F.expr(fields[c]).cast("double").alias(c) for c in MEASURES))
-    given = records.nullified(given).where("plate_id IS NOT NULL AND source_num IS NOT NULL")
-    return given.groupBy("plate_id", "source_num").agg(F.min(F.struct(F.coalesce("mag_auto", F.lit(float("inf"))).alias("m"), *MEASURES)).alias("d")).select("plate_id", "source_num", *(F.col(f"d.{c}").alias(c) for c in MEASURES))
+    return records.nullified(given).where("plate_id IS NOT NULL AND source_num IS NOT NULL")
+
+
+def detection_rows(given: DataFrame, plates: DataFrame) -> DataFrame:
+    """The brightest of a plate's detections with the same number, with the plate's archive.
+
+    Rows are dealt once, by ranges of archive and plate: what follows by plate, and the write by archive, moves none of them again."""
+    few = F.broadcast(plates) if plates.count() <= PLATES_SENT else plates
+    dealt = given.join(few, "plate_id").repartitionByRange("archive_id", "plate_id")
+    best = F.min(F.struct(F.coalesce("mag_auto", F.lit(float("inf"))).alias("m"), *MEASURES)).alias("d")
+    return dealt.groupBy("archive_id", "plate_id", "source_num").agg(best).select("archive_id", "plate_id", "source_num", *(F.col(f"d.{c}").alias(c) for c in MEASURES))
 
 
 def measured(rows: DataFrame, width: float, height: float) -> DataFrame:
     """Detections with distances, ring, border score (null where a plate's background doesn't vary) and flags."""
-    placed = det.distances(rows, width, height, "x_source", "y_source")
-    joined = placed.join(det.background_stats(placed, "plate_id", height / 2), "plate_id")
-    scored = joined.withColumn("border", det.border_score(joined, width, height, "x_source", "y_source"))
+    placed = det.with_background(det.distances(rows, width, height, "x_source", "y_source"), ["archive_id", "plate_id"], height / 2)
+    scored = placed.withColumn("border", det.border_score(placed, width, height, "x_source", "y_source"))
     return scored.withColumns(det.flags() | {"annular_bin": det.annular_bin(det.bin_edges(int(width), int(height)), width, height)})
 
 
@@ -71,8 +83,8 @@ def quality(sources: DataFrame, plates: DataFrame) -> DataFrame:
     """A row for each plate from its detections, zeros where it has none."""
     flagged = lambda c: F.sum(c).cast("long").alias("n" + c[4:])
     clean = F.when(F.col("flag_clean") == 1, F.col("mag_auto"))
-    sums = sources.groupBy("plate_id").agg(F.count(F.lit(1)).alias("n_sources"), *(flagged(c) for c in ("flag_clean", "flag_rim", "flag_negradius")), F.first("bg_mean", True).alias("bg_mean"), F.first("bg_std", True).alias("bg_std"), F.max(clean).alias("faintest"))
-    rows = plates.join(sums, "plate_id", "left")
+    sums = sources.groupBy("plate_id", "archive_id").agg(F.count(F.lit(1)).alias("n_sources"), *(flagged(c) for c in ("flag_clean", "flag_rim", "flag_negradius")), F.first("bg_mean", True).alias("bg_mean"), F.first("bg_std", True).alias("bg_std"), F.max(clean).alias("faintest"))
+    rows = plates.join(sums, ["plate_id", "archive_id"], "left")
     rows = rows.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n_sources", "n_clean", "n_rim", "n_negradius")})
     return records.projected(rows.withColumn("clean_share", F.try_divide("n_clean", "n_sources")), QUALITY)
 
@@ -83,21 +95,18 @@ def run(spark: SparkSession, plates: str, detections: str, out: str, config: Con
     width, height = float(config.option("Image", "width")), float(config.option("Image", "height"))
     own = plate_rows(spark.read.parquet(plates), config)
     given = spark.read.parquet(detections)
-    rows = detection_rows(given, config)
-    keyed = measured(rows.join(own.select("plate_id", "archive_id"), "plate_id"), width, height)
+    rows, known = given_rows(given, config), own.select("plate_id", "archive_id")
+    keyed = measured(detection_rows(rows, known), width, height)
     keyed = keyed.withColumn("source_id", records.source_key(F.lit(int(config.option("Release", "dr_num"))), F.col("plate_id"), F.col("source_num")))
-    _replace(records.projected(keyed, SOURCE).hint("rebalance", "archive_id"), f"{out}/source", "archive_id")
-    known = own.select("plate_id", "archive_id")
-    back = stored(spark, f"{out}/source", SOURCE)
-    stats = det.background_stats(det.distances(rows, width, height, "x_source", "y_source"), "plate_id", height / 2)
-    result = quality(back.join(known, ["plate_id", "archive_id"], "left_semi").join(stats, "plate_id"), own)
-    _replace(result.hint("rebalance", "archive_id"), f"{out}/plate_quality", "archive_id")
+    _replace(records.projected(keyed, SOURCE), f"{out}/source", "archive_id")
     # An overwrite by partitions leaves those that get no row: they are emptied one by one (archives are few).
-    filled = keyed.select("archive_id").distinct()
-    stale = back.join(known.select("archive_id").distinct(), "archive_id", "left_semi").select("archive_id").distinct().join(filled, "archive_id", "left_anti")
+    filled = rows.select("plate_id").distinct().join(known, "plate_id").select("archive_id").distinct()
+    stale = stored(spark, f"{out}/source", SOURCE).select("archive_id").distinct().join(known.select("archive_id").distinct(), "archive_id", "left_semi").join(filled, "archive_id", "left_anti")
     for r in stale.collect():
         spark.createDataFrame([], T.StructType(SOURCE.fields[:-1])).write.mode("overwrite").parquet(f"{out}/source/archive_id={r.archive_id}")
         LOG.info("plate_release: archive %d has no detections any more", r.archive_id)
+    # Every archive of the plates now holds this run's rows alone.
+    _replace(quality(stored(spark, f"{out}/source", SOURCE), own).hint("rebalance", "archive_id"), f"{out}/plate_quality", "archive_id")
     totals = stored(spark, f"{out}/plate_quality", QUALITY).join(known, ["plate_id", "archive_id"], "left_semi").agg(F.sum("n_sources"), F.count(F.lit(1))).first()
     done = {"read": given.count(), "sources": totals[0] or 0, "plates": totals[1]}
     LOG.info("plate_release: read %d detections of %s, wrote %d sources and the quality of %d plates to %s", done["read"], detections, done["sources"], done["plates"], out)
@@ -106,13 +115,18 @@ def run(spark: SparkSession, plates: str, detections: str, out: str, config: Con
 
 def _replace(rows: DataFrame, path: str, *partitions: str) -> None:
     """Write the partitions that `rows` has in place of those that are there, and leave the others."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*partitions).parquet(path)
 
 
 def result(spark: SparkSession, out: str) -> DataFrame:
     """All sources with the quality of their plate, and plates without sources."""
-    sources, plates = stored(spark, f"{out}/source", SOURCE), stored(spark, f"{out}/plate_quality", QUALITY)
-    rows = plates.join(sources, ["plate_id", "archive_id"], "left")
+    sources, plates = stored(spark, f"{out}/source", SOURCE).drop("bg_mean", "bg_std"), stored(spark, f"{out}/plate_quality", QUALITY)
+    keys = ["plate_id", "archive_id"]
+    if plates.count() <= PLATES_SENT:
+        without = plates.join(sources.select(*keys).distinct(), keys, "left_anti")
+        rows = sources.join(F.broadcast(plates), keys).unionByName(without, allowMissingColumns=True)
+    else:
+        rows = plates.join(sources, keys, "left")
     six = ("x_source", "y_source", "mag_auto", "magerr", "flux_radius", "elongation", "dist_center", "dist_edge", "faintest", "clean_share")
     return rows.select("plate_id", "archive_id", "plate_num", "source_id", "source_num", "annular_bin", "flag_clean", "flag_rim", "flag_negradius", F.round("border", 4).alias("border"), *(F.round(c, 6).alias(c) for c in six), F.round(F.col("bg_mean") + OFF_TIES, 6).alias("bg_mean"), F.round("bg_std", 6).alias("bg_std"), "n_sources", "n_clean", "n_rim", "n_negradius")
 

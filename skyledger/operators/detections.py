@@ -21,6 +21,14 @@ def background_stats(rows: DataFrame, plate: str, half: float, background: str =
     return rows.groupBy(plate).agg(pick(F.avg).alias("bg_mean"), pick(F.stddev_pop).alias("bg_std"))
 
 
+def with_background(rows: DataFrame, plate: list[str], half: float, background: str = "background") -> DataFrame:
+    """`rows` with bg_mean and bg_std of `background_stats`, by windows: rows that are dealt by plate stay where they are."""
+    own = Window.partitionBy(*plate)
+    inside = F.when((F.col("dist_edge") > 0.1 * half) & (F.col("dist_edge") < 0.9 * half), F.col(background))
+    pick = lambda f: F.when(F.count(inside).over(own) > 3, f(inside).over(own)).otherwise(f(background).over(own))
+    return rows.withColumns({"bg_mean": pick(F.avg), "bg_std": pick(F.stddev_pop)})
+
+
 def border_score(rows: DataFrame, width: float, height: float, x: str = "x", y: str = "y", background: str = "background") -> Column:
     """|background - mean| in deviations, over the relative distance to the nearest edge."""
     rel = F.least(F.col(x) / width, F.lit(1.0) - F.col(x) / width, F.col(y) / height, F.lit(1.0) - F.col(y) / height)
