@@ -90,11 +90,11 @@ def calibration_curves(stars: DataFrame, groups: list[str], step: float = 0.1) -
 def applied(sources: DataFrame, curves: DataFrame, group: str, colour: str = "color_term", correction: str = "natmag_correction") -> DataFrame:
     """natmag, rpmag, bpmag and errors of all sources from their group's curve; flags 1 brighter and 2 fainter than its limits.
     Where a group has no curve these are null, and the flag 0."""
-    from skyledger.operators.fits import interpolated, with_group
+    from skyledger.operators.fits import group_parts, interpolated, with_group
 
-    c = F.col
-    placed = interpolated(sources, curves.select(group, F.col("plate_mag").alias("cx"), F.col("natmag").alias("cy")), group, "mag", name="_curve")
-    placed = interpolated(placed, curves.select(group, F.col("plate_mag").alias("cx"), F.col("error").alias("cy")), group, "mag", name="_error")
+    c, parts = F.col, group_parts(sources, group)
+    placed = interpolated(sources, curves.select(group, F.col("plate_mag").alias("cx"), F.col("natmag").alias("cy")), group, "mag", name="_curve", parts=parts)
+    placed = interpolated(placed, curves.select(group, F.col("plate_mag").alias("cx"), F.col("error").alias("cy")), group, "mag", name="_error", parts=parts)
     limits = curves.groupBy(group).agg(F.min("bright_limit").alias("_lo"), F.max("faint_limit").alias("_hi"), F.min_by("error", "plate_mag").alias("_elo"), F.max_by("error", "plate_mag").alias("_ehi"))
     nat = c("_curve") + F.coalesce(c(correction), F.lit(0.0))
     error = F.when(c("mag") < c("_lo"), c("_elo")).when(c("mag") > c("_hi"), c("_ehi")).otherwise(c("_error"))

@@ -95,20 +95,38 @@ def density_support(grid: DataFrame, group: str, share: float = 0.2) -> DataFram
     return grid.withColumn("_top", top).groupBy(group).agg(F.max_by("grid", F.struct("density", -F.col("grid"))).alias("mode"), F.min(dense).alias("low"), F.max(dense).alias("high"))
 
 
-def interpolated(points: DataFrame, curve: DataFrame, group: str, x: str, curve_x: str = "cx", curve_y: str = "cy", name: str = "value") -> DataFrame:
+#: Points of a group that stay together when values of its curve are found.
+TOGETHER = 200_000
+
+
+def group_parts(points: DataFrame, group: str) -> DataFrame:
+    """group, _parts of the groups that have more than TOGETHER points: fewer rows than the points have hundred thousands."""
+    return points.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / TOGETHER).alias("_parts")).where("_parts > 1")
+
+
+def interpolated(points: DataFrame, curve: DataFrame, group: str, x: str, curve_x: str = "cx", curve_y: str = "cy", name: str = "value", parts: DataFrame | None = None) -> DataFrame:
     """Piecewise-linear values of each group's curve at the points, its end segments extended.
 
-    Points and knots are merged in one ordering per group; each point takes the segment that holds it.
+    Points and knots are merged in one ordering per group; each point takes the segment that holds it. Points of the groups in `parts`
+    (of group_parts, if there are large ones) are dealt out by a hash, and each part gets the group's knots.
     """
     w = Window.partitionBy(group).orderBy(curve_x)
     segment = curve.select(group, F.col(curve_x).alias("_x0"), F.col(curve_y).alias("_y0"), F.lead(curve_x).over(w).alias("_x1"), F.lead(curve_y).over(w).alias("_y1"), F.row_number().over(w).alias("_k")).filter("_x1 IS NOT NULL")
     knots = segment.select(group, F.when(F.col("_k") == 1, F.lit(float("-inf"))).otherwise(F.col("_x0")).alias("_at"), F.lit(0).alias("_kind"), F.struct("_x0", "_y0", "_x1", "_y1").alias("_seg"))
     seen = points.select("*", F.col(x).cast("double").alias("_at"), F.lit(1).alias("_kind"))
+    if parts is None:
+        seen, knots = (df.withColumn("_part", F.lit(0).cast("long")) for df in (seen, knots))
+    else:
+        count = F.coalesce("_parts", F.lit(1).cast("long"))
+        whole = [f"`{f.name}`" for f in points.schema if not isinstance(f.dataType, T.MapType)]
+        seen, knots = (with_group(df, F.broadcast(parts), [group], "left") for df in (seen, knots))
+        seen = seen.withColumn("_part", F.pmod(F.xxhash64(*whole), count)).drop("_parts")
+        knots = knots.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), count - 1))).drop("_parts")
     both = seen.unionByName(knots, allowMissingColumns=True)
-    order = Window.partitionBy(group).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy(group, "_part").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
     held = both.withColumn("_seg", F.last("_seg", ignorenulls=True).over(order)).filter("_kind = 1")
     s = F.col("_seg")
-    return held.withColumn(name, s["_y0"] + (F.col("_at") - s["_x0"]) * F.try_divide(s["_y1"] - s["_y0"], s["_x1"] - s["_x0"])).drop("_at", "_kind", "_seg")
+    return held.withColumn(name, s["_y0"] + (F.col("_at") - s["_x0"]) * F.try_divide(s["_y1"] - s["_y0"], s["_x1"] - s["_x0"])).drop("_at", "_kind", "_seg", "_part")
 
 
 def lowess(x: np.ndarray, y: np.ndarray, share: float = 2 / 3, rounds: int = 3, delta: float = 0.0) -> np.ndarray:

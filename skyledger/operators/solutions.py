@@ -214,12 +214,12 @@ def pattern_corrected(sources: DataFrame, patterns: DataFrame, group: str, ratio
     """`sources` less the scanner's pattern: y where the ratio is above 1.5, x where it is below 2/3, else as they are.
 
     patterns: group, axis ('x' or 'y'), position, value; sources: group, x_source, y_source, ratio."""
-    from skyledger.operators.fits import interpolated
+    from skyledger.operators.fits import group_parts, interpolated
 
-    out = sources
+    out, parts = sources, group_parts(sources, group)
     for axis in ("x", "y"):
         curve = patterns.filter(F.col("axis") == axis).select(group, F.col("position").cast("double").alias("cx"), F.col("value").alias("cy"))
-        out = interpolated(out, curve, group, f"{axis}_source", name=f"_{axis}")
+        out = interpolated(out, curve, group, f"{axis}_source", name=f"_{axis}", parts=parts)
     r = F.col(ratio)
     less = lambda when, axis: F.col(f"{axis}_source") - F.when(when, F.coalesce(f"_{axis}", F.lit(0.0))).otherwise(F.lit(0.0))
     return out.withColumns({"y_source": less(r > 1.5, "y"), "x_source": less(r < 2.0 / 3.0, "x")}).drop("_x", "_y")
