@@ -187,19 +187,28 @@ def polynomial(x: Column, y: Column, terms: dict[tuple[int, int], float]) -> Col
     return total
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _newton(u: Column, v: Column, value: Callable[[Column, Column], tuple[Column, ...]], steps: int) -> tuple[Column, Column]:
     """(x, y) at which `value` is (u, v), from (u, v) on by Newton steps until one is below 1e-13 of the place, `steps` at most;
     null where it doesn't get there. value: both functions and their derivatives by x, y and x, y."""
 
+    # A lambda's expressions are computed as often as they are written, so what is used again is a variable.
+    def moved(s: Column, w: Column) -> Column:
+        det = w["fx"] * w["gy"] - w["fy"] * w["gx"]
+        f, g = s["u"] - w["f"], s["v"] - w["g"]
+        delta = F.struct(F.try_divide(w["gy"] * f - w["fy"] * g, det).alias("x"), F.try_divide(w["fx"] * g - w["gx"] * f, det).alias("y"))
+        return _let(delta, lambda d: F.struct((s["x"] + d["x"]).alias("x"), (s["y"] + d["y"]).alias("y"), F.coalesce(F.abs(d["x"]) + F.abs(d["y"]) <= (F.abs(s["x"]) + F.abs(s["y"]) + 1e-6) * 1e-13, F.lit(False)).alias("done"), s["u"].alias("u"), s["v"].alias("v")))
+
     def step(s: Column, _: Column) -> Column:
-        f, g, fx, fy, gx, gy = value(s["x"], s["y"])
-        det = fx * gy - fy * gx
-        dx, dy = F.try_divide(gy * (u - f) - fy * (v - g), det), F.try_divide(fx * (v - g) - gx * (u - f), det)
-        near = F.abs(dx) + F.abs(dy) <= (F.abs(s["x"]) + F.abs(s["y"]) + 1e-6) * 1e-13
-        return F.when(s["done"], s).otherwise(F.struct((s["x"] + dx).alias("x"), (s["y"] + dy).alias("y"), F.coalesce(near, F.lit(False)).alias("done")))
-
-    start = F.struct(u.cast("double").alias("x"), v.cast("double").alias("y"), F.lit(False).alias("done"))
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step, lambda s: F.when(s["done"], s))
+        values = F.struct(*(c.alias(n) for c, n in zip(value(s["x"], s["y"]), ("f", "g", "fx", "fy", "gx", "gy"), strict=True)))
+        return F.when(s["done"], s).otherwise(_let(values, lambda w: moved(s, w)))
+
+    place = F.struct(u.cast("double").alias("x"), v.cast("double").alias("y"), F.lit(False).alias("done"), u.cast("double").alias("u"), v.cast("double").alias("v"))
+    found = _let(place, lambda start: F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step, lambda s: F.when(s["done"], s)))
     return found["x"], found["y"]
 
 
@@ -273,7 +282,9 @@ def tpv_pixel(ra: Column, dec: Column, ra0: Column, dec0: Column, crpix: tuple[C
     one, zero = F.lit(1.0), F.lit(0.0)
     u, v = tpv_linear(*cd_pixel(ra, dec, ra0, dec0, (zero, zero), (one, zero, zero, one)), pv1, pv2)
     det = cd[0] * cd[3] - cd[1] * cd[2]
-    return crpix[0] + F.try_divide(cd[3] * u - cd[1] * v, det), crpix[1] + F.try_divide(cd[0] * v - cd[2] * u, det)
+    pixel = lambda p: F.struct((crpix[0] + F.try_divide(cd[3] * p["u"] - cd[1] * p["v"], det)).alias("x"), (crpix[1] + F.try_divide(cd[0] * p["v"] - cd[2] * p["u"], det)).alias("y"))
+    at = _let(F.struct(u.alias("u"), v.alias("v")), pixel)
+    return at["x"], at["y"]
 
 
 def cd_sky(x: Column, y: Column, ra0: Column, dec0: Column, crpix: tuple[Column, Column], cd: tuple[Column, Column, Column, Column]) -> tuple[Column, Column]:
