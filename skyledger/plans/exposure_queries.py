@@ -91,7 +91,7 @@ def cone_cover_join(spark, d):
     stars = on_sky(load(spark, d, "customer"), "c_custkey").select(F.col("c_custkey").alias("source_id"), "ra", "dec", sky.healpix_nested(F.col("ra"), F.col("dec"), 6).alias("finest"))
     levels = F.explode(F.array(*(F.struct(F.lit(k).alias("level"), F.shiftright("finest", 2 * (6 - k)).alias("pixel")) for k in range(7)))).alias("p")
     return spark.sql(
-        """SELECT field, count(source_id) AS n, coalesce(max(source_id), -1) AS last FROM (SELECT * FROM {fields}, LATERAL healpix_cone(fra, fdec, 4D, 6)) f
+        """SELECT /*+ MERGE(s) */ field, count(source_id) AS n, coalesce(max(source_id), -1) AS last FROM (SELECT * FROM {fields}, LATERAL healpix_cone(fra, fdec, 4D, 6)) f
         LEFT JOIN {stars} s ON f.level = s.level AND f.pixel = s.pixel AND sky_separation(ra, dec, fra, fdec) < 4 GROUP BY field""",
         fields=fields, stars=stars.select("source_id", "ra", "dec", levels).select("source_id", "ra", "dec", "p.level", "p.pixel"),
     )
