@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.operators.fits import lowess, lowess_share
+from skyledger.operators.fits import lowess, lowess_counted, lowess_share
 
 LEAST_STARS = 10
 CURVE = "plate_mag double, natmag double, error double, num_used long, num_outliers long, bright_limit double, faint_limit double"
@@ -106,19 +107,31 @@ def applied(sources: DataFrame, curves: DataFrame, group: str, colour: str = "co
 
 def scanner_pattern(rows: DataFrame, plate: str, axis: str, residual: str, size: float, key: str, step: float = 50.0) -> DataFrame:
     """Smooth residuals along an axis, sampled every `step` pixels: plate, position, value, extrapolated; and the ratio of the
-    curve's deviation to the residuals' in the central 60 %."""
-    kind = rows.select(plate).schema[0].dataType.simpleString()
+    curve's deviation to the residuals' in the central 60 %.
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = pdf.dropna(subset=[axis, residual]).sort_values([axis, key])
-        columns = [plate, "position", "value", "extrapolated", "strength"]
-        if len(own) < LEAST_STARS:
-            return pd.DataFrame(columns=columns)
-        at, value = own[axis].to_numpy(float), own[residual].to_numpy(float)
-        curve = lowess(at, value, max(10 / len(own), len(own) ** -0.5), 3, step / 5)
-        grid = np.arange(0.0, size + 1e-9, step)
-        middle = np.linspace(0.2 * size, 0.8 * size, 60)
-        strength = np.interp(middle, at, curve).std() / max((value - curve).std(), 1e-12)
-        return pd.DataFrame({plate: pdf[plate].iloc[0], "position": grid, "value": np.interp(grid, at, curve), "extrapolated": (grid < at[0]) | (grid > at[-1]), "strength": strength}, columns=columns)
-
-    return rows.select(plate, axis, residual, key).groupBy(plate).applyInPandas(fit, f"{plate} {kind}, position double, value double, extrapolated boolean, strength double")
+    Stars of a plate with the same place on the axis and the same residual go to the kernel as one row with their number; as they
+    are alike, no order by `key` is needed between them."""
+    kind = rows.select(plate).schema[0].dataType.simpleString()
+    columns = [plate, "position", "value", "extrapolated", "strength"]
+
+    def fit(table: pa.Table) -> pa.Table:
+        at, value, times = (table.column(c).to_numpy() for c in ("_at", "_value", "_times"))
+        grid, filled = np.arange(0.0, size + 1e-9, step), int(times.sum()) >= LEAST_STARS
+        if filled:
+            order = np.lexsort((value, at))
+            at, value, times = at[order], value[order], times[order]
+            curve = lowess_counted(at, value, times, max(10 / times.sum(), times.sum() ** -0.5), 3, step / 5)
+            middle = np.linspace(0.2 * size, 0.8 * size, 60)
+            rest = value - curve
+            spread = np.average((rest - np.average(rest, weights=times)) ** 2, weights=times) ** 0.5
+            strength = np.interp(middle, at, curve).std() / max(spread, 1e-12)
+            found = [np.interp(grid, at, curve), (grid < at[0]) | (grid > at[-1]), np.full(len(grid), strength)]
+        else:
+            grid, found = grid[:0], [np.zeros(0), np.zeros(0, bool), np.zeros(0)]
+        own = table.column(plate).slice(0, 1).combine_chunks().take(pa.array(np.zeros(len(grid), np.int64)))
+        return pa.table([own, pa.array(grid), *map(pa.array, found)], names=columns)
+
+    at, value = F.col(axis).cast("double"), F.col(residual).cast("double")
+    seen = rows.where(~F.isnan(at) & ~F.isnan(value) & at.isNotNull() & value.isNotNull())
+    counted = seen.groupBy(plate, at.alias("_at"), value.alias("_value")).agg(F.count(F.lit(1)).alias("_times"))
+    return counted.groupBy(plate).applyInArrow(fit, f"{plate} {kind}, position double, value double, extrapolated boolean, strength double")

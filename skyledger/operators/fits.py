@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -178,6 +180,63 @@ def lowess(x: np.ndarray, y: np.ndarray, share: float = 2 / 3, rounds: int = 3,
     return fitted
 
 
+def lowess_counted(x: np.ndarray, y: np.ndarray, times: np.ndarray, share: float = 2 / 3, rounds: int = 3, delta: float = 0.0) -> np.ndarray:
+    """As `lowess` for points of which each stands for as many as `times` says, without repeating them; x ascending.
+
+    The points that a window has only some of at the same x lie at its reach, where the weight is 0, so that all of them
+    may be taken; where all of a window's points have the same x, it takes all that have, in place of the first of them."""
+    start = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
+    place, stop = x[start], np.append(start[1:], len(x))
+    of = np.repeat(np.arange(len(place)), stop - start)
+    # Numbers of the repeated points before the end of each place.
+    ends = np.cumsum(times)[stop - 1].tolist()
+    n = ends[-1]
+    k = min(n, max(2, int(share * n + 1e-10)))
+    fitted, robust = np.zeros(len(place)), np.ones(len(x))
+    for step in range(rounds + 1):
+        left, last, i = 0, -1, 0
+        while True:
+            high = n - k
+            while left < high:
+                middle = (left + high) // 2
+                left, high = (middle + 1, high) if place[i] - place[bisect_right(ends, middle)] > place[bisect_right(ends, middle + k)] - place[i] else (left, middle)
+            first, final = bisect_right(ends, left), bisect_right(ends, left + k - 1)
+            near = slice(start[first], stop[final])
+            reach = max(place[i] - place[first], place[final] - place[i])
+            far = np.abs(x[near] - place[i])
+            u = far / max(reach, 1e-300)
+            cube = 1 - u * u * u
+            w = np.where(far <= 0.999 * reach, np.where(far > 0.001 * reach, cube * cube * cube, 1.0), 0.0) * robust[near] * times[near]
+            total = w.sum()
+            if total <= 0:
+                own = slice(start[i], stop[i])
+                fitted[i] = (y[own] * times[own]).sum() / times[own].sum()
+            else:
+                w /= total
+                mean = (w * x[near]).sum()
+                spread = (w * (x[near] - mean) ** 2).sum()
+                if spread**0.5 > 0.001 * (x[-1] - x[0]):
+                    w = w * (1 + (place[i] - mean) * (x[near] - mean) / spread)
+                fitted[i] = (w * y[near]).sum()
+            if last < i - 1:
+                run = slice(last + 1, i)
+                part = (place[run] - place[last]) / (place[i] - place[last])
+                fitted[run] = part * fitted[i] + (1 - part) * fitted[last]
+            last = i
+            i = max(last + 1, int(np.searchsorted(place, place[i] + delta, "right")) - 1)
+            if last >= len(place) - 1:
+                break
+        if step < rounds:
+            rest = np.abs(y - fitted[of])
+            order = np.argsort(rest, kind="stable")
+            upto = np.cumsum(times[order])
+            scale = 6 * rest[order[np.searchsorted(upto, [(n - 1) // 2, n // 2], "right")]].mean()
+            if scale <= 0:
+                break
+            robust = np.where(rest <= 0.001 * scale, 1.0, np.where(rest <= 0.999 * scale, (1 - np.minimum(rest / scale, 1) ** 2) ** 2, 0.0))
+    return fitted[of]
+
+
 def lowess_share(n: int) -> float:
     """Share of points for a calibration curve: 0.2, up to 0.5 for fewer than 500."""
     return 0.2 if n >= 500 else 0.2 + 0.3 * (500 - n) / 500

@@ -46,3 +46,31 @@ def test_scanner_pattern_is_found(spark):
     assert np.abs([v - 0.5 * np.sin(a / 500) for a, v in inner]).max() < 0.12
     assert {at for at, _, beyond, _ in curves["wavy"] if beyond} >= {0.0, 50.0, 9600.0, 10000.0} and not any(beyond for at, _, beyond, _ in curves["wavy"] if 400 < at < 9400)
     assert curves["wavy"][0][3] > 2 and curves["flat"][0][3] < 0.5
+
+
+def test_lowess_of_counted_points_is_that_of_repeated_ones():
+    rng = np.random.default_rng(5)
+    for many in (1, 4, 30):
+        x = np.sort(rng.choice(200, 90, replace=False)).astype(float).repeat(rng.integers(1, 4, 90))
+        y = (np.sin(x / 30) + rng.integers(0, 5, len(x)) / 5).round(3)
+        x, y = x[(order := np.lexsort((y, x)))], y[order]
+        times = rng.integers(1, many + 1, len(x))
+        for share, rounds, delta in ((0.3, 3, 0.0), (0.3, 3, 7.0), (0.15, 0, 2.5), (1.0, 1, 0.0)):
+            whole = fits.lowess(x.repeat(times), y.repeat(times), share, rounds, delta)
+            assert np.allclose(fits.lowess_counted(x, y, times, share, rounds, delta).repeat(times), whole, rtol=0, atol=1e-9)
+
+
+def test_alike_stars_reach_the_kernel_of_a_pattern_once(spark, monkeypatch):
+    """Of 40,000 stars in 1,000 places and four residuals the kernel gets 4,000 rows, and the curve is that of all stars."""
+    seen = spark.range(40_000).selectExpr("id % 3 AS plate", "id", "double(id % 1000 * 10) AS x", "sin(id % 1000 / 50) + id % 4 / 4 AS residual")
+    rows = calibration.scanner_pattern(seen, "plate", "x", "residual", 10000.0, "id")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("FlatMapGroupsInArrow") < plan.index("_times") < plan.index("Range")
+    assert rows.groupBy("plate").count().count() == 3
+    own = sorted((r.x, r.id, r.residual) for r in seen.where("plate = 1").collect())
+    at, value = np.array([r[0] for r in own]), np.array([r[2] for r in own])
+    curve = fits.lowess(at, value, len(own) ** -0.5, 3, 5.0 * 2)
+    found = sorted((r.position, r.value, r.strength) for r in rows.where("plate = 1").collect())
+    assert np.allclose([r[1] for r in found], np.interp([r[0] for r in found], at, curve), rtol=0, atol=1e-9)
+    want = np.interp(np.linspace(2000, 8000, 60), at, curve).std() / (value - curve).std()
+    assert np.allclose([r[2] for r in found], want, rtol=1e-9)
