@@ -6,6 +6,8 @@ import atexit
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ SPACES = r"[\x20\x09-\x0D]+"
 
 #: A build side of a hinted broadcast join may have so many rows of two longs at most (about 64 MB hashed).
 BROADCAST_ROWS = 1_000_000
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +73,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Within it, a query's shuffle files are deleted as soon as it has ended, not when the driver happens to collect its garbage.
+    For chains of queries that write what they hand on; the former setting comes back."""
+    before = spark.conf.get(FREED, None)
+    spark.conf.set(FREED, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREED)
+        else:
+            spark.conf.set(FREED, before)
+
+
 def unused(columns: list[str], name: str) -> str:
     """`name`, with as many underscores before it as make it unlike every one of `columns` (in any case)."""
     taken = {c.lower() for c in columns}

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm._common import BROADCAST_ROWS, column, partitions, pow2_at_least, table, text_key, text_of, unused, written
+from skyledger.llm._common import BROADCAST_ROWS, column, partitions, pow2_at_least, shuffles_freed, table, text_key, text_of, unused, written
 from skyledger.llm.components import components
 from skyledger.llm.exact_dedup import one_of_each
 from skyledger.llm.pretoken import mixed
@@ -59,6 +59,8 @@ FLUSH = 500_000
 RANGES = 16
 #: Parts of the index for each shuffle partition: a part is sorted in a task's memory.
 PARTS = 4
+#: The index is made and shuffled in so many passes over the texts, each with its share of the parts, of which one is on disk at a time.
+PASSES = 4
 NO_ID = (1 << 63) - 1
 EXACT_SKIPPED, EXACT, DELETION = 0, 1, 2
 #: The reach of an entry's set is stored doubled, plus this if the set is of the level's upper band.
@@ -237,9 +239,11 @@ def index_entries(sets: list[np.ndarray], costs: np.ndarray) -> Iterator[tuple[n
             yield mixed(subset[at[out]] - w[out] + name[at[out]]), number[who[out]], np.full(int(out.sum()), DELETION, np.uint8), reach[who[out]]
 
 
-def _indexer(costs: np.ndarray, parts: int):
-    """Entries of the index, in one row for each part and flush: nodes, sizes, entries of each, signatures with kinds."""
+def _indexer(costs: np.ndarray, parts: int, turn: int = 0, turns: int = 1):
+    """Entries of the index in the parts of one turn, in one row for each part and flush: nodes, sizes, entries of each, signatures
+    with kinds. Parts are dealt over turns by the first bits of a signature; turns is a power of two, and not more than parts."""
     bits = parts.bit_length() - 1
+    lead = turns.bit_length() - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple[np.ndarray, ...]] = []
@@ -274,6 +278,9 @@ def _indexer(costs: np.ndarray, parts: int):
                 nodes = np.fromiter(known, np.int64, len(known))
                 sizes = np.fromiter(map(len, known.values()), np.int32, len(known))
                 for signature, number, kind, reach in index_entries(list(known.values()), costs):
+                    if lead:
+                        own = signature >> np.uint64(64 - lead) == turn
+                        signature, number, kind, reach = signature[own], number[own], kind[own], reach[own]
                     waiting.append((signature, nodes[number], sizes[number], kind, reach))
                     gathered += len(signature)
                 if gathered >= FLUSH:
@@ -415,13 +422,29 @@ def compared(pairs: DataFrame, held: DataFrame, rows: DataFrame) -> DataFrame:
 
 def node_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, key (of the text), n_shingles, comp (a number that the documents of a component share) per row of `docs`,
-    which is read five times."""
+    which is read PASSES + 4 times."""
+    with shuffles_freed(docs.sparkSession):
+        members, found = _node_components(docs, id_col, text_col)
+    return members.join(found, "node", "left").select("doc_id", "key", "n_shingles", F.coalesce("comp", "node").alias("comp"))
+
+
+def indexed(texts: DataFrame, costs: np.ndarray, turns: int = PASSES) -> DataFrame:
+    """The buckets of the index, equal ones once, from as many passes over the texts."""
+    parts = pow2_at_least(max(turns, PARTS * partitions(texts.sparkSession)))
+    found = None
+    for turn in range(turns):
+        index = texts.mapInArrow(_indexer(costs, parts, turn, turns), "part int, entries binary")
+        own = written(index.groupBy("part").applyInArrow(_buckets, BUCKETS).distinct(), "buckets")
+        found = own if found is None else found.union(own)
+    return written(found.distinct(), "buckets")
+
+
+def _node_components(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     rows = docs.select(column(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     members = written(rows.withColumn("key", text_key(F.col("text"))).mapInArrow(_members, "doc_id long, key struct<one:long,two:long>, n_shingles long, node long, bits binary"), "members")
     texts = rows.select("text")
     costs = frequency_costs(texts)
-    index = texts.mapInArrow(_indexer(costs, pow2_at_least(PARTS * partitions(docs.sparkSession))), "part int, entries binary")
-    buckets = written(with_pivots(written(index.groupBy("part").applyInArrow(_buckets, BUCKETS).distinct(), "buckets")), "pivots")
+    buckets = written(with_pivots(indexed(texts, costs)), "pivots")
 
     # Of each node in a bucket one document, for its bitmap and, if need be, its text.
     held_id = F.coalesce("doc_id", F.lit(NO_ID))
@@ -433,8 +456,7 @@ def node_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = compared(stars, held, named_rows)
     known = components(first.filter("linked"))
     rest = compared(remaining_pairs(buckets, first, known, held, named_rows), held, named_rows)
-    found = components(rest.filter("linked"), known)
-    return members.join(found, "node", "left").select("doc_id", "key", "n_shingles", F.coalesce("comp", "node").alias("comp"))
+    return members, components(rest.filter("linked"), known)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
