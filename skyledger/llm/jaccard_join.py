@@ -58,9 +58,9 @@ SMALL = 32
 FLUSH = 500_000
 RANGES = 16
 #: Parts of the index for each shuffle partition: a part is sorted in a task's memory.
-PARTS = 4
+PARTS = 2
 #: The index is made and shuffled in so many passes over the texts, each with its share of the parts, of which one is on disk at a time.
-PASSES = 4
+PASSES = 2
 NO_ID = (1 << 63) - 1
 EXACT_SKIPPED, EXACT, DELETION = 0, 1, 2
 #: The reach of an entry's set is stored doubled, plus this if the set is of the level's upper band.
@@ -84,14 +84,26 @@ def sets_of(texts: list[str]) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     words, counts = hashed_words(texts, lower=True)
     runs, own = shingles(words, counts, WORDS)
-    ends = np.cumsum(own).tolist()
-    return [np.unique(runs[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)] if texts else []
-
-
-def node_of(tokens: np.ndarray) -> int:
-    """A hash of a whole set, as a signed 64-bit integer."""
-    total = mixed(tokens ^ np.uint64(0xA0761D6478BD642F)).sum(dtype=np.uint64) if len(tokens) else np.uint64(0)
-    return int(mixed(np.array([total + np.uint64(len(tokens))], np.uint64)).view(np.int64)[0])
+    ends = np.cumsum(own)
+    begins = ends - own
+    for a, b in zip(begins.tolist(), ends.tolist(), strict=True):
+        runs[a:b].sort()
+    fresh = np.ones(len(runs), bool)
+    fresh[1:] = runs[1:] != runs[:-1]
+    fresh[begins[own > 0]] = True
+    before = np.concatenate(([0], np.cumsum(fresh)))
+    runs = runs[fresh]
+    return [runs[a:b] for a, b in zip(before[begins].tolist(), before[ends].tolist(), strict=True)]
+
+
+def nodes_of(sets: list[np.ndarray]) -> np.ndarray:
+    """Hashes of whole sets, as signed 64-bit integers."""
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    ends = np.cumsum(sizes)
+    sums = np.zeros(int(sizes.sum()) + 1, np.uint64)
+    if len(sums) > 1:
+        np.cumsum(mixed(np.concatenate(sets) ^ np.uint64(0xA0761D6478BD642F)), out=sums[1:])
+    return mixed(sums[ends] - sums[ends - sizes] + sizes.astype(np.uint64)).view(np.int64)
 
 
 def _counter_of(tokens: np.ndarray) -> np.ndarray:
@@ -123,19 +135,19 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, nodes, maps = [], [], []
         for _, texts in chunks(batch.column(1).to_pylist()):
-            for tokens in sets_of(texts):
-                sizes.append(len(tokens))
-                nodes.append(node_of(tokens))
-                maps.append(bitmap_of(tokens))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(maps, pa.binary())], names=["doc_id", "key", "n_shingles", "node", "bits"])
+            sets = sets_of(texts)
+            sizes.extend(map(len, sets))
+            nodes.append(nodes_of(sets))
+            maps.extend(map(bitmap_of, sets))
+        node = np.concatenate([np.zeros(0, np.int64), *nodes])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(node), pa.array(maps, pa.binary())], names=["doc_id", "key", "n_shingles", "node", "bits"])
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(COUNTERS, np.int64)
     for batch in batches:
         for _, texts in chunks(batch.column(0).to_pylist()):
-            for tokens in sets_of(texts):
-                np.add.at(counts, _counter_of(tokens), 1)
+            np.add.at(counts, _counter_of(np.concatenate(sets_of(texts))), 1)
     yield from _split_counts(counts)
 
 
@@ -247,42 +259,49 @@ def _indexer(costs: np.ndarray, parts: int, turn: int = 0, turns: int = 1):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple[np.ndarray, ...]] = []
-        gathered = 0
+        seen: list[tuple[np.ndarray, np.ndarray]] = []
+        held = gathered = 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal waiting, gathered
-            signature, node, size, kind, reach = (np.concatenate(x) for x in zip(*waiting, strict=True))
-            waiting, gathered = [], 0
+            nonlocal waiting, seen, held, gathered
+            signature, number, kind, reach = (np.concatenate(x) for x in zip(*waiting, strict=True))
+            node, size = (np.concatenate(x) for x in zip(*seen, strict=True))
+            waiting, seen, held, gathered = [], [], 0, 0
             part = (signature >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(signature), np.int64)
-            order = np.lexsort((reach, node, part))
-            signature, node, size, kind, reach, part = (x[order] for x in (signature, node, size, kind, reach, part))
-            edges = np.searchsorted(part, np.arange(parts + 1))
-            names, blobs = [], []
-            for k in np.flatnonzero(np.diff(edges)).tolist():
-                own = slice(edges[k], edges[k + 1])
-                starts = np.flatnonzero(np.concatenate(([True], (node[own][1:] != node[own][:-1]) | (reach[own][1:] != reach[own][:-1]))))
-                # 46 bits below those of the part, and two for the kind: chance meetings are settled by verification.
-                short = ((signature[own] << np.uint64(bits)) >> np.uint64(18) << np.uint64(2)) | kind[own]
-                blobs.append(
-                    np.array([len(starts), len(short)], "<i8").tobytes() + node[own][starts].astype("<i8").tobytes() + size[own][starts].astype("<i4").tobytes() + reach[own][starts].astype("<i4").tobytes()
-                    + np.diff(np.append(starts, len(short))).astype("<i4").tobytes() + (short >> np.uint64(16)).astype("<u4").tobytes() + short.astype("<u2").tobytes()
-                )
-                names.append(k)
+            # A set's entries at one level have one reach, whose last bit tells the two levels apart.
+            run = part << 40 | number << 1 | reach & 1
+            order = np.argsort(run)
+            run = run[order]
+            start = np.flatnonzero(np.concatenate(([True], run[1:] != run[:-1])))
+            each = np.diff(np.append(start, len(run)))
+            node, size, reach = node[number[order[start]]], size[number[order[start]]], reach[order[start]]
+            # 46 bits below those of the part, and two for the kind: chance meetings are settled by verification.
+            short = ((signature[order] << np.uint64(bits)) >> np.uint64(18) << np.uint64(2)) | kind[order]
+            high, low = (short >> np.uint64(16)).astype("<u4"), short.astype("<u2")
+            edges = np.searchsorted(run, np.arange(parts + 1) << 40)
+            begins = np.searchsorted(start, edges)
+            names, blobs = np.flatnonzero(np.diff(edges)).tolist(), []
+            for k in names:
+                entries, sets = slice(edges[k], edges[k + 1]), slice(begins[k], begins[k + 1])
+                numbers = [_narrow(x[sets]) for x in (size, reach, each)]
+                head = np.array([len(node[sets]), len(low[entries]), int.from_bytes([x.itemsize for x in numbers], "little"), 0], "<i4")
+                blobs.append(b"".join(x.tobytes() for x in (head, node[sets].astype("<i8"), *numbers, high[entries], low[entries])))
             return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], names=["part", "entries"])
 
         for batch in batches:
             for _, texts in chunks(batch.column(0).to_pylist()):
-                known: dict[int, np.ndarray] = {node_of(s): s for s in sets_of(texts) if len(s)}
-                if not known:
+                sets = [s for s in sets_of(texts) if len(s)]
+                if not sets:
                     continue
-                nodes = np.fromiter(known, np.int64, len(known))
-                sizes = np.fromiter(map(len, known.values()), np.int32, len(known))
+                known: dict[int, np.ndarray] = dict(zip(nodes_of(sets).tolist(), sets, strict=True))
+                seen.append((np.fromiter(known, np.int64, len(known)), np.fromiter(map(len, known.values()), np.int64, len(known))))
                 for signature, number, kind, reach in index_entries(list(known.values()), costs):
                     if lead:
-                        own = signature >> np.uint64(64 - lead) == turn
+                        own = np.flatnonzero(signature >> np.uint64(64 - lead) == turn)
                         signature, number, kind, reach = signature[own], number[own], kind[own], reach[own]
-                    waiting.append((signature, nodes[number], sizes[number], kind, reach))
+                    waiting.append((signature, number + held, kind, reach))
                     gathered += len(signature)
+                held += len(known)
                 if gathered >= FLUSH:
                     yield flush()
         if gathered:
@@ -291,6 +310,12 @@ def _indexer(costs: np.ndarray, parts: int, turn: int = 0, turns: int = 1):
     return run
 
 
+def _narrow(numbers: np.ndarray) -> np.ndarray:
+    """Non-negative numbers in as few bytes each as the largest needs: one, two or four."""
+    most = int(numbers.max())
+    return numbers.astype("<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4")
+
+
 BUCKETS = "bucket long, node long, size long, kind byte, reach int"
 COUNTED = "a long, b long, common long, sizes long"
 
@@ -300,10 +325,13 @@ def _buckets(keys, group):
     signatures, nodes, sizes, reaches = [], [], [], []
     for blob in group.column("entries"):
         data = blob.as_buffer()
-        docs, n = (int(x) for x in np.frombuffer(data, "<i8", 2))
+        docs, n, widths, _ = (int(x) for x in np.frombuffer(data, "<i4", 4))
         own, at = np.frombuffer(data, "<i8", docs, 16), 16 + 8 * docs
-        size, reach, each = (np.frombuffer(data, "<i4", docs, at + 4 * k * docs) for k in range(3))
-        at += 12 * docs
+        numbers = []
+        for width in widths.to_bytes(3, "little"):
+            numbers.append(np.frombuffer(data, f"<u{width}", docs, at).astype(np.int32))
+            at += width * docs
+        size, reach, each = numbers
         signatures.append(np.frombuffer(data, "<u4", n, at).astype(np.uint64) << np.uint64(16) | np.frombuffer(data, "<u2", n, at + 4 * n))
         for out, values in ((nodes, own), (sizes, size), (reaches, reach)):
             out.append(np.repeat(values, each))
@@ -360,7 +388,7 @@ def _buckets(keys, group):
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [s for _, texts in chunks(batch.column(0).to_pylist()) for s in sets_of(texts)]
-        yield pa.RecordBatch.from_arrays([pa.array(map(node_of, found), pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["node", "tokens"])
+        yield pa.RecordBatch.from_arrays([pa.array(nodes_of(found)), pa.array([s.tobytes() for s in found], pa.binary())], names=["node", "tokens"])
 
 
 def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
