@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from skyledger.operators.smooth import curve_places
+
 
 def line(x: str, y: str) -> dict[str, Column]:
     """Slope and intercept of y on x, one pass."""
@@ -106,15 +108,18 @@ def group_parts(points: DataFrame, group: str) -> DataFrame:
     return points.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / TOGETHER).alias("_parts")).where("_parts > 1")
 
 
-def interpolated(points: DataFrame, curve: DataFrame, group: str, x: str, curve_x: str = "cx", curve_y: str = "cy", name: str = "value", parts: DataFrame | None = None) -> DataFrame:
-    """Piecewise-linear values of each group's curve at the points, its end segments extended.
+def interpolated(points: DataFrame, curve: DataFrame, group: str, x: str, curve_x: str = "cx", curve_y: str = "cy", name: str = "value", parts: DataFrame | None = None, more: dict[str, str] | None = None) -> DataFrame:
+    """Piecewise-linear values of each group's curve at the points, its end segments extended; `more`: other values of the knots, by the names of
+    their columns at the points.
 
     Points and knots are merged in one ordering per group; each point takes the segment that holds it. Points of the groups in `parts`
     (of group_parts, if there are large ones) are dealt out by a hash, and each part gets the group's knots.
     """
     w = Window.partitionBy(group).orderBy(curve_x)
-    segment = curve.select(group, F.col(curve_x).alias("_x0"), F.col(curve_y).alias("_y0"), F.lead(curve_x).over(w).alias("_x1"), F.lead(curve_y).over(w).alias("_y1"), F.row_number().over(w).alias("_k")).filter("_x1 IS NOT NULL")
-    knots = segment.select(group, F.when(F.col("_k") == 1, F.lit(float("-inf"))).otherwise(F.col("_x0")).alias("_at"), F.lit(0).alias("_kind"), F.struct("_x0", "_y0", "_x1", "_y1").alias("_seg"))
+    values = {name: curve_y} | (more or {})
+    ends = {f"_y{k}{end}": v for k, c in enumerate(values.values()) for end, v in enumerate((F.col(c), F.lead(c).over(w)))}
+    segment = curve.select(group, F.col(curve_x).alias("_x0"), F.lead(curve_x).over(w).alias("_x1"), *(v.alias(n) for n, v in ends.items()), F.row_number().over(w).alias("_k")).filter("_x1 IS NOT NULL")
+    knots = segment.select(group, F.when(F.col("_k") == 1, F.lit(float("-inf"))).otherwise(F.col("_x0")).alias("_at"), F.lit(0).alias("_kind"), F.struct("_x0", "_x1", *ends).alias("_seg"))
     seen = points.select("*", F.col(x).cast("double").alias("_at"), F.lit(1).alias("_kind"))
     if parts is None:
         seen, knots = (df.withColumn("_part", F.lit(0).cast("long")) for df in (seen, knots))
@@ -128,56 +133,14 @@ def interpolated(points: DataFrame, curve: DataFrame, group: str, x: str, curve_
     order = Window.partitionBy(group, "_part").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
     held = both.withColumn("_seg", F.last("_seg", ignorenulls=True).over(order)).filter("_kind = 1")
     s = F.col("_seg")
-    return held.withColumn(name, s["_y0"] + (F.col("_at") - s["_x0"]) * F.try_divide(s["_y1"] - s["_y0"], s["_x1"] - s["_x0"])).drop("_at", "_kind", "_seg", "_part")
+    between = {n: s[f"_y{k}0"] + (F.col("_at") - s["_x0"]) * F.try_divide(s[f"_y{k}1"] - s[f"_y{k}0"], s["_x1"] - s["_x0"]) for k, n in enumerate(values)}
+    return held.withColumns(between).drop("_at", "_kind", "_seg", "_part")
 
 
 def lowess(x: np.ndarray, y: np.ndarray, share: float = 2 / 3, rounds: int = 3, delta: float = 0.0) -> np.ndarray:
     """Robust locally weighted lines (Cleveland 1979), x ascending: tricube weights over the nearest share of points,
     bisquare reweighting, and linear interpolation over points closer than delta."""
-    n = len(x)
-    k = min(n, max(2, int(share * n + 1e-10)))
-    fitted, robust = np.zeros(n), np.ones(n)
-    for step in range(rounds + 1):
-        left, last, i = 0, -1, 0
-        while True:
-            # The first window from here on whose left end is no farther than what comes after its right end, by halving.
-            stop = n - k
-            while left < stop:
-                middle = (left + stop) // 2
-                left, stop = (middle + 1, stop) if x[i] - x[middle] > x[middle + k] - x[i] else (left, middle)
-            near = slice(left, left + k)
-            reach = max(x[i] - x[left], x[left + k - 1] - x[i])
-            far = np.abs(x[near] - x[i])
-            u = far / max(reach, 1e-300)
-            cube = 1 - u * u * u
-            w = np.where(far <= 0.999 * reach, np.where(far > 0.001 * reach, cube * cube * cube, 1.0), 0.0) * robust[near]
-            total = w.sum()
-            if total <= 0:
-                fitted[i] = y[i]
-            else:
-                w /= total
-                mean = (w * x[near]).sum()
-                spread = (w * (x[near] - mean) ** 2).sum()
-                if spread**0.5 > 0.001 * (x[-1] - x[0]):
-                    w = w * (1 + (x[i] - mean) * (x[near] - mean) / spread)
-                fitted[i] = (w * y[near]).sum()
-            if last < i - 1:
-                run = slice(last + 1, i)
-                part = (x[run] - x[last]) / (x[i] - x[last])
-                fitted[run] = part * fitted[i] + (1 - part) * fitted[last]
-            # Points at the same x have its value; the next place is the last one within delta.
-            last = int(np.searchsorted(x, x[i], "right")) - 1
-            fitted[i + 1 : last + 1] = fitted[i]
-            i = max(last + 1, int(np.searchsorted(x, x[i] + delta, "right")) - 1)
-            if last >= n - 1:
-                break
-        if step < rounds:
-            rest = np.abs(y - fitted)
-            scale = 6 * np.median(rest)
-            if scale <= 0:
-                break
-            robust = np.where(rest <= 0.001 * scale, 1.0, np.where(rest <= 0.999 * scale, (1 - np.minimum(rest / scale, 1) ** 2) ** 2, 0.0))
-    return fitted
+    return np.interp(x, *curve_places(x, y, share, rounds, delta))
 
 
 def lowess_counted(x: np.ndarray, y: np.ndarray, times: np.ndarray, share: float = 2 / 3, rounds: int = 3, delta: float = 0.0) -> np.ndarray:
