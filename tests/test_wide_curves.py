@@ -73,3 +73,13 @@ def test_curves_of_groups_come_from_batches_in_order(spark):
     assert {g[0] for g in got} == {"", "p"} and {g[4] for g in got} == {int((~want["outlier"]).sum())} and {g[5] for g in got} == {int(want["outlier"].sum())}
     assert np.allclose([g[2] for g in got], np.interp([g[1] for g in got], want["x"], want["y"]), atol=1e-9)
     assert np.allclose([g[3] for g in got], want["error"](np.array([g[1] for g in got])), atol=1e-9)
+
+
+def test_curves_are_made_once_for_their_application(spark):
+    x, y = stars(500)
+    df = spark.createDataFrame([(1, float(a), float(b)) for a, b in zip(x, y)], "plate int, mag double, natmag double")
+    rows = df.select("plate", "mag").selectExpr("*", "0D AS magerr", "1D AS color", "0.4D AS color_term", "0D AS natmag_correction")
+    done = calibration.applied(rows, calibration.calibration_curves(df, ["plate"]), "plate")
+    assert "FlatMapGroups" not in done._jdf.queryExecution().optimizedPlan().toString()
+    found, at = calibration.calibrated(x, y), [(r.mag, r.natmag) for r in done.collect()]
+    assert len(at) == 500 and np.allclose([n for m, n in at if 5 < m < 10], np.interp([m for m, _ in at if 5 < m < 10], found["x"], found["y"]), atol=0.02)
