@@ -29,26 +29,22 @@ PART = 200_000
 def vee_fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Least squares of a |x - x0| + b (x - x0)^2 + c: (x0, a, b, c) and their standard errors.
 
-    For a given x0 the rest is linear, so only x0 is searched: on a grid, then by golden sections around its best point."""
+    For a given x0 the rest is linear, so only x0 is searched: on a grid, then on finer ones around its best point."""
 
-    def basis(x0: float) -> np.ndarray:
-        u = x - x0
-        return np.stack((np.abs(u), u * u, np.ones_like(u)), -1)
+    def solved(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Squares of the residuals, and coefficients, for many x0 at once."""
+        u = x - places[:, None]
+        q, r = np.linalg.qr(np.stack((np.abs(u), u * u, np.ones_like(u)), -1))
+        along = np.einsum("gij,i->gj", q, y)
+        return ((y - np.einsum("gij,gj->gi", q, along)) ** 2).sum(1), np.linalg.solve(r, along[..., None])[..., 0]
 
-    def solved(x0: float) -> tuple[float, np.ndarray]:
-        m = basis(x0)
-        p = np.linalg.lstsq(m, y, rcond=None)[0]
-        return float(((y - m @ p) ** 2).sum()), p
-
-    grid = np.linspace(x.min(), x.max(), 4 * len(x) + 1)
-    best = int(np.argmin([solved(g)[0] for g in grid]))
-    low, high = grid[max(best - 1, 0)], grid[min(best + 1, len(grid) - 1)]
-    ratio = (5**0.5 - 1) / 2
+    low, high, grid = x.min(), x.max(), np.linspace(x.min(), x.max(), 4 * len(x) + 1)
     while high - low > 1e-9:
-        p, q = high - ratio * (high - low), low + ratio * (high - low)
-        low, high = (low, q) if solved(p)[0] <= solved(q)[0] else (p, high)
+        best = int(np.argmin(solved(grid)[0]))
+        low, high = grid[max(best - 1, 0)], grid[min(best + 1, len(grid) - 1)]
+        grid = np.linspace(low, high, 41)
     x0 = (low + high) / 2
-    rest, (a, b, c) = solved(x0)
+    (rest,), ((a, b, c),) = solved(np.array([x0]))
     u = x - x0
     jacobian = np.stack((-a * np.sign(u) - 2 * b * u, np.abs(u), u * u, np.ones_like(u)), -1)
     spread = np.linalg.pinv(jacobian.T @ jacobian) * rest / max(1, len(x) - 4)
@@ -216,7 +212,8 @@ class Surface:
     def _basis(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         # Beyond the data the value at the edge holds.
         u, v = (np.clip((w - low) / span, 0, 1) * 2 - 1 for w, (low, span) in zip((x, y), self.box, strict=True))
-        return np.stack([u**i * v**j for i in range(self.degree + 1) for j in range(self.degree + 1 - i)], -1)
+        us, vs = ([np.ones_like(w), *np.cumprod(np.broadcast_to(w, (self.degree, *w.shape)), axis=0)] for w in (u, v))
+        return np.stack([us[i] * vs[j] for i in range(self.degree + 1) for j in range(self.degree + 1 - i)], -1)
 
     def __call__(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         x, y = np.asarray(x, float), np.asarray(y, float)
@@ -343,40 +340,43 @@ def corrected_solutions(stars: DataFrame, groups: list[str], key: str = "id") ->
     return _grouped(stars, groups, [key, *columns], CORRECTED, kernel)
 
 
-def surface_value(surface: Column, x: Column, y: Column) -> Column:
-    """A surface's value at a place; null without a surface. Beyond the stars that it was fitted to, the value at their edge holds."""
-    scaled = lambda v, low, span: F.greatest(F.lit(0.0), F.least(F.lit(1.0), (v - low) / span)) * 2 - 1
-
-    def value(at: Column) -> Column:
-        def of(degree: int) -> Column:
-            # By powers of u, each with a polynomial of v, both from the highest power down.
-            total, place = F.lit(0.0), {}
-            for i in range(degree + 1):
-                for j in range(degree + 1 - i):
-                    place[i, j] = len(place)
-            for i in range(degree, -1, -1):
-                row = F.lit(0.0)
-                for j in range(degree - i, -1, -1):
-                    row = row * at["v"] + F.get(surface["terms"], F.lit(place[i, j]))
-                total = total * at["u"] + row
-            return total
+def _polynomial(surface: Column, u: Column, v: Column) -> Column:
+    """By powers of u, each with a polynomial of v, both from the highest power down."""
 
-        return F.when(surface["degree"] == 5, of(5)).when(surface["degree"] == 3, of(3))
+    def of(degree: int) -> Column:
+        total, place = F.lit(0.0), {}
+        for i in range(degree + 1):
+            for j in range(degree + 1 - i):
+                place[i, j] = len(place)
+        for i in range(degree, -1, -1):
+            row = F.lit(0.0)
+            for j in range(degree - i, -1, -1):
+                row = row * v + F.get(surface["terms"], F.lit(place[i, j]))
+            total = total * u + row
+        return total
 
-    return F.element_at(F.transform(F.array(F.struct(scaled(x, surface["x_low"], surface["x_span"]).alias("u"), scaled(y, surface["y_low"], surface["y_span"]).alias("v"))), value), 1)
+    return F.when(surface["degree"] == 5, of(5)).when(surface["degree"] == 3, of(3))
 
 
-def correction_value(surface: Column, bin_mags: Column, bin_surfaces: Column, x: Column, y: Column, mag: Column) -> Column:
+def with_correction(rows: DataFrame, name: str, surface: Column, bin_mags: Column, bin_surfaces: Column, x: Column, y: Column, mag: Column) -> DataFrame:
     """The correction at a place and magnitude, 0 without a surface: that of the two bins' surfaces beside the magnitude is
-    interpolated between their middles; beyond the first and the last middle theirs holds."""
-    above = F.size(F.filter(bin_mags, lambda m: m <= mag))  # the bin after the magnitude, from 0
+    interpolated between their middles; beyond the first and the last middle theirs holds, as beyond the stars the value at their edge.
+
+    Step by step in columns of their own, each of which is used more than once, so that the plan keeps them apart: all in one expression would
+    be evaluated node by node."""
+    c = F.col
     last = F.size(bin_mags) - 1
-    left, right = F.greatest(above - 1, F.lit(0)), F.least(above, last)
-    share = F.coalesce(F.try_divide(mag - F.get(bin_mags, left), F.get(bin_mags, right) - F.get(bin_mags, left)), F.lit(0.0))
-    inner = F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0))
-    at = lambda k: surface_value(F.get(bin_surfaces, k), x, y)
-    by_bins = F.when(F.size(bin_mags) > 0, at(left) * (1 - inner) + at(right) * inner).otherwise(0.0)
-    return F.coalesce(surface_value(surface, x, y) + by_bins, F.lit(0.0))
+    out = rows.withColumn("_above", F.size(F.filter(bin_mags, lambda m: m <= mag)))  # the bin after the magnitude, from 0
+    out = out.withColumns({"_left": F.greatest(c("_above") - 1, F.lit(0)), "_right": F.least(c("_above"), last)})
+    share = F.coalesce(F.try_divide(mag - F.get(bin_mags, c("_left")), F.get(bin_mags, c("_right")) - F.get(bin_mags, c("_left"))), F.lit(0.0))
+    out = out.withColumns({"_share": F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0)), "_at0": surface, "_at1": F.get(bin_surfaces, c("_left")), "_at2": F.get(bin_surfaces, c("_right"))})
+    scaled = lambda v, low, span: F.greatest(F.lit(0.0), F.least(F.lit(1.0), (v - low) / span)) * 2 - 1
+    out = out.withColumns({f"_{n}{k}": scaled(w, c(f"_at{k}.{axis}_low"), c(f"_at{k}.{axis}_span")) for k in range(3) for n, axis, w in (("u", "x", x), ("v", "y", y))})
+    for k in range(3):
+        out = out.withColumn(f"_on{k}", _polynomial(c(f"_at{k}"), c(f"_u{k}"), c(f"_v{k}")))
+    whole, lower, upper, inner = c("_on0"), c("_on1"), c("_on2"), c("_share")
+    value = F.when(whole.isNull(), 0.0).when(F.size(bin_mags) <= 0, whole).when(lower.isNull() | upper.isNull(), 0.0).otherwise(whole + (lower * (1 - inner) + upper * inner))
+    return out.withColumn(name, value).drop("_above", "_left", "_right", "_share", *(f"_{n}{k}" for n in ("at", "u", "v", "on") for k in range(3)))
 
 
 def curve_value(mags: Column, values: Column, mag: Column) -> Column:
@@ -399,8 +399,9 @@ def corrected_magnitudes(sources: DataFrame, solutions: DataFrame, groups: list[
     joined = with_group(sources.withColumn("_m", F.when(c("mag") < 90, c("mag"))), row, groups, "left")
     held = F.least(F.greatest(c("_m"), c("_s.bright_limit")), c("_s.faint_limit"))
     curve = curve_value(c("_s.curve_mag"), c("_s.curve_natmag"), c("_m"))
-    correction = F.when(curve.isNotNull(), correction_value(c("_s.surface"), c("_s.bin_mags"), c("_s.bin_surfaces"), c("x"), c("y"), c("_m")))
-    out = joined.withColumns({"natmag_plate": curve, "natmag_correction": correction, "natmag_error": curve_value(c("_s.curve_mag"), c("_s.curve_error"), held), "phot_range_flag": F.when(c("_m") < c("_s.bright_limit"), 1).when(c("_m") > c("_s.faint_limit"), 2).otherwise(0)})
+    corrected = with_correction(joined, "natmag_correction", c("_s.surface"), c("_s.bin_mags"), c("_s.bin_surfaces"), c("x"), c("y"), c("_m")).withColumn("natmag_plate", curve)
+    correction = F.when(c("natmag_plate").isNotNull(), c("natmag_correction"))
+    out = corrected.withColumns({"natmag_correction": correction, "natmag_error": curve_value(c("_s.curve_mag"), c("_s.curve_error"), held), "phot_range_flag": F.when(c("_m") < c("_s.bright_limit"), 1).when(c("_m") > c("_s.faint_limit"), 2).otherwise(0)})
     error = F.sqrt(F.pow("natmag_error", 2) + F.pow(c("color_term_error") * c("bp_rp"), 2))
     out = out.withColumn("natmag", c("natmag_plate") + c("natmag_correction"))
     return out.withColumns({"rpmag": c("natmag") - c("color_term") * c("bp_rp"), "bpmag": c("natmag") - (c("color_term") - 1) * c("bp_rp"), "rpmag_error": error, "bpmag_error": error}).drop("_s", "_m")
