@@ -151,12 +151,14 @@ def calibrated_in_order(x: Values, y: Values) -> dict | None:
 def calibrated(mag: np.ndarray, nat: np.ndarray) -> dict | None:
     """Places of the curve over plate magnitudes (straight between them), its running error as a function, and which stars are outliers;
     None with too few stars."""
-    order = np.argsort(mag, kind="stable")
-    found = calibrated_in_order(mag[order], nat[order])
+    order = None if (mag[:-1] <= mag[1:]).all() else np.argsort(mag, kind="stable")
+    found = calibrated_in_order(*((mag, nat) if order is None else (mag[order], nat[order])))
     if found is None:
         return None
-    out = np.ones(len(mag), bool)
-    out[order[found.pop("good")]] = False
+    good = found.pop("good")
+    out = ~good
+    if order is not None:
+        out[order] = ~good
     return found | {"outlier": out}
 
 

@@ -7,14 +7,17 @@ the residuals of RP + c (BP - RP) are those of RP plus c times those of the colo
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from skyledger.operators.calibration import LEAST_STARS, _support, calibrated
+from skyledger.operators.calibration import LEAST_STARS, _support, calibrated, gathered
 from skyledger.operators.fits import checkpointed, lowess, lowess_share, with_group
 
 #: Range of valid colour terms, and the deviation below which a scan says nothing.
@@ -295,15 +298,25 @@ def _calibrated(mag: np.ndarray, bp: np.ndarray, rp: np.ndarray, x: np.ndarray,
     return result, correction, lambda m: np.interp(m, middles, rmse)
 
 
-def calibrated_solutions(stars: DataFrame, groups: list[str], key: str = "id") -> DataFrame:
-    """The whole calibration of each group of stars: mag, bp, rp, x, y."""
-    columns = ["mag", "bp", "rp", "x", "y"]
+def _in_batches(stars: DataFrame, groups: list[str], columns: list[str], key: str, schema: str, kernel: Callable[..., dict | None]) -> DataFrame:
+    """As `_grouped`, for rows that have all columns, by mag and key: Spark sorts them, so that a task holds each column of a group once."""
+    kinds = T.StructType([*stars.select(*groups).schema.fields, *T.StructType.fromDDL(schema).fields])
+    known = stars.select(*groups, key, *(F.col(c).cast("double").alias(c) for c in columns)).where(" AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in columns))
+    arrow = to_arrow_schema(kinds)
 
-    def kernel(pdf: pd.DataFrame) -> dict | None:
-        own = _in_order(pdf, columns, key)
-        return calibrated_solution(*own) if len(own[0]) >= LEAST_STARS else None
+    def fit(of: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = gathered(batches, columns)
+        found = kernel(*(v[:] for v in own)) if len(own[0]) >= LEAST_STARS else None
+        if found is not None:
+            rest = [pa.array([None if isinstance(v := found[f.name], float) and v != v else v], f.type) for f in list(arrow)[len(groups) :]]
+            yield pa.RecordBatch.from_arrays([*(pa.repeat(k, 1) for k in of), *rest], names=kinds.fieldNames())
 
-    return _grouped(stars, groups, [key, *columns], RESULT, kernel)
+    return known.repartition(*groups).sortWithinPartitions(*groups, "mag", key).groupBy(*groups).applyInArrow(fit, kinds)
+
+
+def calibrated_solutions(stars: DataFrame, groups: list[str], key: str = "id") -> DataFrame:
+    """The whole calibration of each group of stars: mag, bp, rp, x, y."""
+    return _in_batches(stars, groups, ["mag", "bp", "rp", "x", "y"], key, RESULT, calibrated_solution)
 
 
 SURFACE = "struct<degree:int,x_low:double,x_span:double,y_low:double,y_span:double,terms:array<double>>"
@@ -331,13 +344,7 @@ def corrected_solution(mag: np.ndarray, bp: np.ndarray, rp: np.ndarray, x: np.nd
 
 def corrected_solutions(stars: DataFrame, groups: list[str], key: str = "id") -> DataFrame:
     """`corrected_solution` of each group of stars: mag, bp, rp, x, y."""
-    columns = ["mag", "bp", "rp", "x", "y"]
-
-    def kernel(pdf: pd.DataFrame) -> dict | None:
-        own = _in_order(pdf, columns, key)
-        return corrected_solution(*own) if len(own[0]) >= LEAST_STARS else None
-
-    return _grouped(stars, groups, [key, *columns], CORRECTED, kernel)
+    return _in_batches(stars, groups, ["mag", "bp", "rp", "x", "y"], key, CORRECTED, corrected_solution)
 
 
 def _polynomial(surface: Column, u: Column, v: Column) -> Column:
