@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from skyledger.operators.calibration import LEAST_STARS, _support, calibrated, gathered
+from skyledger.operators import smooth
+from skyledger.operators.calibration import LEAST_STARS, _some, _support, calibrated, calibrated_in_order, gathered
 from skyledger.operators.fits import checkpointed, lowess, lowess_share, with_group
+from skyledger.operators.smooth import parts
 
 #: Range of valid colour terms, and the deviation below which a scan says nothing.
 VALID, LEAST_STAT = (-3.0, 5.0), 0.01
@@ -88,7 +90,9 @@ def colour_term(mag: np.ndarray, bp: np.ndarray, rp: np.ndarray, corr: np.ndarra
     err = np.ones(len(mag)) if err is None else np.where(np.isfinite(err) & (err > 0), err, 1.0)
     # One star for each BP magnitude, then for each plate magnitude.
     first = np.sort(np.unique(bp, return_index=True)[1])
-    first = first[np.sort(np.unique(mag[first], return_index=True)[1])]
+    own = mag[first]
+    first = first[np.append(True, own[1:] != own[:-1]) if (own[:-1] <= own[1:]).all() else np.sort(np.unique(own, return_index=True)[1])]
+    del own
     order = first[np.argsort(mag[first], kind="stable")]
     if len(order) < LEAST_STARS:
         return None
@@ -273,26 +277,34 @@ def calibrated_solution(mag: np.ndarray, bp: np.ndarray, rp: np.ndarray, x: np.n
 
 def _calibrated(mag: np.ndarray, bp: np.ndarray, rp: np.ndarray, x: np.ndarray, y: np.ndarray, step: float, corr: np.ndarray | None = None, err: np.ndarray | None = None) -> tuple[dict, Correction, Callable] | None:
     """The result, the correction and the error at a magnitude; corr of an earlier round goes into the colour term and the curve, err into the term."""
-    term = colour_term(mag, bp, rp, corr, err)
+    term, n = colour_term(mag[:], bp[:], rp[:], corr, err), len(mag)
     if term is None:
         return None
-    nat = rp + term["color_term"] * (bp - rp)
+    value = lambda p: rp[p] + term["color_term"] * (bp[p] - rp[p])
     # Freed of what an earlier round found over the plate, the curve's ends, which few stars hold, have their slope.
-    found = calibrated(mag, nat if corr is None else nat - corr)
+    nat = value if corr is None else lambda p: value(p) - corr[p]
+    if isinstance(mag, smooth.Column):
+        # Columns in files are in order, and are read when they are wanted.
+        found = calibrated_in_order(mag, _some((nat(p) for p in parts(n)), n))
+        good = found and np.flatnonzero(found.pop("good"))
+    else:
+        found = calibrated(mag, nat(slice(0, n)))
+        good = found and np.flatnonzero(~found["outlier"])
     if found is None:
         return None
-    good = np.flatnonzero(~found["outlier"])
-    residual = nat[good] - np.interp(mag[good], found["x"], found["y"])
-    stay = ~local_outliers(mag[good], residual, found["low"], found["high"])
-    good, residual = good[stay], residual[stay]
-    correction = Correction(x[good], y[good], mag[good], residual)
-    rest = residual - correction(x[good], y[good], mag[good])
-    bins = magnitude_bins(mag[good])
-    rmse = np.array([np.sqrt((rest[(mag[good] >= low) & (mag[good] <= high)] ** 2).mean()) for low, high in bins])
+    mag, residual = mag[:][good], np.concatenate([value(p) for p in parts(n)])[good]
+    residual -= np.interp(mag, found["x"], found["y"])
+    stay = ~local_outliers(mag, residual, found["low"], found["high"])
+    good, mag, residual = good[stay], mag[stay], residual[stay]
+    x, y = x[:][good], y[:][good]
+    correction = Correction(x, y, mag, residual)
+    rest = residual - correction(x, y, mag)
+    bins = magnitude_bins(mag)
+    rmse = np.array([np.sqrt((rest[(mag >= low) & (mag <= high)] ** 2).mean()) for low, high in bins])
     middles = np.array([(low + high) / 2 for low, high in bins])
     grid = np.arange(np.ceil(found["low"] / step) * step, found["high"] + 1e-9, step) if found["high"] - found["low"] > step else np.array([found["low"], found["high"]])
     result = term | {
-        "bright_limit": found["low"], "faint_limit": found["high"], "num_calib_stars": len(good), "num_outliers": len(mag) - len(good), "rmse_min": rmse.min(), "rmse_median": float(np.median(rmse)), "rmse_max": rmse.max(),
+        "bright_limit": found["low"], "faint_limit": found["high"], "num_calib_stars": len(good), "num_outliers": n - len(good), "rmse_min": rmse.min(), "rmse_median": float(np.median(rmse)), "rmse_max": rmse.max(),
         "curve_mag": grid.tolist(), "curve_natmag": np.interp(grid, found["x"], found["y"]).tolist(), "curve_error": np.interp(grid, middles, rmse).tolist(),
     }
     return result, correction, lambda m: np.interp(m, middles, rmse)
@@ -306,7 +318,7 @@ def _in_batches(stars: DataFrame, groups: list[str], columns: list[str], key: st
 
     def fit(of: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = gathered(batches, columns)
-        found = kernel(*(v[:] for v in own)) if len(own[0]) >= LEAST_STARS else None
+        found = kernel(*own) if len(own[0]) >= LEAST_STARS else None
         if found is not None:
             rest = [pa.array([None if isinstance(v := found[f.name], float) and v != v else v], f.type) for f in list(arrow)[len(groups) :]]
             yield pa.RecordBatch.from_arrays([*(pa.repeat(k, 1) for k in of), *rest], names=kinds.fieldNames())
@@ -338,7 +350,7 @@ def corrected_solution(mag: np.ndarray, bp: np.ndarray, rp: np.ndarray, x: np.nd
             break
         result, correction, error = found
         best = result | {"iterations": k + 1, "surface": None if correction.whole is None else _as_row(correction.whole), "bin_mags": [float(m) for m, _ in correction.bins], "bin_surfaces": [_as_row(s) for _, s in correction.bins]}
-        corr, err = correction(x, y, mag), error(mag)
+        corr, err = correction(x[:], y[:], mag[:]), error(mag[:])
     return best
 
 

@@ -100,3 +100,23 @@ def test_a_vee_is_fitted_at_many_places_at_once(monkeypatch):
         assert abs(x0 - planted) < 0.02 and abs(a - 0.3) < 0.01
         assert all(rest(x0) <= rest(at) + 1e-15 for at in np.linspace(x0 - 0.3, x0 + 0.3, 301))
     assert 0 < len(calls) < 40
+
+
+def test_a_solution_is_the_same_from_columns_in_files(monkeypatch):
+    from skyledger.operators import photometry
+
+    rng, n = np.random.default_rng(11), 4000
+    mag = np.sort(rng.uniform(5, 15, n))
+    colour, x, y = rng.uniform(0, 2, n), rng.uniform(0, 1e4, n), rng.uniform(0, 8e3, n)
+    nat = mag * 1.05 + 2 + rng.normal(0, 0.03, n) + x / 1e5
+    own = [mag, nat + 0.5 * colour, nat - 0.5 * colour, x, y]
+    for f in (photometry.calibrated_solution, photometry.corrected_solution):
+        want, files = f(*own), []
+        with monkeypatch.context() as m:
+            m.setattr(calibration, "HELD", 500)
+            for v in own:
+                files.append(smooth.Column())
+                files[-1].append(v)
+            got = f(*files)
+        assert want is not None and want.keys() == got.keys() and want["num_outliers"] == got["num_outliers"]
+        assert all(np.allclose(got[k], want[k], rtol=0, atol=1e-9, equal_nan=True) for k in want if k not in ("surface", "bin_surfaces"))
